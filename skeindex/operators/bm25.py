@@ -115,17 +115,22 @@ def encode_documents(termed: DataFrame, model: Model | None, drop_terms: bool =
     return encoded.drop("terms", "doc_len") if drop_terms else encoded
 
 
+def queries_are_small(queries: DataFrame, text: str = "text") -> bool:
+    """May the terms of these queries be broadcast? Their text bounds their number."""
+    return fits_broadcast(queries, F.length(text) * 16)
+
+
 def query_terms(
-    queries: DataFrame, model: Model, text: str = "text", analyzer: Analyzer = Analyzer()
-) -> DataFrame:
+    queries: DataFrame, model: Model, text: str = "text", analyzer: Analyzer = Analyzer(),
+    small: bool | None = None,
+) -> DataFrame:
     """``(qid, term_id, weight)``: inverse document frequency, normalised within each query."""
     listed = with_terms(queries.select("qid", text), text, analyzer).select(
         "qid", F.explode_outer("terms.term_id").alias("term_id")
     )
     listed = listed.where(F.col("term_id").isNotNull())
     wanted = listed.select("term_id").distinct()
-    # Query text bounds the number of query terms, so it is what gets measured.
-    if fits_broadcast(queries, F.length(text) * 16):
+    if queries_are_small(queries, text) if small is None else small:
         wanted = F.broadcast(wanted)
     known = model.df.join(wanted, "term_id", "left_semi")
     n_docs = model.stats.select("n_docs").scalar()

@@ -33,7 +33,7 @@ def _per_text(make, schema: T.StructType):
         for batch in batches:
             yield pd.Series([[] if text is None else make(text) for text in batch], dtype="object")
 
-    udf = F.pandas_udf(run, T.ArrayType(schema), F.PandasUDFType.SCALAR_ITER)
+    udf = F.pandas_udf(run, T.ArrayType(schema))
     return udf.asNondeterministic()
 
 
@@ -128,8 +128,7 @@ def with_line_offsets(records: DataFrame, uri: str, file: str = "source_file", i
 def reuse_chunks(previous: DataFrame, uri: str, file: str = "file_path") -> DataFrame:
     """Earlier chunks under a new dataset pointer: renumbered from 0 in file and old-offset order."""
     order = [file, "chunk_line_offset", "id"]
-    keys = previous.where(F.col("id").isNotNull())
-    numbered = running_offsets(keys, order, F.lit(1), "__new")
+    numbered = running_offsets(previous, order, F.lit(1), "__new")
     return (
         numbered.withColumn("chunk_gcs_uri", F.lit(uri))
         .withColumn("chunk_line_offset", F.col("__new"))

@@ -40,7 +40,7 @@ def clean_pages(pages: DataFrame, rules: CleaningRules = CleaningRules()) -> Dat
             yield pd.DataFrame([one(html) for html in batch], columns=["markdown", "error"])
 
     # Non-deterministic only in name: filters on the result must not run the cleaning twice.
-    convert = F.pandas_udf(run, schema, F.PandasUDFType.SCALAR_ITER).asNondeterministic()
+    convert = F.pandas_udf(run, schema).asNondeterministic()
     kept = [c for c in pages.columns if c != "html"]
     cleaned = pages.select(*kept, convert(F.col("html")).alias("__c"))
     return cleaned.select(*kept, F.col("__c.markdown"), F.col("__c.error"))

@@ -69,7 +69,7 @@ def embed(df: DataFrame, loader: Loader, text: str = "chunk") -> DataFrame:
                 rows = [one(model, value) for value in listed]
             yield pd.DataFrame(rows, columns=["embedding", "error"])
 
-    vectorise = F.pandas_udf(run, result, F.PandasUDFType.SCALAR_ITER).asNondeterministic()
+    vectorise = F.pandas_udf(run, result).asNondeterministic()
     kept = df.columns
     return df.withColumn("__e", vectorise(F.col(text))).select(
         *kept, F.col("__e.embedding").alias("embedding"), F.col("__e.error").alias("embedding_error")
