@@ -13,18 +13,19 @@ class EmptyCorpus(ValueError):
 
 
 def write_model(model: Model, ids: DataFrame | None, uri: str) -> None:
-    """Persist ``stats``, ``df`` (range-partitioned by term, so that lookups skip files) and ``doc_ids``.
+    """Persist ``stats``, ``df`` (sorted by term in every file, so that lookups skip row groups) and ``doc_ids``.
 
     Nothing is written for an empty corpus.
     """
-    if model.stats.first()["n_docs"] == 0:
+    row = model.stats.first()  # the statistics are one row
+    if row["n_docs"] == 0:
         raise EmptyCorpus("no text found to fit a model on")
-    ordered = model.df.repartitionByRange("term_id").sortWithinPartitions("term_id")
-    ordered.write.mode("overwrite").parquet(uri + "/df")
+    model.df.sortWithinPartitions("term_id").write.mode("overwrite").parquet(uri + "/df")
     if ids is not None:
         ids.write.mode("overwrite").parquet(uri + "/doc_ids")
     # Written last: its presence marks a complete model.
-    model.stats.coalesce(1).write.mode("overwrite").parquet(uri + "/stats")
+    stats = model.df.sparkSession.createDataFrame([row], model.stats.schema)
+    stats.coalesce(1).write.mode("overwrite").parquet(uri + "/stats")
 
 
 def load_model(spark: SparkSession, uri: str | None) -> Model | None:
