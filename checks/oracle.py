@@ -25,6 +25,7 @@ def tf_of(table: str, key: str, name: str) -> str:
 
 
 DOC_TF = tf_of("documents", "doc_id", "tf")
+CORPUS_TF = tf_of("corpus", "key", "tf")
 QUERY_TF = tf_of("benchmark", "item_id", "qtf")
 STATS = """
     dl AS (SELECT id, sum(tf) AS len FROM tf GROUP BY id),
@@ -102,18 +103,26 @@ ORACLE["model_embed"] = (
     + " FROM documents"
 )
 
-FUSED = f"""WITH {DOC_TF}, {QUERY_TF}, {STATS}, {WEIGHTS}, {QUERY_WEIGHTS}, {SPARSE},
+
+
+def fused(ids: str, depth: int, vectors: str = "h") -> str:
+    """CTEs up to ``fr(qid, id, rrf, distance, sparse_distance, rank)``; ``ids`` gives all ids."""
+    return f"""{QUERY_TF}, {STATS}, {WEIGHTS}, {QUERY_WEIGHTS}, {SPARSE},
     {hashed("tf", "h", 256)}, {hashed("qtf", "g", 256)},
-    hit AS (SELECT g.id AS qid, h.id, sum(g.x * h.x) AS s FROM h JOIN g USING (dim) GROUP BY 1, 2),
-    ds AS (SELECT q.item_id AS qid, d.doc_id AS id, round(coalesce(s, 0), 6) AS score
-      FROM documents d CROSS JOIN benchmark q LEFT JOIN hit ON hit.qid = q.item_id AND hit.id = d.doc_id),
+    unit AS (SELECT id, dim, (x / sqrt(sum(x * x) OVER (PARTITION BY id)))::FLOAT::DOUBLE AS x FROM h),
+    hit AS (SELECT g.id AS qid, h.id, sum(g.x * h.x) AS s FROM {vectors} h JOIN g USING (dim) GROUP BY 1, 2),
+    ds AS (SELECT q.item_id AS qid, d.id, round(coalesce(s, 0), 6) AS score
+      FROM ({ids}) d CROSS JOIN benchmark q LEFT JOIN hit ON hit.qid = q.item_id AND hit.id = d.id),
     dr AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM ds),
-    a AS (SELECT * FROM dr WHERE rank <= 25), b AS (SELECT * FROM sr WHERE rank <= 25),
+    a AS (SELECT * FROM dr WHERE rank <= {depth}), b AS (SELECT * FROM sr WHERE rank <= {depth}),
     f AS (SELECT coalesce(a.qid, b.qid) AS qid, coalesce(a.id, b.id) AS id,
         round(coalesce(0.5 / (60 + a.rank), 0) + coalesce(0.5 / (60 + b.rank), 0), 9) AS rrf,
         a.score AS distance, b.score AS sparse_distance
       FROM a FULL JOIN b ON a.qid = b.qid AND a.id = b.id),
     fr AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY rrf DESC, id) AS rank FROM f)"""
+
+
+FUSED = f"WITH {DOC_TF}, " + fused("SELECT doc_id AS id FROM documents", 25)
 ORACLE["hybrid_rrf"] = f"""{FUSED}
     SELECT qid, rank, id, rrf, distance, sparse_distance FROM fr WHERE rank <= 10"""
 ORACLE["result_shape"] = f"""{FUSED}
@@ -205,8 +214,7 @@ ORACLE["header_sections"] = f"""
 
 # Windows by prefix sums: the longest run within 500, then on to the first piece from which at most
 # 100 characters repeat and the next piece fits. Words of these tables are far shorter than 500.
-CHUNKS = f"""
-    src AS (SELECT doc_id AS id, text AS md FROM documents), {sections("src")},
+CHUNKS = f"""{sections("src")},
     l1 AS (SELECT id, section, generate_subscripts(parts, 1) AS a, unnest(parts) AS part
       FROM (SELECT id, section, string_split(text, chr(10)) AS parts FROM sec)),
     l2 AS (SELECT id, section, a, CASE WHEN a > 1 THEN chr(10) ELSE '' END || part AS piece FROM l1),
@@ -235,13 +243,14 @@ CHUNKS = f"""
       FROM st JOIN gp ON st.id = gp.id AND st.section = gp.section AND st.grp = gp.grp),
     ck AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY section, grp, c) - 1 AS i, chunk
       FROM cx WHERE chunk <> '')"""
-ORACLE["chunk_text"] = f"""WITH RECURSIVE {CHUNKS}
+DOCUMENT_CHUNKS = f"src AS (SELECT doc_id AS id, text AS md FROM documents), {CHUNKS}"
+ORACLE["chunk_text"] = f"""WITH RECURSIVE {DOCUMENT_CHUNKS}
     SELECT id, i, length(chunk) AS length, md5(chunk) AS digest FROM ck"""
-ORACLE["chunk_records"] = f"""WITH RECURSIVE {CHUNKS}
+ORACLE["chunk_records"] = f"""WITH RECURSIVE {DOCUMENT_CHUNKS}
     SELECT 'docs/' || id || '.html_chunk_' || i AS id, '' AS original_url, '' AS scrape_time,
       0 AS headers, md5(chunk) AS chunk, 'docs/' || id || '.html' AS source_file,
       'v1' AS chunking_strategy_version FROM ck"""
-ORACLE["line_offsets"] = f"""WITH RECURSIVE {CHUNKS}
+ORACLE["line_offsets"] = f"""WITH RECURSIVE {DOCUMENT_CHUNKS}
     SELECT 'docs/' || id || '.html_chunk_' || i AS id, 'chunks/v1' AS chunk_gcs_uri,
       row_number() OVER (ORDER BY 'docs/' || id || '.html', i) - 1 AS chunk_line_offset FROM ck"""
 
@@ -311,3 +320,67 @@ ORACLE["build_context"] = f"""WITH {FETCHED},
         || {quoted(PROMPT_QUESTION)} || 'question ' || qid || {quoted(PROMPT_TAIL)} AS p
       FROM i GROUP BY qid)
     SELECT qid, md5(p) AS digest, length(p) AS length FROM c"""
+
+
+# Markdown of the test pages by substitution: they hold few kinds of tags, no nested lists, and bold
+# tags that stay open to the end of their article; <bb> marks where those close.
+NEWLINE = "' || chr(10) || '"
+TAG_STEPS = (
+    (r"(?is)<(?:script|style)\b.*?</(?:script|style)\s*>|<!--.*?-->|<!DOCTYPE[^>]*>", ""),
+    (r"([*_])", r"\\\1"),
+    (r"[ \t\r\n\f]+", " "),
+    (r"</li>", "\n"),
+    (r"<li>", "* "),
+    (r"<h1>", "\n\n# "),
+    (r"\s*</h1>", "\n\n"),
+    (r"<b>", "**"),
+    (r"<br>", "  \n"),
+    (r"</?a\b[^>]*>|<meta[^>]*>", ""),
+    (r"</?(?:[ac-z]|b[a-z]{2,}|h1)[^>]*>", "\n\n"),
+    (r"(\s*)((?:<bb>)+)", r"\2\1"),
+    (r"<bb>", "**"),
+    (r"&copy;", "©"),
+    (r"&middot;", "·"),
+    (r"&quot;", '"'),
+    (r"&amp;?", "&"),
+    (r"\n{3,}", "\n\n"),
+)
+
+
+def markdown(source: str) -> str:
+    """CTE ``md(key, md)`` over ``source(key, html)``."""
+    opened = "(length(html) - length(replace(html, '<b>', ''))) // 3"
+    text = f"replace(html, '</article>', repeat('<bb>', {opened}) || '</article>')"
+    for pattern, by in TAG_STEPS:
+        text = f"regexp_replace({text}, {quoted(pattern)}, {quoted(by).replace(chr(10), NEWLINE)}, 'g')"
+    return f"md AS (SELECT key, trim({text}, ' ' || chr(10)) AS md FROM {source})"
+
+
+ORACLE["clean_pages"] = f"""WITH src AS (SELECT page_id AS key, html FROM pages), {markdown("src")}
+    SELECT key AS page_id, md AS markdown, NULL AS error FROM md"""
+
+# Whole flows: stored pages to chunks, terms and datapoints.
+CORPUS = f"""{KEYED},
+    pg AS (SELECT source_file AS key, html, url LIKE '%.net%' AS later FROM k
+      QUALIFY row_number() OVER (PARTITION BY source_file ORDER BY page_id DESC) = 1),
+    {markdown("pg")}, src AS (SELECT key AS id, md FROM md), {CHUNKS},
+    ids AS (SELECT ck.id AS source_file, ck.id || '_chunk_' || i AS key, i, chunk AS text FROM ck),
+    corpus AS (SELECT * FROM ids)"""
+POINTS = f"""WITH RECURSIVE {CORPUS}, {CORPUS_TF},
+    t AS (SELECT id, count(*) AS n_terms FROM tf GROUP BY id)"""
+ORACLE["full_rebuild"] = f"""{POINTS},
+    o AS (SELECT key, row_number() OVER (ORDER BY source_file, i) - 1 AS line FROM corpus)
+    SELECT key AS id, n_terms, 256 AS dims, line FROM o JOIN t ON t.id = key"""
+ORACLE["incremental_update"] = f"""{POINTS},
+    o AS (SELECT corpus.key, row_number() OVER (PARTITION BY later ORDER BY source_file, i) - 1 AS line
+      FROM corpus JOIN pg ON pg.key = source_file)
+    SELECT key AS id, n_terms, 256 AS dims, line FROM o JOIN t ON t.id = key"""
+ORACLE["streaming_update"] = ORACLE["incremental_update"]
+INDEXED = "SELECT DISTINCT id FROM tf"
+ORACLE["answer_queries"] = f"""WITH RECURSIVE {CORPUS}, {CORPUS_TF}, {fused(INDEXED, 10, "unit")},
+    got AS (SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY rank) AS i, corpus.text AS chunk
+      FROM fr JOIN corpus ON corpus.key = fr.id WHERE rank <= 10),
+    ctx AS (SELECT qid, string_agg('Context ' || i || ': ' || chunk, chr(10) ORDER BY i) AS context
+      FROM got GROUP BY qid)
+    SELECT qid, {quoted(PROMPT_HEAD)} || context || {quoted(PROMPT_QUESTION)} || text
+      || {quoted(PROMPT_TAIL)} AS prompt FROM ctx JOIN benchmark ON item_id = qid"""

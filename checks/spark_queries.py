@@ -603,7 +603,7 @@ def full_rebuild(spark, sf):
     root, catalog, embedder = _setting(spark)
     flows.full_rebuild(
         catalog, "main", root + "/chunks", root + "/model", spread(_page_rows(spark, sf)),
-        embedder=embedder, registry=root + "/artifacts",
+        embedder=embedder, analyzer=PLAIN, registry=root + "/artifacts",
     )
     return _ids(catalog)
 
@@ -614,7 +614,7 @@ def _rebuilt_part(spark, sf):
     first = rows.where(~F.col("original_url").contains(".net"))
     flows.full_rebuild(
         catalog, "main", root + "/chunks", root + "/model", spread(first),
-        embedder=embedder, registry=root + "/artifacts",
+        embedder=embedder, analyzer=PLAIN, registry=root + "/artifacts",
     )
     return root, catalog, embedder, rows
 
@@ -623,7 +623,8 @@ def incremental_update(spark, sf):
     root, catalog, embedder, rows = _rebuilt_part(spark, sf)
     new = rows.where(F.col("original_url").contains(".net"))
     flows.incremental_update(
-        catalog, "main", spread(new), root + "/chunks2", root + "/artifacts", embedder=embedder
+        catalog, "main", spread(new), root + "/chunks2", root + "/artifacts", embedder=embedder,
+        analyzer=PLAIN,
     )
     return _ids(catalog)
 
@@ -633,7 +634,7 @@ def streaming_update(spark, sf):
     rows.where(F.col("original_url").contains(".net")).write.parquet(root + "/arrivals")
     incremental.update_from_pages(
         catalog, "main", root + "/arrivals", root + "/batches", root + "/artifacts",
-        root + "/progress", embedder=embedder,
+        root + "/progress", embedder=embedder, analyzer=PLAIN,
     )
     return _ids(catalog)
 
@@ -643,11 +644,11 @@ def answer_queries(spark, sf):
     root, catalog, embedder = _setting(spark)
     flows.full_rebuild(
         catalog, "main", root + "/chunks", root + "/model", spread(_page_rows(spark, sf)),
-        embedder=embedder, registry=root + "/artifacts",
+        embedder=embedder, analyzer=PLAIN, registry=root + "/artifacts",
     )
     prompts = flows.answer_queries(
         catalog, "main", benchmark(spark, sf), spark.read.parquet(root + "/chunks"),
-        root + "/artifacts", embedder=embedder,
+        root + "/artifacts", embedder=embedder, analyzer=PLAIN,
     )
     return prompts
 

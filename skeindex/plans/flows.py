@@ -13,7 +13,7 @@ from skeindex.functions.markup import CleaningRules
 from skeindex.functions.vectors import DISTANCE_MEASURES
 from skeindex.operators import bm25, chunking, cleaning, context, dense, intake, merge, search
 from skeindex.operators.bm25 import Analyzer, Model
-from skeindex.session import stage
+from skeindex.session import spread, stage
 from skeindex.sources import artifacts, jsonl, models, objects
 from skeindex.sources.indexes import IndexCatalog, IndexSettings
 from skeindex.sources.keyed import KeyedTable
@@ -63,7 +63,7 @@ def fit_model(
     """Corpus statistics only: fit, persist, register."""
     spark = chunks.sparkSession
     records = bm25.coalesce_text(chunks.select([c for c in ("id", "chunk", "text") if c in chunks.columns]))
-    terms = stage(bm25.with_terms(records, "chunk", analyzer).drop("chunk"), "terms")
+    terms = stage(bm25.with_terms(spread(records), "chunk", analyzer).drop("chunk"), "terms")
     fitted = Model(bm25.document_frequency(terms), bm25.corpus_stats(terms))
     models.write_model(fitted, terms.select("id"), uri)
     if registry is not None:
@@ -79,7 +79,7 @@ def encode_chunks(
 
     The result is written once: the token work is not repeated by later filters.
     """
-    light = bm25.coalesce_text(chunks.drop("offset_block"))
+    light = spread(bm25.coalesce_text(chunks.drop("offset_block")))
     termed = stage(bm25.with_terms(light, "chunk", analyzer), "encoded")
     sparse = bm25.encode_documents(termed, model, drop_terms=False)
     return embedder.apply(sparse, "chunk", analyzer).drop("terms", "doc_len", "embedding_error")
