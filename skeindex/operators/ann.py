@@ -6,13 +6,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skeindex.operators.search import NEIGHBOR_COUNT, _matrix, _rank_batches, dense_topk, top_k
+from skeindex.operators.search import (
+    NEIGHBOR_COUNT,
+    SCORE_ENTRIES,
+    RunningTop,
+    dense_topk,
+    grouped_top,
+    query_block,
+    top_k,
+)
 from skeindex.session import BROADCAST_BYTES, fits_broadcast, stage
 
 # Vectors per cell and percent of cells searched.
@@ -55,19 +65,20 @@ def train_cells(
 def assign_cells(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
     """Add the ``cell`` of the nearest centroid to every row; rows without a vector get none."""
     table = centroids.orderBy("cell").toPandas()  # bounded by train_cells
-    shared = vectors.sparkSession.sparkContext.broadcast(
-        (table["cell"].to_numpy(), _matrix(table["centroid"]))
-    )
+    centers = np.stack(table["centroid"].to_list()).astype("float64")
+    shared = vectors.sparkSession.sparkContext.broadcast((table["cell"].to_numpy(), centers))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cells, centers = shared.value
         half = (centers**2).sum(1) / 2
+        rows = max(1, SCORE_ENTRIES // len(centers))
         for batch in batches:
-            fits = np.array([v is not None and len(v) == centers.shape[1] for v in batch], dtype=bool)
             out = pd.Series([None] * len(batch), dtype="Int32")
-            if fits.any():
-                nearest = (_matrix(batch[fits]) @ centers.T - half).argmax(1)
-                out[fits] = cells[nearest]
+            fits = [i for i, v in enumerate(batch) if v is not None and len(v) == centers.shape[1]]
+            for start in range(0, len(fits), rows):
+                at = fits[start : start + rows]
+                points = np.stack(batch.iloc[at].to_list()).astype("float64")
+                out.iloc[at] = cells[(points @ centers.T - half).argmax(1)]
             yield out
 
     nearest = F.pandas_udf(run, T.IntegerType()).asNondeterministic()
@@ -111,19 +122,24 @@ def ann_topk(
         ]
     )
     if fits_broadcast(wanted, F.size("dense") * 8 + 32, limit):
-        blocks = {
-            cell: (rows["qid"].tolist(), _matrix(rows["dense"]))
-            for cell, rows in wanted.toPandas().groupby("cell")
-        }
+        asked = wanted.toArrow()
+        listed = pc.unique(asked["cell"]).to_pylist()
+        blocks = {c: query_block(asked.filter(pc.equal(asked["cell"], c))) for c in listed}
         shared = assigned.sparkSession.sparkContext.broadcast(blocks)
 
-        def scan(batches):
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tops: dict = {}
+            id_type = None
             for batch in batches:
-                for cell, rows in batch.groupby("cell"):
-                    qids, matrix = shared.value[cell]
-                    yield from _rank_batches([rows], qids, matrix, k, metric)
-
-        found = vectors.mapInPandas(scan, schema)
+                id_type = batch.schema.field("id").type
+                for cell in pc.unique(batch.column("cell")).to_pylist():
+                    if cell not in tops:
+                        tops[cell] = RunningTop(shared.value[cell][1], k, metric)
+                    tops[cell].add(batch.filter(pc.equal(batch.column("cell"), cell)))
+            for cell, top in tops.items():
+                yield from top.result(shared.value[cell][0], id_type).to_batches()
+
+        found = vectors.mapInArrow(scan, schema)
     else:
         found = _by_cell(vectors, wanted, k, metric, schema)
     ranked = top_k(found, k, F.col("score"), ascending=metric == "l2")
@@ -138,12 +154,6 @@ def _by_cell(vectors: DataFrame, wanted: DataFrame, k: int, metric: str, schema)
     parts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1))
     right = wanted.join(sizes, "cell").select("cell", parts.alias("__part"), "qid", "dense")
 
-    def meet(rows: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        frames = []
-        if len(rows) and len(block):
-            qids, matrix = block["qid"].tolist(), _matrix(block["dense"])
-            frames = list(_rank_batches([rows], qids, matrix, k, metric))
-        return frames[0] if frames else pd.DataFrame(columns=["qid", "id", "score"])
-
     keys = ["cell", "__part"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, schema)
+    paired = left.groupBy(*keys).cogroup(right.groupBy(*keys))
+    return paired.applyInArrow(grouped_top(k, metric), schema)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,8 @@ RRF_CONSTANT = 60
 SCORE_PLACES = 6
 # Index rows of one shuffled block when the queries are too large to broadcast.
 BLOCK_ROWS = 50_000
+# Scores computed at a time inside a task (32 MB).
+SCORE_ENTRIES = 4_000_000
 
 
 def top_k(scored: DataFrame, k: int, score: Column, ascending: bool = False) -> DataFrame:
@@ -74,42 +78,78 @@ def _scores(vectors: np.ndarray, block: np.ndarray, metric: str) -> np.ndarray:
     return np.round(products, SCORE_PLACES)
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, k: int):
-    """Positions of the best ``k`` by (score, smaller id), without sorting everything."""
-    if len(scores) > k:
-        floor = np.partition(scores, len(scores) - k)[len(scores) - k]
+def vector_rows(column, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(mask, matrix)`` of an Arrow list column: rows of ``width`` values, without Python objects."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    keep = pc.equal(pc.fill_null(pc.list_value_length(column), -1), width)
+    values = column.filter(keep).flatten().to_numpy(zero_copy_only=False)
+    return keep.to_numpy(zero_copy_only=False), values.astype("float64").reshape(-1, width)
+
+
+def query_block(queries: pa.Table) -> tuple[pa.ChunkedArray, np.ndarray]:
+    """Query ids and their matrix; all queries of a batch have the length of the first one."""
+    width = pc.list_value_length(queries["dense"])[0].as_py() if queries.num_rows else 0
+    keep, matrix = vector_rows(queries["dense"], width)
+    return queries["qid"].filter(pa.array(keep)), matrix
+
+
+class RunningTop:
+    """The best ``k`` ids of every query of a block over the batches that one task reads."""
+
+    def __init__(self, block: np.ndarray, k: int, metric: str) -> None:
+        self.block, self.k, self.metric = block, k, metric
+        self.ids: list[list] = [[] for _ in block]
+        self.scores: list[list] = [[] for _ in block]
+        self.floors = np.full(len(block), -np.inf)
+
+    def add(self, batch) -> None:
+        keep, vectors = vector_rows(batch.column("embedding"), self.block.shape[1])
+        ids = batch.column("id").filter(pa.array(keep))
+        rows = max(1, SCORE_ENTRIES // len(self.block))
+        for start in range(0, len(vectors), rows):
+            scores = _scores(vectors[start : start + rows], self.block, self.metric)
+            # Once the lists are full, few queries find anything in a slice.
+            for q in np.flatnonzero(scores.max(axis=1) >= self.floors):
+                self._merge(q, scores[q], ids.slice(start, rows))
+
+    def _merge(self, q: int, scores: np.ndarray, ids) -> None:
+        floor = self.floors[q]
+        if len(scores) > self.k:
+            floor = max(floor, np.partition(scores, -self.k)[-self.k])
         at = np.flatnonzero(scores >= floor)
-    else:
-        at = np.arange(len(scores))
-    order = sorted(at.tolist(), key=lambda j: ids[j]) if len(at) > k else at.tolist()
-    return sorted(order, key=lambda j: (-scores[j], ids[j]))[:k]
-
-
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype="float64") for v in column])
-
-
-def _rank_batches(batches, qids, block, k, metric) -> Iterator[pd.DataFrame]:
-    """Running top-k of every query over the batches of one task: at most k rows per query leave."""
-    best: list[tuple[list, list]] = [([], []) for _ in qids]
-    width = block.shape[1]
-    for batch in batches:
-        usable = batch[[v is not None and len(v) == width for v in batch["embedding"]]]
-        if usable.empty:
-            continue
-        ids = usable["id"].to_numpy()
-        scores = _scores(_matrix(usable["embedding"]), block, metric)
-        for q in range(len(qids)):
-            picked = _best(ids, scores[q], k)
-            kept_ids = best[q][0] + [ids[j] for j in picked]
-            kept = best[q][1] + [float(scores[q][j]) for j in picked]
-            order = sorted(range(len(kept)), key=lambda j: (-kept[j], kept_ids[j]))[:k]
-            best[q] = ([kept_ids[j] for j in order], [kept[j] for j in order])
-    rows = [(q, i, s) for q, (ids, kept) in zip(qids, best) for i, s in zip(ids, kept)]
-    if rows:
-        frame = pd.DataFrame(rows, columns=["qid", "id", "score"])
-        frame["score"] = frame["score"].abs() if metric == "l2" else frame["score"] + 0.0
-        yield frame
+        found = list(zip((-scores[at]).tolist(), ids.take(pa.array(at)).to_pylist()))
+        held = list(zip([-x for x in self.scores[q]], self.ids[q]))
+        best = heapq.nsmallest(self.k, held + found)
+        self.scores[q], self.ids[q] = [-s for s, _ in best], [i for _, i in best]
+        if len(best) == self.k:
+            self.floors[q] = self.scores[q][-1]
+
+    def result(self, qids: pa.ChunkedArray, id_type: pa.DataType) -> pa.Table:
+        owner = [q for q, ids in enumerate(self.ids) for _ in ids]
+        scores = np.array([s for kept in self.scores for s in kept], dtype="float64")
+        scores = np.abs(scores) if self.metric == "l2" else scores + 0.0
+        ids = pa.array([i for ids in self.ids for i in ids], type=id_type)
+        return pa.table(
+            {"qid": qids.take(pa.array(owner, pa.int64())), "id": ids, "score": pa.array(scores)}
+        )
+
+
+def grouped_top(k: int, metric: str):
+    """For two Arrow tables of one group (vectors, queries): the group's top-k rows."""
+
+    def meet(vectors: pa.Table, queries: pa.Table) -> pa.Table:
+        id_type = vectors.schema.field("id").type
+        if not vectors.num_rows or not queries.num_rows:
+            empty = {"qid": queries["qid"].slice(0, 0), "id": vectors["id"].slice(0, 0)}
+            return pa.table({**empty, "score": pa.array([], pa.float64())})
+        qids, block = query_block(queries)
+        top = RunningTop(block, k, metric)
+        for batch in vectors.to_batches():
+            top.add(batch)
+        return top.result(qids, id_type)
+
+    return meet
 
 
 def dense_topk(
@@ -136,18 +176,22 @@ def dense_topk(
         ]
     )
     if fits_broadcast(queries, F.size("dense") * 8 + 32, limit):
-        rows = queries.toPandas()
-        if rows.empty:
-            return index.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
-        block = index.sparkSession.sparkContext.broadcast(
-            (rows["qid"].tolist(), _matrix(rows["dense"]))
-        )
+        asked = queries.toArrow()
+        if not asked.num_rows:
+            none = index.sparkSession.createDataFrame([], schema)
+            return none.select("qid", F.lit(1).alias("rank"), "id", "score")
+        block = index.sparkSession.sparkContext.broadcast(query_block(asked))
 
-        def scan(batches):
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             qids, matrix = block.value
-            yield from _rank_batches(batches, qids, matrix, k, metric)
-
-        found = index.mapInPandas(scan, schema)
+            top, id_type = RunningTop(matrix, k, metric), None
+            for batch in batches:
+                id_type = batch.schema.field("id").type
+                top.add(batch)
+            if id_type is not None:
+                yield from top.result(qids, id_type).to_batches()
+
+        found = index.mapInArrow(scan, schema)
     else:
         found = _grid_topk(index, queries, k, metric, limit, schema)
     ranked = top_k(found, k, F.col("score"), ascending=metric == "l2")
@@ -172,17 +216,9 @@ def _grid_topk(index, queries, k, metric, limit, schema) -> DataFrame:
         "qid", "dense", F.pmod(F.xxhash64("qid"), F.lit(columns)).alias("__col"),
         every(blocks).alias("__row"),
     )
-
-    def meet(vectors: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if vectors.empty or block.empty:
-            return pd.DataFrame(columns=["qid", "id", "score"])
-        parts = list(
-            _rank_batches([vectors], block["qid"].tolist(), _matrix(block["dense"]), k, metric)
-        )
-        return parts[0] if parts else pd.DataFrame(columns=["qid", "id", "score"])
-
     keys = ["__row", "__col"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, schema)
+    paired = left.groupBy(*keys).cogroup(right.groupBy(*keys))
+    return paired.applyInArrow(grouped_top(k, metric), schema)
 
 
 def reciprocal_rank_fusion(

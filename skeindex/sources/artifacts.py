@@ -19,7 +19,7 @@ MODEL_NAME = "bm25_index"
 
 
 def read_artifacts(spark: SparkSession, root: str) -> DataFrame:
-    found = read_if_present(spark, root)
+    found = read_if_present(spark, root, ARTIFACT)
     return spark.createDataFrame([], ARTIFACT) if found is None else found
 
 

@@ -33,7 +33,7 @@ class IndexCatalog:
         self.spark, self.root, self.buckets = spark, root, buckets
 
     def _rows(self, name: str) -> list[Row]:
-        catalog = read_if_present(self.spark, f"{self.root}/catalog")
+        catalog = read_if_present(self.spark, f"{self.root}/catalog", INDEX)
         return [] if catalog is None else catalog.where(F.col("name") == name).limit(1).collect()
 
     def create(self, name: str, settings: IndexSettings = IndexSettings()) -> Row:

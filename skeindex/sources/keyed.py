@@ -29,12 +29,14 @@ class KeyedTable:
 
     def manifest(self, spark: SparkSession) -> tuple[int, dict[int, str]]:
         """Newest version and its ``bucket -> token``; at most one entry per bucket."""
-        commits = read_if_present(spark, f"{self.root}/commits")
+        schema = "bucket int, token string, version int"
+        commits = read_if_present(spark, f"{self.root}/commits", schema)
         if commits is None:
             return 0, {}
-        newest = commits.agg(F.max("version").alias("v")).first()["v"]
+        newest = commits.agg(F.max("version")).scalar()
         rows = commits.where(F.col("version") == newest).collect()
-        return newest, {r["bucket"]: r["token"] for r in rows}
+        entries = {r["bucket"]: r["token"] for r in rows if r["bucket"] >= 0}
+        return rows[0]["version"], entries
 
     def exists(self, spark: SparkSession) -> bool:
         return self.manifest(spark)[0] > 0
@@ -51,18 +53,25 @@ class KeyedTable:
             raise LookupError(f"no table at {self.root}")
         return self._read_buckets(spark, entries)
 
-    def _write(self, rows: DataFrame) -> dict[int, str]:
-        """Write bucketed rows under a fresh token; large buckets get several files."""
+    def _write(self, rows: DataFrame, filled: set[int] | None = None) -> dict[int, str]:
+        """Write bucketed rows under a fresh token; large buckets get several files.
+
+        ``filled`` lists the buckets that get rows, where that is known.
+        """
         spark, token = rows.sparkSession, uuid.uuid4().hex
         target = f"{self.root}/data/token={token}"
         rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(target)
+        if filled is not None:
+            return {bucket: token for bucket in filled}
         written = spark.read.parquet(target)
         if "bucket" not in written.columns:
             return {}
         return {r["bucket"]: token for r in written.select("bucket").distinct().collect()}
 
     def _commit(self, spark: SparkSession, version: int, entries: dict[int, str]) -> int:
-        rows = spark.createDataFrame(sorted(entries.items()), "bucket int, token string")
+        # The extra row keeps the version of an empty table visible.
+        listed = [(-1, "")] + sorted(entries.items())
+        rows = spark.createDataFrame(listed, "bucket int, token string")
         # Fails when another writer has committed this version.
         rows.coalesce(1).write.mode("error").parquet(f"{self.root}/commits/version={version}")
         return version
@@ -102,4 +111,4 @@ class KeyedTable:
                 old = old.join(stale.select(self.key), self.key, "left_anti")
             rows = upsert_rows(old.select(*keyed.columns), keyed, self.key)
         kept = {b: t for b, t in entries.items() if b not in touched}
-        return self._commit(spark, version + 1, kept | self._write(rows))
+        return self._commit(spark, version + 1, kept | self._write(rows, touched if stale is None else None))
