@@ -384,3 +384,12 @@ ORACLE["answer_queries"] = f"""WITH RECURSIVE {CORPUS}, {CORPUS_TF}, {fused(INDE
       FROM got GROUP BY qid)
     SELECT qid, {quoted(PROMPT_HEAD)} || context || {quoted(PROMPT_QUESTION)} || text
       || {quoted(PROMPT_TAIL)} AS prompt FROM ctx JOIN benchmark ON item_id = qid"""
+
+PER_DOCUMENT = f"""WITH {DOC_TF}, t AS (SELECT id, count(*) AS n_terms FROM tf GROUP BY id)"""
+ORACLE["ingest_chunks"] = f"""{PER_DOCUMENT}
+    SELECT id::VARCHAR AS id, n_terms, 256 AS dims, id AS line FROM t"""
+ORACLE["merged_datapoints"] = f"""{PER_DOCUMENT},
+    d AS (SELECT doc_id AS line, doc_id // 2 AS id, max(doc_id) OVER (PARTITION BY doc_id // 2) AS last
+      FROM documents WHERE text <> '')
+    SELECT d.id::VARCHAR AS id, n_terms, 256 AS dims, line FROM d JOIN t ON t.id = last"""
+ORACLE["scan_pages"] = "SELECT page_id, md5(html || chr(10)) AS digest, '' AS original_url FROM pages"

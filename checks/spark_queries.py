@@ -11,6 +11,7 @@ from skeindex.operators import ann, bm25, chunking, cleaning, context, dense, in
 from skeindex.operators.bm25 import Analyzer, Model
 from skeindex.plans import flows
 from skeindex.plans.flows import Embedder, SearchOptions
+from skeindex.schemas import CHUNK
 from skeindex.session import shared_dir, ship_package, spread, stage
 from skeindex.sources import artifacts, jsonl, models, objects
 from skeindex.sources.indexes import IndexCatalog, IndexSettings
@@ -167,7 +168,7 @@ def hash_embed(spark, sf):
 def model_embed(spark, sf):
     """The model hook: a batch model behind the registry, with vowel counts as its vectors."""
 
-    def load():
+    def load(role):
         def vowels(texts):
             return [[float(t.count(v)) for v in "aeiou"] for t in texts]
 
@@ -204,9 +205,9 @@ def _hybrid(spark, sf):
     model = model_of(terms)
     postings = bm25.postings(bm25.encode_documents(terms, model))
     embedder = Embedder(dims=HASH_DIMS)
-    index = embedder.apply(terms, "chunk", PLAIN)
-    asked = embedder.apply(bm25.with_terms(benchmark(spark, sf), "text", PLAIN), "text", PLAIN)
-    queries = asked.select("qid", "text", F.col("embedding").alias("dense"))
+    index = embedder.apply(terms, "chunk")
+    asked = embedder.apply(bm25.with_terms(benchmark(spark, sf), "text", PLAIN), "text", dense.QUERY)
+    queries = stage(asked.select("qid", "text", F.col("embedding").alias("dense")), "queries")
     return flows.hybrid_topk(queries, index, postings, model, SearchOptions(k=10, depth=25), PLAIN)
 
 
@@ -421,6 +422,16 @@ def list_objects(spark, sf):
     return found.where(folder != "").select(folder.alias("lang")).distinct()
 
 
+def scan_pages(spark, sf):
+    """Pages written as one object each, then scanned as whole texts."""
+    root = scratch(spark, "html")
+    rows = pages(spark, sf).select("page_id", F.col("html").alias("value"))
+    rows.repartition("page_id").write.partitionBy("page_id").text(root)
+    found = objects.scan_pages(spark, root, glob="*.txt")
+    number = F.regexp_extract("source_file", r"page_id=(\d+)/", 1).cast("long")
+    return found.select(number.alias("page_id"), F.md5("html").alias("digest"), "original_url")
+
+
 # --- merge and index ----------------------------------------------------------------------------
 
 
@@ -639,6 +650,44 @@ def streaming_update(spark, sf):
     return _ids(catalog)
 
 
+def _saved_chunks(spark, sf):
+    """Documents as a dataset of chunk records."""
+    return table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.col("text").alias("chunk"),
+        F.col("source").alias("source_file"),
+        F.lit(DATASET).alias("chunk_gcs_uri"),
+        F.col("doc_id").alias("chunk_line_offset"),
+    )
+
+
+def ingest_chunks(spark, sf):
+    """Chunks that exist as JSONL, encoded with a stored model and put into an index."""
+    root, catalog, embedder = _setting(spark)
+    jsonl.write_jsonl(_saved_chunks(spark, sf), root + "/lines")
+    chunks = jsonl.read_strict(spark, root + "/lines", CHUNK, "*.json")
+    flows.fit_model(chunks, root + "/model", root + "/artifacts", analyzer=PLAIN)
+    catalog.create("main", IndexSettings(dims=HASH_DIMS))
+    flows.ingest_chunks(
+        catalog, "main", chunks, root + "/artifacts", embedder=embedder, analyzer=PLAIN
+    )
+    return _ids(catalog)
+
+
+def merged_datapoints(spark, sf):
+    """Two documents per id: each keeps its row and gets the vectors of the later one."""
+    half = F.floor(F.col("chunk_line_offset") / 2).cast("string")
+    chunks = spread(_saved_chunks(spark, sf).withColumn("id", half))
+    model = flows.fit_model(chunks, scratch(spark, "model"), analyzer=PLAIN)
+    points = flows.merged_datapoints(chunks, model, Embedder(dims=HASH_DIMS), PLAIN)
+    return points.select(
+        "id",
+        F.size("sparse_embedding.values").alias("n_terms"),
+        F.size("embedding").alias("dims"),
+        F.col("embedding_metadata.chunk_line_offset").alias("line"),
+    )
+
+
 def answer_queries(spark, sf):
     """From pages to prompts: rebuild, then the whole query flow for the benchmark questions."""
     root, catalog, embedder = _setting(spark)
@@ -706,5 +755,8 @@ QUERIES = {
     "full_rebuild": full_rebuild,
     "incremental_update": incremental_update,
     "streaming_update": streaming_update,
+    "ingest_chunks": ingest_chunks,
+    "merged_datapoints": merged_datapoints,
+    "scan_pages": scan_pages,
     "answer_queries": answer_queries,
 }

@@ -18,8 +18,12 @@ DEFAULT_DIMENSIONS = 768
 HOSTED_MARKERS = ("gemini", "text-embedding", "text-multilingual-embedding")
 LOCAL_NAME = "local"
 
-# A loader is called once per Python task and returns ``texts -> sequence of vectors``.
-Loader = Callable[[], Callable[[list[str]], list]]
+# What a text is embedded as.
+DOCUMENT, QUERY = "document", "query"
+
+# A loader is called once per Python task with the role of the texts and returns
+# ``texts -> sequence of vectors``.
+Loader = Callable[[str], Callable[[list[str]], list]]
 
 
 class ModelRegistry:
@@ -32,6 +36,9 @@ class ModelRegistry:
         self._loaders[name] = loader
         return self
 
+    def knows(self, name: str) -> bool:
+        return name in self._loaders
+
     def resolve(self, model: str) -> Loader:
         key = "hosted" if any(m in model for m in HOSTED_MARKERS) else model
         if model in self._loaders:
@@ -41,7 +48,9 @@ class ModelRegistry:
         raise KeyError(f"no loader registered for model {model!r} (looked up {key!r})")
 
 
-def embed(df: DataFrame, loader: Loader, text: str = "chunk") -> DataFrame:
+def embed(
+    df: DataFrame, loader: Loader, text: str = "chunk", role: str = DOCUMENT
+) -> DataFrame:
     """Add ``embedding array<float>`` and ``embedding_error``; a failing text gets an empty vector.
 
     Texts go to the model in Arrow batches. Only when a batch fails are its texts tried one by one.
@@ -60,7 +69,7 @@ def embed(df: DataFrame, loader: Loader, text: str = "chunk") -> DataFrame:
             return np.empty(0, dtype="float32"), str(error)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = loader()
+        model = loader(role)
         for texts in batches:
             listed = texts.tolist()
             try:

@@ -28,10 +28,17 @@ class Embedder:
     loader: dense.Loader | None = None
     dims: int = dense.DEFAULT_DIMENSIONS
 
-    def apply(self, df: DataFrame, text: str, analyzer: Analyzer) -> DataFrame:
+    @staticmethod
+    def named(registry: dense.ModelRegistry, model: str, dims: int = dense.DEFAULT_DIMENSIONS):
+        """The embedder of a model name; ``local`` is the built-in one unless registered."""
+        if model == dense.LOCAL_NAME and not registry.knows(model):
+            return Embedder(None, dims)
+        return Embedder(registry.resolve(model), dims)
+
+    def apply(self, df: DataFrame, text: str, role: str = dense.DOCUMENT) -> DataFrame:
         """Add ``embedding`` (and, for a model, ``embedding_error``) to rows with ``terms``."""
         if self.loader is not None:
-            return dense.embed(df, self.loader, text)
+            return dense.embed(df, self.loader, text, role)
         return dense.densify(dense.hashed_features(df, self.dims), self.dims)
 
 
@@ -45,7 +52,9 @@ def chunk_dataset(
     """
     spark = pages.sparkSession
     cleaned = cleaning.clean_pages(pages.drop("fingerprint"), rules)
-    records = stage(chunking.chunk_records(cleaned, version), "chunks")
+    records, rows = chunking.counted(chunking.chunk_records(cleaned, version), "chunks")
+    records = stage(records, "chunks")
+    log.info("%d chunks for %s", rows.get["rows"], uri)
     jsonl.write_chunk_store(chunking.with_line_offsets(records, uri), uri)
     return spark.read.parquet(uri)
 
@@ -82,7 +91,7 @@ def encode_chunks(
     light = spread(bm25.coalesce_text(chunks.drop("offset_block")))
     termed = stage(bm25.with_terms(light, "chunk", analyzer), "encoded")
     sparse = bm25.encode_documents(termed, model, drop_terms=False)
-    return embedder.apply(sparse, "chunk", analyzer).drop("terms", "doc_len", "embedding_error")
+    return embedder.apply(sparse, "chunk").drop("terms", "doc_len", "embedding_error")
 
 
 def build_datapoints(
@@ -208,9 +217,10 @@ def answer_queries(
     uri = artifacts.live_uri(artifacts.read_artifacts(spark, registry), model_name)
     model = models.load_model(spark, uri)
     termed = bm25.with_terms(queries.select("qid", "text"), "text", analyzer)
-    ready = embedder.apply(termed, "text", analyzer).select(
+    ready = embedder.apply(termed, "text", dense.QUERY).select(
         "qid", "text", F.col("embedding").alias("dense")
     )
+    ready = stage(ready, "queries")
     index = catalog.read(index_name)
     options = SearchOptions(
         options.k, options.alpha, options.depth, DISTANCE_MEASURES[settings["metric"]]

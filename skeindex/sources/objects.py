@@ -24,15 +24,16 @@ def list_objects(spark: SparkSession, uri: str, scheme: str | None = None) -> Da
 
 
 def scan_pages(
-    spark: SparkSession, uri: str, metadata: DataFrame | None = None, scheme: str | None = None
-) -> DataFrame:
+    spark: SparkSession, uri: str, metadata: DataFrame | None = None, scheme: str | None = None,
+    glob: str = PAGE_GLOB,
+) -> DataFrame:
     """Pages ``(source_file, html, original_url, scrape_time)`` under ``uri``.
 
     ``metadata(source_file, original_url, scrape_time)`` is the optional user metadata of the
     objects; where it is missing, both are empty strings.
     """
     text = spark.read.text(
-        check_scheme(uri, scheme), wholetext=True, pathGlobFilter=PAGE_GLOB, recursiveFileLookup=True
+        check_scheme(uri, scheme), wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True
     )
     path = F.regexp_replace(F.col("_metadata.file_path"), OBJECT_ROOT_PATTERN, "")
     # Reported paths are percent-encoded; a plus sign stands for itself in them.

@@ -89,11 +89,11 @@ def test_fusion_weights(spark):
 
 
 def test_model_registry_and_failures(spark):
-    def load():
+    def load(role):
         def model(texts):
             if any("bad" in t for t in texts):
                 raise ValueError("no")
-            return [[float(len(t)), 1.0] for t in texts]
+            return [[float(len(t)), 1.0 if role == dense.DOCUMENT else 2.0] for t in texts]
 
         return model
 
@@ -103,6 +103,8 @@ def test_model_registry_and_failures(spark):
         registry.resolve("unknown")
     df = spark.createDataFrame([("a", "xy"), ("b", "bad"), ("c", "xyz")], "id string, chunk string")
     found = {r["id"]: (r["embedding"], r["embedding_error"]) for r in dense.embed(df, load).collect()}
+    asked = dense.embed(df.where("id = 'a'"), load, "chunk", dense.QUERY).first()
+    assert asked["embedding"] == [2.0, 2.0]
     assert found == {"a": ([2.0, 1.0], None), "b": ([], "no"), "c": ([3.0, 1.0], None)}
 
 
