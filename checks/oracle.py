@@ -54,6 +54,7 @@ ORACLE["bm25_encode_queries"] = f"""WITH {DOC_TF}, {QUERY_TF}, {STATS}, {QUERY_W
     SELECT qid, term_id, round(weight, 6) AS weight FROM qw"""
 ORACLE["sparse_topk"] = f"""WITH {DOC_TF}, {QUERY_TF}, {STATS}, {WEIGHTS}, {QUERY_WEIGHTS}, {SPARSE}
     SELECT qid, rank, id, score FROM sr WHERE rank <= 10"""
+ORACLE["sparse_topk_join"] = ORACLE["sparse_topk"]
 
 SPELLINGS = """
     sp AS (SELECT doc_id AS id, CASE WHEN lang = 'en' THEN text ELSE '' END AS chunk,

@@ -108,11 +108,19 @@ def stored_model(spark, sf):
 def sparse_topk(spark, sf):
     terms = terms_of(spark, sf)
     model = model_of(terms)
-    postings = bm25.postings(bm25.encode_documents(terms, model))
+    index = bm25.encode_documents(terms, model)
     queries = benchmark(spark, sf)
     small = bm25.queries_are_small(queries)
     wanted = bm25.query_terms(queries, model, "text", PLAIN, small)
-    return search.sparse_topk(postings, wanted, 10, small)
+    return search.sparse_topk_rows(index, wanted, 10, small)
+
+
+def sparse_topk_join(spark, sf):
+    """The same search by joining on terms, as for query sets too large to broadcast."""
+    terms = terms_of(spark, sf)
+    model = model_of(terms)
+    wanted = bm25.query_terms(benchmark(spark, sf), model, "text", PLAIN, False)
+    return search.sparse_topk_rows(bm25.encode_documents(terms, model), wanted, 10, False)
 
 
 def _two_spellings(spark, sf):
@@ -203,12 +211,11 @@ def ann_all_cells(spark, sf):
 def _hybrid(spark, sf):
     terms = terms_of(spark, sf)
     model = model_of(terms)
-    postings = bm25.postings(bm25.encode_documents(terms, model))
     embedder = Embedder(dims=HASH_DIMS)
-    index = embedder.apply(terms, "chunk")
+    index = embedder.apply(bm25.encode_documents(terms, model, drop_terms=False), "chunk")
     asked = embedder.apply(bm25.with_terms(benchmark(spark, sf), "text", PLAIN), "text", dense.QUERY)
     queries = stage(asked.select("qid", "text", F.col("embedding").alias("dense")), "queries")
-    return flows.hybrid_topk(queries, index, postings, model, SearchOptions(k=10, depth=25), PLAIN)
+    return flows.hybrid_topk(queries, index, model, SearchOptions(k=10, depth=25), PLAIN)
 
 
 def hybrid_rrf(spark, sf):
@@ -710,6 +717,7 @@ QUERIES = {
     "bm25_encode_queries": bm25_encode_queries,
     "stored_model": stored_model,
     "sparse_topk": sparse_topk,
+    "sparse_topk_join": sparse_topk_join,
     "text_coalesce": text_coalesce,
     "doc_ids": doc_ids,
     "dense_topk_dot": _dense_topk("dot"),

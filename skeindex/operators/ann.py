@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from skeindex.operators.search import (
     NEIGHBOR_COUNT,
     SCORE_ENTRIES,
-    RunningTop,
+    DenseTop,
     dense_topk,
     grouped_top,
     query_block,
@@ -134,7 +134,7 @@ def ann_topk(
                 id_type = batch.schema.field("id").type
                 for cell in pc.unique(batch.column("cell")).to_pylist():
                     if cell not in tops:
-                        tops[cell] = RunningTop(shared.value[cell][1], k, metric)
+                        tops[cell] = DenseTop(shared.value[cell][1], k, metric)
                     tops[cell].add(batch.filter(pc.equal(batch.column("cell"), cell)))
             for cell, top in tops.items():
                 yield from top.result(shared.value[cell][0], id_type).to_batches()

@@ -61,9 +61,3 @@ def merge_embeddings(
     right = dedupe_last(dense.select("id", "embedding", order), order)
     return as_datapoints(light.join(left, "id").join(right, "id", "left"))
 
-
-def datapoint_postings(index: DataFrame) -> DataFrame:
-    """``(id, term_id, weight)`` rows of datapoints."""
-    pairs = F.arrays_zip("sparse_embedding.dimensions", "sparse_embedding.values")
-    rows = index.select("id", F.explode_outer(pairs).alias("p")).where(F.col("p").isNotNull())
-    return rows.select("id", F.col("p.dimensions").alias("term_id"), F.col("p.values").alias("weight"))

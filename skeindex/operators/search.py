@@ -66,6 +66,51 @@ def sparse_topk(
     return ranked.select("qid", "rank", "id", "score")
 
 
+def sparse_topk_rows(
+    index: DataFrame, terms: DataFrame, k: int = NEIGHBOR_COUNT, small: bool | None = None
+) -> DataFrame:
+    """``(qid, rank, id, score)`` over ``index(id, sparse_embedding)``, one row per document.
+
+    Query terms that fit a broadcast are scored where the documents are read, and at most k rows per
+    query leave a task. Larger query sets are joined by term.
+    """
+    if small is None:
+        small = fits_broadcast(terms, 64)
+    names = index.schema["sparse_embedding"].dataType.fieldNames()
+    ids = F.col("sparse_embedding." + ("dimensions" if "dimensions" in names else "indices"))
+    vectors = index.select("id", ids.alias("terms"), F.col("sparse_embedding.values").alias("weights"))
+    if not small:
+        pairs = F.explode_outer(F.arrays_zip("terms", "weights"))
+        rows = vectors.select("id", pairs.alias("p")).where(F.col("p").isNotNull())
+        postings = rows.select(
+            "id", F.col("p.terms").alias("term_id"), F.col("p.weights").alias("weight")
+        )
+        return sparse_topk(postings, terms, k, False)
+    asked = terms.select("qid", "term_id", "weight").toArrow()
+    schema = T.StructType(
+        [
+            T.StructField("qid", terms.schema["qid"].dataType),
+            T.StructField("id", index.schema["id"].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+    if not asked.num_rows:
+        none = index.sparkSession.createDataFrame([], schema)
+        return none.select("qid", F.lit(1).alias("rank"), "id", "score")
+    shared = index.sparkSession.sparkContext.broadcast(asked)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top, id_type = SparseTop(shared.value, k), None
+        for batch in batches:
+            id_type = batch.schema.field("id").type
+            top.add(batch)
+        if id_type is not None:
+            yield from top.result(top.qids, id_type).to_batches()
+
+    ranked = top_k(vectors.mapInArrow(scan, schema), k, F.col("score"))
+    return ranked.select("qid", "rank", "id", "score")
+
+
 def _scores(vectors: np.ndarray, block: np.ndarray, metric: str) -> np.ndarray:
     """Scores of ``block`` rows (queries) against ``vectors`` rows; larger is better."""
     products = block @ vectors.T
@@ -95,29 +140,26 @@ def query_block(queries: pa.Table) -> tuple[pa.ChunkedArray, np.ndarray]:
 
 
 class RunningTop:
-    """The best ``k`` ids of every query of a block over the batches that one task reads."""
+    """The best ``k`` ids of every query over the batches that one task reads."""
 
-    def __init__(self, block: np.ndarray, k: int, metric: str) -> None:
-        self.block, self.k, self.metric = block, k, metric
-        self.ids: list[list] = [[] for _ in block]
-        self.scores: list[list] = [[] for _ in block]
-        self.floors = np.full(len(block), -np.inf)
+    def __init__(self, queries: int, k: int) -> None:
+        self.k = k
+        self.ids: list[list] = [[] for _ in range(queries)]
+        self.scores: list[list] = [[] for _ in range(queries)]
+        self.floors = np.full(queries, -np.inf)
 
-    def add(self, batch) -> None:
-        keep, vectors = vector_rows(batch.column("embedding"), self.block.shape[1])
-        ids = batch.column("id").filter(pa.array(keep))
-        rows = max(1, SCORE_ENTRIES // len(self.block))
-        for start in range(0, len(vectors), rows):
-            scores = _scores(vectors[start : start + rows], self.block, self.metric)
-            # Once the lists are full, few queries find anything in a slice.
-            for q in np.flatnonzero(scores.max(axis=1) >= self.floors):
-                self._merge(q, scores[q], ids.slice(start, rows))
+    def offer(self, scores: np.ndarray, ids) -> None:
+        """Scores of one slice of ids, a row per query; minus infinity stands for no score."""
+        most = scores.max(axis=1)
+        # Once the lists are full, few queries find anything in a slice.
+        for q in np.flatnonzero((most >= self.floors) & (most > -np.inf)):
+            self._merge(q, scores[q], ids)
 
     def _merge(self, q: int, scores: np.ndarray, ids) -> None:
         floor = self.floors[q]
         if len(scores) > self.k:
             floor = max(floor, np.partition(scores, -self.k)[-self.k])
-        at = np.flatnonzero(scores >= floor)
+        at = np.flatnonzero((scores >= floor) & (scores > -np.inf))
         found = list(zip((-scores[at]).tolist(), ids.take(pa.array(at)).to_pylist()))
         held = list(zip([-x for x in self.scores[q]], self.ids[q]))
         best = heapq.nsmallest(self.k, held + found)
@@ -125,16 +167,83 @@ class RunningTop:
         if len(best) == self.k:
             self.floors[q] = self.scores[q][-1]
 
-    def result(self, qids: pa.ChunkedArray, id_type: pa.DataType) -> pa.Table:
+    def result(self, qids, id_type: pa.DataType) -> pa.Table:
         owner = [q for q, ids in enumerate(self.ids) for _ in ids]
         scores = np.array([s for kept in self.scores for s in kept], dtype="float64")
-        scores = np.abs(scores) if self.metric == "l2" else scores + 0.0
         ids = pa.array([i for ids in self.ids for i in ids], type=id_type)
         return pa.table(
-            {"qid": qids.take(pa.array(owner, pa.int64())), "id": ids, "score": pa.array(scores)}
+            {"qid": qids.take(pa.array(owner, pa.int64())), "id": ids, "score": pa.array(scores + 0.0)}
         )
 
 
+class DenseTop(RunningTop):
+    """Top lists by a dense metric, over batches of ``(id, embedding)``."""
+
+    def __init__(self, block: np.ndarray, k: int, metric: str) -> None:
+        super().__init__(len(block), k)
+        self.block, self.metric = block, metric
+
+    def add(self, batch) -> None:
+        keep, vectors = vector_rows(batch.column("embedding"), self.block.shape[1])
+        ids = batch.column("id").filter(pa.array(keep))
+        rows = max(1, SCORE_ENTRIES // len(self.block))
+        for start in range(0, len(vectors), rows):
+            part = vectors[start : start + rows]
+            self.offer(_scores(part, self.block, self.metric), ids.slice(start, rows))
+
+    def result(self, qids, id_type: pa.DataType) -> pa.Table:
+        found = super().result(qids, id_type)
+        if self.metric != "l2":
+            return found
+        return found.set_column(2, "score", pc.abs(found["score"]))
+
+
+class SparseTop(RunningTop):
+    """Top lists by dot product over shared terms, over batches of ``(id, terms, weights)``.
+
+    All terms of a document are on its row, so its score is final inside the task.
+    """
+
+    def __init__(self, terms: pa.Table, k: int) -> None:
+        ordered = terms.sort_by("term_id")
+        ids = ordered["term_id"].to_numpy()
+        coded = ordered["qid"].combine_chunks().dictionary_encode()
+        self.qids = coded.dictionary
+        self.owner = coded.indices.to_numpy(zero_copy_only=False).astype("int64")
+        self.weight = ordered["weight"].to_numpy()
+        self.vocabulary, self.starts = np.unique(ids, return_index=True)
+        self.counts = np.diff(np.append(self.starts, len(ids)))
+        super().__init__(len(self.qids), k)
+
+    def add(self, batch) -> None:
+        lengths = pc.fill_null(pc.list_value_length(batch.column("terms")), 0).to_numpy()
+        terms = batch.column("terms").flatten().to_numpy(zero_copy_only=False)
+        weights = batch.column("weights").flatten().to_numpy(zero_copy_only=False)
+        at = np.minimum(np.searchsorted(self.vocabulary, terms), len(self.vocabulary) - 1)
+        asked = self.vocabulary[at] == terms
+        rows = np.repeat(np.arange(len(lengths)), lengths)[asked]
+        at, weights = at[asked], weights[asked]
+        size = max(1, SCORE_ENTRIES // 8 // len(self.qids))
+        for start in range(0, len(lengths), size):
+            low, high = np.searchsorted(rows, (start, start + size))
+            if low < high:
+                width = min(size, len(lengths) - start)
+                scores = self._scores(rows[low:high] - start, at[low:high], weights[low:high], width)
+                self.offer(scores, batch.column("id").slice(start, width))
+
+    def _scores(self, rows, at, weights, width: int) -> np.ndarray:
+        """Each posting meets the queries that ask for its term; sums per query and row."""
+        repeats = self.counts[at]
+        first = np.repeat(self.starts[at] - (np.cumsum(repeats) - repeats), repeats)
+        entry = first + np.arange(len(first))
+        cell = self.owner[entry] * width + np.repeat(rows, repeats)
+        total = len(self.qids) * width
+        sums = np.bincount(cell, np.repeat(weights, repeats) * self.weight[entry], total)
+        hits = np.bincount(cell, minlength=total)
+        scores = np.where(hits > 0, np.round(sums, SCORE_PLACES), -np.inf)
+        return scores.reshape(len(self.qids), width)
+
+
 def grouped_top(k: int, metric: str):
     """For two Arrow tables of one group (vectors, queries): the group's top-k rows."""
 
@@ -144,7 +253,7 @@ def grouped_top(k: int, metric: str):
             empty = {"qid": queries["qid"].slice(0, 0), "id": vectors["id"].slice(0, 0)}
             return pa.table({**empty, "score": pa.array([], pa.float64())})
         qids, block = query_block(queries)
-        top = RunningTop(block, k, metric)
+        top = DenseTop(block, k, metric)
         for batch in vectors.to_batches():
             top.add(batch)
         return top.result(qids, id_type)
@@ -184,7 +293,7 @@ def dense_topk(
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             qids, matrix = block.value
-            top, id_type = RunningTop(matrix, k, metric), None
+            top, id_type = DenseTop(matrix, k, metric), None
             for batch in batches:
                 id_type = batch.schema.field("id").type
                 top.add(batch)

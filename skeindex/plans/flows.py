@@ -52,9 +52,9 @@ def chunk_dataset(
     """
     spark = pages.sparkSession
     cleaned = cleaning.clean_pages(pages.drop("fingerprint"), rules)
-    records, rows = chunking.counted(chunking.chunk_records(cleaned, version), "chunks")
-    records = stage(records, "chunks")
-    log.info("%d chunks for %s", rows.get["rows"], uri)
+    records = stage(chunking.chunk_records(cleaned, version), "chunks")
+    if log.isEnabledFor(logging.INFO):
+        log.info("%d chunks for %s", records.count(), uri)
     jsonl.write_chunk_store(chunking.with_line_offsets(records, uri), uri)
     return spark.read.parquet(uri)
 
@@ -193,15 +193,15 @@ class SearchOptions:
 
 
 def hybrid_topk(
-    queries: DataFrame, index: DataFrame, postings: DataFrame, model: Model,
+    queries: DataFrame, index: DataFrame, model: Model,
     options: SearchOptions = SearchOptions(), analyzer: Analyzer = Analyzer(),
 ) -> DataFrame:
-    """Fused top-k of ``queries(qid, text, dense)`` over ``index(id, embedding)`` and ``postings``."""
+    """Fused top-k of ``queries(qid, text, dense)`` over ``index(id, embedding, sparse_embedding)``."""
     depth = options.depth or options.k
     # Query text bounds the number of query terms.
     small = bm25.queries_are_small(queries)
     terms = bm25.query_terms(queries, model, "text", analyzer, small)
-    by_terms = search.sparse_topk(postings, terms, depth, small)
+    by_terms = search.sparse_topk_rows(index, terms, depth, small)
     by_vector = search.dense_topk(index, queries, depth, options.metric)
     return search.reciprocal_rank_fusion(by_vector, by_terms, options.k, options.alpha)
 
@@ -225,7 +225,7 @@ def answer_queries(
     options = SearchOptions(
         options.k, options.alpha, options.depth, DISTANCE_MEASURES[settings["metric"]]
     )
-    fused = hybrid_topk(ready, index, merge.datapoint_postings(index), model, options, analyzer)
+    fused = hybrid_topk(ready, index, model, options, analyzer)
     found = search.shape_results(stage(fused, "fused"), index)
     texts = context.fetch_chunks(found, chunks)
     return context.build_prompts(context.build_context(texts), queries)
