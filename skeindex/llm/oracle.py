@@ -34,6 +34,45 @@ SELECT d.doc_id, d.size::BIGINT AS size, t.source_size, t.target, d.source,
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN k ON d.source IS NOT DISTINCT FROM k.source
 """
 
+# A normalised line; the texts' white space is ASCII.
+PLAIN = r"trim(regexp_replace(lower(line), '\s+', ' ', 'g'))"
+
+WINDOWS = rf"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents
+), p AS (
+  SELECT doc_id, i, {PLAIN} AS line, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM l WHERE {PLAIN} <> ''
+), w AS (
+  SELECT a.doc_id, a.k, a.i AS first, c.i AS last, md5(a.line || chr(10) || b.line || chr(10) || c.line) AS h
+  FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.k = a.k + 1 JOIN p c ON a.doc_id = c.doc_id AND c.k = a.k + 2
+), later AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY h ORDER BY doc_id, k) AS n FROM w) WHERE n > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS i FROM later
+), d AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS n_removed, coalesce(string_agg(g.i::VARCHAR, ',' ORDER BY l.i), '') AS removed_lines,
+         md5(coalesce(string_agg(CASE WHEN g.i IS NULL THEN l.line END, chr(10) ORDER BY l.i), '')) AS text_md5
+  FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id
+)
+SELECT * FROM d
+"""
+
+LINES = rf"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS unit FROM documents
+), o AS (
+  SELECT *, (sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit) - length(line) - 1)::BIGINT AS start FROM l
+), h AS (
+  SELECT doc_id, unit, start, start + length(line) AS "end", md5({PLAIN}) AS digest FROM o WHERE {PLAIN} <> ''
+), r AS (
+  SELECT *, row_number() OVER w AS n, first_value(doc_id) OVER w AS kept_doc_id, first_value(unit) OVER w AS kept_unit
+  FROM h WINDOW w AS (PARTITION BY digest ORDER BY doc_id, unit)
+)
+SELECT doc_id, unit, start, "end", digest, kept_doc_id, kept_unit FROM r WHERE n > 1
+"""
+
 ORACLE = {
+    "op3_line_windows": WINDOWS,
+    "op4_repeated_lines": LINES,
     "op8_mix_sources": MIX,
 }

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skeindex.llm import mixing, simhash
+from skeindex.llm import lines, mixing, packing, simhash
 from skeindex.llm.common import session_of
 
 
@@ -12,6 +14,32 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return session_of(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_line_windows(spark, sf):
+    """Of each document: its lines, how many go, which (comma-joined), and the MD5 of what stays."""
+    cut = lines.without_windows(table(spark, sf, "documents"))
+    gone = F.coalesce(F.col("__gone"), F.array().cast("array<int>"))
+    return cut.select(
+        "doc_id",
+        F.col("__n_lines").cast("long").alias("n_lines"),
+        F.size(gone).cast("long").alias("n_removed"),
+        F.array_join(gone.cast("array<string>"), ",").alias("removed_lines"),
+        F.md5(F.col("text").cast("binary")).alias("text_md5"),
+    )
+
+
+def op4_repeated_lines(spark, sf):
+    """Every line to remove, with its original offsets and the place of the line that stays."""
+    later = lines.repeated_lines(table(spark, sf, "documents"))
+    return later.select(
+        "doc_id", F.col("unit").cast("long").alias("unit"), "start", "end", F.lower(F.hex("digest")).alias("digest"),
+        "kept_doc_id", F.col("kept_unit").cast("long").alias("kept_unit"),
+    )
+
+
+def op6_pack_powers(spark, sf):
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_mix_sources(spark, sf):
     mixed = mixing.mix(table(spark, sf, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -22,6 +50,9 @@ def op10_simhash_trie(spark, sf):
 
 
 QUERIES = {
+    "op3_line_windows": op3_line_windows,
+    "op4_repeated_lines": op4_repeated_lines,
+    "op6_pack_powers": op6_pack_powers,
     "op8_mix_sources": op8_mix_sources,
     "op10_simhash_trie": op10_simhash_trie,
 }
