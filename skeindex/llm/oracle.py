@@ -71,7 +71,21 @@ WITH l AS (
 SELECT doc_id, unit, start, "end", digest, kept_doc_id, kept_unit FROM r WHERE n > 1
 """
 
+TOP_K = """
+WITH e AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, e.vec_id, list_dot_product(q.v, e.v)::BIGINT AS score
+  FROM e q JOIN e ON q.vec_id % 50 = 0 AND q.vec_id <> e.vec_id
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s
+)
+SELECT * FROM r WHERE rank <= 5
+"""
+
 ORACLE = {
+    "op5_topk_threshold": TOP_K,
     "op3_line_windows": WINDOWS,
     "op4_repeated_lines": LINES,
     "op8_mix_sources": MIX,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeindex.llm import lines, mixing, packing, simhash
+from skeindex.llm import lines, mixing, packing, quality, simhash, topk, toxicity
 from skeindex.llm.common import session_of
 
 
@@ -36,6 +36,19 @@ def op4_repeated_lines(spark, sf):
     )
 
 
+def op2_toxicity_lexicon(spark, sf):
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op5_topk_threshold(spark, sf):
+    vectors = topk.scaled(table(spark, sf, "embeddings"), "vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where("id % 50 = 0"), 5)
+
+
+def op9_quality_attention(spark, sf):
+    return quality.quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op6_pack_powers(spark, sf):
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -50,6 +63,9 @@ def op10_simhash_trie(spark, sf):
 
 
 QUERIES = {
+    "op2_toxicity_lexicon": op2_toxicity_lexicon,
+    "op5_topk_threshold": op5_topk_threshold,
+    "op9_quality_attention": op9_quality_attention,
     "op3_line_windows": op3_line_windows,
     "op4_repeated_lines": op4_repeated_lines,
     "op6_pack_powers": op6_pack_powers,
