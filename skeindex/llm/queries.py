@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeindex.llm import lines, mixing, packing, quality, simhash, topk, toxicity
+from skeindex.llm import fingerprint, lines, mixing, packing, quality, simhash, topk, toxicity
 from skeindex.llm.common import session_of
 
 
@@ -53,6 +53,10 @@ def op6_pack_powers(spark, sf):
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_paragraph_iblt(spark, sf):
+    return fingerprint.fingerprints(table(spark, sf, "documents"))
+
+
 def op8_mix_sources(spark, sf):
     mixed = mixing.mix(table(spark, sf, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -69,6 +73,7 @@ QUERIES = {
     "op3_line_windows": op3_line_windows,
     "op4_repeated_lines": op4_repeated_lines,
     "op6_pack_powers": op6_pack_powers,
+    "op7_paragraph_iblt": op7_paragraph_iblt,
     "op8_mix_sources": op8_mix_sources,
     "op10_simhash_trie": op10_simhash_trie,
 }
