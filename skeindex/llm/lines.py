@@ -127,6 +127,15 @@ def without_windows(docs: DataFrame, size: int = 3) -> DataFrame:
     return _cut(docs, covered_lines(docs, size).withColumnRenamed("gone", "__gone"))
 
 
+def deduplicated(docs: DataFrame, size: int = 3) -> DataFrame:
+    """``docs`` without lines covered by repeated windows; ``n_chars``, if there, follows the text. No row goes."""
+    rows = without_windows(docs, size)
+    if "n_chars" in docs.columns:
+        changed = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        rows = rows.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(changed))
+    return rows.select(*docs.columns)
+
+
 def _cut(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Cut the lines ``__gone`` from the texts; a text of which nothing goes stays as it is, byte for byte."""
     key = {"__hash": F.xxhash64("text"), "__no_id": F.col("doc_id").isNull(), "__id": F.coalesce("doc_id", F.lit(0))}

@@ -1,5 +1,53 @@
 """SQL for the registered queries that SQL can express."""
 
+from skeindex.llm import warc
+
+
+def _text(sql: str) -> str:
+    return sql.replace("'", "''")
+
+
+def _decoded(sql: str) -> str:
+    for name, char in warc.ENTITIES:
+        sql = f"replace({sql}, '{_text(name)}', '{_text(char)}')"
+    return sql
+
+
+def _one_line(sql: str) -> str:
+    return rf"trim(regexp_replace({sql}, '[ \t\r\n\f]+', ' ', 'g'))"
+
+
+def _uuid(sql: str) -> str:
+    parts = "|| '-' ||".join(f"substr(md5({sql}), {at}, {n})" for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"('<urn:uuid:' || {parts} || '>')"
+
+
+CRLF = "chr(13) || chr(10)"
+DERIVED = rf"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, coalesce(url, '') AS target_uri,
+         regexp_replace(coalesce(html, ''), '{_text(warc.HIDDEN)}', '', 'g') AS visible FROM pages
+), r AS (
+  SELECT *, {_uuid("'response|' || coalesce(page_id::VARCHAR, '') || '|' || target_uri")} AS refers_to,
+         regexp_extract_all(visible, '{_text(warc.LINK)}', 1) AS links,
+         regexp_replace(regexp_replace(regexp_replace(visible, '[ \t\r\n\f]+', ' ', 'g'), '{_text(warc.LINE_TAG)}', chr(10), 'g'), '<[^>]*>', '', 'g') AS t
+  FROM p
+), b AS (
+  SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
+         'title: ' || {_one_line(_decoded(f"regexp_extract(visible, '{_text(warc.TITLE)}', 1)"))} || {CRLF} || 'outlinks: ' || len(links) || {CRLF}
+         || array_to_string([('outlink: ' || {_one_line(_decoded("x"))} || {CRLF}) FOR x IN links], '') AS block
+  FROM r
+  UNION ALL
+  SELECT *, 'conversion', 'text/plain; charset=UTF-8',
+         regexp_replace(regexp_replace({_decoded("t")}, ' *\n[ \n]*', chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g')
+  FROM r
+)
+SELECT page_id, record_type, {_uuid("record_type || '|' || refers_to")} AS record_id, refers_to, target_uri, '1970-01-01T00:00:00Z' AS date, content_type,
+       'HTTP/1.1 200 OK' || {CRLF} || 'Content-Type: text/html; charset=utf-8' || {CRLF} || 'Content-Length: ' || strlen(body) || {CRLF} AS source_headers,
+       'sha256:' || sha256(body) AS source_digest, 'sha256:' || sha256(block) AS block_digest, strlen(block)::BIGINT AS content_length, block
+FROM b
+"""
+
 MIX = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -85,6 +133,7 @@ SELECT * FROM r WHERE rank <= 5
 """
 
 ORACLE = {
+    "op1_warc_derivatives": DERIVED,
     "op5_topk_threshold": TOP_K,
     "op3_line_windows": WINDOWS,
     "op4_repeated_lines": LINES,

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -169,9 +170,10 @@ def quality(docs: DataFrame, labels: DataFrame, at_least: float = 0.3, **options
 def accepted(docs: DataFrame, labels: DataFrame, at_least: float = 0.3, **options) -> DataFrame:
     """The rows of ``docs`` that score at least ``at_least``, with their columns; texts are scored where they are read."""
     model = fit(docs, labels, **options)
-    score = F.pandas_udf(lambda text: _series(model, text), "double")
-    return docs.where(score(F.col("text")) >= at_least)
 
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        parts = [model.score([t or "" for t in text[i : i + 256]]) for i in range(0, len(text), 256)]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
-def _series(model: AttentionModel, text):
-    return text.__class__(model.score([t or "" for t in text]), index=text.index)
+    return docs.where(score(F.col("text")) >= at_least)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeindex.llm import fingerprint, lines, mixing, packing, quality, simhash, topk, toxicity
+from skeindex.llm import fingerprint, lines, mixing, packing, quality, simhash, topk, toxicity, warc
 from skeindex.llm.common import session_of
 
 
@@ -36,6 +36,10 @@ def op4_repeated_lines(spark, sf):
     )
 
 
+def op1_warc_derivatives(spark, sf):
+    return warc.derive(warc.responses(table(spark, sf, "pages")))
+
+
 def op2_toxicity_lexicon(spark, sf):
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -67,6 +71,7 @@ def op10_simhash_trie(spark, sf):
 
 
 QUERIES = {
+    "op1_warc_derivatives": op1_warc_derivatives,
     "op2_toxicity_lexicon": op2_toxicity_lexicon,
     "op5_topk_threshold": op5_topk_threshold,
     "op9_quality_attention": op9_quality_attention,
