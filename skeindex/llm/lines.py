@@ -106,9 +106,9 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 def without_lines(docs: DataFrame, later: DataFrame) -> DataFrame:
-    """``docs`` without the lines that ``later`` (from :func:`repeated_lines`) names; all columns and rows kept."""
-    gone = later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.col("unit").cast("int")).alias("__gone"))
-    return _cut(docs, gone).select(*docs.columns)
+    """``docs`` without the lines that ``later`` (from :func:`repeated_lines`) names; no row goes."""
+    gone = later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.col("unit").cast("int")).alias("gone"))
+    return _restored(docs, _cut(docs, gone))
 
 
 def covered_lines(docs: DataFrame, size: int = 3) -> DataFrame:
@@ -123,27 +123,32 @@ def covered_lines(docs: DataFrame, size: int = 3) -> DataFrame:
 
 
 def without_windows(docs: DataFrame, size: int = 3) -> DataFrame:
-    """``docs`` with ``__n_lines`` and ``__gone`` (sorted line numbers, null if none), and those lines cut from ``text``."""
-    return _cut(docs, covered_lines(docs, size).withColumnRenamed("gone", "__gone"))
+    """``doc, text, n_lines, gone``: the row as it was, the text that stays, its lines before, and which went (or null)."""
+    return _cut(docs, covered_lines(docs, size))
 
 
 def deduplicated(docs: DataFrame, size: int = 3) -> DataFrame:
     """``docs`` without lines covered by repeated windows; ``n_chars``, if there, follows the text. No row goes."""
-    rows = without_windows(docs, size)
-    if "n_chars" in docs.columns:
-        changed = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        rows = rows.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(changed))
-    return rows.select(*docs.columns)
+    return _restored(docs, without_windows(docs, size))
 
 
 def _cut(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Cut the lines ``__gone`` from the texts; a text of which nothing goes stays as it is, byte for byte."""
-    key = {"__hash": F.xxhash64("text"), "__no_id": F.col("doc_id").isNull(), "__id": F.coalesce("doc_id", F.lit(0))}
-    gone = gone.select(
-        F.col("text_hash").alias("__hash"), F.col("doc_id").isNull().alias("__no_id"), F.coalesce("doc_id", F.lit(0)).alias("__id"), "__gone"
-    )
-    rows = docs.withColumns(key).join(gone, list(key), "left").drop(*key)
+    """Cut the lines ``gone`` from the texts; a text of which nothing goes stays as it is, byte for byte."""
+    key = {"hash": F.xxhash64("text"), "no_id": F.col("doc_id").isNull(), "id": F.coalesce("doc_id", F.lit(0))}
+    of = {"hash": F.col("text_hash"), "no_id": F.col("doc_id").isNull(), "id": F.coalesce("doc_id", F.lit(0))}
+    gone = gone.select(*[c.alias(name) for name, c in of.items()], "gone")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "text", *[c.alias(name) for name, c in key.items()])
+    rows = rows.join(gone, list(key), "left")
     lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("__gone", i)), "\n")
-    n_lines = F.coalesce(F.size(lines), F.lit(0))
-    return rows.withColumns({"__n_lines": F.when(F.col("text").isNull(), 0).otherwise(n_lines), "text": F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept)})
+    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone", i)), "\n")
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
+    return rows.select("doc", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"), n_lines.alias("n_lines"), "gone")
+
+
+def _restored(docs: DataFrame, cut: DataFrame) -> DataFrame:
+    """The columns of ``docs`` with the texts of ``cut``."""
+    now = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        n_chars = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        now["n_chars"] = F.when(F.col("gone").isNull(), F.col("doc.n_chars")).otherwise(n_chars)
+    return cut.select(*[now.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])

@@ -17,10 +17,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def op3_line_windows(spark, sf):
     """Of each document: its lines, how many go, which (comma-joined), and the MD5 of what stays."""
     cut = lines.without_windows(table(spark, sf, "documents"))
-    gone = F.coalesce(F.col("__gone"), F.array().cast("array<int>"))
+    gone = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
     return cut.select(
-        "doc_id",
-        F.col("__n_lines").cast("long").alias("n_lines"),
+        "doc.doc_id",
+        F.col("n_lines").cast("long").alias("n_lines"),
         F.size(gone).cast("long").alias("n_removed"),
         F.array_join(gone.cast("array<string>"), ",").alias("removed_lines"),
         F.md5(F.col("text").cast("binary")).alias("text_md5"),
