@@ -98,11 +98,13 @@ def record_text(row_type: Column, fields: list[tuple[str, Column]], block: Colum
 
 def write_records(records: DataFrame, path: str, compression: str = "none") -> None:
     """Write the rows of :func:`derive` as WARC files, one per task."""
-    folded = F.replace(F.rtrim(F.replace(F.col("source_headers"), F.lit(CRLF), F.lit("\n"))), F.lit("\n"), F.lit(CRLF + " "))
+    # Line breaks would end a field: the HTTP headers go on folded lines, elsewhere breaks become spaces.
+    folded = F.regexp_replace(F.regexp_replace("source_headers", r"[\r\n]+$", ""), r"[\r\n]+", CRLF + " ")
+    uri = F.regexp_replace("target_uri", r"[\r\n]+", " ")
     fields = [
-        ("WARC-Record-ID", F.col("record_id")), ("WARC-Refers-To", F.col("refers_to")), ("WARC-Target-URI", F.col("target_uri")),
+        ("WARC-Record-ID", F.col("record_id")), ("WARC-Refers-To", F.col("refers_to")), ("WARC-Target-URI", uri),
         ("WARC-Date", F.col("date")), ("WARC-Block-Digest", F.col("block_digest")), ("WARC-Source-Payload-Digest", F.col("source_digest")),
-        ("WARC-Source-Headers", F.trim(folded)), ("Content-Type", F.col("content_type")),
+        ("WARC-Source-Headers", folded), ("Content-Type", F.col("content_type")),
     ]
     text = record_text(F.col("record_type"), fields, F.col("block"))
     records.select(text.alias("value")).write.option("lineSep", CRLF + CRLF).option("compression", compression).text(path)
