@@ -112,7 +112,7 @@ def sparse_topk(spark, sf):
     queries = benchmark(spark, sf)
     small = bm25.queries_are_small(queries)
     wanted = bm25.query_terms(queries, model, "text", PLAIN, small)
-    return search.sparse_topk_rows(index, wanted, 10, small)
+    return search.sparse_topk_rows(index, wanted, 10)
 
 
 def sparse_topk_join(spark, sf):
@@ -120,7 +120,7 @@ def sparse_topk_join(spark, sf):
     terms = terms_of(spark, sf)
     model = model_of(terms)
     wanted = bm25.query_terms(benchmark(spark, sf), model, "text", PLAIN, False)
-    return search.sparse_topk_rows(bm25.encode_documents(terms, model), wanted, 10, False)
+    return search.sparse_topk_rows(bm25.encode_documents(terms, model), wanted, 10, limit=4096)
 
 
 def _two_spellings(spark, sf):

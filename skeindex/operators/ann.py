@@ -1,15 +1,21 @@
-"""Approximate dense search: vectors in cells around centroids, a share of the cells searched."""
+"""Approximate dense search: vectors in cells around centroids, a share of the cells searched.
+
+Cells are trained on every vector. While all centroids may be sent to the tasks there is one level of them; beyond
+that, vectors are first split among parents, and the cells of each parent are trained on its vectors, so that neither
+the number of cells nor the training data is ever cut.
+"""
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,71 +24,141 @@ from skeindex.operators.search import (
     NEIGHBOR_COUNT,
     SCORE_ENTRIES,
     DenseTop,
+    best_per_id,
     dense_topk,
-    grouped_top,
+    found_schema,
     query_block,
+    query_blocks,
+    query_width,
     top_k,
+    union_all,
+    value_bytes,
+    vector_rows,
 )
-from skeindex.session import BROADCAST_BYTES, fits_broadcast, stage
+from skeindex.session import BROADCAST_BYTES, fits_broadcast, shared_dir, stage
 
 # Vectors per cell and percent of cells searched.
 LEAF_SIZE = 1000
 PROBE_PCT = 10
-# Training vectors per cell: centroids are fitted on this many, assignments cover every vector.
-TRAINING_PER_CELL = 64
-# Vectors of one cell that meet a large query set in one task; larger cells are split.
-CELL_SLICE = 50_000
+# Vectors of one parent that meet its cells in one task; more are split.
+PARENT_SLICE = 50_000
+CELLS = "parent int, parent_centroid array<double>, cell int, centroid array<double>"
+
+
+def _fit(vectors: DataFrame, k: int, seed: int, iterations: int) -> list[list[float]]:
+    """Centroids of ``k`` clusters of all vectors; copies of one vector share a centroid."""
+    points = vectors.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    model = KMeans(k=k, seed=seed, featuresCol="v", maxIter=iterations).fit(points)
+    return [[float(x) for x in c] for c in model.clusterCenters()]
 
 
 def train_cells(
     vectors: DataFrame,
     leaf_size: int = LEAF_SIZE,
     seed: int = 7,
+    iterations: int = 10,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``(cell, centroid)``: one centroid per ``leaf_size`` vectors of ``(id, embedding)``.
+    """``(parent, parent_centroid, cell, centroid)``: one cell per ``leaf_size`` vectors of ``(id, embedding)``.
 
-    The centroid table has to reach every task. Where it would outgrow ``limit``, there are fewer
-    and larger cells; every vector still has a cell.
+    Vectors that are missing, empty or not finite are left out; the others have one length. With one level all cells
+    have parent 0. Parents are some square root of the cells; a parent's own cells are trained on its own vectors.
     """
-    usable = vectors.where(F.size("embedding") > 0)
+    spark = vectors.sparkSession
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    usable = vectors.where((F.size("embedding") > 0) & finite).select("embedding")
+    # An iterative fit reads its input many times.
+    usable = stage(usable, "training")
     facts = usable.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d")).first()
     if not facts["n"]:
         raise ValueError("no vectors to train cells on")
-    cells = min(max(1, -(-facts["n"] // leaf_size)), max(1, limit // (facts["d"] * 8)))
-    share = min(1.0, cells * TRAINING_PER_CELL / facts["n"])
-    training = usable.sample(share, seed) if share < 1.0 else usable
-    points = training.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
-    # An iterative fit reads its input many times.
-    points = stage(points.select(vector_to_array("v").alias("a")), "training").select(
-        array_to_vector("a").alias("v")
-    )
-    model = KMeans(k=cells, seed=seed, featuresCol="v", maxIter=10).fit(points)
-    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return vectors.sparkSession.createDataFrame(centers, "cell int, centroid array<double>")
-
-
-def assign_cells(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
-    """Add the ``cell`` of the nearest centroid to every row; rows without a vector get none."""
-    table = centroids.orderBy("cell").toPandas()  # bounded by train_cells
-    centers = np.stack(table["centroid"].to_list()).astype("float64")
-    shared = vectors.sparkSession.sparkContext.broadcast((table["cell"].to_numpy(), centers))
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        cells, centers = shared.value
-        half = (centers**2).sum(1) / 2
-        rows = max(1, SCORE_ENTRIES // len(centers))
+    cells = -(-facts["n"] // leaf_size)
+    if cells * facts["d"] * 8 <= limit:
+        centers = _fit(usable, cells, seed, iterations)
+        rows = [(0, [0.0] * facts["d"], i, c) for i, c in enumerate(centers)]
+        return spark.createDataFrame(rows, CELLS)
+    parents = _fit(usable, math.isqrt(cells - 1) + 1, seed, iterations)
+    top = spark.createDataFrame([(0, [], i, c) for i, c in enumerate(parents)], CELLS)
+    path = f"{shared_dir(spark)}/stage/parents-{uuid.uuid4().hex}"
+    assign_cells(usable, top, limit).write.partitionBy("cell").parquet(path)
+    split = spark.read.parquet(path)
+    sizes = {r["cell"]: r["count"] for r in split.groupBy("cell").count().collect()}  # one row per parent
+    target = f"{shared_dir(spark)}/stage/cells-{uuid.uuid4().hex}"
+    first = 0
+    for parent, n in sorted(sizes.items()):
+        own = split.where(F.col("cell") == parent).select("embedding")
+        wanted = -(-n // leaf_size)
+        # A parent as large as the whole holds copies of few vectors, which more centroids do not part.
+        deeper = wanted * facts["d"] * 8 > limit and n < facts["n"]
+        if deeper:
+            below = [r["centroid"] for r in train_cells(own, leaf_size, seed, iterations, limit).toLocalIterator()]
+        else:
+            below = _fit(own, wanted, seed, iterations) if wanted > 1 else [parents[parent]]
+        rows = [(parent, parents[parent], first + i, c) for i, c in enumerate(below)]
+        spark.createDataFrame(rows, CELLS).write.mode("append").parquet(target)
+        first += len(below)
+    return spark.read.schema(CELLS).parquet(target)
+
+
+def _nearest(vectors: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    half = (centers**2).sum(1) / 2
+    rows = max(1, SCORE_ENTRIES // len(centers))
+    parts = [vectors[i : i + rows] for i in range(0, len(vectors), rows)]
+    return np.concatenate([(p @ centers.T - half).argmax(1) for p in parts]) if parts else np.zeros(0, dtype=int)
+
+
+def _with_nearest(vectors: DataFrame, table: DataFrame, key: str, centroid: str) -> DataFrame:
+    """Add the key of the nearest centroid of a table that may be sent to the tasks; null without a usable vector."""
+    found = table.select(key, centroid).distinct().orderBy(key).collect()
+    keys = np.array([r[key] for r in found], dtype="int32")
+    centers = np.array([r[centroid] for r in found], dtype="float64")
+    shared = vectors.sparkSession.sparkContext.broadcast((keys, centers))
+    schema = T.StructType([*vectors.schema.fields, T.StructField(key, T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, centers = shared.value
         for batch in batches:
-            out = pd.Series([None] * len(batch), dtype="Int32")
-            fits = [i for i, v in enumerate(batch) if v is not None and len(v) == centers.shape[1]]
-            for start in range(0, len(fits), rows):
-                at = fits[start : start + rows]
-                points = np.stack(batch.iloc[at].to_list()).astype("float64")
-                out.iloc[at] = cells[(points @ centers.T - half).argmax(1)]
-            yield out
+            keep, points = vector_rows(batch.column("embedding"), centers.shape[1])
+            good = np.isfinite(points).all(axis=1)
+            place = np.flatnonzero(keep)[good]
+            out = np.zeros(batch.num_rows, dtype="int32")
+            missing = np.ones(batch.num_rows, dtype=bool)
+            out[place], missing[place] = keys[_nearest(points[good], centers)], False
+            column = pa.array(out, pa.int32(), mask=missing)
+            yield pa.record_batch([*batch.columns, column], names=[*batch.schema.names, key])
+
+    return vectors.mapInArrow(run, schema)
+
+
+def assign_cells(vectors: DataFrame, centroids: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Add the ``cell`` of the nearest centroid to every row; rows without a usable vector get null.
+
+    With more centroids than may be sent to the tasks, rows go to the nearest parent first and meet the cells of that
+    parent only; crowded parents are split.
+    """
+    if fits_broadcast(centroids, F.size("centroid") * 8, limit):
+        return _with_nearest(vectors, centroids, "cell", "centroid")
+    routed = stage(_with_nearest(vectors, centroids, "parent", "parent_centroid"), "routed")
+    slices = routed.groupBy("parent").agg(F.ceil(F.count("*") / F.lit(PARENT_SLICE)).alias("__n"))
+    slices = F.broadcast(stage(slices, "slices"))  # one row per parent
+    left = routed.join(slices, "parent").withColumn("__part", F.pmod(F.xxhash64("embedding"), "__n")).drop("__n")
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1))
+    right = centroids.join(slices, "parent").select("parent", parts.alias("__part"), "cell", "centroid")
+    schema = T.StructType([*vectors.schema.fields, T.StructField("cell", T.IntegerType())])
+    names = vectors.columns
+
+    def meet(rows: pa.Table, cells: pa.Table) -> pa.Table:
+        width = pc.list_value_length(cells["centroid"])[0].as_py() if cells.num_rows else 0
+        _, centers = vector_rows(cells["centroid"], width)
+        keep, points = vector_rows(rows["embedding"], width)
+        rows = rows.select(names).filter(pa.array(keep))
+        nearest = pa.array(_nearest(points, centers)) if len(centers) else pa.array([], pa.int64())
+        return rows.append_column("cell", cells["cell"].take(nearest))
 
-    nearest = F.pandas_udf(run, T.IntegerType()).asNondeterministic()
-    return vectors.withColumn("cell", nearest(F.col("embedding")))
+    keys = ["parent", "__part"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema)
+    rest = routed.where(F.col("parent").isNull()).select(*names, F.lit(None).cast("int").alias("cell"))
+    return found.unionByName(rest)
 
 
 def write_cells(assigned: DataFrame, path: str) -> None:
@@ -91,6 +167,16 @@ def write_cells(assigned: DataFrame, path: str) -> None:
     stored.write.mode("overwrite").partitionBy("cell").parquet(path)
 
 
+def choose_cells(
+    centroids: DataFrame, queries: DataFrame, metric: str = "dot", probe_pct: int = PROBE_PCT,
+    limit: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``(qid, cell)``: the closest ``probe_pct`` percent of the cells of each query, one at least."""
+    probes = max(1, -(-centroids.count() * probe_pct // 100))
+    cells = centroids.select(F.col("cell").alias("id"), F.col("centroid").alias("embedding"))
+    return dense_topk(cells, queries, probes, metric, limit).select("qid", F.col("id").alias("cell"))
+
+
 def ann_topk(
     assigned: DataFrame,
     centroids: DataFrame,
@@ -102,58 +188,49 @@ def ann_topk(
 ) -> DataFrame:
     """``(qid, rank, id, score)`` over the closest ``probe_pct`` percent of the cells of each query.
 
-    With ``assigned`` read from a table partitioned by cell, other cells are not read.
+    With ``assigned`` read from a table partitioned by cell, other cells are not read. Queries are sent to the tasks
+    block by block, each query vector once, with the pairs of query and cell.
     """
-    n_cells = centroids.count()
-    probes = max(1, -(-n_cells * probe_pct // 100))
-    cells = centroids.select(F.col("cell").alias("id"), F.col("centroid").alias("embedding"))
-    chosen = dense_topk(cells, queries, probes, metric, limit).select(
-        "qid", F.col("id").alias("cell")
-    )
-    wanted = stage(chosen.join(queries.select("qid", "dense"), "qid"), "probes")
-    # At most one row per cell.
-    near = F.broadcast(wanted.select("cell").distinct())
-    vectors = assigned.select("id", "embedding", "cell").join(near, "cell", "left_semi")
-    schema = T.StructType(
-        [
-            T.StructField("qid", queries.schema["qid"].dataType),
-            T.StructField("id", assigned.schema["id"].dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    if fits_broadcast(wanted, F.size("dense") * 8 + 32, limit):
-        asked = wanted.toArrow()
-        listed = pc.unique(asked["cell"]).to_pylist()
-        blocks = {c: query_block(asked.filter(pc.equal(asked["cell"], c))) for c in listed}
-        shared = assigned.sparkSession.sparkContext.broadcast(blocks)
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tops: dict = {}
-            id_type = None
-            for batch in batches:
-                id_type = batch.schema.field("id").type
-                for cell in pc.unique(batch.column("cell")).to_pylist():
-                    if cell not in tops:
-                        tops[cell] = DenseTop(shared.value[cell][1], k, metric)
-                    tops[cell].add(batch.filter(pc.equal(batch.column("cell"), cell)))
-            for cell, top in tops.items():
-                yield from top.result(shared.value[cell][0], id_type).to_batches()
-
-        found = vectors.mapInArrow(scan, schema)
-    else:
-        found = _by_cell(vectors, wanted, k, metric, schema)
-    ranked = top_k(found, k, F.col("score"), ascending=metric == "l2")
+    queries = queries.select("qid", "dense").where(F.size("dense") > 0)
+    width, schema = query_width(queries), found_schema(queries, assigned)
+    pairs = stage(choose_cells(centroids, queries, metric, probe_pct, limit), "probes")
+    per_query = pairs.groupBy("qid").agg(F.count("*").alias("n"))
+    sized = queries.join(per_query, "qid").withColumn("bytes", F.size("dense") * 8 + value_bytes(queries, "qid") + 12 * F.col("n"))
+    vectors = assigned.select("id", "embedding", "cell")
+    found = []
+    for part in query_blocks(sized, F.col("bytes"), limit):
+        part = stage(part.select("qid", "dense"), "block")
+        own = pairs.join(F.broadcast(part.select("qid")), "qid", "left_semi")
+        found.append(_search_cells(vectors, part, own, k, metric, width, schema))
+    best = best_per_id(union_all(found), metric != "l2")
+    ranked = top_k(best, k, F.col("score"), ascending=metric == "l2")
     return ranked.select("qid", "rank", "id", "score")
 
 
-def _by_cell(vectors: DataFrame, wanted: DataFrame, k: int, metric: str, schema) -> DataFrame:
-    """Queries too large to broadcast meet the vectors cell by cell; crowded cells are split."""
-    sizes = vectors.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(CELL_SLICE)).alias("__n"))
-    sizes = F.broadcast(stage(sizes, "cells"))  # one row per cell
-    left = vectors.join(sizes, "cell").withColumn("__part", F.pmod(F.xxhash64("id"), "__n")).drop("__n")
-    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1))
-    right = wanted.join(sizes, "cell").select("cell", parts.alias("__part"), "qid", "dense")
-
-    keys = ["cell", "__part"]
-    paired = left.groupBy(*keys).cogroup(right.groupBy(*keys))
-    return paired.applyInArrow(grouped_top(k, metric), schema)
+def _search_cells(vectors: DataFrame, queries: DataFrame, pairs: DataFrame, k: int, metric: str, width: int, schema) -> DataFrame:
+    """One block of queries against the cells that they chose."""
+    spark = vectors.sparkSession
+    asked, listed = queries.toArrow(), pairs.toArrow()
+    if not asked.num_rows:
+        return spark.createDataFrame([], schema)
+    qids, matrix = query_block(asked, width)
+    row = {q: i for i, q in enumerate(qids.to_pylist())}
+    rows = np.array([row[q] for q in listed["qid"].to_pylist()], dtype="int64")
+    cells = listed["cell"].to_numpy()
+    order = np.argsort(cells, kind="stable")
+    names, starts = np.unique(cells[order], return_index=True)
+    chosen = dict(zip(names.tolist(), np.split(rows[order], starts[1:])))
+    shared = spark.sparkContext.broadcast((qids, matrix, chosen))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        qids, matrix, chosen = shared.value
+        for batch in batches:
+            id_type = batch.schema.field("id").type
+            for cell in pc.unique(batch.column("cell")).to_pylist():
+                if cell in chosen:
+                    top = DenseTop(matrix[chosen[cell]], k, metric)
+                    top.add(batch.filter(pc.equal(batch.column("cell"), cell)))
+                    yield from top.result(qids.take(pa.array(chosen[cell])), id_type).to_batches()
+
+    near = F.broadcast(pairs.select("cell").distinct())  # within the block's measured size
+    return vectors.join(near, "cell", "left_semi").select("id", "embedding", "cell").mapInArrow(scan, schema)

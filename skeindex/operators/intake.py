@@ -84,22 +84,35 @@ def with_page_keys(pages: DataFrame, prefix: str, scrape_time: Column | None = N
     )
 
 
+def place(order: str, columns: list[str]) -> Column:
+    """Sorts rows by ``order``, nulls first, and rows of equal order by a hash of ``columns``."""
+    return F.struct(F.col(order).isNotNull().alias("known"), F.col(order).alias("order"), F.xxhash64(*columns).alias("tie"))
+
+
 def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     """The row with the greatest ``order`` of every key. Rows without key are ignored.
 
-    The aggregate keeps one row per key and task before the shuffle.
+    A null order counts as the smallest; among equal orders a hash of the row decides, so reruns agree. The aggregate
+    keeps one row per key and task before the shuffle.
     """
     kept = df.where(F.col(key).isNotNull())
-    row = F.struct(*[F.col(c) for c in df.columns])
-    return kept.groupBy(key).agg(F.max_by(row, F.col(order)).alias("__row")).select("__row.*")
+    rest = [c for c in df.columns if c != key]
+    row = F.struct(*[F.col(c) for c in rest])
+    found = kept.groupBy(key).agg(F.max_by(row, place(order, df.columns)).alias("__row"))
+    return found.select(*[F.col(c) if c == key else F.col("__row").getField(c).alias(c) for c in df.columns])
 
 
 def changed_pages(stored: DataFrame, incoming: DataFrame, order: str) -> DataFrame:
-    """Incoming pages (last one per key) that are new or whose fingerprint differs."""
-    latest = last_per_key(incoming, "source_file", order)
+    """Incoming pages (last one per key) that are new or whose fingerprint differs.
+
+    Which pages changed is decided on keys and fingerprints; only changed pages are then gathered with their text.
+    """
+    light = incoming.select("source_file", order, "fingerprint")
+    latest = last_per_key(light, "source_file", order)
     known = stored.select("source_file", F.col("fingerprint").alias("__stored"))
-    differs = F.col("__stored").isNull() | (F.col("__stored") != F.col("fingerprint"))
-    return latest.join(known, "source_file", "left").where(differs).drop("__stored")
+    differs = F.col("__stored").isNull() | ~F.col("__stored").eqNullSafe(F.col("fingerprint"))
+    changed = latest.join(known, "source_file", "left").where(differs).select("source_file")
+    return last_per_key(incoming.join(changed, "source_file", "left_semi"), "source_file", order)
 
 
 def upsert_rows(stored: DataFrame, delta: DataFrame, key: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from skeindex.session import BROADCAST_BYTES, fits_broadcast
+from skeindex.session import BROADCAST_BYTES, fits_broadcast, stage
 
 # List length, fusion weight, and the constant of reciprocal-rank fusion.
 NEIGHBOR_COUNT = 10
@@ -21,8 +21,6 @@ RRF_ALPHA = 0.5
 RRF_CONSTANT = 60
 # Scores are compared after rounding, so that summation order cannot change a rank.
 SCORE_PLACES = 6
-# Index rows of one shuffled block when the queries are too large to broadcast.
-BLOCK_ROWS = 50_000
 # Scores computed at a time inside a task (32 MB).
 SCORE_ENTRIES = 4_000_000
 
@@ -37,67 +35,91 @@ def top_k(scored: DataFrame, k: int, score: Column, ascending: bool = False) ->
     return scored.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
 
 
-def sparse_scores(postings: DataFrame, terms: DataFrame, small: bool, salts: int = 32) -> DataFrame:
-    """Dot products over shared terms: ``(qid, id, score)``.
+def query_blocks(queries: DataFrame, row_bytes: Column | int, limit: int = BROADCAST_BYTES) -> list[DataFrame]:
+    """``queries`` in parts whose measured size may be sent to every task; whole queries stay together."""
+    size = F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes
+    total = queries.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
+    if total <= limit:
+        return [queries]
+    queries = stage(queries, "queries")
+    parts = -(-3 * total // (2 * limit))  # hashing does not fill all parts alike
+    return [queries.where(F.pmod(F.xxhash64("qid"), F.lit(parts)) == i) for i in range(parts)]
 
-    ``small`` says that the query terms were measured and may be broadcast. Otherwise both sides
-    are shuffled by term, and every term is split over ``salts`` so that a frequent one is shared out.
+
+def value_bytes(df: DataFrame, column: str) -> Column:
+    """Bytes that an id of ``df`` takes once collected."""
+    text = F.octet_length(F.col(column).cast("string"))
+    return F.coalesce(text, F.lit(0)) + 16
+
+
+def best_per_id(found: DataFrame, largest: bool = True) -> DataFrame:
+    """``(qid, id, score)`` with the best score of every id: rows that repeat an id compete, none is added up."""
+    pick = F.max if largest else F.min
+    return found.groupBy("qid", "id").agg(pick("score").alias("score"))
+
+
+def sparse_scores(postings: DataFrame, terms: DataFrame) -> DataFrame:
+    """Dot products over shared terms: ``(qid, id, score)`` of ``postings(id, term_id, weight)``.
+
+    For postings that come one by one; documents with all their terms on the row are searched by
+    ``sparse_topk_rows`` without a shuffle of pairs. Adaptive execution splits frequent terms.
     """
     wanted = terms.select("qid", "term_id", F.col("weight").alias("__qw"))
-    if small:
-        joined = postings.join(F.broadcast(wanted), "term_id")
-    else:
-        salted = postings.withColumn("__salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
-        copies = wanted.withColumn(
-            "__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-        )
-        joined = salted.join(copies, ["term_id", "__salt"])
+    if fits_broadcast(wanted, value_bytes(wanted, "qid") + 24):
+        wanted = F.broadcast(wanted)
     total = F.sum(F.col("weight") * F.col("__qw"))
+    joined = postings.join(wanted, "term_id")
     return joined.groupBy("qid", "id").agg(F.round(total, SCORE_PLACES).alias("score"))
 
 
-def sparse_topk(
-    postings: DataFrame, terms: DataFrame, k: int = NEIGHBOR_COUNT, small: bool | None = None
-) -> DataFrame:
+def sparse_topk(postings: DataFrame, terms: DataFrame, k: int = NEIGHBOR_COUNT) -> DataFrame:
     """``(qid, rank, id, score)`` by sparse dot product."""
-    if small is None:
-        small = fits_broadcast(terms, 64)
-    ranked = top_k(sparse_scores(postings, terms, small), k, F.col("score"))
+    ranked = top_k(sparse_scores(postings, terms), k, F.col("score"))
     return ranked.select("qid", "rank", "id", "score")
 
 
 def sparse_topk_rows(
-    index: DataFrame, terms: DataFrame, k: int = NEIGHBOR_COUNT, small: bool | None = None
+    index: DataFrame, terms: DataFrame, k: int = NEIGHBOR_COUNT, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """``(qid, rank, id, score)`` over ``index(id, sparse_embedding)``, one row per document.
 
-    Query terms that fit a broadcast are scored where the documents are read, and at most k rows per
-    query leave a task. Larger query sets are joined by term.
+    Documents are scored where they are read, against all queries or, if these are too many to send
+    to the tasks at once, against one block of queries after the other. At most k rows per query
+    leave a task. Of rows that repeat an id the best one counts.
     """
-    if small is None:
-        small = fits_broadcast(terms, 64)
     names = index.schema["sparse_embedding"].dataType.fieldNames()
     ids = F.col("sparse_embedding." + ("dimensions" if "dimensions" in names else "indices"))
     vectors = index.select("id", ids.alias("terms"), F.col("sparse_embedding.values").alias("weights"))
-    if not small:
-        pairs = F.explode_outer(F.arrays_zip("terms", "weights"))
-        rows = vectors.select("id", pairs.alias("p")).where(F.col("p").isNotNull())
-        postings = rows.select(
-            "id", F.col("p.terms").alias("term_id"), F.col("p.weights").alias("weight")
-        )
-        return sparse_topk(postings, terms, k, False)
-    asked = terms.select("qid", "term_id", "weight").toArrow()
-    schema = T.StructType(
+    schema = found_schema(terms, index)
+    parts = query_blocks(terms.select("qid", "term_id", "weight"), value_bytes(terms, "qid") + 24, limit)
+    found = [_sparse_block(vectors, part, k, schema) for part in parts]
+    ranked = top_k(best_per_id(union_all(found)), k, F.col("score"))
+    return ranked.select("qid", "rank", "id", "score")
+
+
+def found_schema(queries: DataFrame, index: DataFrame) -> T.StructType:
+    return T.StructType(
         [
-            T.StructField("qid", terms.schema["qid"].dataType),
+            T.StructField("qid", queries.schema["qid"].dataType),
             T.StructField("id", index.schema["id"].dataType),
             T.StructField("score", T.DoubleType()),
         ]
     )
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def _sparse_block(vectors: DataFrame, terms: DataFrame, k: int, schema: T.StructType) -> DataFrame:
+    asked = terms.toArrow()
+    spark = vectors.sparkSession
     if not asked.num_rows:
-        none = index.sparkSession.createDataFrame([], schema)
-        return none.select("qid", F.lit(1).alias("rank"), "id", "score")
-    shared = index.sparkSession.sparkContext.broadcast(asked)
+        return spark.createDataFrame([], schema)
+    shared = spark.sparkContext.broadcast(asked)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top, id_type = SparseTop(shared.value, k), None
@@ -107,8 +129,7 @@ def sparse_topk_rows(
         if id_type is not None:
             yield from top.result(top.qids, id_type).to_batches()
 
-    ranked = top_k(vectors.mapInArrow(scan, schema), k, F.col("score"))
-    return ranked.select("qid", "rank", "id", "score")
+    return vectors.mapInArrow(scan, schema)
 
 
 def _scores(vectors: np.ndarray, block: np.ndarray, metric: str) -> np.ndarray:
@@ -132,13 +153,20 @@ def vector_rows(column, width: int) -> tuple[np.ndarray, np.ndarray]:
     return keep.to_numpy(zero_copy_only=False), values.astype("float64").reshape(-1, width)
 
 
-def query_block(queries: pa.Table) -> tuple[pa.ChunkedArray, np.ndarray]:
-    """Query ids and their matrix; all queries of a batch have the length of the first one."""
-    width = pc.list_value_length(queries["dense"])[0].as_py() if queries.num_rows else 0
+def query_block(queries: pa.Table, width: int) -> tuple[pa.ChunkedArray, np.ndarray]:
+    """Query ids and their matrix of ``width`` columns."""
     keep, matrix = vector_rows(queries["dense"], width)
     return queries["qid"].filter(pa.array(keep)), matrix
 
 
+def query_width(queries: DataFrame) -> int:
+    """The length of all query vectors, 0 without queries; queries of different lengths are refused."""
+    sizes = queries.agg(F.min(F.size("dense")).alias("low"), F.max(F.size("dense")).alias("high")).first()
+    if sizes["low"] != sizes["high"]:
+        raise ValueError(f"query vectors have {sizes['low']} to {sizes['high']} dimensions")
+    return sizes["low"] or 0
+
+
 class RunningTop:
     """The best ``k`` ids of every query over the batches that one task reads."""
 
@@ -149,22 +177,29 @@ class RunningTop:
         self.floors = np.full(queries, -np.inf)
 
     def offer(self, scores: np.ndarray, ids) -> None:
-        """Scores of one slice of ids, a row per query; minus infinity stands for no score."""
+        """Scores of one slice of ids, a row per query; what is not finite stands for no score."""
+        scores = np.where(np.isfinite(scores), scores, -np.inf)
         most = scores.max(axis=1)
         # Once the lists are full, few queries find anything in a slice.
         for q in np.flatnonzero((most >= self.floors) & (most > -np.inf)):
-            self._merge(q, scores[q], ids)
-
-    def _merge(self, q: int, scores: np.ndarray, ids) -> None:
-        floor = self.floors[q]
-        if len(scores) > self.k:
-            floor = max(floor, np.partition(scores, -self.k)[-self.k])
-        at = np.flatnonzero((scores >= floor) & (scores > -np.inf))
-        found = list(zip((-scores[at]).tolist(), ids.take(pa.array(at)).to_pylist()))
-        held = list(zip([-x for x in self.scores[q]], self.ids[q]))
-        best = heapq.nsmallest(self.k, held + found)
-        self.scores[q], self.ids[q] = [-s for s, _ in best], [i for _, i in best]
-        if len(best) == self.k:
+            self.merge(q, scores[q], ids)
+
+    def merge(self, q: int, scores: np.ndarray, ids) -> None:
+        """Take up scores of one query; an id that comes again keeps its best score."""
+        floor, size = self.floors[q], self.k
+        while True:
+            at = np.flatnonzero((scores >= floor) & (scores > -np.inf))
+            if len(scores) > size:
+                at = at[scores[at] >= np.partition(scores, -size)[-size]]
+            best: dict = dict(zip(self.ids[q], self.scores[q]))
+            for score, key in zip(scores[at].tolist(), ids.take(pa.array(at)).to_pylist()):
+                best[key] = max(score, best.get(key, -np.inf))
+            if len(best) >= self.k or len(scores) <= size:
+                break
+            size *= 4  # repeated ids took the places of others
+        kept = heapq.nsmallest(self.k, ((-s, i) for i, s in best.items()))
+        self.scores[q], self.ids[q] = [-s for s, _ in kept], [i for _, i in kept]
+        if len(kept) == self.k:
             self.floors[q] = self.scores[q][-1]
 
     def result(self, qids, id_type: pa.DataType) -> pa.Table:
@@ -223,42 +258,32 @@ class SparseTop(RunningTop):
         asked = self.vocabulary[at] == terms
         rows = np.repeat(np.arange(len(lengths)), lengths)[asked]
         at, weights = at[asked], weights[asked]
-        size = max(1, SCORE_ENTRIES // 8 // len(self.qids))
-        for start in range(0, len(lengths), size):
-            low, high = np.searchsorted(rows, (start, start + size))
-            if low < high:
-                width = min(size, len(lengths) - start)
-                scores = self._scores(rows[low:high] - start, at[low:high], weights[low:high], width)
-                self.offer(scores, batch.column("id").slice(start, width))
-
-    def _scores(self, rows, at, weights, width: int) -> np.ndarray:
-        """Each posting meets the queries that ask for its term; sums per query and row."""
+        # Slices of whole documents with a bounded number of (posting, query) pairs.
+        pairs = np.cumsum(self.counts[at])
+        low = 0
+        while low < len(rows):
+            reached = np.searchsorted(pairs, (pairs[low - 1] if low else 0) + SCORE_ENTRIES, "right")
+            high = np.searchsorted(rows, rows[min(reached, len(rows) - 1)], "left") if reached < len(rows) else len(rows)
+            if high <= low:  # one document alone
+                high = np.searchsorted(rows, rows[low], "right")
+            self._slice(rows[low:high], at[low:high], weights[low:high], batch.column("id"))
+            low = high
+
+    def _slice(self, rows, at, weights, ids) -> None:
+        """Each posting meets the queries that ask for its term; only pairs that share a term are summed."""
         repeats = self.counts[at]
         first = np.repeat(self.starts[at] - (np.cumsum(repeats) - repeats), repeats)
         entry = first + np.arange(len(first))
+        width = int(rows[-1]) + 1
         cell = self.owner[entry] * width + np.repeat(rows, repeats)
-        total = len(self.qids) * width
-        sums = np.bincount(cell, np.repeat(weights, repeats) * self.weight[entry], total)
-        hits = np.bincount(cell, minlength=total)
-        scores = np.where(hits > 0, np.round(sums, SCORE_PLACES), -np.inf)
-        return scores.reshape(len(self.qids), width)
-
-
-def grouped_top(k: int, metric: str):
-    """For two Arrow tables of one group (vectors, queries): the group's top-k rows."""
-
-    def meet(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        id_type = vectors.schema.field("id").type
-        if not vectors.num_rows or not queries.num_rows:
-            empty = {"qid": queries["qid"].slice(0, 0), "id": vectors["id"].slice(0, 0)}
-            return pa.table({**empty, "score": pa.array([], pa.float64())})
-        qids, block = query_block(queries)
-        top = DenseTop(block, k, metric)
-        for batch in vectors.to_batches():
-            top.add(batch)
-        return top.result(qids, id_type)
-
-    return meet
+        hit, place = np.unique(cell, return_inverse=True)
+        sums = np.bincount(place, np.repeat(weights, repeats) * self.weight[entry], len(hit))
+        scores, query, row = np.round(sums, SCORE_PLACES), hit // width, hit % width
+        near = np.isfinite(scores) & (scores >= self.floors[query])
+        scores, query, row = scores[near], query[near], row[near]
+        cuts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else []
+        for start, end in zip(cuts, [*cuts[1:], len(query)]):
+            self.merge(query[start], scores[start:end], ids.take(pa.array(row[start:end])))
 
 
 def dense_topk(
@@ -270,64 +295,40 @@ def dense_topk(
 ) -> DataFrame:
     """``(qid, rank, id, score)`` of ``queries(qid, dense)`` over ``index(id, embedding)``; exact.
 
-    Vectors of another length than the queries (failed embeddings are empty) have no score.
-    ``metric`` is dot, cosine (both: larger first) or l2 (smaller first).
+    Queries without a vector are left out, the others have one length. Vectors of another length
+    (failed embeddings are empty) and scores that are not finite do not count; of rows that repeat an
+    id the best one does. ``metric`` is dot, cosine (both: larger first) or l2 (smaller first).
+    Queries too many to send to the tasks are taken block by block; the index is never moved.
     """
     if metric not in ("dot", "cosine", "l2"):
         raise ValueError(f"unknown metric {metric!r}")
     index = index.select("id", "embedding")
     queries = queries.select("qid", "dense").where(F.size("dense") > 0)
-    schema = T.StructType(
-        [
-            T.StructField("qid", queries.schema["qid"].dataType),
-            T.StructField("id", index.schema["id"].dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    if fits_broadcast(queries, F.size("dense") * 8 + 32, limit):
-        asked = queries.toArrow()
-        if not asked.num_rows:
-            none = index.sparkSession.createDataFrame([], schema)
-            return none.select("qid", F.lit(1).alias("rank"), "id", "score")
-        block = index.sparkSession.sparkContext.broadcast(query_block(asked))
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            qids, matrix = block.value
-            top, id_type = DenseTop(matrix, k, metric), None
-            for batch in batches:
-                id_type = batch.schema.field("id").type
-                top.add(batch)
-            if id_type is not None:
-                yield from top.result(qids, id_type).to_batches()
-
-        found = index.mapInArrow(scan, schema)
-    else:
-        found = _grid_topk(index, queries, k, metric, limit, schema)
-    ranked = top_k(found, k, F.col("score"), ascending=metric == "l2")
+    width, schema = query_width(queries), found_schema(queries, index)
+    parts = query_blocks(queries, F.size("dense") * 8 + value_bytes(queries, "qid"), limit)
+    found = [_dense_block(index, part, k, metric, width, schema) for part in parts]
+    best = best_per_id(union_all(found), metric != "l2")
+    ranked = top_k(best, k, F.col("score"), ascending=metric == "l2")
     return ranked.select("qid", "rank", "id", "score")
 
 
-def _grid_topk(index, queries, k, metric, limit, schema) -> DataFrame:
-    """Both sides cut into blocks that fit a task; each pair of blocks is one group.
+def _dense_block(index, queries, k: int, metric: str, width: int, schema) -> DataFrame:
+    spark = index.sparkSession
+    asked = queries.toArrow()
+    if not asked.num_rows:
+        return spark.createDataFrame([], schema)
+    block = spark.sparkContext.broadcast(query_block(asked, width))
 
-    The index is copied once per query block and the queries once per index block; a group returns
-    only its top-k rows.
-    """
-    size = queries.agg(F.sum(F.size("dense") * 8 + 32).alias("n")).first()["n"]
-    columns = max(1, -(-size // limit))
-    blocks = max(1, -(-index.count() // BLOCK_ROWS))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    left = index.select(
-        "id", "embedding", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("__row"),
-        every(columns).alias("__col"),
-    )
-    right = queries.select(
-        "qid", "dense", F.pmod(F.xxhash64("qid"), F.lit(columns)).alias("__col"),
-        every(blocks).alias("__row"),
-    )
-    keys = ["__row", "__col"]
-    paired = left.groupBy(*keys).cogroup(right.groupBy(*keys))
-    return paired.applyInArrow(grouped_top(k, metric), schema)
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        qids, matrix = block.value
+        top, id_type = DenseTop(matrix, k, metric), None
+        for batch in batches:
+            id_type = batch.schema.field("id").type
+            top.add(batch)
+        if id_type is not None:
+            yield from top.result(qids, id_type).to_batches()
+
+    return index.mapInArrow(scan, schema)
 
 
 def reciprocal_rank_fusion(
@@ -360,9 +361,12 @@ def reciprocal_rank_fusion(
 def shape_results(fused: DataFrame, index: DataFrame) -> DataFrame:
     """``(qid, rank, id, distance, sparse_distance, metadata)`` from ``index(id, metadata)``.
 
-    The neighbours are few next to the index, so the index side is first reduced by a semi join.
+    The neighbours are few next to the index, so the index side is first reduced by a semi join,
+    where it is read if the neighbours' ids fit a broadcast.
     """
     ids = fused.select("id").distinct()
+    if fits_broadcast(ids, value_bytes(ids, "id")):
+        ids = F.broadcast(ids)
     known = index.select("id", F.col("embedding_metadata").alias("metadata"))
     matched = known.join(ids, "id", "left_semi")
     return fused.join(matched, "id", "left").select(

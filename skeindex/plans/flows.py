@@ -201,7 +201,7 @@ def hybrid_topk(
     # Query text bounds the number of query terms.
     small = bm25.queries_are_small(queries)
     terms = bm25.query_terms(queries, model, "text", analyzer, small)
-    by_terms = search.sparse_topk_rows(index, terms, depth, small)
+    by_terms = search.sparse_topk_rows(index, terms, depth)
     by_vector = search.dense_topk(index, queries, depth, options.metric)
     return search.reciprocal_rank_fusion(by_vector, by_terms, options.k, options.alpha)
 
