@@ -8,6 +8,7 @@ sequence crosses documents and none is padded. A batch is read from one bucket.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -21,19 +22,46 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 from skeindex.llm.common import offset_by, staged
 
 # Words whose ids a worker remembers, and characters of text it tokenises at a time.
-REMEMBERED, BLOCK_CHARS = 300_000, 4_000_000
+REMEMBERED, BLOCK_CHARS = 800_000, 2_000_000
+
+
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+_MARKS = ".,!?#$%&*|"
 
 
 def words_of(text: str) -> list[str]:
-    """Cut a text before every single space between two characters that are not white space.
+    """Cut a text where a byte-level tokenizer always starts a new token, so ids of the parts join to ids of the text.
 
-    A byte-level tokenizer puts such a space at the head of the next token, so ids of the parts join to ids of the text.
+    That is before a single space and around a single line break between other characters, and between a letter or
+    digit and punctuation at the end of a word. Texts with other white space are cut at single spaces only.
     """
-    parts = text.split(" ")
-    if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
-        return [parts[0], *[" " + p for p in parts[1:]]]
+    words: list[str] = []
+    if _OTHER_SPACE.search(text):
+        return _spaced(text)
+    for i, line in enumerate(text.split("\n")):
+        if i:
+            words.append("\n")
+        space = ""
+        for part in line.split(" "):
+            if part[-1:].isalnum():
+                words.append(space + part)
+            elif not part:
+                return _spaced(text)
+            else:
+                core = part.rstrip(_MARKS)
+                if core and core[-1].isalnum():
+                    words.append(space + core)
+                    words.append(part[len(core) :])
+                else:
+                    words.append(space + part)
+            space = " "
+    return words
+
+
+def _spaced(text: str) -> list[str]:
+    """Cut before every single space between two characters that are not white space."""
     words, closed = [], False
-    for i, part in enumerate(parts):
+    for i, part in enumerate(text.split(" ")):
         if closed and part and not part[0].isspace():
             words.append(" " + part)
         elif i:
