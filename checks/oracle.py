@@ -55,6 +55,10 @@ ORACLE["bm25_encode_queries"] = f"""WITH {DOC_TF}, {QUERY_TF}, {STATS}, {QUERY_W
 ORACLE["sparse_topk"] = f"""WITH {DOC_TF}, {QUERY_TF}, {STATS}, {WEIGHTS}, {QUERY_WEIGHTS}, {SPARSE}
     SELECT qid, rank, id, score FROM sr WHERE rank <= 10"""
 ORACLE["sparse_topk_join"] = ORACLE["sparse_topk"]
+ORACLE["sparse_topk_repeated_ids"] = f"""WITH {DOC_TF}, {QUERY_TF}, {STATS}, {WEIGHTS}, {QUERY_WEIGHTS}, {SPARSE},
+    h AS (SELECT qid, id // 2 AS id, max(score) AS score FROM ss GROUP BY 1, 2),
+    r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM h)
+    SELECT qid, rank, id, score, unnest(['one', 'many']) AS path FROM r WHERE rank <= 10"""
 
 SPELLINGS = """
     sp AS (SELECT doc_id AS id, CASE WHEN lang = 'en' THEN text ELSE '' END AS chunk,
@@ -78,6 +82,21 @@ for metric, score, order in (
     s AS (SELECT qid, id, round({score}, 6) AS score FROM e, q),
     r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score {order}, id) AS rank FROM s)
     SELECT qid, rank, id, score FROM r WHERE rank <= 10"""
+ORACLE["ann_topk"] = f"""WITH {MEANS},
+    c AS (SELECT qid AS cell, d, count(*) OVER () AS n FROM q),
+    own AS (SELECT id, cell FROM e, c QUALIFY
+      row_number() OVER (PARTITION BY id ORDER BY list_dot_product(v, d) - list_dot_product(d, d) / 2 DESC, cell) = 1),
+    near AS (SELECT id AS qid, cell FROM e, c QUALIFY
+      row_number() OVER (PARTITION BY id ORDER BY round(list_dot_product(v, d), 6) DESC, cell) <= ceil(n / 10)),
+    s AS (SELECT near.qid, own.id, round(list_dot_product(a.v, b.v), 6) AS score
+      FROM near JOIN own USING (cell) JOIN e a ON a.id = near.qid JOIN e b ON b.id = own.id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM s)
+    SELECT qid, rank, id, score FROM r WHERE rank <= 10"""
+# Ids are text there, which orders ties; scores of stored vectors are rounded more coarsely.
+ORACLE["index_ann_topk"] = ORACLE["ann_topk"].replace(
+    "SELECT vec_id AS id, label, embedding::DOUBLE[] AS v FROM embeddings",
+    "SELECT vec_id::VARCHAR AS id, label, embedding::DOUBLE[] AS v FROM embeddings",
+).replace("SELECT qid, rank, id, score FROM r", "SELECT qid, rank, round(score, 4) AS score FROM r")
 ORACLE["ann_all_cells"] = ORACLE["dense_topk_dot"]
 ORACLE["l2_normalize"] = """
     WITH e AS (SELECT vec_id AS id, list_transform(embedding::DOUBLE[], lambda x: x * label) AS v
@@ -130,10 +149,13 @@ ORACLE["result_shape"] = f"""{FUSED}
     SELECT qid, rank, id, distance, sparse_distance, lang, source
     FROM fr LEFT JOIN documents ON doc_id = id WHERE rank <= 10"""
 
-LINKS = """
+HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+HREF = r"""(?is)<(?:a|area)\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+LINKS = f"""
     l AS (SELECT url AS src_url, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS site,
-        unnest(regexp_extract_all(html, 'href="([^"#]+)', 1)) AS href FROM pages),
-    links AS (SELECT src_url, site || href AS dst_url FROM l)"""
+        unnest(regexp_extract_all(regexp_replace(html, {quoted(HIDDEN)}, '', 'g'), {quoted(HREF)}, 1)) AS href FROM pages),
+    links AS (SELECT src_url, site || regexp_replace(replace(trim(href, chr(34) || chr(39)), '&amp;', '&'), '#.*$', '') AS dst_url
+      FROM l WHERE NOT starts_with(trim(href, chr(34) || chr(39)), '#'))"""
 ORACLE["extract_links"] = f"WITH {LINKS} SELECT src_url, dst_url FROM links"
 ORACLE["filter_links"] = f"""WITH {LINKS},
     h AS (SELECT *, lower(regexp_extract(dst_url, '://([^/?#:]*)', 1)) AS host FROM links)
@@ -305,11 +327,18 @@ ORACLE["index_replace_files"] = f"""WITH {UNITS},
 ORACLE["datapoint_lines"] = f"""
     SELECT vec_id::VARCHAR AS id, 'f' || label AS source_file, len(embedding) AS dims FROM embeddings"""
 
+ORACLE["index_overwrite_empty"] = f"""WITH {UNITS}
+    SELECT id, source_file, 'two' AS batch, first FROM u WHERE label >= 5"""
+ORACLE["dedupe_null_order"] = """
+    SELECT doc_id // 2 AS id, doc_id, source, CASE WHEN doc_id % 3 <> 0 THEN doc_id END AS seq FROM documents
+    QUALIFY row_number() OVER (PARTITION BY doc_id // 2 ORDER BY CASE WHEN doc_id % 3 <> 0 THEN doc_id END DESC NULLS LAST) = 1"""
+
 REPLIES = """
     n AS (SELECT user_id AS qid, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rank,
       event_type AS id, value AS distance, round(value / 2, 6) AS sparse_distance,
       CASE WHEN event_type <> 'error' THEN 'chunks/v1' END AS chunk_gcs_uri,
-      event_id AS chunk_line_offset FROM events)"""
+      event_id AS chunk_line_offset FROM events
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) <= 10)"""
 FETCHED = f"""{REPLIES},
     f AS (SELECT qid, rank, n.id, text FROM n JOIN documents ON doc_id = chunk_line_offset
       WHERE chunk_gcs_uri IS NOT NULL AND lang <> 'de' AND text <> '')"""
@@ -376,8 +405,15 @@ ORACLE["incremental_update"] = f"""{POINTS},
     o AS (SELECT corpus.key, row_number() OVER (PARTITION BY later ORDER BY source_file, i) - 1 AS line
       FROM corpus JOIN pg ON pg.key = source_file)
     SELECT key AS id, n_terms, 256 AS dims, line FROM o JOIN t ON t.id = key"""
+ORACLE["update_without_chunks"] = ORACLE["incremental_update"]
 ORACLE["streaming_update"] = ORACLE["incremental_update"]
 INDEXED = "SELECT DISTINCT id FROM tf"
+ORACLE["answer_after_update"] = "SELECT item_id AS qid, 10 AS contexts FROM benchmark"
+ORACLE["intake_pages"] = f"""WITH {KEYED},
+    one AS (SELECT source_file, page_id, html FROM k
+      QUALIFY row_number() OVER (PARTITION BY source_file ORDER BY page_id DESC) = 1)
+    SELECT source_file, CASE WHEN page_id % 2 = 0 THEN '2024-01-01 00:00:00' ELSE '2024-02-01 00:00:00' END AS scrape_time,
+      md5(CASE WHEN page_id % 2 = 0 THEN html ELSE '<p>new</p>' END) AS digest FROM one"""
 ORACLE["answer_queries"] = f"""WITH RECURSIVE {CORPUS}, {CORPUS_TF}, {fused(INDEXED, 10, "unit")},
     got AS (SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY rank) AS i, corpus.text AS chunk
       FROM fr JOIN corpus ON corpus.key = fr.id WHERE rank <= 10),
@@ -389,6 +425,8 @@ ORACLE["answer_queries"] = f"""WITH RECURSIVE {CORPUS}, {CORPUS_TF}, {fused(INDE
 PER_DOCUMENT = f"""WITH {DOC_TF}, t AS (SELECT id, count(*) AS n_terms FROM tf GROUP BY id)"""
 ORACLE["ingest_chunks"] = f"""{PER_DOCUMENT}
     SELECT id::VARCHAR AS id, n_terms, 256 AS dims, id AS line FROM t"""
+ORACLE["ingest_without_offsets"] = f"""{PER_DOCUMENT}
+    SELECT id::VARCHAR AS id, n_terms, 256 AS dims FROM t"""
 ORACLE["merged_datapoints"] = f"""{PER_DOCUMENT},
     d AS (SELECT doc_id AS line, doc_id // 2 AS id, max(doc_id) OVER (PARTITION BY doc_id // 2) AS last
       FROM documents WHERE text <> '')

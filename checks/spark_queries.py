@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skeindex.operators import ann, bm25, chunking, cleaning, context, dense, intake, merge, search
@@ -190,11 +190,44 @@ def model_embed(spark, sf):
 
 
 def ann_topk(spark, sf):
+    """Every vector as a query in a tenth of the cells, whose centroids are the means of the labels."""
+    rows = vectors(spark, sf)
+    means = label_means(spark, sf).select(
+        F.lit(0).alias("parent"), F.col("dense").alias("parent_centroid"), F.col("qid").alias("cell"),
+        F.col("dense").alias("centroid"),
+    )
+    centroids = stage(means, "centroids")
+    path = scratch(spark, "cells")
+    ann.write_cells(ann.assign_cells(rows, centroids), path)
+    queries = rows.select(F.col("id").alias("qid"), F.col("embedding").alias("dense"))
+    return ann.ann_topk(spark.read.parquet(path), centroids, queries, 10)
+
+
+def index_ann_topk(spark, sf):
+    """The same through an index: cells are given to it between two updates."""
+    catalog, rows = _index(spark), vectors(spark, sf)
+    catalog.update("demo", _points(rows.where("label < 5"), "one"), overwrite=True)
+    means = label_means(spark, sf).select(
+        F.lit(0).alias("parent"), F.col("dense").alias("parent_centroid"), F.col("qid").alias("cell"),
+        F.col("dense").alias("centroid"),
+    )
+    catalog.set_cells("demo", means)
+    catalog.update("demo", _points(rows.where("label >= 3"), "two"))
+    queries = catalog.read("demo").select(F.col("id").alias("qid"), F.col("embedding").alias("dense"))
+    found = catalog.search("demo", queries, 10)
+    return found.select("qid", "rank", F.round("score", 4).alias("score"))
+
+
+def ann_trained(spark, sf):
+    """The same with trained cells: how many of the exact ten neighbours are found, per query."""
     rows = vectors(spark, sf)
     centroids = stage(ann.train_cells(rows, leaf_size=50), "centroids")
     path = scratch(spark, "cells")
     ann.write_cells(ann.assign_cells(rows, centroids), path)
-    return ann.ann_topk(spark.read.parquet(path), centroids, label_means(spark, sf), 10)
+    queries = rows.select(F.col("id").alias("qid"), F.col("embedding").alias("dense"))
+    found = ann.ann_topk(spark.read.parquet(path), centroids, queries, 10, probe_pct=30)
+    exact = search.dense_topk(rows, queries, 10)
+    return exact.join(found.select("qid", "id"), ["qid", "id"], "left_semi").groupBy("qid").count()
 
 
 def ann_all_cells(spark, sf):
@@ -464,6 +497,26 @@ def dedupe_last(spark, sf):
                        F.round(first, 6).alias("first"))
 
 
+def dedupe_null_order(spark, sf):
+    """Pairs of documents under one id; an order that is missing loses."""
+    rows = table(spark, sf, "documents").select(
+        F.floor(F.col("doc_id") / 2).alias("id"), "doc_id", "source",
+        F.when(F.col("doc_id") % 3 != 0, F.col("doc_id")).alias("seq"),
+    )
+    return intake.last_per_key(rows, "id", "seq")
+
+
+def sparse_topk_repeated_ids(spark, sf):
+    """Two documents per id, searched in one block and in many: the better one counts on both paths."""
+    terms = terms_of(spark, sf)
+    model = model_of(terms)
+    index = bm25.encode_documents(terms, model).withColumn("id", F.floor(F.col("id") / 2))
+    wanted = bm25.query_terms(benchmark(spark, sf), model, "text", PLAIN)
+    paths = (("one", {}), ("many", {"limit": 4096}))
+    found = [search.sparse_topk_rows(index, wanted, 10, **o).withColumn("path", F.lit(p)) for p, o in paths]
+    return found[0].unionByName(found[1])
+
+
 def merge_datapoints(spark, sf):
     terms = terms_of(spark, sf)
     encoded = bm25.encode_documents(terms, model_of(terms)).withColumn("seq", F.lit(0))
@@ -537,6 +590,16 @@ def index_replace_files(spark, sf):
     return _index_rows(catalog)
 
 
+def index_overwrite_empty(spark, sf):
+    """An overwrite by nothing leaves an empty index, which can be filled again."""
+    catalog, rows = _index(spark), vectors(spark, sf)
+    catalog.update("demo", _points(rows, "one"), overwrite=True)
+    catalog.update("demo", _points(rows.where("label > 1000"), "none"), overwrite=True)
+    left = _index_rows(catalog)
+    catalog.update("demo", _points(rows.where("label >= 5"), "two"))
+    return _index_rows(catalog).unionByName(left)
+
+
 def datapoint_lines(spark, sf):
     """Datapoints written as JSONL and read back without a schema."""
     target = jsonl.write_datapoints(_points(vectors(spark, sf), "one"), scratch(spark, "points"))
@@ -548,7 +611,7 @@ def datapoint_lines(spark, sf):
 
 
 def _replies(spark, sf):
-    """Saved replies, one per user: that user's events as neighbours, in time order."""
+    """Saved replies, one per user: that user's first ten events as neighbours, in time order."""
     neighbor = F.struct(
         F.col("value").alias("distance"),
         (F.col("value") / 2).alias("sparse_distance"),
@@ -561,7 +624,9 @@ def _replies(spark, sf):
         ).alias("datapoint"),
     )
     ordered = F.array_sort(F.collect_list(F.struct("event_id", neighbor.alias("n"))))["n"]
-    grouped = table(spark, sf, "events").groupBy(F.col("user_id").alias("qid")).agg(ordered.alias("n"))
+    by_user = Window.partitionBy("user_id").orderBy("event_id")
+    events = table(spark, sf, "events").withColumn("k", F.row_number().over(by_user)).where("k <= 10")
+    grouped = events.groupBy(F.col("user_id").alias("qid")).agg(ordered.alias("n"))
     answer = F.struct(F.lit("query_0").alias("id"), F.col("n").alias("neighbors"))
     return grouped.select("qid", F.to_json(F.struct(F.array(answer).alias("nearestNeighbors"))).alias("body"))
 
@@ -681,6 +746,54 @@ def ingest_chunks(spark, sf):
     return _ids(catalog)
 
 
+def ingest_without_offsets(spark, sf):
+    """Chunk records that have no place in a dataset keep their ids."""
+    root, catalog, embedder = _setting(spark)
+    chunks = _saved_chunks(spark, sf).withColumn("chunk_line_offset", F.lit(None).cast("long"))
+    flows.fit_model(chunks, root + "/model", root + "/artifacts", analyzer=PLAIN)
+    catalog.create("main", IndexSettings(dims=HASH_DIMS))
+    flows.ingest_chunks(
+        catalog, "main", chunks, root + "/artifacts", embedder=embedder, analyzer=PLAIN
+    )
+    return _ids(catalog).drop("line")
+
+
+def update_without_chunks(spark, sf):
+    """A batch of pages without text changes nothing; the one after it counts."""
+    root, catalog, embedder, rows = _rebuilt_part(spark, sf)
+    new = rows.where(F.col("original_url").contains(".net"))
+    for number, batch in enumerate((new.withColumn("html", F.lit("<html></html>")), new)):
+        flows.incremental_update(
+            catalog, "main", spread(batch), f"{root}/later{number}", root + "/artifacts",
+            embedder=embedder, analyzer=PLAIN,
+        )
+    return _ids(catalog)
+
+
+def answer_after_update(spark, sf):
+    """Questions whose neighbours lie in the rebuilt data and in an update: both chunk tables are read."""
+    root, catalog, embedder, rows = _rebuilt_part(spark, sf)
+    new = rows.where(F.col("original_url").contains(".net"))
+    flows.incremental_update(
+        catalog, "main", spread(new), root + "/chunks2", root + "/artifacts", embedder=embedder,
+        analyzer=PLAIN,
+    )
+    prompts = flows.answer_queries(
+        catalog, "main", benchmark(spark, sf), None, root + "/artifacts", embedder=embedder, analyzer=PLAIN
+    )
+    return prompts.select("qid", (F.size(F.split("prompt", r"\nContext [0-9]+: ")) - 1).alias("contexts"))
+
+
+def intake_pages(spark, sf):
+    """The page flow on an empty store, then on changed pages."""
+    store = KeyedTable(scratch(spark, "pages"), "source_file", 8)
+    flows.intake_pages(pages(spark, sf), store, PREFIX, "page_id", moment(STAMP))
+    html = F.when(F.col("page_id") % 2 == 0, F.col("html")).otherwise("<p>new</p>")
+    again = pages(spark, sf).withColumn("html", html)
+    flows.intake_pages(again, store, PREFIX, "page_id", moment(LATER))
+    return store.read(spark).select("source_file", "scrape_time", F.md5("html").alias("digest"))
+
+
 def merged_datapoints(spark, sf):
     """Two documents per id: each keeps its row and gets the vectors of the later one."""
     half = F.floor(F.col("chunk_line_offset") / 2).cast("string")
@@ -727,6 +840,8 @@ QUERIES = {
     "hash_embed": hash_embed,
     "model_embed": model_embed,
     "ann_topk": ann_topk,
+    "ann_trained": ann_trained,
+    "index_ann_topk": index_ann_topk,
     "ann_all_cells": ann_all_cells,
     "hybrid_rrf": hybrid_rrf,
     "result_shape": result_shape,
@@ -752,10 +867,13 @@ QUERIES = {
     "versioned_name": versioned_name,
     "list_objects": list_objects,
     "dedupe_last": dedupe_last,
+    "dedupe_null_order": dedupe_null_order,
+    "sparse_topk_repeated_ids": sparse_topk_repeated_ids,
     "merge_datapoints": merge_datapoints,
     "index_overwrite": index_overwrite,
     "index_upsert": index_upsert,
     "index_replace_files": index_replace_files,
+    "index_overwrite_empty": index_overwrite_empty,
     "datapoint_lines": datapoint_lines,
     "parse_neighbors": parse_neighbors,
     "fetch_chunks": fetch_chunks,
@@ -764,6 +882,10 @@ QUERIES = {
     "incremental_update": incremental_update,
     "streaming_update": streaming_update,
     "ingest_chunks": ingest_chunks,
+    "ingest_without_offsets": ingest_without_offsets,
+    "update_without_chunks": update_without_chunks,
+    "answer_after_update": answer_after_update,
+    "intake_pages": intake_pages,
     "merged_datapoints": merged_datapoints,
     "scan_pages": scan_pages,
     "answer_queries": answer_queries,

@@ -53,11 +53,9 @@ def fetch_chunks(neighbors: DataFrame, chunks: DataFrame) -> DataFrame:
     if "offset_block" in chunks.columns:
         pointers = pointers.withColumn("offset_block", offset_block(F.col("chunk_line_offset")))
         keys.append("offset_block")
-    if fits_broadcast(pointers, 256):
-        if "offset_block" in keys:
-            # The broadcast limit bounds this list; as constants, the blocks prune the scan.
-            blocks = [r["offset_block"] for r in pointers.select("offset_block").distinct().collect()]
-            texts = texts.where(F.col("offset_block").isin(blocks))
+    width = F.coalesce(F.octet_length("chunk_gcs_uri"), F.lit(0)) + F.octet_length(F.col("id").cast("string")) + 64
+    if fits_broadcast(pointers, width):
+        # A broadcast on the partition column lets Spark skip the other blocks.
         pointers = F.broadcast(pointers)
     return texts.select(*keys, "chunk").join(pointers, keys).select("qid", "rank", "id", "chunk")
 

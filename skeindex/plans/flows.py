@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeindex.functions.markup import CleaningRules
-from skeindex.functions.vectors import DISTANCE_MEASURES
 from skeindex.operators import bm25, chunking, cleaning, context, dense, intake, merge, search
 from skeindex.operators.bm25 import Analyzer, Model
 from skeindex.session import spread, stage
@@ -52,17 +51,18 @@ def chunk_dataset(
     """
     spark = pages.sparkSession
     cleaned = cleaning.clean_pages(pages.drop("fingerprint"), rules)
-    records = stage(chunking.chunk_records(cleaned, version), "chunks")
-    if log.isEnabledFor(logging.INFO):
-        log.info("%d chunks for %s", records.count(), uri)
-    jsonl.write_chunk_store(chunking.with_line_offsets(records, uri), uri)
-    return spark.read.parquet(uri)
+    records, seen = chunking.counted(chunking.chunk_records(cleaned, version), "chunks")
+    numbered = chunking.with_line_offsets(stage(records, "chunks"), uri)
+    log.info("%d chunks for %s", seen.get["rows"], uri)
+    jsonl.write_chunk_store(numbered, uri)
+    return jsonl.read_chunk_store(spark, uri, numbered.schema)
 
 
 def reuse_dataset(previous: DataFrame, uri: str) -> DataFrame:
     """Chunks of an earlier run (with ``file_path``) re-pointed to a new table at ``uri``."""
-    jsonl.write_chunk_store(chunking.reuse_chunks(previous, uri), uri)
-    return previous.sparkSession.read.parquet(uri)
+    chunks = chunking.reuse_chunks(previous, uri)
+    jsonl.write_chunk_store(chunks, uri)
+    return jsonl.read_chunk_store(previous.sparkSession, uri, chunks.schema)
 
 
 def fit_model(
@@ -184,36 +184,59 @@ def scan_and_chunk(spark: SparkSession, uri: str, chunks_uri: str, metadata=None
     return chunk_dataset(objects.scan_pages(spark, uri, metadata), chunks_uri, **options)
 
 
+def chunk_tables(found: DataFrame) -> DataFrame:
+    """All chunk tables that the neighbours ``found`` point to, each one once; a table per run, so they are few."""
+    spark = found.sparkSession
+    uris = found.select(F.col("metadata.chunk_gcs_uri").alias("uri")).where("uri is not null").distinct()
+    columns = ("chunk_gcs_uri", "chunk_line_offset", "chunk", "offset_block")
+    schema = "chunk_gcs_uri string, chunk_line_offset bigint, chunk string, offset_block bigint"
+    whole = spark.createDataFrame([], schema)
+    for row in uris.orderBy("uri").collect():
+        table = objects.read_if_present(spark, row["uri"], schema)
+        if table is not None:
+            whole = whole.unionByName(table.select(*columns))
+    return whole
+
+
 @dataclass(frozen=True)
 class SearchOptions:
     k: int = search.NEIGHBOR_COUNT
     alpha: float = search.RRF_ALPHA
     depth: int | None = None  # candidates per list; None means k
     metric: str = "dot"
+    approximate: bool = False  # search the cells of an index that has them
 
 
 def hybrid_topk(
     queries: DataFrame, index: DataFrame, model: Model,
     options: SearchOptions = SearchOptions(), analyzer: Analyzer = Analyzer(),
+    by_vector: DataFrame | None = None,
 ) -> DataFrame:
-    """Fused top-k of ``queries(qid, text, dense)`` over ``index(id, embedding, sparse_embedding)``."""
+    """Fused top-k of ``queries(qid, text, dense)`` over ``index(id, embedding, sparse_embedding)``.
+
+    ``by_vector``: the dense list, if it was searched elsewhere.
+    """
     depth = options.depth or options.k
     # Query text bounds the number of query terms.
     small = bm25.queries_are_small(queries)
     terms = bm25.query_terms(queries, model, "text", analyzer, small)
     by_terms = search.sparse_topk_rows(index, terms, depth)
-    by_vector = search.dense_topk(index, queries, depth, options.metric)
+    if by_vector is None:
+        by_vector = search.dense_topk(index, queries, depth, options.metric)
     return search.reciprocal_rank_fusion(by_vector, by_terms, options.k, options.alpha)
 
 
 def answer_queries(
-    catalog: IndexCatalog, index_name: str, queries: DataFrame, chunks: DataFrame, registry: str,
+    catalog: IndexCatalog, index_name: str, queries: DataFrame, chunks: DataFrame | None, registry: str,
     model_name: str = artifacts.MODEL_NAME, embedder: Embedder = Embedder(),
     options: SearchOptions = SearchOptions(), analyzer: Analyzer = Analyzer(),
 ) -> DataFrame:
-    """From ``queries(qid, text)`` to ``(qid, prompt)``: live model, hybrid search, chunk lookup."""
+    """From ``queries(qid, text)`` to ``(qid, prompt)``: live model, hybrid search, chunk lookup.
+
+    Without ``chunks``, the chunk tables that the neighbours point to are read.
+    """
     spark = catalog.spark
-    settings = catalog.find(index_name)
+    catalog.find(index_name)
     uri = artifacts.live_uri(artifacts.read_artifacts(spark, registry), model_name)
     model = models.load_model(spark, uri)
     termed = bm25.with_terms(queries.select("qid", "text"), "text", analyzer)
@@ -222,10 +245,11 @@ def answer_queries(
     )
     ready = stage(ready, "queries")
     index = catalog.read(index_name)
-    options = SearchOptions(
-        options.k, options.alpha, options.depth, DISTANCE_MEASURES[settings["metric"]]
-    )
-    fused = hybrid_topk(ready, index, model, options, analyzer)
-    found = search.shape_results(stage(fused, "fused"), index)
+    by_vector = catalog.search(index_name, ready, options.depth or options.k, options.approximate)
+    fused = hybrid_topk(ready, index, model, options, analyzer, by_vector)
+    # The pointers are used several times: written once.
+    found = stage(search.shape_results(stage(fused, "fused"), index), "found")
+    if chunks is None:
+        chunks = chunk_tables(found)
     texts = context.fetch_chunks(found, chunks)
     return context.build_prompts(context.build_context(texts), queries)

@@ -31,7 +31,7 @@ def build_session(app: str = "skeindex", cores: str = "*") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may run without the setting; it gets a fresh temporary folder.
+    Only a local-mode session may run without the setting; it gets a folder under the warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -40,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="skeindex-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/skeindex-{uuid.uuid4().hex}"
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -64,12 +64,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a scan of few splits one partition per core before text is expanded.
+    """Give data from few files one partition per core before text is expanded; no job is run to find out.
 
-    A scan that already has enough splits is returned unchanged, so large inputs are not shuffled.
+    Data from at least as many files as there are cores is returned unchanged, so large inputs are not shuffled.
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= wanted:
+    if len(df.inputFiles()) >= wanted:
         return df
     return df.repartition(wanted, *keys)
 

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from skeindex.functions.vectors import DISTANCE_MEASURES, FEATURE_NORMS, norm, unit
+from skeindex.operators import ann
 from skeindex.operators.intake import last_per_key
+from skeindex.operators.search import dense_topk
 from skeindex.schemas import INDEX
 from skeindex.sources.keyed import KeyedTable
 from skeindex.sources.objects import read_if_present
@@ -33,8 +35,11 @@ class IndexCatalog:
         self.spark, self.root, self.buckets = spark, root, buckets
 
     def _rows(self, name: str) -> list[Row]:
+        """The settings stored under a name; if two writers created it, the ones that sort first."""
         catalog = read_if_present(self.spark, f"{self.root}/catalog", INDEX)
-        return [] if catalog is None else catalog.where(F.col("name") == name).limit(1).collect()
+        if catalog is None:
+            return []
+        return catalog.where(F.col("name") == name).orderBy(*catalog.columns).limit(1).collect()
 
     def create(self, name: str, settings: IndexSettings = IndexSettings()) -> Row:
         """The index called ``name``, created when absent; an existing one keeps its settings."""
@@ -58,18 +63,60 @@ class IndexCatalog:
         return found[0]
 
     def table(self, name: str) -> KeyedTable:
-        return KeyedTable(f"{self.root}/indexes/{name}", "id", self.buckets)
+        return KeyedTable(f"{self.root}/indexes/{name}", "id", self.buckets, sort="cell")
 
     def read(self, name: str) -> DataFrame:
+        return self.read_cells(name).drop("cell")
+
+    def read_cells(self, name: str) -> DataFrame:
+        """The datapoints with the ``cell`` of their vector, null before cells were trained."""
         self.find(name)
         return self.table(name).read(self.spark).drop("bucket")
 
+    def centroids(self, name: str) -> DataFrame | None:
+        """The newest cells of an index, for approximate search; None without any."""
+        found = read_if_present(self.spark, f"{self.root}/cells/{name}", ann.CELLS + ", version int")
+        newest = None if found is None else found.agg(F.max("version")).first()[0]
+        return None if newest is None else found.where(F.col("version") == newest).drop("version")
+
+    def set_cells(self, name: str, centroids: DataFrame) -> int:
+        """Store cells and give every datapoint its own; later updates assign theirs to the same cells."""
+        table = self.table(name)
+        version = table.manifest(self.spark).version + 1
+        centroids.write.mode("error").parquet(f"{self.root}/cells/{name}/version={version}")
+        return table.overwrite(self._with_cells(name, self.read(name)))
+
+    def train(self, name: str, seed: int = 7, iterations: int = 10) -> int:
+        """Train the cells of an index on all of its vectors, one per ``leaf_size`` of them."""
+        leaf = self.find(name)["leaf_size"]
+        return self.set_cells(name, ann.train_cells(self.read(name).select("id", "embedding"), leaf, seed, iterations))
+
+    def _with_cells(self, name: str, datapoints: DataFrame) -> DataFrame:
+        centroids = self.centroids(name)
+        if centroids is None:
+            return datapoints.withColumn("cell", F.lit(None).cast("int"))
+        return ann.assign_cells(datapoints, centroids)
+
+    def search(self, name: str, queries: DataFrame, k: int, approximate: bool = True) -> DataFrame:
+        """Dense ``(qid, rank, id, score)`` by the metric of the index: in ``probe_pct`` percent of its cells, or exact.
+
+        An index without cells is searched exactly.
+        """
+        settings, centroids = self.find(name), self.centroids(name)
+        metric = DISTANCE_MEASURES[settings["metric"]]
+        if centroids is None or not approximate:
+            return dense_topk(self.read(name), queries, k, metric)
+        return ann.ann_topk(self.read_cells(name), centroids, queries, k, metric, settings["probe_pct"])
+
     def _prepared(self, settings: Row, datapoints: DataFrame) -> DataFrame:
         """Datapoints with checked dimensions and the index's norm, the last one of every id."""
         vector, size = F.col("embedding"), F.size("embedding")
         fits = vector.isNull() | (size == 0) | (size == settings["dims"])
         wrong = F.concat(F.lit(f"index has {settings['dims']} dimensions, vector has "), size.cast("string"))
-        checked = F.when(fits, vector).otherwise(F.raise_error(wrong))
+        # A vector that is not finite counts as one that failed: the datapoint stays, without it.
+        finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        sound = F.when(vector.isNull() | finite, vector).otherwise(F.array().cast(datapoints.schema["embedding"].dataType))
+        checked = F.when(fits, sound).otherwise(F.raise_error(wrong))
         ready = datapoints.withColumn("embedding", checked)
         if settings["norm"] == "UNIT_L2_NORM":
             ready = ready.withColumn("__len", norm(F.col("embedding")))
@@ -89,7 +136,7 @@ class IndexCatalog:
 
         ``replace_files`` also removes old chunks of the files in this batch that it no longer has.
         """
-        ready = self._prepared(self.find(name), datapoints)
+        ready = self._with_cells(name, self._prepared(self.find(name), datapoints))
         if overwrite:
             return self.table(name).overwrite(ready)
         group = "embedding_metadata.source_file" if replace_files else None

@@ -66,3 +66,8 @@ def write_chunk_store(chunks: DataFrame, path: str) -> None:
     blocked = chunks.withColumn("offset_block", offset_block(F.col("chunk_line_offset")))
     spread = blocked.hint("rebalance", "offset_block")
     spread.write.mode("overwrite").partitionBy("offset_block").parquet(path)
+
+
+def read_chunk_store(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The chunk table at ``path``; ``schema`` is that of its rows, so that a table without rows can be read too."""
+    return spark.read.schema(T.StructType(schema.fields).add("offset_block", T.LongType())).parquet(path)

@@ -1,114 +1,166 @@
 """Keyed tables on Parquet: full overwrite and partial upsert, committed by a small manifest.
 
-Rows are bucketed by a hash of their key. A write puts whole buckets under a fresh token and then
-commits a manifest ``(bucket, token)``. Readers follow the newest manifest, so they never see a
-half-written table, and a write that dies leaves the table as it was.
+Rows are bucketed by a hash of their key, or of the column ``by``. A write puts whole buckets under a fresh token and
+then commits a manifest ``(bucket, token, buckets, schema)``. Readers follow the newest finished manifest, so they never
+see a half-written table, and a write that dies leaves the table as it was.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skeindex.operators.intake import upsert_rows
 from skeindex.session import stage
 from skeindex.sources.objects import read_if_present
 
+MANIFEST = "bucket int, token string, buckets int, schema string"
+
+
+class Conflict(RuntimeError):
+    """Another writer committed this version first."""
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """A finished version; ``tokens`` has at most one entry per bucket."""
+
+    version: int
+    tokens: dict[int, str]
+    buckets: int
+    schema: T.StructType | None
+
 
 @dataclass(frozen=True)
 class KeyedTable:
+    """``buckets`` counts for a new table only: a table keeps the number that it was made with.
+
+    With ``by`` (a column path) the rows of one group share a bucket, and keys have to be unique within their group.
+    """
+
     root: str
     key: str = "id"
     buckets: int = 64
-
-    def _bucket(self):
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-
-    def manifest(self, spark: SparkSession) -> tuple[int, dict[int, str]]:
-        """Newest version and its ``bucket -> token``; at most one entry per bucket."""
-        schema = "bucket int, token string, version int"
-        commits = read_if_present(spark, f"{self.root}/commits", schema)
-        if commits is None:
-            return 0, {}
-        newest = commits.agg(F.max("version")).scalar()
+    by: str | None = None
+    sort: str | None = None
+
+    def _bucketed(self, rows: DataFrame, buckets: int) -> DataFrame:
+        hashed = F.xxhash64(F.col(self.by or self.key))
+        return rows.withColumn("bucket", F.pmod(hashed, F.lit(buckets)).cast("int"))
+
+    def manifest(self, spark: SparkSession) -> Manifest:
+        """The newest finished version; 0 without any."""
+        commits = read_if_present(spark, f"{self.root}/commits", MANIFEST + ", version int, attempt string")
+        newest = None if commits is None else commits.agg(F.max("version")).first()[0]
+        if newest is None:
+            return Manifest(0, {}, self.buckets, None)
         rows = commits.where(F.col("version") == newest).collect()
-        entries = {r["bucket"]: r["token"] for r in rows if r["bucket"] >= 0}
-        return rows[0]["version"], entries
+        # Two writers may both have finished a version: all readers take the same one.
+        attempt = min(r["attempt"] for r in rows)
+        rows = [r for r in rows if r["attempt"] == attempt]
+        tokens = {r["bucket"]: r["token"] for r in rows if r["bucket"] >= 0}
+        head = next(r for r in rows if r["bucket"] < 0)
+        schema = T.StructType.fromJson(json.loads(head["schema"])) if head["schema"] else None
+        return Manifest(newest, tokens, head["buckets"], schema)
 
     def exists(self, spark: SparkSession) -> bool:
-        return self.manifest(spark)[0] > 0
+        return self.manifest(spark).version > 0
 
-    def _read_buckets(self, spark: SparkSession, entries: dict[int, str]) -> DataFrame:
-        paths = [f"{self.root}/data/token={t}/bucket={b}" for b, t in sorted(entries.items())]
-        table = spark.read.option("basePath", f"{self.root}/data").parquet(*paths)
-        return table.drop("token")
+    def _read_buckets(self, spark: SparkSession, found: Manifest, only: set[int] | None = None) -> DataFrame:
+        schema = T.StructType([*found.schema.fields]).add("bucket", T.IntegerType())
+        tokens = {b: t for b, t in found.tokens.items() if only is None or b in only}
+        if not tokens:
+            return spark.createDataFrame([], schema)
+        paths = [f"{self.root}/data/token={t}/bucket={b}" for b, t in sorted(tokens.items())]
+        return spark.read.option("basePath", f"{self.root}/data").schema(schema).parquet(*paths).drop("token")
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """The current rows. The ``bucket`` column is kept, for joins that are bucket by bucket."""
-        version, entries = self.manifest(spark)
-        if not entries:
+        """The current rows, with their ``bucket``; a table without rows is empty."""
+        found = self.manifest(spark)
+        if found.version == 0:
             raise LookupError(f"no table at {self.root}")
-        return self._read_buckets(spark, entries)
-
-    def _write(self, rows: DataFrame, filled: set[int] | None = None) -> dict[int, str]:
-        """Write bucketed rows under a fresh token; large buckets get several files.
+        return self._read_buckets(spark, found)
 
-        ``filled`` lists the buckets that get rows, where that is known.
-        """
+    def _write(self, rows: DataFrame) -> dict[int, str]:
+        """Write bucketed rows under a fresh token; large buckets get several files."""
         spark, token = rows.sparkSession, uuid.uuid4().hex
         target = f"{self.root}/data/token={token}"
-        rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(target)
-        if filled is not None:
-            return {bucket: token for bucket in filled}
-        written = spark.read.parquet(target)
-        if "bucket" not in written.columns:
+        dealt = rows.hint("rebalance", "bucket")
+        if self.sort:  # so that files can be skipped by it
+            dealt = dealt.sortWithinPartitions("bucket", self.sort)
+        dealt.write.partitionBy("bucket").parquet(target)
+        written = read_if_present(spark, target)
+        if written is None or "bucket" not in written.columns:
             return {}
         return {r["bucket"]: token for r in written.select("bucket").distinct().collect()}
 
-    def _commit(self, spark: SparkSession, version: int, entries: dict[int, str]) -> int:
-        # The extra row keeps the version of an empty table visible.
-        listed = [(-1, "")] + sorted(entries.items())
-        rows = spark.createDataFrame(listed, "bucket int, token string")
-        # Fails when another writer has committed this version.
-        rows.coalesce(1).write.mode("error").parquet(f"{self.root}/commits/version={version}")
+    def _commit(self, spark: SparkSession, before: Manifest, tokens: dict[int, str], schema: T.StructType) -> int:
+        """Write the next version; a leftover of a dead commit has no rows and is passed over.
+
+        Of two writers of one version the one whose attempt readers take has committed; the other is told so.
+        """
+        version, attempt = before.version + 1, uuid.uuid4().hex
+        if self.manifest(spark).version != before.version:
+            raise Conflict(f"{self.root} has changed since version {before.version}")
+        kept = T.StructType([f for f in schema.fields if f.name != "bucket"]).json()
+        listed = [(-1, "", before.buckets, kept)] + [(b, t, before.buckets, None) for b, t in sorted(tokens.items())]
+        rows = spark.createDataFrame(listed, MANIFEST)
+        rows.coalesce(1).write.mode("error").parquet(f"{self.root}/commits/version={version}/attempt={attempt}")
+        after = read_if_present(spark, f"{self.root}/commits/version={version}", MANIFEST + ", attempt string")
+        if after.agg(F.min("attempt")).first()[0] != attempt:
+            raise Conflict(f"another writer committed version {version} of {self.root}")
         return version
 
     def overwrite(self, rows: DataFrame) -> int:
-        """Replace the whole table; returns the new version."""
+        """Replace the whole table, also by one without rows; returns the new version."""
         spark = rows.sparkSession
-        version, _ = self.manifest(spark)
-        return self._commit(spark, version + 1, self._write(rows.withColumn("bucket", self._bucket())))
+        before = self.manifest(spark)
+        return self._commit(spark, before, self._write(self._bucketed(rows, before.buckets)), rows.schema)
 
     def upsert(self, delta: DataFrame, group: str | None = None) -> int:
         """Insert or replace rows by key; only buckets with changes are rewritten.
 
-        ``delta`` holds each key once. With ``group`` (a column path), rows of the groups in
-        ``delta`` whose key is not in ``delta`` are removed as well.
+        ``delta`` holds each key once; without rows nothing is committed. With ``group`` (a column path), rows of the
+        groups in ``delta`` whose key is not in ``delta`` are removed as well; in a table bucketed by the group, only
+        its buckets are read for that.
         """
         spark = delta.sparkSession
-        version, entries = self.manifest(spark)
+        before = self.manifest(spark)
         # Used several times below, and computed from a long plan: written once.
-        keyed = stage(delta.withColumn("bucket", self._bucket()), "delta")
+        keyed = stage(self._bucketed(delta, before.buckets), "delta")
         touched = {r["bucket"] for r in keyed.select("bucket").distinct().collect()}
         if not touched:
-            return version
+            return before.version
+        if before.version == 0:
+            return self._commit(spark, before, self._write(keyed), keyed.schema)
         stale = None
-        if group is not None and entries:
+        if group is not None:
             named = F.col(group).alias("__group")
-            old = self._read_buckets(spark, entries).select(self.key, "bucket", named)
+            near = touched if group == self.by else None
+            old = self._read_buckets(spark, before, near).select(self.key, "bucket", named)
             groups = keyed.select(named).distinct()
             gone = old.join(groups, "__group", "left_semi").select(self.key, "bucket")
             stale = stage(gone.join(keyed.select(self.key), self.key, "left_anti"), "stale")
             touched |= {r["bucket"] for r in stale.select("bucket").distinct().collect()}
-        affected = {b: t for b, t in entries.items() if b in touched}
-        rows = keyed
-        if affected:
-            old = self._read_buckets(spark, affected)
-            if stale is not None:
-                old = old.join(stale.select(self.key), self.key, "left_anti")
-            rows = upsert_rows(old.select(*keyed.columns), keyed, self.key)
-        kept = {b: t for b, t in entries.items() if b not in touched}
-        return self._commit(spark, version + 1, kept | self._write(rows, touched if stale is None else None))
+        old = self._read_buckets(spark, before, touched)
+        if stale is not None:
+            old = old.join(stale.select(self.key), self.key, "left_anti")
+        rows = upsert_rows(old.select(*keyed.columns), keyed, self.key)
+        kept = {b: t for b, t in before.tokens.items() if b not in touched}
+        return self._commit(spark, before, kept | self._write(rows), keyed.schema)
+
+    def unused(self, spark: SparkSession, keep_versions: int = 2) -> list[str]:
+        """Data folders that none of the newest ``keep_versions`` versions names: safe to delete once readers are done."""
+        commits = read_if_present(spark, f"{self.root}/commits", MANIFEST + ", version int, attempt string")
+        data = read_if_present(spark, f"{self.root}/data")
+        if commits is None or data is None or "token" not in data.columns:
+            return []
+        oldest = commits.agg(F.max("version")).first()[0] - keep_versions + 1
+        used = commits.where(F.col("version") >= oldest).select("token").distinct()
+        spare = data.select(F.col("token").cast("string")).distinct().join(used, "token", "left_anti").collect()
+        return sorted(f"{self.root}/data/token={r['token']}" for r in spare)

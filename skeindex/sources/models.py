@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skeindex.operators.bm25 import Model
 from skeindex.sources.objects import read_if_present
@@ -29,14 +30,23 @@ def write_model(model: Model, ids: DataFrame | None, uri: str) -> None:
 
 
 def load_model(spark: SparkSession, uri: str | None) -> Model | None:
-    """The model stored at ``uri`` or in a sub-folder of it; None when there is none."""
+    """The model stored at ``uri`` or in a folder below it, up to two levels down; None when there is none.
+
+    Of several models on one level the one in the folder with the greatest name is taken.
+    """
     if not uri:
         return None
     for folder in (uri, uri + "/*", uri + "/*/*"):
         stats = read_if_present(spark, folder + "/stats")
-        if stats is not None:
-            df = read_if_present(spark, folder + "/df")
-            return None if df is None else Model(df, stats)
+        if stats is None:
+            continue
+        # One small file per model.
+        newest = stats.select(F.max(F.col("_metadata.file_path"))).first()[0]
+        if newest is None:
+            continue
+        home = newest.rsplit("/stats/", 1)[0]
+        df = read_if_present(spark, home + "/df", "term_id bigint, df bigint")
+        return None if df is None else Model(df, spark.read.parquet(home + "/stats"))
     return None
 
 
