@@ -10,8 +10,9 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,8 +27,7 @@ class Conflict(RuntimeError):
     """Another writer committed this version first."""
 
 
-@dataclass(frozen=True)
-class Manifest:
+class Manifest(NamedTuple):
     """A finished version; ``tokens`` has at most one entry per bucket."""
 
     version: int
@@ -49,9 +49,9 @@ class KeyedTable:
     by: str | None = None
     sort: str | None = None
 
-    def _bucketed(self, rows: DataFrame, buckets: int) -> DataFrame:
+    def _bucket(self, buckets: int | None = None) -> Column:
         hashed = F.xxhash64(F.col(self.by or self.key))
-        return rows.withColumn("bucket", F.pmod(hashed, F.lit(buckets)).cast("int"))
+        return F.pmod(hashed, F.lit(buckets or self.buckets)).cast("int")
 
     def manifest(self, spark: SparkSession) -> Manifest:
         """The newest finished version; 0 without any."""
@@ -120,7 +120,7 @@ class KeyedTable:
         """Replace the whole table, also by one without rows; returns the new version."""
         spark = rows.sparkSession
         before = self.manifest(spark)
-        return self._commit(spark, before, self._write(self._bucketed(rows, before.buckets)), rows.schema)
+        return self._commit(spark, before, self._write(rows.withColumn("bucket", self._bucket(before.buckets))), rows.schema)
 
     def upsert(self, delta: DataFrame, group: str | None = None) -> int:
         """Insert or replace rows by key; only buckets with changes are rewritten.
@@ -132,7 +132,7 @@ class KeyedTable:
         spark = delta.sparkSession
         before = self.manifest(spark)
         # Used several times below, and computed from a long plan: written once.
-        keyed = stage(self._bucketed(delta, before.buckets), "delta")
+        keyed = stage(delta.withColumn("bucket", self._bucket(before.buckets)), "delta")
         touched = {r["bucket"] for r in keyed.select("bucket").distinct().collect()}
         if not touched:
             return before.version

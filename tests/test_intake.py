@@ -74,3 +74,29 @@ def test_change_detection_and_upsert(spark, scratch):
         "p/B.html": ("b2", "2024-01-02"),
         "p/C.html": ("c", "2024-01-02"),
     }
+
+
+def test_last_row_without_and_with_equal_orders(spark):
+    rows = [("k", None, "a"), ("k", 1, "b"), ("k", None, "c"), ("n", None, "d"), ("n", None, "e"), (None, 5, "f"), ("t", 2, "g"), ("t", 2, "h")]
+    df = spark.createDataFrame(rows, "id string, seq int, v string")
+    found = [{r["id"]: r["v"] for r in intake.last_per_key(df.repartition(n), "id", "seq").collect()} for n in (1, 3, 7)]
+    assert found[0] == found[1] == found[2]
+    assert found[0]["k"] == "b" and found[0]["n"] in "de" and found[0]["t"] in "gh" and len(found[0]) == 3
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ("<A HREF='c'>x</A>", ["c"]),
+        ('<a class="z" href="/d?a=1&amp;b=2">x</a><area href=/e>', ["/d?a=1&b=2", "/e"]),
+        ('<link href="s.css"><a href="mailto:a@b">m</a><a href="#top">t</a><a href="javascript:x()">j</a>', []),
+        ("<script>var a = '<a href=\"no\">';</script><!-- <a href='no'> --><a href='HTTP://x/y'>y</a>", ["HTTP://x/y"]),
+        ("<a\nhref = \"f\">f</a><a name='href'>n</a><abbr href='q'>", ["f"]),
+        (None, None),
+    ],
+)
+def test_links_of_a_page(spark, html, expected):
+    from skeindex.functions.urls import page_links
+
+    row = spark.createDataFrame([(html,)], "html string").select(page_links(F.col("html")).alias("l")).first()
+    assert row["l"] == expected

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from skeindex.operators import bm25, context, merge
+from skeindex.plans import flows
 from skeindex.schemas import CHUNK
-from skeindex.sources import artifacts, jsonl, objects
+from skeindex.sources import artifacts, jsonl, models, objects
 from skeindex.sources.indexes import IndexCatalog, IndexSettings
 from skeindex.sources.keyed import KeyedTable
 
@@ -193,3 +194,58 @@ def test_chunk_store_is_read_by_block(spark, scratch):
     assert sorted(r["chunk"] for r in fetched.collect()) == ["c1", "c30"]
     plan = fetched._jdf.queryExecution().executedPlan().toString()
     assert "offset_block" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def keyed_rows(spark, ids, value):
+    return spark.createDataFrame([(str(i), value, f"g{i % 3}") for i in ids], "id string, v string, g string")
+
+
+def test_bucket_count_is_kept_with_the_table(spark, scratch):
+    KeyedTable(scratch + "/t", "id", 4).overwrite(keyed_rows(spark, range(50), "a"))
+    other = KeyedTable(scratch + "/t", "id", 16)
+    other.upsert(keyed_rows(spark, range(0, 50, 5), "b"))
+    rows = other.read(spark).collect()
+    assert len(rows) == 50 and sum(r["v"] == "b" for r in rows) == 10 and {r["bucket"] for r in rows} <= set(range(4))
+
+
+def test_dead_commits_do_not_block(spark, scratch):
+    import os
+
+    table = KeyedTable(scratch + "/t", "id", 4)
+    table.overwrite(keyed_rows(spark, range(5), "a"))
+    os.makedirs(scratch + "/t/commits/version=2/attempt=dead")
+    os.makedirs(scratch + "/t/commits/version=3/attempt=dead/_temporary/0")
+    assert table.manifest(spark).version == 1
+    assert table.upsert(keyed_rows(spark, [1], "b")) == 2
+    assert sorted(r["v"] for r in table.read(spark).collect()) == ["a"] * 4 + ["b"]
+
+
+def test_empty_tables_and_unused_folders(spark, scratch):
+    table = KeyedTable(scratch + "/t", "id", 4)
+    none = keyed_rows(spark, range(3), "a").limit(0)
+    assert table.upsert(none) == 0 and not table.exists(spark)
+    assert table.overwrite(none) == 1 and table.exists(spark)
+    assert table.read(spark).count() == 0 and set(table.read(spark).columns) == {"id", "v", "g", "bucket"}
+    table.overwrite(keyed_rows(spark, range(3), "a"))
+    table.overwrite(none)
+    assert table.unused(spark, keep_versions=2) == []
+    assert len(table.unused(spark, keep_versions=1)) == 1
+    assert table.read(spark).count() == 0
+
+
+def test_groups_are_replaced_within_their_bucket(spark, scratch):
+    table = KeyedTable(scratch + "/t", "id", 4, by="g")
+    table.overwrite(keyed_rows(spark, range(30), "a"))
+    table.upsert(keyed_rows(spark, [0, 3, 33], "b"), "g")
+    rows = {r["id"]: r["v"] for r in table.read(spark).collect()}
+    assert {k for k, v in rows.items() if v == "b"} == {"0", "3", "33"}
+    assert {k for k, v in rows.items() if v == "a"} == {str(i) for i in range(30) if i % 3}
+
+
+def test_of_two_models_the_greatest_name_counts(spark, scratch):
+    for name, n in (("m1", 1), ("m2", 2)):
+        docs = spark.createDataFrame([(str(i), f"w{i} common") for i in range(n)], "id string, chunk string")
+        flows.fit_model(docs, f"{scratch}/{name}")
+    model = models.load_model(spark, scratch)
+    assert model.stats.count() == 1 and model.stats.first()["n_docs"] == 2
+    assert model.df.count() == 3
