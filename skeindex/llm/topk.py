@@ -34,20 +34,21 @@ def scaled(df: DataFrame, id_col: str, vector: str, scale: int = 256) -> DataFra
 
 
 class Lists:
-    """A block of vectors of one length with its sorted lists."""
+    """A block of vectors of one length with its sorted lists, one row of ``order`` and ``sorted`` for each dimension."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(vectors, self.order, axis=0)
+        self.order = np.argsort(vectors.T, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(vectors.T, self.order, axis=1)
         self.most = int(np.abs(vectors).max(initial=0))
-        self.floats = vectors.astype(np.float64)
+        self.floats = {t: vectors.astype(t) for t in (np.float32, np.float64)}
 
     def scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-        """Exact scores: in doubles while all sums stay below 2**53, else in long or Python integers."""
+        """Exact scores: in floating point while all sums are whole numbers in it, else in long or Python integers."""
         bound = self.most * int(np.abs(query).max(initial=0)) * max(1, len(query))
-        if bound < 1 << 53:
-            return (self.floats[rows] @ query.astype(np.float64)).astype(np.int64)
+        for kind, digits in ((np.float32, 24), (np.float64, 53)):
+            if bound < 1 << digits:
+                return (self.floats[kind].take(rows, axis=0) @ query.astype(kind)).astype(np.int64)
         if bound < 1 << 63:
             return self.vectors[rows] @ query
         exact = self.vectors[rows].astype(object) @ query.astype(object)
@@ -56,27 +57,41 @@ class Lists:
     def search(self, query_id: int, query: np.ndarray, k: int, best: list[tuple[int, int]]) -> list[tuple[int, int]]:
         """The k best of ``best`` and this block as (-score, id), the query's own id left out."""
         n = len(self.ids)
-        dims = np.flatnonzero(query)
-        if not len(dims) or not n:
+        up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
+        if not n or not len(up) + len(down):
             return self._merge(np.arange(n), query_id, query, k, best)
-        up = query[dims] > 0
-        lists = np.where(up, self.order[::-1, dims], self.order[:, dims])
-        tops = np.where(up, self.sorted[::-1, dims], self.sorted[:, dims])
+        wide = self.most * int(np.abs(query).max()) * len(query) >= 1 << 62
+        weights = [query[d].astype(object) if wide else query[d] for d in (up, down)]
+
+        def bound(depth: int) -> int:
+            """What a row that the first ``depth`` entries of the lists do not hold can score at most."""
+            return int(weights[0] @ self.sorted[up, n - depth]) + int(weights[1] @ self.sorted[down, depth - 1])
+
         seen = np.zeros(n, dtype=bool)
-        depth, step = 0, max(8, n // (4 * len(dims)))
-        while depth < n:
+        done, depth, n_seen = 0, min(n, 8), 0
+        while True:
             new = np.zeros(n, dtype=bool)
-            new[lists[depth : depth + step].ravel()] = True
+            new[self.order[up, n - depth : n - done]] = True
+            new[self.order[down, done:depth]] = True
             new &= ~seen
             seen |= new
-            best = self._merge(np.flatnonzero(new), query_id, query, k, best)
-            depth = min(n, depth + step)
-            step *= 2
-            # What a row that was not met can score at most; on a tie it may still have the smaller id.
-            bound = sum(int(q) * int(t) for q, t in zip(query[dims], tops[depth - 1]))
-            if len(best) == k and -best[-1][0] > bound or seen.all():
-                break
-        return best
+            rows = np.flatnonzero(new)
+            n_seen += len(rows)
+            best = self._merge(rows, query_id, query, k, best)
+            done = depth
+            if n_seen == n or done == n:
+                return best
+            depth = min(n, 4 * done)
+            if len(best) == k:  # a row that ties with the kth may have a smaller id, so it has to be met too
+                if -best[-1][0] > bound(done):
+                    return best
+                low = done  # no deeper than where the present kth score already suffices
+                while depth - low > max(1, low // 8) and -best[-1][0] > bound(depth):
+                    middle = (low + depth) // 2
+                    if -best[-1][0] > bound(middle):
+                        depth = middle
+                    else:
+                        low = middle
 
     def _merge(self, rows: np.ndarray, query_id: int, query: np.ndarray, k: int, best: list) -> list:
         rows = rows[self.ids[rows] != query_id]
