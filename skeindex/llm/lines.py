@@ -92,7 +92,8 @@ def repeated(found: DataFrame) -> DataFrame:
     """
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "unit")
     first = found.groupBy("digest").agg(F.min(place).alias("kept"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = found.join(first, "digest").where(~place.eqNullSafe(F.col("kept")))
+    # Written, so that the join has two plain shuffles, of which a large partition can be split.
+    later = found.join(staged(first, "repeated"), "digest").where(~place.eqNullSafe(F.col("kept")))
     return later.select(*found.columns, F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.unit").alias("kept_unit"))
 
 
