@@ -125,17 +125,20 @@ def choose(terms: list[tuple[str, int, float]]) -> dict[str, float]:
     return {t: w for t, w in kept.items() if not any(t[:n] in kept for n in range(SHORTEST, len(t)))}
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: int = 20_000, least_odds: float = 3.0) -> tuple[dict[str, float], float, float]:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: int = 20_000, least_odds: float = 3.0, least_share: float = 0.03) -> tuple[dict[str, float], float, float]:
     """Lexicon, slope and intercept, learned from at most about ``max_rows`` labelled rows.
 
-    ``max_terms`` bounds the model: the beginnings with the greatest evidence (log-odds times documents) are kept.
+    A term occurs in at least ``least_share`` of the toxic rows, equal texts counted once, so that a group of near copies
+    does not make its own words terms. ``max_terms`` bounds the model: the beginnings with the greatest evidence
+    (log-odds times documents) are kept.
     """
-    rows = labelled(docs, labels, "toxic", max_rows).persist()
+    rows = labelled(docs, labels, "toxic", max_rows)
+    rows = rows.withColumn("h", F.xxhash64("text")).dropDuplicates(["h", "label"]).select("text", "label").persist()
     try:
         totals = {r["label"] > 0: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
         toxic, clean = totals.get(True, 0), totals.get(False, 0)
         odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
-        terms = count_beginnings(rows).where(F.col("toxic") >= max(3, toxic // 500)).withColumn("weight", odds).where(F.col("weight") >= least_odds)
+        terms = count_beginnings(rows).where(F.col("toxic") >= max(3, least_share * toxic)).withColumn("weight", odds).where(F.col("weight") >= least_odds)
         terms = terms.orderBy(F.desc(F.col("weight") * F.col("toxic")), "term").limit(max_terms).collect()
         lexicon = choose([(r["term"], r["toxic"], r["weight"]) for r in terms])
 
@@ -145,9 +148,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: i
                 x = [matcher.density(t or "") for t in batch.column(0).to_pylist()]
                 yield pa.record_batch([pa.array(x, pa.float64()), batch.column(1).cast(pa.int32())], names=["x", "label"])
 
-        points = rows.mapInArrow(densities, "x double, label int").orderBy("x", "label").collect()
+        points = rows.mapInArrow(densities, "x double, label int").collect()
     finally:
         rows.unpersist()
+    points.sort()  # the same model whatever order the tasks end in
     x, y = np.array([p["x"] for p in points]), np.array([float(p["label"] > 0) for p in points])
     return lexicon, *logistic(x, y, penalty=1e-4)
 
