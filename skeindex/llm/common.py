@@ -7,11 +7,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skeindex.session import fits_broadcast, shared_dir
+from skeindex.session import fits_broadcast, shared_dir, ship_package
 
 # A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
-SPACE = r"[\x20\x09-\x0D]+"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -32,11 +31,6 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def doc_order(doc_id: str = "doc_id") -> Column:
-    """Sorts documents by id, null last, when taken as the first field of a struct."""
-    return F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"))
-
-
 def crc32_fold(doc_id: Column, folds: int = 5) -> Column:
     """crc32 of the id as text, modulo ``folds``; an id of null counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
@@ -65,8 +59,6 @@ def offset_by(rows: DataFrame, order: list[Column], seq: str, name: str) -> Data
 
 def session_of(spark: SparkSession) -> SparkSession:
     """Send the package to the workers once, and have the shared folder ready."""
-    from skeindex.session import ship_package
-
     ship_package(spark)
     shared_dir(spark)
     return spark
