@@ -21,8 +21,8 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 
 from skeindex.llm.common import offset_by, staged
 
-# Words whose ids a worker remembers, and characters of text it tokenises at a time.
-REMEMBERED, BLOCK_CHARS = 800_000, 2_000_000
+# Words whose ids a worker remembers, words it tokenises in one call, and characters of text it takes at a time.
+REMEMBERED, CALL_WORDS, BLOCK_CHARS = 400_000, 8_192, 1_000_000
 
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -88,8 +88,10 @@ class WordTokenizer:
         if len(self.known) > REMEMBERED:
             self.known = {}
         new = list({w for of in words for w in of if w not in self.known})
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
+        for i in range(0, len(new), CALL_WORDS):
+            part = new[i : i + CALL_WORDS]
+            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
         return [b"".join(map(self.known.__getitem__, of)) for of in words]
 
 
