@@ -186,17 +186,22 @@ class RunningTop:
 
     def merge(self, q: int, scores: np.ndarray, ids) -> None:
         """Take up scores of one query; an id that comes again keeps its best score."""
-        floor, size = self.floors[q], self.k
+        size, best = self.k, dict(zip(self.ids[q], self.scores[q]))
+        within = np.flatnonzero((scores >= self.floors[q]) & (scores > -np.inf))
+        values = scores[within]
         while True:
-            at = np.flatnonzero((scores >= floor) & (scores > -np.inf))
-            if len(scores) > size:
-                at = at[scores[at] >= np.partition(scores, -size)[-size]]
-            best: dict = dict(zip(self.ids[q], self.scores[q]))
+            at = within
+            if len(values) > size:
+                at = within[values >= np.partition(values, -size)[-size]]
+            found: dict = {}
             for score, key in zip(scores[at].tolist(), ids.take(pa.array(at)).to_pylist()):
-                best[key] = max(score, best.get(key, -np.inf))
-            if len(best) >= self.k or len(scores) <= size:
+                found[key] = max(score, found.get(key, -np.inf))
+            # Ids kept from earlier slices do not count here: these rows are not offered again.
+            if len(found) >= self.k or len(at) == len(within):
                 break
             size *= 4  # repeated ids took the places of others
+        for key, score in found.items():
+            best[key] = max(score, best.get(key, -np.inf))
         kept = heapq.nsmallest(self.k, ((-s, i) for i, s in best.items()))
         self.scores[q], self.ids[q] = [-s for s, _ in kept], [i for _, i in kept]
         if len(kept) == self.k:

@@ -1,6 +1,7 @@
 """Dense search, approximate search, fusion."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,6 +113,28 @@ def test_repeated_ids_compete(spark, limit):
     assert [(r["id"], r["score"]) for r in found] == [("b", 0.6), ("a", 0.5)]
 
 
+def test_a_repeated_id_hides_no_other_in_a_later_slice():
+    top = search.RunningTop(1, 2)
+    for rows in ([("a", 0.2), ("b", 0.1)], [("c", 0.9), ("c", 0.8), ("d", 0.7)]):
+        top.offer(np.array([[score for _, score in rows]]), pa.array([key for key, _ in rows]))
+    assert (top.ids, top.scores) == ([["c", "d"]], [[0.9, 0.7]])
+
+
+def test_hot_ids_over_many_slices_against_brute_force():
+    rng = np.random.default_rng(5)
+    scores = np.round(rng.normal(size=(6, 3000)), 2)
+    ids = np.where(rng.random(3000) < 0.4, 7, rng.integers(0, 300, 3000))
+    scores[:, ids == 7] += 2
+    top = search.RunningTop(6, 10)
+    for i in range(0, 3000, 250):
+        top.offer(scores[:, i : i + 250], pa.array(ids[i : i + 250]))
+    for q in range(6):
+        best = {}
+        for key, score in zip(ids.tolist(), scores[q].tolist()):
+            best[key] = max(score, best.get(key, score))
+        assert list(zip(top.ids[q], top.scores[q])) == sorted(best.items(), key=lambda x: (-x[1], x[0]))[:10]
+
+
 def ranked(spark, rows):
     return spark.createDataFrame(rows, "qid int, rank int, id string, score double")
 
