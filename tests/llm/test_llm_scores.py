@@ -65,6 +65,18 @@ def test_warc_records_survive_writing_and_reading(spark, scratch):
     assert warc.derive(warc.responses(pages.limit(0))).count() == 0
 
 
+def test_warc_links_in_all_forms_and_references(spark):
+    html = """<title>It&#8217;s &#x27;x&#x27; &amp;#65; &eacute; &#146; &#0; &#99999999; &bogus; &#128512;</title><a href="/o'neil">1</a><a href=/x>2</a>
+<AREA HREF = '/y"z'><a data-href="p" href="q?a=1&amp;b=2">3</a><a title="href=no > x" href=/w?it's>4</a><a name="n">5</a><a class=it's href="/v">6</a>
+<a href="">7</a><a title="t"href="/u">8</a><abbr href="/no">"""
+    pages = spark.createDataFrame([(1, "http://a/", html)], "page_id long, url string, html string")
+    block = warc.derive(warc.responses(pages)).where("record_type = 'metadata'").first()["block"]
+    title, count, *links = block.rstrip("\r\n").split("\r\n")
+    assert title == "title: It\u2019s 'x' &#65; \u00e9 \u2019 \ufffd \ufffd &bogus; \U0001f600"
+    assert count == "outlinks: 8"
+    assert links == [f"outlink: {x}" for x in ("/o'neil", "/x", '/y"z', "q?a=1&b=2", "/w?it's", "/v", "", "/u")]
+
+
 def test_warc_files_become_responses(spark, scratch):
     http = "HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>Hi</p>"
     one = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:1>\r\nWARC-Target-URI: http://a: b\r\nContent-Length: {len(http)}\r\n\r\n{http}\r\n\r\n"
