@@ -18,6 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skeindex.llm import simhash
+from skeindex.llm.common import staged
+from skeindex.llm.components import components
 from skeindex.llm.learn import labelled, logistic, scored, sigmoid
 
 # Letters that look alike, digits and signs that stand for letters, characters without width.
@@ -34,6 +37,8 @@ _FOLD = {ord(pair[0]): pair[1] for pair in (LOOK_ALIKE + " " + DIGITS).split()}
 EXCEPTIONS = ("trash can", "trash cans", "trash bin", "clown fish", "pond scum", "pathetic fallacy")
 
 SHORTEST, LONGEST = 4, 12
+# Standard errors below the log-odds: 95 % on one side.
+CONFIDENCE = 1.645
 
 
 def fold(text: str) -> str:
@@ -125,20 +130,33 @@ def choose(terms: list[tuple[str, int, float]]) -> dict[str, float]:
     return {t: w for t, w in kept.items() if not any(t[:n] in kept for n in range(SHORTEST, len(t)))}
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: int = 20_000, least_odds: float = 3.0, least_share: float = 0.03) -> tuple[dict[str, float], float, float]:
+def one_of_near_copies(rows: DataFrame) -> DataFrame:
+    """``text, label``: of texts of one label whose fingerprints are linked by at most four differing bits, one."""
+    prints = staged(simhash.fingerprints(rows, keep=("text", "label")), "prints")
+    least = prints.groupBy("fp").agg(F.lit(None).cast("long").alias("doc_id"))
+    root = staged(components(simhash.near_links(least)), "components").withColumnRenamed("node", "fp")
+    found = prints.join(root, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"), "label")
+    return found.agg(F.min("text").alias("text")).select("text", "label")
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: int = 20_000, least_odds: float = 3.0, least_bound: float = 1.5) -> tuple[dict[str, float], float, float]:
     """Lexicon, slope and intercept, learned from at most about ``max_rows`` labelled rows.
 
-    A term occurs in at least ``least_share`` of the toxic rows, equal texts counted once, so that a group of near copies
-    does not make its own words terms. ``max_terms`` bounds the model: the beginnings with the greatest evidence
+    A term is in at least three toxic texts, its log-odds are at least ``least_odds`` and with 95 % confidence at least
+    ``least_bound``, however few of the toxic texts have it. Near copies (SimHash) of one label are counted once, so that
+    a group of them does not make its own words terms. ``max_terms`` bounds the model: the beginnings with the greatest evidence
     (log-odds times documents) are kept.
     """
     rows = labelled(docs, labels, "toxic", max_rows)
-    rows = rows.withColumn("h", F.xxhash64("text")).dropDuplicates(["h", "label"]).select("text", "label").persist()
+    rows = rows.withColumn("h", F.xxhash64("text")).dropDuplicates(["h", "label"]).select("text", "label")
+    rows = one_of_near_copies(rows).persist()
     try:
         totals = {r["label"] > 0: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
         toxic, clean = totals.get(True, 0), totals.get(False, 0)
         odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
-        terms = count_beginnings(rows).where(F.col("toxic") >= max(3, least_share * toxic)).withColumn("weight", odds).where(F.col("weight") >= least_odds)
+        error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5) - 1 / (toxic + 1.0) - 1 / (clean + 1.0))
+        terms = count_beginnings(rows).where(F.col("toxic") >= 3).withColumn("weight", odds)
+        terms = terms.where((F.col("weight") >= least_odds) & (F.col("weight") - CONFIDENCE * error >= least_bound))
         terms = terms.orderBy(F.desc(F.col("weight") * F.col("toxic")), "term").limit(max_terms).collect()
         lexicon = choose([(r["term"], r["toxic"], r["weight"]) for r in terms])
 

@@ -290,3 +290,17 @@ def test_stages_take_messy_rows(spark, messy, no_docs, sf):
     for name, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, messy, sf).count() > 0, name
         assert stage(spark, no_docs, sf).count() == 0, name
+
+
+def test_rare_terms_enter_the_lexicon_by_evidence_and_near_copies_do_not(spark):
+    rng = np.random.default_rng(8)
+    text = lambda *own: " ".join([*own, *(f"plain{w}" for w in rng.integers(0, 5000, 30))])
+    copied = [f"plain{w}" for w in rng.integers(0, 5000, 400)]
+    texts = [text("vileword") for _ in range(392)] + [text("rareword") for _ in range(8)] + [text() for _ in range(1500)]
+    texts += [" ".join([*copied[:200], "copyword", *copied[200:], f"end{i}"]) for i in range(8)]
+    toxic = [1] * 400 + [0] * 1500 + [1] * 8
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    lexicon, _, _ = toxicity.fit(docs, labels)
+    assert any("rareword".startswith(t) for t in lexicon) and any("vileword".startswith(t) for t in lexicon)
+    assert not any("copyword".startswith(t) for t in lexicon)
