@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeindex.llm import fingerprint, lines, mixing, packing, quality, simhash, topk, toxicity, warc
+from skeindex.llm import fingerprint, lines, lm, mixing, packing, quality, simhash, topk, toxicity, warc
 from skeindex.llm.common import session_of
 
 
@@ -70,6 +70,10 @@ def op10_simhash_trie(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op11_hashed_maxent(spark, sf):
+    return lm.scores(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_toxicity_lexicon": op2_toxicity_lexicon,
@@ -81,4 +85,5 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_quality_attention": op9_quality_attention,
     "op10_simhash_trie": op10_simhash_trie,
+    "op11_hashed_maxent": op11_hashed_maxent,
 }
