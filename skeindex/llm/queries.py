@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeindex.llm import align, fingerprint, lines, lm, mixing, packing, quality, simhash, topk, toxicity, warc
+from skeindex.llm import align, fingerprint, lines, lm, merkle, mixing, packing, quality, simhash, topk, toxicity, warc
 from skeindex.llm.common import session_of
 
 
@@ -74,6 +74,10 @@ def op11_hashed_maxent(spark, sf):
     return lm.scores(table(spark, sf, "documents"))
 
 
+def op12_merkle_manifest(spark, sf):
+    return merkle.verified(table(spark, sf, "documents"))
+
+
 def op13_token_alignment(spark, sf):
     paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return align.align(table(spark, sf, "documents"), *paths)
@@ -91,5 +95,6 @@ QUERIES = {
     "op9_quality_attention": op9_quality_attention,
     "op10_simhash_trie": op10_simhash_trie,
     "op11_hashed_maxent": op11_hashed_maxent,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_token_alignment": op13_token_alignment,
 }
