@@ -1,18 +1,18 @@
 """A hashed maximum-entropy language model with a class-factored softmax.
 
 A word falls by its hash into a class and a group within it. What came before a word (the word before, the two before
-as a pair, and the words two and three before as skip features) is hashed to rows of two weight tables: one gives a
-softmax over classes, the other, its rows hashed with the class, a softmax over the groups of that class. Within a
-group words have their smoothed share of the training tokens, so the model starts as the smoothed unigram model, sums to one
-over any vocabulary, and its size does not grow with the corpus:
+as a pair, and the word two before as a skip feature) is hashed to rows of two weight tables: one gives a softmax over
+classes, the other, its rows hashed with the class, a softmax over the groups of that class. Within a group words have
+their smoothed share of the training tokens, so the model starts as the smoothed unigram model, sums to one over any
+vocabulary, and its size does not grow with the corpus:
 
     P(word | before) = P(class | before) * P(group | class, before) * (count + 1) / (sum of count + 1 in the group, + 1)
 
 The last ``1`` is the share of words that training has not seen. Documents are read once, into blocks of whole texts
-with a dictionary each. Counts are aggregated over the dictionaries of all blocks. Training passes once over all
-training tokens, in rounds: every task takes gradient steps from the present weights over its blocks of the round, and
-what the tasks changed is averaged row by row, by how often each met the row. Scoring joins counts to the dictionaries
-and scores a block at a time, in slices of sparse rows.
+with a dictionary each. One shuffle brings the entries of all dictionaries together by word, and their counts go back to
+the blocks. Training passes once over all training tokens, in rounds: every task takes gradient steps from the present
+weights over its blocks of the round, and what the tasks changed is averaged row by row, by how often each met the row.
+Scoring reads a block at a time, in slices of sparse rows.
 
 Null texts are empty: a text always ends with one end token. Repeated rows are documents of their own. An id of null
 has the crc32 of the empty text, 0, so it is trained on. An empty table gives an empty result; other columns are ignored.
@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,14 +39,14 @@ from skeindex.session import shared_dir
 # Size of the factored softmax and rows of each weight table: the model's size, whatever the corpus.
 CLASSES, GROUPS, ROWS = 32, 32, 1 << 15
 # Rounds of training, tokens of one gradient step, first step size, parts in which weights travel, bound on a sum of weights.
-ROUNDS, STEP_TOKENS, RATE, PARTS, MOST = 6, 8192, 0.35, 32, 40.0
+ROUNDS, STEP_TOKENS, RATE, PARTS, MOST = 4, 8192, 0.35, 32, 40.0
 # Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 8_000_000
 # The end of a text; no word is empty.
 END = b""
 SEED = 42
 _START = np.uint64(0x9E3779B97F4A7C15)
-_ODD = np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
+_ODD = np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 _CLASS, _SPREAD = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _SHIFT = np.uint64(64 - (ROWS.bit_length() - 1))
 
@@ -62,28 +62,22 @@ def class_and_group(hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (hashed & np.uint64(CLASSES - 1)).astype(np.int64), (hashed >> np.uint64(32) & np.uint64(GROUPS - 1)).astype(np.int64)
 
 
-def class_column(word: Column) -> Column:
-    """The class as Spark computes it: its hash has the seed 42 and gives signed longs."""
-    return F.xxhash64(word).bitwiseAND(CLASSES - 1).cast("int")
+def cell_column(word: Column) -> Column:
+    """``class * GROUPS + group`` as Spark computes it: its hash has the seed 42 and gives signed longs."""
+    hashed = F.xxhash64(word)
+    return hashed.bitwiseAND(CLASSES - 1) * GROUPS + F.shiftrightunsigned(hashed, 32).bitwiseAND(GROUPS - 1)
 
 
-def group_column(word: Column) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(word), 32).bitwiseAND(GROUPS - 1).cast("int")
-
-
-def before(hashed: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
-    """Hashes of what precedes every token: the word before, the pair before, the words two and three before.
+def before(hashed: np.ndarray, place: np.ndarray, first: int = 0, last: int | None = None) -> list[np.ndarray]:
+    """Hashes of what precedes the tokens from ``first`` to ``last``: the word before, the pair before, the word two before.
 
     ``place``: the token's position in its text; beyond the start of a text stands one start word.
     """
-    back = []
-    for k in (1, 2, 3):
-        x = np.empty_like(hashed)
-        x[k:] = hashed[:-k]
-        x[place < k] = _START
-        back.append(x)
+    at = np.arange(first, len(hashed) if last is None else min(last, len(hashed)))
+    own = place[at]
+    back = [np.where(own < k, _START, hashed.take(at - k, mode="clip")) for k in (1, 2)]
     pair = back[0] * _ODD[0] ^ back[1]
-    return [x * odd for x, odd in zip((back[0], pair, back[1], back[2]), _ODD)]
+    return [x * odd for x, odd in zip((back[0], pair, back[1]), _ODD)]
 
 
 def class_rows(found: list[np.ndarray]) -> list[np.ndarray]:
@@ -127,26 +121,23 @@ class Model:
 
     def score(self, hashed: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Natural logarithm of P(class, group | before) of every token."""
-        classes, groups = class_and_group(hashed)
-        found, out = before(hashed, place), np.empty(len(hashed))
+        out = np.empty(len(hashed))
         for i in range(0, len(hashed), STEP_TOKENS):
-            at = slice(i, i + STEP_TOKENS)
-            part = [x[at] for x in found]
-            each = np.arange(len(part[0]))
-            first = self.log_shares(self.classes, class_rows(part), self.class_bias)[each, classes[at]]
-            second = self.log_shares(self.groups, group_rows(part, classes[at]), self.group_bias[classes[at]])[each, groups[at]]
-            out[at] = first.astype(np.float64) + second
+            found = before(hashed, place, i, i + STEP_TOKENS)
+            classes, groups = class_and_group(hashed[i : i + STEP_TOKENS])
+            each = np.arange(len(classes))
+            first = self.log_shares(self.classes, class_rows(found), self.class_bias)[each, classes]
+            second = self.log_shares(self.groups, group_rows(found, classes), self.group_bias[classes])[each, groups]
+            out[i : i + STEP_TOKENS] = first.astype(np.float64) + second
         return out
 
     def learn(self, hashed: np.ndarray, place: np.ndarray) -> None:
         """Gradient steps over the tokens, in order."""
-        classes, groups = class_and_group(hashed)
-        found = before(hashed, place)
         for i in range(0, len(hashed), STEP_TOKENS):
-            at = slice(i, i + STEP_TOKENS)
-            part, own = [x[at] for x in found], classes[at]
-            self._step(self.classes, self.class_hits, class_rows(part), self.class_bias, own)
-            self._step(self.groups, self.group_hits, group_rows(part, own), self.group_bias[own], groups[at])
+            found = before(hashed, place, i, i + STEP_TOKENS)
+            classes, groups = class_and_group(hashed[i : i + STEP_TOKENS])
+            self._step(self.classes, self.class_hits, class_rows(found), self.class_bias, classes)
+            self._step(self.groups, self.group_hits, group_rows(found, classes), self.group_bias[classes], groups)
 
     def _step(self, table: np.ndarray, hits: np.ndarray, rows: list[np.ndarray], bias: np.ndarray, right: np.ndarray) -> None:
         """One step: a row moves by its gradient over the root of how often it was met."""
@@ -282,7 +273,9 @@ def changes(blocks: DataFrame, model: Model) -> DataFrame:
             yield pa.record_batch([pa.array([part], pa.int32()), pa.array([change.tobytes()], pa.binary()), pa.array([met.tobytes()], pa.binary())], names=["part", "moved", "hits"])
 
     schema = "part int, moved binary, hits binary"
-    found = blocks.select("block", "held_out", "sizes", "tokens", "words").mapInArrow(learn, schema)
+    rows = blocks.select("block", "held_out", "sizes", "tokens", "words")
+    rows = rows.coalesce(blocks.sparkSession.sparkContext.defaultParallelism)  # weights travel once for each core
+    found = rows.mapInArrow(learn, schema)
     return found.repartition(PARTS, "part").mapInArrow(mean, schema)
 
 
@@ -308,17 +301,46 @@ def train(blocks: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
 
 
 def word_counts(blocks: DataFrame) -> DataFrame:
-    """``word, count`` of every training token."""
-    found = blocks.select(F.explode(F.arrays_zip("words", "trained")).alias("x")).where("x.trained > 0")
-    return found.groupBy(F.col("x.words").alias("word")).agg(F.sum("x.trained").alias("count"))
+    """``block, counts``: of every word of a block's dictionary, in its order, the training tokens of all blocks.
+
+    Each is coded as ``(count * CLASSES * GROUPS + cell) * 2 + first``; ``first`` marks one entry of each word. A word
+    has at most one entry in a block.
+    """
+    entries = blocks.select("block", F.posexplode(F.arrays_zip("words", "trained")).alias("at", "x"))
+    entries = entries.select(F.col("x.words").alias("word"), "block", "at", F.col("x.trained").alias("trained"))
+    own = Window.partitionBy("word").orderBy("block")
+    total = F.sum("trained").over(own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    coded = (total * (CLASSES * GROUPS) + cell_column(F.col("word"))) * 2 + (F.row_number().over(own) == 1).cast("long")
+    found = entries.select("block", "at", coded.alias("coded"))
+    lists = found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "coded"))).alias("x"))
+    return lists.select("block", F.col("x.coded").alias("counts"))
+
+
+def corpus_counts(counts: DataFrame) -> tuple[np.ndarray, int, int]:
+    """The mass of each class and group (count + 1 of its words, and 1 for unseen ones), training tokens, distinct words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, words = np.zeros(CLASSES * GROUPS, dtype=np.int64), np.zeros(CLASSES * GROUPS, dtype=np.int64)
+        for batch in batches:
+            coded = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            n, cell = _decoded(coded)
+            once = (coded & 1 == 1) & (n > 0)
+            np.add.at(tokens, cell[once], n[once])
+            np.add.at(words, cell[once], 1)
+        met = np.flatnonzero(words)
+        yield pa.record_batch([pa.array(met), pa.array(tokens[met]), pa.array(words[met])], names=["cell", "tokens", "words"])
+
+    sums = counts.select("counts").mapInArrow(run, "cell long, tokens long, words long").groupBy("cell").agg(F.sum("tokens"), F.sum("words"))
+    shares, n, v = np.ones(CLASSES * GROUPS), 0, 0
+    for cell, tokens, words in sums.collect():  # a row for each cell at most
+        shares[cell] += tokens + words
+        n, v = n + tokens, v + words
+    return shares.reshape(CLASSES, GROUPS), n, v
 
 
-def shares_of(counts: DataFrame) -> np.ndarray:
-    """The mass of each class and group: count + 1 of its words, and 1 for unseen ones."""
-    shares = np.ones((CLASSES, GROUPS))
-    for c, g, n in counts.groupBy(class_column(F.col("word")), group_column(F.col("word"))).agg(F.sum(F.col("count") + 1)).collect():
-        shares[c, g] += n
-    return shares
+def _decoded(coded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and cells of coded entries."""
+    return (coded >> 1) // (CLASSES * GROUPS), (coded >> 1) % (CLASSES * GROUPS)
 
 
 def scores(docs: DataFrame, folds: int = 7, held: int = 2, rounds: int = ROUNDS) -> DataFrame:
@@ -330,16 +352,13 @@ def scores(docs: DataFrame, folds: int = 7, held: int = 2, rounds: int = ROUNDS)
     spark = docs.sparkSession
     path = f"{shared_dir(spark)}/llm/texts-{uuid.uuid4().hex}"
     made = text_blocks(docs, folds, held, rounds)
-    made.write.partitionBy("round").parquet(path)
+    made.write.partitionBy("round").option("compression", "zstd").parquet(path)
     blocks = spark.read.schema(made.schema).parquet(path)
     counts = staged(word_counts(blocks), "counts")
-    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    shares = shares_of(counts)
+    shares, n, v = corpus_counts(counts)
     model = train(blocks, Model.of_shares(shares), rounds)
-    words = blocks.select("block", F.posexplode("words").alias("at", "word")).join(counts, "word")
-    known = words.groupBy("block").agg(F.collect_list(F.struct(F.col("at"), F.col("count"))).alias("known"))
-    rows = blocks.join(known, "block", "left").select("doc_ids", "held_out", "sizes", "tokens", "words", "known")
-    return _scored(rows, model, shares, total["n"], total["v"])
+    rows = blocks.join(counts, "block").select("doc_ids", "held_out", "sizes", "tokens", "words", "counts")
+    return _scored(rows, model, shares, n, v)
 
 
 def _scored(rows: DataFrame, model: Model, shares: np.ndarray, n: int, v: int) -> DataFrame:
@@ -354,12 +373,9 @@ def _scored(rows: DataFrame, model: Model, shares: np.ndarray, n: int, v: int) -
             for i in range(batch.num_rows):
                 sizes, tokens = _values(batch.column(2), i), _values(batch.column(3), i)
                 hashed = hashes(batch.column(4).slice(i, 1).flatten().to_pylist())
-                counts = np.zeros(len(hashed))
-                known = batch.column(5).slice(i, 1).flatten()
-                if len(known):
-                    counts[known.field(0).to_numpy(zero_copy_only=False)] = known.field(1).to_numpy(zero_copy_only=False)
+                counts, cells = _decoded(_values(batch.column(5), i))
                 starts = np.cumsum(sizes) - sizes
-                within = np.log((counts + 1) / shares[class_and_group(hashed)])
+                within = np.log((counts + 1) / shares.ravel()[cells])
                 base = np.add.reduceat(np.log10((counts + 1) / (n + 1 * (v + 1)))[tokens], starts)
                 score = np.add.reduceat((model.score(hashed[tokens], _places(sizes)) + within[tokens]) / np.log(10), starts)
                 n_known = np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts)
