@@ -24,6 +24,7 @@ import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +56,7 @@ _SHIFT = np.uint64(64 - (ROWS.bit_length() - 1))
 
 
 def hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), dtype=np.uint64, count=len(words))
 
 
 def class_and_group(hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,7 +148,7 @@ class Model:
             order = np.argsort(r, kind="stable")
             of = r.take(order)
             starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-            met, n = of[starts], np.diff(np.r_[starts, len(of)])
+            met, n = of[starts].astype(np.intp), np.diff(np.r_[starts, len(of)])
             seen = hits.take(met) + n
             hits[met] = seen
             move = slope.take(order.take(starts), axis=0)
