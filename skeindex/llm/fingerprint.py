@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skeindex.llm.common import staged
+from skeindex.llm.common import let, staged
 
 PARTS = 3
 # Cells in a part of the fingerprint; cells in a part of the tables tried on a stripe; digests meant for a stripe.
@@ -23,11 +23,6 @@ WIDTH, RETRIES, STRIPE = 8, (16, 32, 64, 128), 16
 BLOCK_ROWS, BLOCKS = 512, 20_000
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def long(value: int) -> Column:
     return F.lit(value).cast("long")
 

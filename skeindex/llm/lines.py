@@ -1,4 +1,4 @@
-"""Duplicate lines: single lines across documents, and overlapping windows of three lines.
+"""Duplicate passages across documents, made of sentence-sized units, and overlapping windows of three lines.
 
 Both hash units of a document inside the Arrow batches in which it is read, keep only digests and positions, find the
 digests that occur more than once by an aggregate that combines before the shuffle, and join the digests back to their
@@ -12,16 +12,21 @@ treated alike. Ids of null rank last. Null and empty texts have no units.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from skeindex.llm.common import staged
+from skeindex.llm.common import let, staged
 
-Unit = tuple[int, int, int, bytes]  # number, first and last line or start and end, digest
+Unit = tuple[int, int, int, bytes] | tuple[int, int, int, bytes, int]  # number, first and last line or start and end, digest, words
+# Pieces of a text, none left out: what ends in sentence marks or at a line break, and line breaks.
+PIECE = r"[^.!?\n]+[.!?]*|[.!?]+|\n"
+# Words that a run of repeated units has at least, to count as a repeated passage; shorter ones are stock phrases.
+PASSAGE_WORDS = 20
 
 
 def normal(line: str) -> str:
@@ -33,14 +38,14 @@ def digest(text: str) -> bytes:
     return hashlib.md5(text.encode("utf-8", "replace"), usedforsecurity=False).digest()
 
 
-def line_units(text: str) -> Iterator[Unit]:
-    """Lines that are not blank: number, start and end in code points, digest of the normalised line."""
-    at = 0
-    for number, line in enumerate(text.split("\n")):
-        plain = normal(line)
+def sentence_units(text: str) -> Iterator[Unit]:
+    """Sentences and lines that are not blank: number, start and end in code points, digest of the normalised unit, words."""
+    number = 0
+    for piece in re.finditer(PIECE, text):
+        plain = normal(piece.group())
         if plain:
-            yield number, at, at + len(line), digest(plain)
-        at += len(line) + 1
+            yield number, piece.start(), piece.end(), digest(plain), plain.count(" ") + 1
+            number += 1
 
 
 def line_windows(text: str, size: int = 3) -> Iterator[Unit]:
@@ -50,25 +55,18 @@ def line_windows(text: str, size: int = 3) -> Iterator[Unit]:
         yield k, lines[k][0], lines[k + size - 1][0], digest("\n".join(plain for _, plain in lines[k : k + size]))
 
 
-def units(docs: DataFrame, cut: Callable[[str], Iterator[Unit]]) -> DataFrame:
-    """``doc_id, text_hash, unit, first, last, digest`` of all units of all rows."""
+def units(docs: DataFrame, cut: Callable[[str], Iterator[Unit]], words: bool = False) -> DataFrame:
+    """``doc_id, text_hash, unit, first, last, digest`` (and ``words``) of all units of all rows."""
     rows = docs.select("text", "doc_id", F.xxhash64("text").alias("text_hash"))
-    schema = StructType(
-        [
-            rows.schema["doc_id"],
-            StructField("text_hash", LongType()),
-            StructField("unit", IntegerType()),
-            StructField("first", LongType()),
-            StructField("last", LongType()),
-            StructField("digest", BinaryType()),
-        ]
-    )
-    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    fields = {"text_hash": LongType(), "unit": IntegerType(), "first": LongType(), "last": LongType(), "digest": BinaryType()}
+    fields |= {"words": IntegerType()} if words else {}
+    schema = StructType([rows.schema["doc_id"], *(StructField(name, kind) for name, kind in fields.items())])
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32())[: 5 if words else 4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(batch, of, found):
             keys = pa.array(of, pa.int64())
-            columns = [pa.array(c, k) for c, k in zip(zip(*found) if found else [()] * 4, kinds)]
+            columns = [pa.array(c, k) for c, k in zip(zip(*found) if found else [()] * len(kinds), kinds)]
             return pa.record_batch([batch.column(1).take(keys), batch.column(2).take(keys), *columns], schema=None, names=schema.names)
 
         for batch in batches:
@@ -97,19 +95,43 @@ def repeated(found: DataFrame) -> DataFrame:
     return later.select(*found.columns, F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.unit").alias("kept_unit"))
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, unit, start, end, digest, kept_doc_id, kept_unit`` of every line to remove.
+def repeated_passages(docs: DataFrame, at_least: int = PASSAGE_WORDS) -> DataFrame:
+    """``doc_id, text_hash, unit, start, end, digest, words, kept_doc_id, kept_unit`` of every unit to remove.
 
-    ``start`` and ``end`` (exclusive) are offsets in code points of the original text; ``unit`` is the line's number.
+    A unit is a sentence, cut at line breaks as well. Units that are not the earliest of their digest repeat; a run of
+    consecutive ones, blank lines passed over, is a repeated passage if it has ``at_least`` words. ``start`` and ``end``
+    (exclusive) are offsets in code points of the original text; ``unit`` numbers the units of a text.
     """
-    later = repeated(staged(units(docs, line_units), "lines"))
-    return later.withColumnsRenamed({"first": "start", "last": "end"})
+    later = repeated(staged(units(docs, sentence_units, words=True), "sentences"))
+    own = ["doc_id", "text_hash"]
+    later = later.dropDuplicates([*own, "unit"])  # a document delivered more than once: now at most the units of one text
+    run = F.col("unit") - F.row_number().over(Window.partitionBy(*own).orderBy("unit"))
+    of_run = Window.partitionBy(*own, "run")
+    found = later.withColumn("run", run).withColumn("run_words", F.sum("words").over(of_run)).where(F.col("run_words") >= at_least)
+    return found.drop("run", "run_words").withColumnsRenamed({"first": "start", "last": "end"})
 
 
-def without_lines(docs: DataFrame, later: DataFrame) -> DataFrame:
-    """``docs`` without the lines that ``later`` (from :func:`repeated_lines`) names; no row goes."""
-    gone = later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.col("unit").cast("int")).alias("gone"))
-    return _restored(docs, _cut(docs, gone))
+def without_passages(docs: DataFrame, later: DataFrame) -> DataFrame:
+    """``docs`` without the units that ``later`` (from :func:`repeated_passages`) names; no row goes.
+
+    ``n_chars``, if there, follows the text.
+    """
+    spans = F.sort_array(F.collect_set(F.struct(F.col("start").alias("from"), F.col("end").alias("to"))))
+    rows = _joined(docs, later.groupBy("doc_id", "text_hash").agg(spans.alias("gone")))
+    schema = StructType([StructField("text", rows.schema["text"].dataType), StructField("doc", rows.schema["doc"].dataType), StructField("gone", ArrayType(LongType()))])
+    flat = rows.select("text", "doc", F.flatten(F.transform("gone", lambda x: F.array(x["from"], x["to"]))).alias("gone"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, gone in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+                if gone:  # what lies between the spans
+                    edges = [0, *gone, len(text)]
+                    text = "".join(text[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
+                texts.append(text)
+            yield pa.record_batch([pa.array(texts, pa.string()), batch.column(1), batch.column(2)], names=["text", "doc", "gone"])
+
+    return _restored(docs, flat.mapInArrow(cut, schema))
 
 
 def covered_lines(docs: DataFrame, size: int = 3) -> DataFrame:
@@ -133,15 +155,30 @@ def deduplicated(docs: DataFrame, size: int = 3) -> DataFrame:
     return _restored(docs, without_windows(docs, size))
 
 
-def _cut(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Cut the lines ``gone`` from the texts; a text of which nothing goes stays as it is, byte for byte."""
+def _joined(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``doc, text, gone`` of every row: ``gone`` by id and text of the row, null where there is none."""
     key = {"hash": F.xxhash64("text"), "no_id": F.col("doc_id").isNull(), "id": F.coalesce("doc_id", F.lit(0))}
     of = {"hash": F.col("text_hash"), "no_id": F.col("doc_id").isNull(), "id": F.coalesce("doc_id", F.lit(0))}
     gone = gone.select(*[c.alias(name) for name, c in of.items()], "gone")
     rows = docs.select(F.struct(*docs.columns).alias("doc"), "text", *[c.alias(name) for name, c in key.items()])
-    rows = rows.join(gone, list(key), "left")
-    lines = F.split("text", "\n")
-    kept = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("gone", i)), "\n")
+    return rows.join(gone, list(key), "left")
+
+
+def _cut(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Cut the lines ``gone`` (ascending) from the texts; a text of which nothing goes stays as it is, byte for byte."""
+    rows, lines = _joined(docs, gone), F.split("text", "\n")
+    first = F.filter("gone", lambda x, i: (i == 0) | (F.get("gone", i - 1) != x - 1))
+    last = F.filter("gone", lambda x, i: (i == F.size("gone") - 1) | (F.get("gone", i + 1) != x + 1))
+
+    def between(s):  # the lines before, between and after the runs of lines that go, as slices
+        def piece(i):
+            start = F.when(i == 0, 0).otherwise(F.get(s["last"], i - 1) + 1)
+            end = F.when(i == F.size(s["first"]), F.size(s["lines"])).otherwise(F.get(s["first"], i))
+            return F.slice(s["lines"], start + 1, end - start)
+
+        return F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size(s["first"])), piece)), "\n")
+
+    kept = let(F.struct(lines.alias("lines"), first.alias("first"), last.alias("last")), between)
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
     return rows.select("doc", F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"), n_lines.alias("n_lines"), "gone")
 

@@ -1,6 +1,6 @@
 """SQL for the registered queries that SQL can express."""
 
-from skeindex.llm import warc
+from skeindex.llm import lines, warc
 
 
 def _text(sql: str) -> str:
@@ -105,18 +105,24 @@ WITH l AS (
 SELECT * FROM d
 """
 
-LINES = rf"""
+# Sentence-sized units that repeat, in runs of consecutive ones with enough words.
+PASSAGES = rf"""
 WITH l AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS unit FROM documents
+  SELECT doc_id, unnest(regexp_extract_all(text, '{lines.PIECE}')) AS line, generate_subscripts(regexp_extract_all(text, '{lines.PIECE}'), 1) - 1 AS i FROM documents
 ), o AS (
-  SELECT *, (sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit) - length(line) - 1)::BIGINT AS start FROM l
+  SELECT *, (sum(length(line)) OVER (PARTITION BY doc_id ORDER BY i) - length(line))::BIGINT AS start, {PLAIN} AS plain FROM l
 ), h AS (
-  SELECT doc_id, unit, start, start + length(line) AS "end", md5({PLAIN}) AS digest FROM o WHERE {PLAIN} <> ''
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS unit, start, start + length(line) AS "end", md5(plain) AS digest,
+         len(string_split(plain, ' ')) AS words
+  FROM o WHERE plain <> ''
 ), r AS (
   SELECT *, row_number() OVER w AS n, first_value(doc_id) OVER w AS kept_doc_id, first_value(unit) OVER w AS kept_unit
   FROM h WINDOW w AS (PARTITION BY digest ORDER BY doc_id, unit)
+), runs AS (
+  SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS run FROM r WHERE n > 1
 )
-SELECT doc_id, unit, start, "end", digest, kept_doc_id, kept_unit FROM r WHERE n > 1
+SELECT doc_id, unit, start, "end", digest, kept_doc_id, kept_unit FROM runs
+QUALIFY sum(words) OVER (PARTITION BY doc_id, run) >= {lines.PASSAGE_WORDS}
 """
 
 TOP_K = """
@@ -136,6 +142,6 @@ ORACLE = {
     "op1_warc_derivatives": DERIVED,
     "op5_topk_threshold": TOP_K,
     "op3_line_windows": WINDOWS,
-    "op4_repeated_lines": LINES,
+    "op4_repeated_lines": PASSAGES,
     "op8_mix_sources": MIX,
 }

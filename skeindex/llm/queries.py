@@ -36,8 +36,8 @@ def op3_line_windows(spark, sf):
 
 
 def op4_repeated_lines(spark, sf):
-    """Every line to remove, with its original offsets and the place of the line that stays."""
-    later = lines.repeated_lines(table(spark, sf, "documents"))
+    """Every unit of a repeated passage to remove, with its original offsets and the place of the unit that stays."""
+    later = lines.repeated_passages(table(spark, sf, "documents"))
     return later.select(
         "doc_id", F.col("unit").cast("long").alias("unit"), "start", "end", F.lower(F.hex("digest")).alias("digest"),
         "kept_doc_id", F.col("kept_unit").cast("long").alias("kept_unit"),
