@@ -55,6 +55,9 @@ ORACLE["bm25_encode_queries"] = f"""WITH {DOC_TF}, {QUERY_TF}, {STATS}, {QUERY_W
 ORACLE["sparse_topk"] = f"""WITH {DOC_TF}, {QUERY_TF}, {STATS}, {WEIGHTS}, {QUERY_WEIGHTS}, {SPARSE}
     SELECT qid, rank, id, score FROM sr WHERE rank <= 10"""
 ORACLE["sparse_topk_join"] = ORACLE["sparse_topk"]
+ORACLE["sparse_topk_blocks"] = ORACLE["sparse_topk"]
+ORACLE["posting_lists"] = f"""WITH {DOC_TF}, {STATS}, {WEIGHTS}
+    SELECT term_id, count(*) AS df, round(max(weight), 6) AS most, round(min(weight), 6) AS least FROM dw GROUP BY term_id"""
 ORACLE["sparse_topk_repeated_ids"] = f"""WITH {DOC_TF}, {QUERY_TF}, {STATS}, {WEIGHTS}, {QUERY_WEIGHTS}, {SPARSE},
     h AS (SELECT qid, id // 2 AS id, max(score) AS score FROM ss GROUP BY 1, 2),
     r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM h)

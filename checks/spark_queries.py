@@ -16,6 +16,7 @@ from skeindex.session import shared_dir, ship_package, spread, stage
 from skeindex.sources import artifacts, jsonl, models, objects
 from skeindex.sources.indexes import IndexCatalog, IndexSettings
 from skeindex.sources.keyed import KeyedTable
+from skeindex.sources.postings import PostingStore
 from skeindex.streaming import incremental
 
 # SQL has no stemmer, so the compared queries run without one.
@@ -115,6 +116,28 @@ def sparse_topk(spark, sf):
     return search.sparse_topk_rows(index, wanted, 10)
 
 
+def _posting_store(spark, sf, slice_docs=64):
+    """A stored inverted index of all documents, and the terms of the benchmark questions."""
+    terms = terms_of(spark, sf)
+    model = model_of(terms)
+    store = PostingStore(scratch(spark, "postings"), buckets=16)
+    store.write(bm25.encode_documents(terms, model), slice_docs)
+    return store, bm25.query_terms(benchmark(spark, sf), model, "text", PLAIN)
+
+
+def sparse_topk_blocks(spark, sf):
+    """The same search in an inverted index: blocks that cannot enter a top list are not read."""
+    store, wanted = _posting_store(spark, sf)
+    return store.search(wanted, 10)
+
+
+def posting_lists(spark, sf):
+    """What the stored inverted index holds of each term."""
+    store, _ = _posting_store(spark, sf)
+    lists = store.blocks(spark).groupBy("term_id")
+    return lists.agg(F.sum("n").alias("df"), F.round(F.max("top"), 6).alias("most"), F.round(F.min("low"), 6).alias("least"))
+
+
 def sparse_topk_join(spark, sf):
     """The same search by joining on terms, as for query sets too large to broadcast."""
     terms = terms_of(spark, sf)
@@ -831,6 +854,8 @@ QUERIES = {
     "stored_model": stored_model,
     "sparse_topk": sparse_topk,
     "sparse_topk_join": sparse_topk_join,
+    "sparse_topk_blocks": sparse_topk_blocks,
+    "posting_lists": posting_lists,
     "text_coalesce": text_coalesce,
     "doc_ids": doc_ids,
     "dense_topk_dot": _dense_topk("dot"),

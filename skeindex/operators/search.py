@@ -184,6 +184,11 @@ class RunningTop:
         for q in np.flatnonzero((most >= self.floors) & (most > -np.inf)):
             self.merge(q, scores[q], ids)
 
+    def offer_one(self, q: int, scores: np.ndarray, ids) -> None:
+        """Scores of one query over a slice of ids."""
+        if np.isfinite(scores).any():
+            self.merge(q, np.where(np.isfinite(scores), scores, -np.inf), ids)
+
     def merge(self, q: int, scores: np.ndarray, ids) -> None:
         """Take up scores of one query; an id that comes again keeps its best score."""
         size, best = self.k, dict(zip(self.ids[q], self.scores[q]))
