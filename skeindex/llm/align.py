@@ -18,6 +18,7 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 
@@ -30,11 +31,12 @@ from pyspark.sql import types as T
 
 from skeindex.llm.common import staged
 from skeindex.llm.packing import words_of
+from skeindex.llm.remember import Remembered
 
 # Characters of text in a block, A tokens in a lane, lanes in the state vector, tokens written out at a time.
 BLOCK_CHARS, LANE_TOKENS, LANES, WRITTEN = 1_500_000, 256, 8192, 1 << 19
-# Segments of text whose ids a worker remembers for each tokenizer, and segments it tokenises in one call.
-REMEMBERED, CALL_SEGMENTS = 250_000, 8192
+# Segments of text whose ids a worker remembers for each tokenizer, in each of two generations.
+REMEMBERED = 120_000
 _SPACED = re.compile(r" *[^ \n]+| +|\n")
 
 
@@ -53,6 +55,9 @@ class Segmented:
 
     bytes_of: list[bytes]
 
+    def __init__(self):
+        self.known = Remembered(self.checked, REMEMBERED)
+
     def segments(self, text: str) -> list[str]:
         raise NotImplementedError
 
@@ -61,32 +66,24 @@ class Segmented:
 
     def encode(self, texts: list[str]) -> list[np.ndarray | None]:
         """Ids of each text with a space before it; None where their bytes are not those of the text."""
-        split = [self.segments(text) for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = list({s for of in split for s in of if s not in self.known})
-        for i in range(0, len(new), CALL_SEGMENTS):
-            part = new[i : i + CALL_SEGMENTS]
-            for segment, ids in zip(part, self.ids_of(part)):
-                same = b"".join(map(self.bytes_of.__getitem__, ids)) == segment.encode()
-                self.known[segment] = np.array(ids, dtype="<i4").tobytes() if same else None
-        out = []
-        for of in split:
-            parts = list(map(self.known.__getitem__, of))
-            out.append(None if None in parts else np.frombuffer(b"".join(parts), dtype="<i4"))
-        return out
+        parts = self.known.values_of([self.segments(text) for text in texts])
+        return [None if None in of else np.frombuffer(b"".join(of), dtype="<i4") for of in parts]
+
+    def checked(self, segments: list[str]) -> Iterator[bytes | None]:
+        """Ids of segments; None where their bytes are not those of the segment."""
+        for segment, ids in zip(segments, self.ids_of(segments)):
+            same = b"".join(map(self.bytes_of.__getitem__, ids)) == segment.encode()
+            yield np.array(ids, dtype="<i4").tobytes() if same else None
 
 
 class ByteLevel(Segmented):
     """Tokenizer A: a byte-level BPE file of ``tokenizers``; special tokens in a text are plain text."""
 
     def __init__(self, path: str):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.known: dict[str, bytes | None] = {}
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         letters = byte_alphabet()
@@ -114,7 +111,7 @@ class Pieces(Segmented):
     def __init__(self, path: str):
         import sentencepiece
 
-        self.known: dict[str, bytes | None] = {}
+        super().__init__()
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes_of = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]

@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from skeindex.llm.common import offset_by, staged
+from skeindex.llm.remember import Remembered
 
-# Words whose ids a worker remembers, words it tokenises in one call, and characters of text it takes at a time.
-REMEMBERED, CALL_WORDS, BLOCK_CHARS = 400_000, 8_192, 1_000_000
+# Words whose ids a worker remembers in each of two generations, and characters of text it takes at a time.
+REMEMBERED, BLOCK_CHARS = 200_000, 1_000_000
 
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
@@ -58,41 +59,50 @@ def words_of(text: str) -> list[str]:
     return words
 
 
+_SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+
+
 def _spaced(text: str) -> list[str]:
     """Cut before every single space between two characters that are not white space."""
-    words, closed = [], False
-    for i, part in enumerate(text.split(" ")):
-        if closed and part and not part[0].isspace():
-            words.append(" " + part)
-        elif i:
-            words[-1] += " " + part
-        else:
-            words.append(part)
-        closed = bool(part) and not part[-1].isspace()
-    return words
+    cuts = [0, *(m.start() for m in _SINGLE_SPACE.finditer(text)), len(text)]
+    return [text[i:j] for i, j in zip(cuts, cuts[1:])]
 
 
 class WordTokenizer:
-    """Token ids of texts as little-endian unsigned 32-bit bytes; remembers the ids of words."""
+    """Token ids of texts as little-endian unsigned 32-bit bytes, as the tokenizer's file has them; remembers the ids of words.
+
+    The strings of added tokens are found first, as the tokenizer finds them, and what lies between is cut into words.
+    Where an added token takes more than its own string, texts that hold one are not cut.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered(self._ids, REMEMBERED)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        strings = sorted((t.content for t in added), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, strings))) if strings else None
+        self.alone = not any(t.lstrip or t.rstrip or t.single_word or t.normalized and not t.special for t in added)
+
+    def words(self, text: str) -> list[str]:
+        if self.added is None or not self.added.search(text):
+            return words_of(text)
+        if not self.alone:
+            return [text]
+        words, at = [], 0
+        for token in self.added.finditer(text):
+            words += words_of(text[at : token.start()])
+            words.append(token.group())
+            at = token.end()
+        return words + words_of(text[at:])
+
+    def _ids(self, words: list[str]) -> Iterator[bytes]:
+        return (np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [words_of(text) for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = list({w for of in words for w in of if w not in self.known})
-        for i in range(0, len(new), CALL_WORDS):
-            part = new[i : i + CALL_WORDS]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, of)) for of in words]
+        return [b"".join(ids) for ids in self.known.values_of([self.words(text) for text in texts])]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}

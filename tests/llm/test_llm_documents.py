@@ -215,8 +215,7 @@ def test_nested_budgets_are_nested(spark):
 
 
 def test_pack_round_trip(messy, no_docs):
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
+    tokenizer = Tokenizer.from_file(PATH)  # as its file has it
     want = Counter((r[0], tuple(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) + (0,)) for r in ROWS)
     rows = packing.pack(messy, PATH, with_ids=True).collect()
     assert sorted(r["sequence_id"] for r in rows) == list(range(len(rows)))
@@ -241,9 +240,21 @@ def test_words_join_to_the_text():
     rng = np.random.default_rng(1)
     bits = ["a", "the", " ", "  ", "\n", "\t", ".", "é", " ", "日", "'s", "12", "<|endoftext|>", "\x1c", " don't", "!!", " .x", "#)", " "]
     texts = ["".join(rng.choice(bits, rng.integers(0, 20))) for _ in range(3000)]
+    whole = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in whole]
+    assert sum(b"\x50\xc4\x00\x00" in x for x in want) > 500  # the added token, 50256
     encoder = packing.WordTokenizer(PATH)
-    whole = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
-    assert encoder.encode(texts) == [np.array(e.ids, dtype="<u4").tobytes() for e in whole]
+    assert encoder.encode(texts) == want
+    encoder.known.most = 50  # generations come and go
+    for i in range(0, len(texts), 40):
+        assert encoder.encode(texts[i : i + 40]) == want[i : i + 40]
+
+
+def test_runs_of_white_space_are_linear():
+    text = " a\t  " * 400_000
+    start = time.time()
+    assert "".join(packing.words_of(text)) == text
+    assert time.time() - start < 5
 
 
 def slow_print(text):
