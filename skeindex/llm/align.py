@@ -20,7 +20,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skeindex.llm.common import staged
-from skeindex.llm.packing import words_of
+from skeindex.llm.packing import MARKS, words_of
 from skeindex.llm.remember import Remembered
 
 # Characters of text in a block, A tokens in a lane, lanes in the state vector, tokens written out at a time.
 BLOCK_CHARS, LANE_TOKENS, LANES, WRITTEN = 1_500_000, 256, 8192, 1 << 19
-# Segments of text whose ids a worker remembers for each tokenizer, in each of two generations.
-REMEMBERED = 120_000
-_SPACED = re.compile(r" *[^ \n]+| +|\n")
+# Segments of text whose ids a worker remembers, in each of two generations.
+REMEMBERED = 150_000
 
 
 # --- tokenizers ---------------------------------------------------------------------------------
@@ -50,96 +50,110 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
-class Segmented:
-    """Ids and bytes of tokens, by segments at whose edges a token always starts; remembers the ids of segments."""
-
-    bytes_of: list[bytes]
-
-    def __init__(self):
-        self.known = Remembered(self.checked, REMEMBERED)
-
-    def segments(self, text: str) -> list[str]:
-        raise NotImplementedError
-
-    def ids_of(self, segments: list[str]) -> list[list[int]]:
-        raise NotImplementedError
-
-    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
-        """Ids of each text with a space before it; None where their bytes are not those of the text."""
-        parts = self.known.values_of([self.segments(text) for text in texts])
-        return [None if None in of else np.frombuffer(b"".join(of), dtype="<i4") for of in parts]
-
-    def checked(self, segments: list[str]) -> Iterator[bytes | None]:
-        """Ids of segments; None where their bytes are not those of the segment."""
-        for segment, ids in zip(segments, self.ids_of(segments)):
-            same = b"".join(map(self.bytes_of.__getitem__, ids)) == segment.encode()
-            yield np.array(ids, dtype="<i4").tobytes() if same else None
-
-
-class ByteLevel(Segmented):
+class ByteLevel:
     """Tokenizer A: a byte-level BPE file of ``tokenizers``; special tokens in a text are plain text."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         letters = byte_alphabet()
         entries = {i: entry for entry, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
         self.bytes_of = [bytes(letters.get(c, 0) for c in entries.get(i, "")) for i in range(max(entries) + 1)]
 
-    def segments(self, text: str) -> list[str]:
-        if not text[:1].isalnum():
-            return words_of(" " + text)
-        words = words_of(text)
-        words[0] = " " + words[0]
-        return words
-
     def ids_of(self, segments: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
 
 
-class Pieces(Segmented):
+class Pieces:
     """Tokenizer B: a BPE model of ``sentencepiece`` that writes a space as U+2581 and puts one before a text.
 
-    Where no piece of the model has a space after another character, or a line break, tokens never reach over a space
-    that follows another character, nor over a line break: texts are cut there.
+    ``cut``: no piece has a space after another character, nor a line break beside one, so that no token reaches over the
+    edge of a word as ``words_of`` cuts it. ``joined`` are letters and digits that some piece has before a mark at which
+    words are cut; texts that hold one are not cut.
     """
 
     def __init__(self, path: str):
         import sentencepiece
 
-        super().__init__()
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        ids = range(self.model.get_piece_size())
+        plain = [i for i in ids if not (self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i))]
+        pieces = [self.model.id_to_piece(i) for i in ids]
         self.bytes_of = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        whole = any(b" " in b.lstrip(b" ") or (b"\n" in b and b != b"\n") for b in self.bytes_of)
+        whole = any("▁" in pieces[i].lstrip("▁") or ("\n" in pieces[i] and pieces[i] != "\n") for i in plain)
         self.line = self.model.encode("\n", num_threads=1)
         self.cut = not whole and [self.bytes_of[i] for i in self.line] == [b" ", b"\n"]
+        joined = {x for i in plain for x, y in zip(pieces[i], pieces[i][1:]) if x.isalnum() and y in MARKS}
+        self.joined = re.compile("[" + re.escape("".join(sorted(joined))) + "]") if joined else None
 
-    def segments(self, text: str) -> list[str]:
-        text = " " + text
-        return _SPACED.findall(text) if self.cut else [text]
+    def cuts(self, text: str) -> bool:
+        return self.cut and not (self.joined and self.joined.search(text))
 
     def ids_of(self, segments: list[str]) -> list[list[int]]:
+        """Ids of segments of a text that has a space before it."""
         # The model puts a space before each: a segment gives up one, or follows a line break that is taken off again.
         given = [s[1:] if s[0] == " " else "\n" + s for s in segments]
         found = self.model.encode(given, num_threads=1)
         plain = [ids if s[0] == " " else ids[len(self.line) :] for s, ids in zip(segments, found)]
-        return [self.line[:1] if s == " " and self.cut else ids for s, ids in zip(segments, plain)]  # nothing gets no space
+        return [self.line[:1] if s == " " else ids for s, ids in zip(segments, plain)]  # nothing gets no space
+
 
+class Tokenizers:
+    """Ids by both tokenizers of a text with a space before it, by words at whose edges a token of either starts."""
 
-_loaded: dict[tuple[str, str], Segmented] = {}
+    def __init__(self, a_path: str, b_path: str):
+        self.a, self.b = ByteLevel(a_path), Pieces(b_path)
+        self.known = Remembered(self._ids, REMEMBERED, columns=2)
 
+    def _ids(self, segments: list[str]) -> Iterator[tuple[bytes | None, bytes | None]]:
+        for segment, a, b in zip(segments, self.a.ids_of(segments), self.b.ids_of(segments)):
+            raw = segment.encode()
+            yield _checked(a, self.a.bytes_of, raw), _checked(b, self.b.bytes_of, raw)
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of A and of B; none of either for texts whose bytes one of them does not give back, nor for empty ones."""
+        numbers = self.known.numbers_of([_segments(text) for text in texts])
+        a_ids, b_ids = (found.__getitem__ for found in self.known.found)
+        out = []
+        for text, of in zip(texts, numbers):
+            a, b = list(map(a_ids, of)), list(map(b_ids, of))
+            if text and not self.b.cuts(text):
+                b = [_checked(self.b.model.encode(text, num_threads=1), self.b.bytes_of, b" " + text.encode())]
+            out.append((_NONE, _NONE) if not text or None in a or None in b else (_array(a), _array(b)))
+        return out
 
-def loaded(kind: type[Segmented], path: str) -> Segmented:
-    """One tokenizer per worker and file."""
-    key = (kind.__name__, path)
-    if key not in _loaded:
-        _loaded[key] = kind(path)
-    return _loaded[key]
+
+_NONE = np.zeros(0, dtype="<i4")
+
+
+def _array(parts: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(parts), dtype="<i4")
+
+
+def _checked(ids: list[int], bytes_of: list[bytes], raw: bytes) -> bytes | None:
+    """Ids as bytes; None where their tokens' bytes are other ones."""
+    return array("i", ids).tobytes() if b"".join(map(bytes_of.__getitem__, ids)) == raw else None
+
+
+def _segments(text: str) -> list[str]:
+    if not text[:1].isalnum():
+        return words_of(" " + text)
+    words = words_of(text)
+    words[0] = " " + words[0]
+    return words
+
+
+_loaded: dict[tuple[str, str], Tokenizers] = {}
+
+
+def loaded(a_path: str, b_path: str) -> Tokenizers:
+    """One pair of tokenizers per worker and files."""
+    if (a_path, b_path) not in _loaded:
+        _loaded[a_path, b_path] = Tokenizers(a_path, b_path)
+    return _loaded[a_path, b_path]
 
 
 # --- lockstep -----------------------------------------------------------------------------------
@@ -180,7 +194,7 @@ def lockstep(a_ends: np.ndarray, b_ends: np.ndarray, first: np.ndarray, last: np
 class Aligned:
     """The alignment of a block: ``a`` and ``b`` hold the ids of each document, none for those without tokens."""
 
-    def __init__(self, a: list[np.ndarray], b: list[np.ndarray], a_bytes: np.ndarray, b_bytes: np.ndarray):
+    def __init__(self, a: Sequence[np.ndarray], b: Sequence[np.ndarray], a_bytes: np.ndarray, b_bytes: np.ndarray):
         self.n_a, self.n_b = (np.array([len(x) for x in of], dtype=np.int64) for of in (a, b))
         self.a, self.b = (np.concatenate([np.zeros(0, dtype=np.int32), *of]) for of in (a, b))
         a_ends, b_ends = np.cumsum(a_bytes[self.a]), np.cumsum(b_bytes[self.b])
@@ -236,19 +250,21 @@ class Aligned:
         return out
 
 
-_TENS = 10 ** np.arange(9, -1, -1)
+def _digits(ids: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal digits in ``wide`` columns, and which of them are written."""
+    tens = 10 ** np.arange(wide - 1, -1, -1)
+    return (ids[:, None] // tens % 10 + ord("0")).astype(np.uint8), (ids[:, None] >= tens) | (tens == 1)
+
+
+_SMALL = _digits(np.arange(1 << 16), 5)
 
 
 def _written(ids: np.ndarray, mark: np.ndarray) -> bytes:
     """Decimal ids, each with its mark behind it."""
-    digits = max(1, len(str(ids.max(initial=0))))
-    tens = _TENS[-digits:]
-    text = np.empty((len(ids), digits + 1), dtype=np.uint8)
-    text[:, :digits] = ids[:, None] // tens % 10 + ord("0")
-    text[:, digits] = mark
-    shown = np.ones(text.shape, dtype=bool)
-    shown[:, : digits - 1] = ids[:, None] >= tens[:-1]
-    return text[shown].tobytes()
+    most = int(ids.max(initial=0))
+    digits, written = (x.take(ids, axis=0) for x in _SMALL) if most < 1 << 16 else _digits(ids, len(str(most)))
+    text = np.column_stack([digits, mark])
+    return text[np.column_stack([written, np.ones(len(ids), dtype=bool)])].tobytes()
 
 
 # --- the Spark job ------------------------------------------------------------------------------
@@ -270,17 +286,12 @@ def aligned_blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     schema = _schema(rows.schema["doc_id"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = loaded(ByteLevel, a_path), loaded(Pieces, b_path)
-        a_bytes, b_bytes = (np.array([len(x) for x in t.bytes_of], dtype=np.int64) for t in (a, b))
-        none, number = np.zeros(0, dtype=np.int32), TaskContext.get().partitionId() << 32
+        both, number = loaded(a_path, b_path), TaskContext.get().partitionId() << 32
+        a_bytes, b_bytes = (np.array([len(x) for x in t.bytes_of], dtype=np.int64) for t in (both.a, both.b))
 
         def made(ids: list[pa.Array], texts: list[str]) -> pa.RecordBatch:
             nonlocal number
-            full = [i for i, t in enumerate(texts) if t]
-            a_ids, b_ids = [none] * len(texts), [none] * len(texts)
-            for i, x, y in zip(full, a.encode([texts[i] for i in full]), b.encode([texts[i] for i in full])):
-                if x is not None and y is not None:
-                    a_ids[i], b_ids[i] = x, y
+            a_ids, b_ids = zip(*both.encode(texts))
             found = Aligned(a_ids, b_ids, a_bytes, b_bytes)
             arrays = [pa.concat_arrays(ids), *(pa.array(x) for x in (found.n_a, found.n_b, found.n_groups, found.n_links)), pa.array(found.digests(), pa.string())]
             arrays += [pa.array(x.astype(np.int32)) for x in (found.n_pairs, found.pair_at, found.times)] + [pa.array(found.pairs), pa.array(found.docs.astype(np.int32))]
@@ -320,7 +331,7 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     documents that hold its pair of ids linked. ``n_best`` counts the links whose count is the highest of their A id,
     ``count_sum`` adds up the counts of all links. The files of the tokenizers are at the same paths on every node.
     """
-    b_size = loaded(Pieces, b_path).model.get_piece_size()
+    b_size = len(loaded(a_path, b_path).b.bytes_of)
     blocks = staged(aligned_blocks(docs, a_path, b_path), "aligned")
     pairs = blocks.select("block", F.posexplode("pairs").alias("at", "pair")).join(pair_counts(blocks, b_size), "pair")
     known = pairs.groupBy("block").agg(F.collect_list(F.struct("at", "n", "best")).alias("known"))

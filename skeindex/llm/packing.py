@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,8 @@ REMEMBERED, BLOCK_CHARS = 200_000, 1_000_000
 
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-_MARKS = ".,!?#$%&*|"
+# Marks that words are cut before, at their ends.
+MARKS = ".,!?#$%&*|"
 
 
 def words_of(text: str) -> list[str]:
@@ -49,7 +51,7 @@ def words_of(text: str) -> list[str]:
             elif not part:
                 return _spaced(text)
             else:
-                core = part.rstrip(_MARKS)
+                core = part.rstrip(MARKS)
                 if core and core[-1].isalnum():
                     words.append(space + core)
                     words.append(part[len(core) :])
@@ -98,11 +100,13 @@ class WordTokenizer:
             at = token.end()
         return words + words_of(text[at:])
 
-    def _ids(self, words: list[str]) -> Iterator[bytes]:
-        return (np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False))
+    def _ids(self, words: list[str]) -> Iterator[tuple[bytes]]:
+        return ((array("I", e.ids).tobytes(),) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(ids) for ids in self.known.values_of([self.words(text) for text in texts])]
+        numbers = self.known.numbers_of([self.words(text) for text in texts])
+        ids = self.known.found[0].__getitem__
+        return [b"".join(map(ids, of)) for of in numbers]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}

@@ -6,37 +6,40 @@ from collections.abc import Callable, Iterable
 
 
 class Remembered(dict):
-    """Numbers of strings, and a value for each number, computed once for all strings that are new.
+    """Numbers of strings, and ``columns`` values for each number, computed once for all strings that are new.
 
     Two generations are kept, each of about ``most`` strings: when the younger one is full it becomes the older one, from
     which strings that come again are taken over, so that frequent ones stay and rare ones go.
     """
 
-    def __init__(self, compute: Callable[[list[str]], Iterable], most: int, call: int = 8192):
+    def __init__(self, compute: Callable[[list[str]], Iterable[tuple]], most: int, columns: int = 1, call: int = 8192):
         self.compute, self.most, self.call = compute, most, call
-        self.found: list = []
-        self.older: dict[str, object] = {}
+        self.found: list[list] = [[] for _ in range(columns)]
+        self.older: dict[str, int] = {}
+        self.older_found = self.found
         self.new: list[str] = []
 
     def __missing__(self, key: str) -> int:
-        number = self[key] = len(self.found)
-        if key in self.older:
-            self.found.append(self.older[key])
-        else:
-            self.found.append(None)
+        number = self[key] = len(self.found[0])
+        before = self.older.get(key)
+        for column, older in zip(self.found, self.older_found):
+            column.append(None if before is None else older[before])
+        if before is None:
             self.new.append(key)
         return number
 
-    def values_of(self, parts: list[list[str]]) -> list[list]:
-        """The values of the strings of each part."""
+    def numbers_of(self, parts: list[list[str]]) -> list[list[int]]:
+        """The numbers of the strings of each part, into the lists ``found``; they hold until the next call."""
         if len(self) > self.most:
-            self.older = dict(zip(self, self.found))
+            self.older, self.older_found = dict(self), self.found
             self.clear()
-            self.found = []
+            self.found = [[] for _ in self.found]
         numbers = [list(map(self.__getitem__, part)) for part in parts]
         for i in range(0, len(self.new), self.call):
             new = self.new[i : i + self.call]
-            for key, value in zip(new, self.compute(new)):
-                self.found[self[key]] = value
+            for key, values in zip(new, self.compute(new)):
+                number = self[key]
+                for column, value in zip(self.found, values):
+                    column[number] = value
         self.new = []
-        return [list(map(self.found.__getitem__, of)) for of in numbers]
+        return numbers
