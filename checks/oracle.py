@@ -322,6 +322,7 @@ ORACLE["index_overwrite"] = f"""WITH {UNITS}
     SELECT id, source_file, 'two' AS batch, first FROM u WHERE label < 7"""
 ORACLE["index_upsert"] = f"""WITH {UNITS}
     SELECT id, source_file, CASE WHEN label >= 5 THEN 'two' ELSE 'one' END AS batch, first FROM u"""
+ORACLE["index_compacted"] = ORACLE["index_upsert"]
 ORACLE["index_replace_files"] = f"""WITH {UNITS},
     part AS (SELECT * FROM u WHERE label >= 5 AND e1 > 0)
     SELECT id, source_file, 'two' AS batch, first FROM part UNION ALL
@@ -428,6 +429,7 @@ ORACLE["answer_queries"] = f"""WITH RECURSIVE {CORPUS}, {CORPUS_TF}, {fused(INDE
 PER_DOCUMENT = f"""WITH {DOC_TF}, t AS (SELECT id, count(*) AS n_terms FROM tf GROUP BY id)"""
 ORACLE["ingest_chunks"] = f"""{PER_DOCUMENT}
     SELECT id::VARCHAR AS id, n_terms, 256 AS dims, id AS line FROM t"""
+ORACLE["streaming_chunks"] = ORACLE["ingest_chunks"]
 ORACLE["ingest_without_offsets"] = f"""{PER_DOCUMENT}
     SELECT id::VARCHAR AS id, n_terms, 256 AS dims FROM t"""
 ORACLE["merged_datapoints"] = f"""{PER_DOCUMENT},

@@ -769,6 +769,37 @@ def ingest_chunks(spark, sf):
     return _ids(catalog)
 
 
+def streaming_chunks(spark, sf):
+    """Chunk files of two sets arrive one after the other; the last batch is repeated, as after a failure."""
+    root, catalog, embedder = _setting(spark)
+    chunks = stage(_saved_chunks(spark, sf), "chunks")
+    flows.fit_model(chunks, root + "/model", root + "/artifacts", analyzer=PLAIN)
+    catalog.create("main", IndexSettings(dims=HASH_DIMS))
+    parts = (chunks.where("chunk_line_offset % 3 = 0"), chunks.where("chunk_line_offset % 3 <> 0"))
+    for part in parts:
+        jsonl.write_jsonl(part, root + "/arrivals", "append")
+        incremental.update_from_chunks(
+            catalog, "main", root + "/arrivals", root + "/artifacts", root + "/progress",
+            embedder=embedder, analyzer=PLAIN, glob="*.json",
+        )
+    done = catalog.table("main").manifest(spark)
+    again = incremental.chunk_batches(catalog, "main", root + "/artifacts", root + "/progress", embedder=embedder, analyzer=PLAIN)
+    again(parts[0], 1)  # with other rows, to show that they are not taken
+    if catalog.table("main").manifest(spark) != done:
+        raise AssertionError("a repeated batch was committed")
+    return _ids(catalog)
+
+
+def index_compacted(spark, sf):
+    """Updates as deltas, then compaction: as after one update with everything."""
+    catalog, rows = _index(spark), vectors(spark, sf)
+    catalog.update("demo", _points(rows.where("label < 7"), "one"), overwrite=True)
+    for label in (7, 8, 9, 5, 6):
+        catalog.update("demo", _points(rows.where(F.col("label") == label), "two"))
+    catalog.table("demo").compact(spark)
+    return _index_rows(catalog)
+
+
 def ingest_without_offsets(spark, sf):
     """Chunk records that have no place in a dataset keep their ids."""
     root, catalog, embedder = _setting(spark)
@@ -897,6 +928,7 @@ QUERIES = {
     "merge_datapoints": merge_datapoints,
     "index_overwrite": index_overwrite,
     "index_upsert": index_upsert,
+    "index_compacted": index_compacted,
     "index_replace_files": index_replace_files,
     "index_overwrite_empty": index_overwrite_empty,
     "datapoint_lines": datapoint_lines,
@@ -907,6 +939,7 @@ QUERIES = {
     "incremental_update": incremental_update,
     "streaming_update": streaming_update,
     "ingest_chunks": ingest_chunks,
+    "streaming_chunks": streaming_chunks,
     "ingest_without_offsets": ingest_without_offsets,
     "update_without_chunks": update_without_chunks,
     "answer_after_update": answer_after_update,

@@ -142,12 +142,18 @@ def incremental_update(
     catalog: IndexCatalog, index_name: str, pages: DataFrame, chunks_uri: str, registry: str,
     model_name: str = artifacts.MODEL_NAME, version: str = chunking.DEFAULT_VERSION,
     embedder: Embedder = Embedder(), analyzer: Analyzer = Analyzer(), replace_files: bool = False,
+    batch: tuple[str, int] | None = None,
 ) -> int:
-    """Chunk new pages, encode them with the newest stored model, upsert the index."""
+    """Chunk new pages, encode them with the newest stored model, upsert the index.
+
+    A ``batch`` of a stream, as ``(stream, number)``, that the index has already changes nothing.
+    """
     catalog.find(index_name)
+    if catalog.applied(index_name, batch):
+        return catalog.table(index_name).manifest(catalog.spark).version
     chunks = chunk_dataset(pages, chunks_uri, version)
     return ingest_chunks(
-        catalog, index_name, chunks, registry, model_name, embedder, analyzer, replace_files
+        catalog, index_name, chunks, registry, model_name, embedder, analyzer, replace_files, batch
     )
 
 
@@ -160,7 +166,7 @@ def ingest_chunks(
     spark = chunks.sparkSession
     uri = artifacts.latest_uri(artifacts.read_artifacts(spark, registry), model_name)
     points = build_datapoints(chunks, models.load_model(spark, uri), embedder, analyzer)
-    return catalog.update(index_name, points, replace_files=replace_files)
+    return catalog.update(index_name, points, replace_files=replace_files, batch=batch)
 
 
 def intake_pages(

@@ -1,7 +1,12 @@
-"""Vector indexes: a catalog of settings and one keyed table of datapoints per index."""
+"""Vector indexes: a catalog of settings and one keyed table of datapoints per index.
+
+The cells for approximate search belong to a version of the table: its manifest names them, so a reader always gets rows
+and the cells that they were dealt into, also while others train or update.
+"""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -12,7 +17,7 @@ from skeindex.operators import ann
 from skeindex.operators.intake import last_per_key
 from skeindex.operators.search import dense_topk
 from skeindex.schemas import INDEX
-from skeindex.sources.keyed import KeyedTable
+from skeindex.sources.keyed import MOST_LAYERS, Conflict, KeyedTable, Manifest
 from skeindex.sources.objects import read_if_present
 
 
@@ -68,45 +73,43 @@ class IndexCatalog:
     def read(self, name: str) -> DataFrame:
         return self.read_cells(name).drop("cell")
 
-    def read_cells(self, name: str) -> DataFrame:
+    def read_cells(self, name: str, version: Manifest | None = None) -> DataFrame:
         """The datapoints with the ``cell`` of their vector, null before cells were trained."""
         self.find(name)
-        return self.table(name).read(self.spark).drop("bucket")
-
-    def centroids(self, name: str) -> DataFrame | None:
-        """The newest cells of an index, for approximate search; None without any."""
-        found = read_if_present(self.spark, f"{self.root}/cells/{name}", ann.CELLS + ", version int")
-        newest = None if found is None else found.agg(F.max("version")).first()[0]
-        return None if newest is None else found.where(F.col("version") == newest).drop("version")
-
-    def set_cells(self, name: str, centroids: DataFrame) -> int:
-        """Store cells and give every datapoint its own; later updates assign theirs to the same cells."""
-        table = self.table(name)
-        version = table.manifest(self.spark).version + 1
-        centroids.write.mode("error").parquet(f"{self.root}/cells/{name}/version={version}")
-        return table.overwrite(self._with_cells(name, self.read(name)))
+        return self.table(name).read(self.spark, version).drop("bucket")
+
+    def centroids(self, name: str, version: Manifest | None = None) -> DataFrame | None:
+        """The cells of a version of an index, by default the newest; None without any."""
+        version = version or self.table(name).manifest(self.spark)
+        cells = version.notes.get("cells")
+        return None if cells is None else self.spark.read.schema(ann.CELLS).parquet(f"{self.root}/cells/{name}/{cells}")
+
+    def set_cells(self, name: str, centroids: DataFrame, before: Manifest | None = None) -> int:
+        """Store cells and give every datapoint its own, in one commit; later updates assign theirs to the same cells."""
+        table, cells = self.table(name), uuid.uuid4().hex
+        before = before or table.manifest(self.spark)
+        centroids.write.parquet(f"{self.root}/cells/{name}/{cells}")
+        stored = self.spark.read.schema(ann.CELLS).parquet(f"{self.root}/cells/{name}/{cells}")
+        rows = ann.assign_cells(self.read_cells(name, before).drop("cell"), stored)
+        return table.overwrite(rows, {"cells": cells}, before)
 
     def train(self, name: str, seed: int = 7, iterations: int = 10) -> int:
         """Train the cells of an index on all of its vectors, one per ``leaf_size`` of them."""
-        leaf = self.find(name)["leaf_size"]
-        return self.set_cells(name, ann.train_cells(self.read(name).select("id", "embedding"), leaf, seed, iterations))
-
-    def _with_cells(self, name: str, datapoints: DataFrame) -> DataFrame:
-        centroids = self.centroids(name)
-        if centroids is None:
-            return datapoints.withColumn("cell", F.lit(None).cast("int"))
-        return ann.assign_cells(datapoints, centroids)
+        leaf, before = self.find(name)["leaf_size"], self.table(name).manifest(self.spark)
+        vectors = self.read_cells(name, before).select("id", "embedding")
+        return self.set_cells(name, ann.train_cells(vectors, leaf, seed, iterations), before)
 
     def search(self, name: str, queries: DataFrame, k: int, approximate: bool = True) -> DataFrame:
         """Dense ``(qid, rank, id, score)`` by the metric of the index: in ``probe_pct`` percent of its cells, or exact.
 
         An index without cells is searched exactly.
         """
-        settings, centroids = self.find(name), self.centroids(name)
+        settings, version = self.find(name), self.table(name).manifest(self.spark)
+        centroids, rows = self.centroids(name, version), self.read_cells(name, version)
         metric = DISTANCE_MEASURES[settings["metric"]]
         if centroids is None or not approximate:
-            return dense_topk(self.read(name), queries, k, metric)
-        return ann.ann_topk(self.read_cells(name), centroids, queries, k, metric, settings["probe_pct"])
+            return dense_topk(rows, queries, k, metric)
+        return ann.ann_topk(rows, centroids, queries, k, metric, settings["probe_pct"])
 
     def _prepared(self, settings: Row, datapoints: DataFrame) -> DataFrame:
         """Datapoints with checked dimensions and the index's norm, the last one of every id."""
@@ -129,15 +132,27 @@ class IndexCatalog:
         order = F.col(f"embedding_metadata.{pointer}") if pointer in metadata else F.lit(0)
         return last_per_key(ready.withColumn("__seq", order), "id", "__seq").drop("__seq")
 
+    def applied(self, name: str, batch: tuple[str, int] | None) -> bool:
+        """Whether a stream's batch, as ``(stream, number)``, is in the index."""
+        return self.table(name).applied(self.spark, batch)
+
     def update(
-        self, name: str, datapoints: DataFrame, overwrite: bool = False, replace_files: bool = False
-    ) -> int:
+        self, name: str, datapoints: DataFrame, overwrite: bool = False, replace_files: bool = False,
+        batch: tuple[str, int] | None = None,
+    ) -> int:
         """Full overwrite or partial upsert; returns the new version of the index.
 
-        ``replace_files`` also removes old chunks of the files in this batch that it no longer has.
+        ``replace_files`` also removes old chunks of the files in this batch that it no longer has. Of a ``batch`` that
+        the index has already nothing changes. Buckets with many deltas are compacted.
         """
-        ready = self._with_cells(name, self._prepared(self.find(name), datapoints))
+        table = self.table(name)
+        before = table.manifest(self.spark)
+        ready, centroids = self._prepared(self.find(name), datapoints), self.centroids(name, before)
+        ready = ready.withColumn("cell", F.lit(None).cast("int")) if centroids is None else ann.assign_cells(ready, centroids)
         if overwrite:
-            return self.table(name).overwrite(ready)
-        group = "embedding_metadata.source_file" if replace_files else None
-        return self.table(name).upsert(ready, group)
+            return table.overwrite(ready, before=before)
+        version = table.upsert(ready, "embedding_metadata.source_file" if replace_files else None, batch, before)
+        try:
+            return max(version, table.compact(self.spark, MOST_LAYERS))
+        except Conflict:  # another update has come in between; a later one compacts
+            return version

@@ -1,4 +1,8 @@
-"""Scheduled incremental runs: new page or chunk files become index updates, each file once."""
+"""Scheduled incremental runs: new page or chunk files become index updates, each file once.
+
+A micro-batch is known to the index by its stream and number, which are committed with its rows: one that is repeated
+after a failure commits nothing if its first run did, and starts over if it did not.
+"""
 
 from __future__ import annotations
 
@@ -27,32 +31,46 @@ def update_from_pages(
     checkpoint: str, model_name: str = artifacts.MODEL_NAME, embedder: Embedder = Embedder(),
     analyzer: Analyzer = Analyzer(), replace_files: bool = False,
 ) -> None:
-    """Index the page files (Parquet) that appeared in ``pages_dir``.
-
-    A batch that is repeated after a failure writes the same chunk folder and upserts the same keys.
-    """
+    """Index the page files (Parquet) that appeared in ``pages_dir``; ``checkpoint`` names the stream."""
     stream = catalog.spark.readStream.schema(PAGE).parquet(pages_dir)
+    handle = page_batches(catalog, index_name, chunks_root, registry, checkpoint, model_name, embedder, analyzer, replace_files)
+    run_available(stream, handle, checkpoint)
+
+
+def page_batches(
+    catalog: IndexCatalog, index_name: str, chunks_root: str, registry: str, stream: str,
+    model_name: str = artifacts.MODEL_NAME, embedder: Embedder = Embedder(),
+    analyzer: Analyzer = Analyzer(), replace_files: bool = False,
+):
+    """What is done with each batch of pages."""
 
     def handle(batch: DataFrame, number: int) -> None:
-        target = f"{chunks_root}/batch={number}"
         incremental_update(
-            catalog, index_name, batch, target, registry, model_name,
-            embedder=embedder, analyzer=analyzer, replace_files=replace_files,
+            catalog, index_name, batch, f"{chunks_root}/batch={number}", registry, model_name,
+            embedder=embedder, analyzer=analyzer, replace_files=replace_files, batch=(stream, number),
         )
 
-    run_available(stream, handle, checkpoint)
+    return handle
 
 
 def update_from_chunks(
     catalog: IndexCatalog, index_name: str, chunks_dir: str, registry: str, checkpoint: str,
     model_name: str = artifacts.MODEL_NAME, embedder: Embedder = Embedder(),
-    analyzer: Analyzer = Analyzer(),
+    analyzer: Analyzer = Analyzer(), glob: str = "*.jsonl",
 ) -> None:
-    """Index the chunk files (JSONL) that appeared in ``chunks_dir``."""
+    """Index the chunk files (JSONL) that appeared in ``chunks_dir``; ``checkpoint`` names the stream."""
     reader: SparkSession = catalog.spark
-    stream = reader.readStream.schema(CHUNK).option("pathGlobFilter", "*.jsonl").json(chunks_dir)
+    stream = reader.readStream.schema(CHUNK).option("pathGlobFilter", glob).json(chunks_dir)
+    run_available(stream, chunk_batches(catalog, index_name, registry, checkpoint, model_name, embedder, analyzer), checkpoint)
+
+
+def chunk_batches(
+    catalog: IndexCatalog, index_name: str, registry: str, stream: str, model_name: str = artifacts.MODEL_NAME,
+    embedder: Embedder = Embedder(), analyzer: Analyzer = Analyzer(),
+):
+    """What is done with each batch of chunks."""
 
     def handle(batch: DataFrame, number: int) -> None:
-        ingest_chunks(catalog, index_name, batch, registry, model_name, embedder, analyzer)
+        ingest_chunks(catalog, index_name, batch, registry, model_name, embedder, analyzer, batch=(stream, number))
 
-    run_available(stream, handle, checkpoint)
+    return handle

@@ -102,6 +102,25 @@ def test_stream_takes_every_file_once(spark, built):
     assert set(first) < set(ids(catalog)) and any("forest" in i for i in ids(catalog))
 
 
+def test_a_batch_that_failed_or_is_repeated(spark, built, monkeypatch):
+    """A batch that fails before its commit starts over; one that failed after it changes nothing when it is repeated."""
+    catalog, scratch, root = built
+    before, version = ids(catalog), catalog.table("main").manifest(spark).version
+    handle = incremental.page_batches(catalog, "main", scratch + "/batches", root + "/artifacts", "s", embedder=SMALL)
+    batch = pages(spark, TOPICS[3:4])
+    with monkeypatch.context() as patch:
+        patch.setattr(IndexCatalog, "update", lambda *_, **__: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            handle(batch, 0)
+    assert ids(catalog) == before
+    handle(batch, 0)
+    after = ids(catalog)
+    assert set(before) < set(after) and catalog.table("main").manifest(spark).version == version + 1
+    monkeypatch.setattr(flows, "chunk_dataset", lambda *_: 1 / 0)  # a repeated batch is not even chunked
+    handle(batch, 0)
+    assert catalog.table("main").manifest(spark).version == version + 1 and ids(catalog) == after
+
+
 def test_reused_and_prechunked_datasets(spark, built):
     catalog, scratch, root = built
     jsonl.write_jsonl(spark.read.parquet(root + "/chunks").drop("offset_block"), scratch + "/lines")

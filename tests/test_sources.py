@@ -1,16 +1,18 @@
 """Objects, JSONL, artifacts, merge, keyed tables and indexes."""
 
+import random
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from skeindex.operators import bm25, context, merge
+from skeindex.operators import ann, bm25, context, merge
 from skeindex.plans import flows
 from skeindex.schemas import CHUNK
-from skeindex.sources import artifacts, jsonl, models, objects
+from skeindex.sources import artifacts, commits, jsonl, models, objects
+from skeindex.sources.commits import names, put_if_absent, read_text
 from skeindex.sources.indexes import IndexCatalog, IndexSettings
-from skeindex.sources.keyed import KeyedTable
+from skeindex.sources.keyed import Conflict, KeyedTable
 
 
 def write(path, text):
@@ -213,13 +215,125 @@ def test_dead_commits_do_not_block(spark, scratch):
 
     table = KeyedTable(scratch + "/t", "id", 4)
     table.overwrite(keyed_rows(spark, range(5), "a"))
-    os.makedirs(scratch + "/t/commits/version=2/attempt=dead")
-    os.makedirs(scratch + "/t/commits/version=3/attempt=dead/_temporary/0")
+    folder = scratch + "/t/commits/000000000"
+    with open(f"{folder}/.half-written", "w") as dead:
+        dead.write("{")
+    os.makedirs(scratch + "/t/commits/000000001")  # of a writer that died before it named its version
     assert table.manifest(spark).version == 1
     assert table.upsert(keyed_rows(spark, [1], "b")) == 2
     assert sorted(r["v"] for r in table.read(spark).collect()) == ["a"] * 4 + ["b"]
 
 
+@pytest.mark.parametrize("first", ["overwrite", "upsert"])
+def test_of_two_writers_one_succeeds(spark, scratch, first):
+    """Both have read version 1; in either order the first to commit wins, and what it wrote stays."""
+    table = KeyedTable(scratch + "/t", "id", 4)
+    table.overwrite(keyed_rows(spark, range(5), "a"))
+    before = table.manifest(spark)
+    writers = {
+        "overwrite": lambda: table.overwrite(keyed_rows(spark, range(3), "o"), before=before),
+        "upsert": lambda: table.upsert(keyed_rows(spark, [1], "u"), before=before),
+    }
+    second = next(w for w in writers if w != first)
+    assert writers[first]() == 2
+    finished = table.manifest(spark)
+    rows = sorted(map(tuple, table.read(spark).collect()))
+    with pytest.raises(Conflict):
+        writers[second]()
+    assert table.manifest(spark) == finished and sorted(map(tuple, table.read(spark).collect())) == rows
+    assert {r[1] for r in rows} == ({"o"} if first == "overwrite" else {"a", "u"})
+
+
+def test_many_writers_of_one_name(spark, scratch):
+    """Threads that put the same name at once: exactly one is told that it did, and its text stays."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    for turn in range(5):
+        path = f"{scratch}/log/{turn}.json"
+        with ThreadPoolExecutor(8) as pool:
+            told = list(pool.map(lambda i: put_if_absent(spark, path, str(i)), range(8)))
+        assert told.count(True) == 1 and read_text(spark, path) == str(told.index(True))
+    assert sorted(names(spark, f"{scratch}/log")) == [f"{i}.json" for i in range(5)]
+
+
+def test_the_log_goes_on_in_the_next_folder(spark, scratch, monkeypatch):
+    monkeypatch.setattr(commits, "PER_FOLDER", 3)
+    log = commits.CommitLog(spark, scratch + "/log")
+    assert log.newest() == 0
+    for version in range(1, 9):
+        log.commit(version, {"n": version})
+        assert log.newest() == version and log.read(version) == {"n": version}
+    with pytest.raises(Conflict):
+        log.commit(8, {"n": 0})
+
+
+def folder_bytes(path):
+    import os
+
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(path) for f in files if f.endswith(".parquet"))
+
+
+def test_an_upsert_writes_its_batch_only(spark, scratch):
+    table = KeyedTable(scratch + "/t", "id", 4)
+    wide = lambda ids, v: keyed_rows(spark, ids, v).withColumn("pad", F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(200)), lambda i: F.md5(F.concat("id", i.cast("string"))))))
+    table.overwrite(wide(range(2000), "a"))
+    base, want = folder_bytes(scratch + "/t/data"), {str(i): "a" for i in range(2000)}
+    rng = random.Random(3)
+    for number in range(4):
+        before = folder_bytes(scratch + "/t/data")
+        ids = rng.sample(range(2100), 20)
+        table.upsert(wide(ids, f"b{number}"))
+        want |= {str(i): f"b{number}" for i in ids}
+        assert folder_bytes(scratch + "/t/data") - before < 0.1 * base
+        assert {r["id"]: r["v"] for r in table.read(spark).collect()} == want
+    assert max(map(len, table.manifest(spark).layers.values())) == 5
+    # Rows that an update removes, then bring back, across layers.
+    table.upsert(wide([0], "c").withColumn("g", F.lit("g0")), "g")
+    want = {k: v for k, v in want.items() if int(k) % 3} | {"0": "c"}
+    assert {r["id"]: r["v"] for r in table.read(spark).collect()} == want
+    table.upsert(wide([3], "d"))
+    want["3"] = "d"
+    rows = sorted(map(tuple, table.read(spark).collect()))
+    assert {r[0]: r[1] for r in rows} == want
+    version = table.compact(spark)
+    assert set(map(len, table.manifest(spark).layers.values())) == {1}
+    assert sorted(map(tuple, table.read(spark).collect())) == rows
+    assert table.compact(spark) == version
+    assert len(table.unused(spark, keep_versions=1)) == 7 and table.unused(spark, keep_versions=20) == []
+
+
+def test_a_repeated_batch_commits_nothing(spark, scratch):
+    table = KeyedTable(scratch + "/t", "id", 4)
+    assert table.upsert(keyed_rows(spark, range(5), "a"), batch=("s", 0)) == 1
+    assert table.upsert(keyed_rows(spark, range(2), "b"), batch=("s", 1)) == 2
+    assert table.upsert(keyed_rows(spark, range(2), "again"), batch=("s", 1)) == 2
+    assert table.applied(spark, ("s", 0)) and not table.applied(spark, ("s", 2)) and not table.applied(spark, ("other", 0))
+    assert table.upsert(keyed_rows(spark, [4], "c"), batch=("other", 0)) == 3
+    assert {r["id"]: r["v"] for r in table.read(spark).collect()} == {"0": "b", "1": "b", "2": "a", "3": "a", "4": "c"}
+
+
+def test_readers_get_rows_with_their_own_cells(spark, scratch):
+    """Cells are trained while a reader has a version open, and an update that has read older cells is refused."""
+    catalog = IndexCatalog(spark, scratch, buckets=2)
+    catalog.create("i", IndexSettings(dims=2))
+    catalog.update("i", points(spark, [(str(k), "f", k, [1.0, float(k)]) for k in range(20)]))
+    cells = lambda *ys: spark.createDataFrame([(0, [0.0, 0.0], i, [1.0, y]) for i, y in enumerate(ys)], ann.CELLS)
+    catalog.set_cells("i", cells(0.0, 5.0))
+    before = catalog.table("i").manifest(spark)
+    catalog.set_cells("i", cells(0.1, 0.2, 9.0))
+    after = catalog.table("i").manifest(spark)
+    for version, n in ((before, 2), (after, 3)):
+        centroids, rows = catalog.centroids("i", version), catalog.read_cells("i", version)
+        assert centroids.count() == n
+        own = ann.assign_cells(rows.select("id", "embedding", F.col("cell").alias("was")), centroids)
+        assert own.where("not (was <=> cell)").count() == 0 and own.count() == 20
+    with pytest.raises(Conflict):
+        catalog.set_cells("i", cells(4.0), before)
+    assert catalog.centroids("i").count() == 3
+    catalog.update("i", points(spark, [("new", "f", 0, [0.0, 1.0])]))
+    assert catalog.read_cells("i").where("id = 'new'").first()["cell"] == 1
+
+
 def test_empty_tables_and_unused_folders(spark, scratch):
     table = KeyedTable(scratch + "/t", "id", 4)
     none = keyed_rows(spark, range(3), "a").limit(0)
