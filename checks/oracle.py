@@ -101,6 +101,8 @@ ORACLE["index_ann_topk"] = ORACLE["ann_topk"].replace(
     "SELECT vec_id::VARCHAR AS id, label, embedding::DOUBLE[] AS v FROM embeddings",
 ).replace("SELECT qid, rank, id, score FROM r", "SELECT qid, rank, round(score, 4) AS score FROM r")
 ORACLE["ann_all_cells"] = ORACLE["dense_topk_dot"]
+ORACLE["ann_quantised"] = ORACLE["dense_topk_dot"]
+ORACLE["ann_trained"] = "SELECT vec_id AS id, true AS nearest FROM embeddings"
 ORACLE["l2_normalize"] = """
     WITH e AS (SELECT vec_id AS id, list_transform(embedding::DOUBLE[], lambda x: x * label) AS v
       FROM embeddings),

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skeindex.operators import ann, bm25, chunking, cleaning, context, dense, intake, merge, search
+from skeindex.operators import ann, bm25, chunking, cleaning, context, dense, intake, merge, quantise, search
 from skeindex.operators.bm25 import Analyzer, Model
 from skeindex.plans import flows
 from skeindex.plans.flows import Embedder, SearchOptions
@@ -242,15 +242,23 @@ def index_ann_topk(spark, sf):
 
 
 def ann_trained(spark, sf):
-    """The same with trained cells: how many of the exact ten neighbours are found, per query."""
-    rows = vectors(spark, sf)
-    centroids = stage(ann.train_cells(rows, leaf_size=50), "centroids")
-    path = scratch(spark, "cells")
-    ann.write_cells(ann.assign_cells(rows, centroids), path)
-    queries = rows.select(F.col("id").alias("qid"), F.col("embedding").alias("dense"))
-    found = ann.ann_topk(spark.read.parquet(path), centroids, queries, 10, probe_pct=30)
-    exact = search.dense_topk(rows, queries, 10)
-    return exact.join(found.select("qid", "id"), ["qid", "id"], "left_semi").groupBy("qid").count()
+    """Cells are trained on two levels, and every vector is checked: none of its parent's cells is nearer than its own."""
+    rows = vectors(spark, sf).select("id", "embedding")
+    centroids = ann.train_cells(rows, leaf_size=50, limit=8192)
+    assigned = stage(ann.assign_cells(rows, centroids, 8192), "assigned")
+    gap = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    own = assigned.join(centroids.select("parent", "cell", F.col("centroid").alias("own")), "cell")
+    near = own.join(centroids.select("parent", "centroid"), "parent")  # a parent has few cells
+    closest = near.groupBy("id").agg(F.min(gap("embedding", "centroid")).alias("least"), F.first(gap("embedding", "own")).alias("own"))
+    return closest.select("id", (F.col("own") <= F.col("least") + 1e-9).alias("nearest"))
+
+
+def ann_quantised(spark, sf):
+    """A shortlist that holds every vector is ranked exactly, whatever its codes."""
+    rows = vectors(spark, sf).select("id", "embedding")
+    centroids, codebooks = ann.train_cells(rows, leaf_size=100), quantise.train_codebooks(rows, part_dims=8)
+    coded = stage(quantise.with_codes(ann.assign_cells(rows, centroids), codebooks), "coded")
+    return quantise.quantised_topk(coded, centroids, codebooks, label_means(spark, sf), 10, probe_pct=100, shortlist=1_000_000)
 
 
 def ann_all_cells(spark, sf):
@@ -897,6 +905,7 @@ QUERIES = {
     "model_embed": model_embed,
     "ann_topk": ann_topk,
     "ann_trained": ann_trained,
+    "ann_quantised": ann_quantised,
     "index_ann_topk": index_ann_topk,
     "ann_all_cells": ann_all_cells,
     "hybrid_rrf": hybrid_rrf,

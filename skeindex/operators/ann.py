@@ -1,24 +1,22 @@
 """Approximate dense search: vectors in cells around centroids, a share of the cells searched.
 
 Cells are trained on every vector. While all centroids may be sent to the tasks there is one level of them; beyond
-that, vectors are first split among parents, and the cells of each parent are trained on its vectors, so that neither
-the number of cells nor the training data is ever cut.
+that, vectors are first split among parents, and the cells of all parents are trained together: a round of training is
+one job over slices of bounded size, however many parents there are.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from skeindex.operators.search import (
     NEIGHBOR_COUNT,
@@ -35,21 +33,80 @@ from skeindex.operators.search import (
     value_bytes,
     vector_rows,
 )
-from skeindex.session import BROADCAST_BYTES, fits_broadcast, shared_dir, stage
+from skeindex.session import BROADCAST_BYTES, fits_broadcast, stage
 
 # Vectors per cell and percent of cells searched.
 LEAF_SIZE = 1000
 PROBE_PCT = 10
 # Vectors of one parent that meet its cells in one task; more are split.
 PARENT_SLICE = 50_000
+# Partial sums of one cell that are added up in one step.
+SALT = 64
 CELLS = "parent int, parent_centroid array<double>, cell int, centroid array<double>"
 
 
-def _fit(vectors: DataFrame, k: int, seed: int, iterations: int) -> list[list[float]]:
-    """Centroids of ``k`` clusters of all vectors; copies of one vector share a centroid."""
-    points = vectors.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
-    model = KMeans(k=k, seed=seed, featuresCol="v", maxIter=iterations).fit(points)
-    return [[float(x) for x in c] for c in model.clusterCenters()]
+def _sliced(vectors: DataFrame, counts: DataFrame) -> DataFrame:
+    """Deal the vectors of each node into slices of bounded size."""
+    slices = counts.select("node", F.ceil(F.col("n") / F.lit(PARENT_SLICE)).alias("__n"))  # one row per node
+    return vectors.join(F.broadcast(slices), "node").withColumn("slice", (F.rand(5) * F.col("__n")).cast("int")).drop("__n")
+
+
+def _first_centroids(vectors: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
+    """``(node, cell, centroid)``: of each node ``k`` different vectors, chosen by a hash; fewer if it has fewer."""
+    hashed = F.xxhash64("embedding", F.lit(seed))
+    share = F.least(F.lit(1.0), (2 * F.col("k") + 32) / F.col("n"))
+    chosen = vectors.join(F.broadcast(wanted), "node").withColumn("h", hashed)
+    chosen = chosen.where((F.col("h") / float(1 << 64) + 0.5) <= share)
+    # Copies of one vector are one candidate: gathered where they are read, before they meet.
+    single = chosen.groupBy("node", "h").agg(F.first("embedding").alias("embedding"), F.first("k").alias("k"))
+    place = F.row_number().over(W.partitionBy("node").orderBy("h"))  # about twice as many as there will be cells
+    kept = single.withColumn("cell", place - 1).where(F.col("cell") < F.col("k"))
+    return kept.select("node", "cell", F.col("embedding").cast("array<double>").alias("centroid"))
+
+
+def _sum_vectors(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Add up ``n`` and the vectors ``total`` of equal keys, in two steps, so that no list gets long."""
+    add = lambda a, b: F.when(F.size(a) == 0, b).otherwise(F.zip_with(a, b, lambda x, y: x + y))
+    for salted in ([*keys, "__salt"], keys):
+        grouped = parts.groupBy(*salted).agg(F.sum("n").alias("n"), F.collect_list("total").alias("x"))
+        parts = grouped.withColumn("total", F.aggregate("x", F.array().cast("array<double>"), add)).drop("x")
+    return parts
+
+
+def grouped_centroids(vectors: DataFrame, wanted: DataFrame, seed: int, iterations: int) -> DataFrame:
+    """``(node, cell, centroid)`` of ``vectors(node, embedding)``: ``k`` means of each node in ``wanted(node, k, n)``.
+
+    Lloyd's rounds for all nodes at once. A cell that no vector is nearest to stays where it was.
+    """
+    wanted = stage(wanted, "wanted")
+    rows = stage(_sliced(vectors, wanted), "slices")
+    slices = stage(rows.select("node", "slice").distinct(), "pairs")
+    centroids = stage(_first_centroids(vectors, wanted, seed), "centroids")
+
+    def meet(rows: pa.Table, cells: pa.Table) -> pa.Table:
+        width = pc.list_value_length(cells["centroid"])[0].as_py() if cells.num_rows else 0
+        _, centers = vector_rows(cells["centroid"], width)
+        keep, points = vector_rows(rows["embedding"], width)
+        place = _nearest(points, centers) if len(centers) else np.zeros(0, dtype=int)
+        order = np.argsort(place, kind="stable")
+        of = place[order]
+        starts = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.zeros(0, dtype=int)
+        sums = np.add.reduceat(points[order], starts, axis=0) if len(of) else np.zeros((0, max(1, width)))
+        n = np.diff(np.r_[starts, len(of)]) if len(of) else starts
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(starts) + 1, dtype=np.int32) * width), pa.array(sums.ravel()))
+        node = rows["node"].take(pa.array(np.zeros(len(starts), dtype=np.int64)))
+        salt = pa.array(np.full(len(starts), (rows["slice"][0].as_py() if rows.num_rows else 0) % SALT, dtype=np.int32))
+        return pa.table({"node": node, "cell": cells["cell"].take(pa.array(of[starts])), "__salt": salt, "n": pa.array(n, pa.int64()), "total": lists})
+
+    schema = "node int, cell int, __salt int, n long, total array<double>"
+    keys = ["node", "slice"]
+    for _ in range(iterations):
+        right = centroids.join(slices, "node")
+        parts = rows.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema)
+        means = _sum_vectors(parts, ["node", "cell"]).select("node", "cell", F.transform("total", lambda x: x / F.col("n")).alias("mean"))
+        moved = centroids.join(means, ["node", "cell"], "left")
+        centroids = stage(moved.select("node", "cell", F.coalesce("mean", "centroid").alias("centroid")), "centroids")
+    return centroids
 
 
 def train_cells(
@@ -62,42 +119,34 @@ def train_cells(
     """``(parent, parent_centroid, cell, centroid)``: one cell per ``leaf_size`` vectors of ``(id, embedding)``.
 
     Vectors that are missing, empty or not finite are left out; the others have one length. With one level all cells
-    have parent 0. Parents are some square root of the cells; a parent's own cells are trained on its own vectors.
+    have parent 0. With two, a parent's cells are trained on its own vectors; they have to fit a task, so one that is
+    more crowded than that gets larger cells. The number of jobs does not depend on the number of parents.
     """
     spark = vectors.sparkSession
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    usable = vectors.where((F.size("embedding") > 0) & finite).select("embedding")
-    # An iterative fit reads its input many times.
+    usable = vectors.where((F.size("embedding") > 0) & finite).select(F.lit(0).alias("node"), "embedding")
+    # Every round reads its input.
     usable = stage(usable, "training")
     facts = usable.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d")).first()
     if not facts["n"]:
         raise ValueError("no vectors to train cells on")
-    cells = -(-facts["n"] // leaf_size)
-    if cells * facts["d"] * 8 <= limit:
-        centers = _fit(usable, cells, seed, iterations)
-        rows = [(0, [0.0] * facts["d"], i, c) for i, c in enumerate(centers)]
-        return spark.createDataFrame(rows, CELLS)
-    parents = _fit(usable, math.isqrt(cells - 1) + 1, seed, iterations)
-    top = spark.createDataFrame([(0, [], i, c) for i, c in enumerate(parents)], CELLS)
-    path = f"{shared_dir(spark)}/stage/parents-{uuid.uuid4().hex}"
-    assign_cells(usable, top, limit).write.partitionBy("cell").parquet(path)
-    split = spark.read.parquet(path)
-    sizes = {r["cell"]: r["count"] for r in split.groupBy("cell").count().collect()}  # one row per parent
-    target = f"{shared_dir(spark)}/stage/cells-{uuid.uuid4().hex}"
-    first = 0
-    for parent, n in sorted(sizes.items()):
-        own = split.where(F.col("cell") == parent).select("embedding")
-        wanted = -(-n // leaf_size)
-        # A parent as large as the whole holds copies of few vectors, which more centroids do not part.
-        deeper = wanted * facts["d"] * 8 > limit and n < facts["n"]
-        if deeper:
-            below = [r["centroid"] for r in train_cells(own, leaf_size, seed, iterations, limit).toLocalIterator()]
-        else:
-            below = _fit(own, wanted, seed, iterations) if wanted > 1 else [parents[parent]]
-        rows = [(parent, parents[parent], first + i, c) for i, c in enumerate(below)]
-        spark.createDataFrame(rows, CELLS).write.mode("append").parquet(target)
-        first += len(below)
-    return spark.read.schema(CELLS).parquet(target)
+    cells, most = -(-facts["n"] // leaf_size), max(1, limit // (8 * facts["d"]))
+    first = spark.createDataFrame([(0, min(cells, most) if cells <= most else min(most, max(math.isqrt(cells - 1) + 1, -(-8 * cells // most))), facts["n"])], "node int, k int, n long")
+    top = grouped_centroids(usable, first, seed, iterations)
+    if cells <= most:
+        none = F.array_repeat(F.lit(0.0), facts["d"])
+        return stage(top.select(F.lit(0).alias("parent"), none.alias("parent_centroid"), "cell", "centroid"), "cells")
+    parents = top.select(F.lit(0).alias("parent"), F.array().cast("array<double>").alias("parent_centroid"), "cell", "centroid")
+    split = stage(assign_cells(usable.drop("node"), parents, limit).withColumnRenamed("cell", "node"), "split")
+    sizes = split.groupBy("node").agg(F.count("*").alias("n"))
+    wanted = sizes.select("node", F.least(F.ceil(F.col("n") / leaf_size), F.lit(most)).cast("int").alias("k"), "n")
+    below = grouped_centroids(split, wanted, seed, iterations)
+    # Cells of all parents are numbered in the order of the parents.
+    start = F.coalesce(F.sum("k").over(W.orderBy("node").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # one row per parent
+    starts = below.groupBy("node").agg(F.count("*").alias("k")).select("node", start.cast("int").alias("start"))
+    centers = top.select(F.col("cell").alias("node"), F.col("centroid").alias("parent_centroid"))
+    found = below.join(F.broadcast(starts), "node").join(F.broadcast(centers), "node")
+    return stage(found.select(F.col("node").alias("parent"), "parent_centroid", (F.col("start") + F.col("cell")).alias("cell"), "centroid"), "cells")
 
 
 def _nearest(vectors: np.ndarray, centers: np.ndarray) -> np.ndarray:

@@ -13,13 +13,16 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from skeindex.functions.vectors import DISTANCE_MEASURES, FEATURE_NORMS, norm, unit
-from skeindex.operators import ann
+from skeindex.operators import ann, quantise
 from skeindex.operators.intake import last_per_key
 from skeindex.operators.search import dense_topk
 from skeindex.schemas import INDEX
 from skeindex.sources.keyed import MOST_LAYERS, Conflict, KeyedTable, Manifest
 from skeindex.sources.objects import read_if_present
 
+# What training adds to a datapoint.
+PLACED = ("cell", "codes", "length")
+
 
 @dataclass(frozen=True)
 class IndexSettings:
@@ -71,45 +74,70 @@ class IndexCatalog:
         return KeyedTable(f"{self.root}/indexes/{name}", "id", self.buckets, sort="cell")
 
     def read(self, name: str) -> DataFrame:
-        return self.read_cells(name).drop("cell")
+        return self.read_cells(name).drop(*PLACED)
 
     def read_cells(self, name: str, version: Manifest | None = None) -> DataFrame:
-        """The datapoints with the ``cell`` of their vector, null before cells were trained."""
+        """The datapoints with the ``cell``, ``codes`` and ``length`` of their vector, null before cells were trained."""
         self.find(name)
         return self.table(name).read(self.spark, version).drop("bucket")
 
-    def centroids(self, name: str, version: Manifest | None = None) -> DataFrame | None:
-        """The cells of a version of an index, by default the newest; None without any."""
+    def _trained(self, name: str, version: Manifest | None, what: str, schema: str) -> DataFrame | None:
         version = version or self.table(name).manifest(self.spark)
         cells = version.notes.get("cells")
-        return None if cells is None else self.spark.read.schema(ann.CELLS).parquet(f"{self.root}/cells/{name}/{cells}")
+        return None if cells is None else read_if_present(self.spark, f"{self.root}/cells/{name}/{cells}/{what}", schema)
+
+    def centroids(self, name: str, version: Manifest | None = None) -> DataFrame | None:
+        """The cells of a version of an index, by default the newest; None without any."""
+        return self._trained(name, version, "centroids", ann.CELLS)
+
+    def codebooks(self, name: str, version: Manifest | None = None) -> DataFrame | None:
+        """The codebooks of a version of an index, by default the newest; None without any."""
+        return self._trained(name, version, "codebooks", quantise.CODEBOOKS)
+
+    def set_cells(self, name: str, centroids: DataFrame, before: Manifest | None = None, codebooks: DataFrame | None = None) -> int:
+        """Store cells, and codebooks if given, and give every datapoint its own, in one commit.
 
-    def set_cells(self, name: str, centroids: DataFrame, before: Manifest | None = None) -> int:
-        """Store cells and give every datapoint its own, in one commit; later updates assign theirs to the same cells."""
+        Later updates give theirs by the same cells and codebooks.
+        """
         table, cells = self.table(name), uuid.uuid4().hex
         before = before or table.manifest(self.spark)
-        centroids.write.parquet(f"{self.root}/cells/{name}/{cells}")
-        stored = self.spark.read.schema(ann.CELLS).parquet(f"{self.root}/cells/{name}/{cells}")
-        rows = ann.assign_cells(self.read_cells(name, before).drop("cell"), stored)
+        centroids.write.parquet(f"{self.root}/cells/{name}/{cells}/centroids")
+        if codebooks is not None:
+            codebooks.write.parquet(f"{self.root}/cells/{name}/{cells}/codebooks")
+        rows = self._placed(name, self.read_cells(name, before).drop(*PLACED), before._replace(notes={"cells": cells}))
         return table.overwrite(rows, {"cells": cells}, before)
 
+    def _placed(self, name: str, rows: DataFrame, version: Manifest) -> DataFrame:
+        """Rows with their cell and codes by what a version names, null where it names none."""
+        centroids, codebooks = self.centroids(name, version), self.codebooks(name, version)
+        rows = rows.withColumn("cell", F.lit(None).cast("int")) if centroids is None else ann.assign_cells(rows, centroids)
+        if codebooks is not None:
+            return quantise.with_codes(rows, codebooks)
+        return rows.withColumn("codes", F.lit(None).cast("binary")).withColumn("length", F.lit(None).cast("double"))
+
     def train(self, name: str, seed: int = 7, iterations: int = 10) -> int:
-        """Train the cells of an index on all of its vectors, one per ``leaf_size`` of them."""
+        """Train the cells of an index on all of its vectors, one per ``leaf_size`` of them, and its codebooks."""
         leaf, before = self.find(name)["leaf_size"], self.table(name).manifest(self.spark)
         vectors = self.read_cells(name, before).select("id", "embedding")
-        return self.set_cells(name, ann.train_cells(vectors, leaf, seed, iterations), before)
+        centroids = ann.train_cells(vectors, leaf, seed, iterations)
+        return self.set_cells(name, centroids, before, quantise.train_codebooks(vectors, seed=seed))
 
     def search(self, name: str, queries: DataFrame, k: int, approximate: bool = True) -> DataFrame:
         """Dense ``(qid, rank, id, score)`` by the metric of the index: in ``probe_pct`` percent of its cells, or exact.
 
-        An index without cells is searched exactly.
+        With codebooks, ``approximate_neighbors`` ids of each query are shortlisted by their codes and scored exactly. An
+        index without cells is searched exactly.
         """
         settings, version = self.find(name), self.table(name).manifest(self.spark)
-        centroids, rows = self.centroids(name, version), self.read_cells(name, version)
+        centroids, codebooks, rows = self.centroids(name, version), self.codebooks(name, version), self.read_cells(name, version)
         metric = DISTANCE_MEASURES[settings["metric"]]
         if centroids is None or not approximate:
             return dense_topk(rows, queries, k, metric)
-        return ann.ann_topk(rows, centroids, queries, k, metric, settings["probe_pct"])
+        if codebooks is None:
+            return ann.ann_topk(rows, centroids, queries, k, metric, settings["probe_pct"])
+        return quantise.quantised_topk(
+            rows, centroids, codebooks, queries, k, metric, settings["probe_pct"], settings["approximate_neighbors"]
+        )
 
     def _prepared(self, settings: Row, datapoints: DataFrame) -> DataFrame:
         """Datapoints with checked dimensions and the index's norm, the last one of every id."""
@@ -147,8 +175,7 @@ class IndexCatalog:
         """
         table = self.table(name)
         before = table.manifest(self.spark)
-        ready, centroids = self._prepared(self.find(name), datapoints), self.centroids(name, before)
-        ready = ready.withColumn("cell", F.lit(None).cast("int")) if centroids is None else ann.assign_cells(ready, centroids)
+        ready = self._placed(name, self._prepared(self.find(name), datapoints), before)
         if overwrite:
             return table.overwrite(ready, before=before)
         version = table.upsert(ready, "embedding_metadata.source_file" if replace_files else None, batch, before)

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from skeindex.operators import ann, dense, search
+from skeindex.operators import ann, dense, quantise, search
 from skeindex.operators.bm25 import Analyzer
 
 PLAIN = Analyzer(stem=False, stop_words=())
@@ -58,18 +58,6 @@ def test_approximate_search_over_all_cells_is_exact(spark, limit):
     assert sorted((r["qid"], r["rank"], r["id"]) for r in found) == brute(rows, asked, 7, "dot")
 
 
-def test_recall_of_a_tenth_of_the_cells(spark):
-    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
-    index = rows.select(F.col("vec_id").alias("id"), "embedding")
-    queries = rows.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("dense"))
-    centroids = ann.train_cells(index, leaf_size=50)
-    found = ann.ann_topk(ann.assign_cells(index, centroids), centroids, queries, 10)
-    exact = search.dense_topk(index, queries, 10)
-    recall = found.join(exact, ["qid", "id"], "left_semi").count() / exact.count()
-    print(f"recall@10 at 10 percent of {centroids.count()} cells: {recall:.3f}")
-    assert recall > 0.3
-
-
 def clustered(spark, groups=20, each=40, d=12):
     rng = np.random.default_rng(11)
     centres = rng.normal(size=(groups, d)) * 4
@@ -77,6 +65,79 @@ def clustered(spark, groups=20, each=40, d=12):
     return spark.createDataFrame([(i, v) for i, v in enumerate(data)], "id int, embedding array<double>")
 
 
+def recall(found, exact):
+    return found.join(exact, ["qid", "id"], "left_semi").count() / exact.count()
+
+
+@pytest.mark.parametrize("metric", ["dot", "cosine", "l2"])
+def test_quantised_recall_on_clusters(spark, metric):
+    """With the default share of cells and the default shortlist; codes alone would find far fewer."""
+    index = clustered(spark, 100, 60, 32)
+    queries = index.where("id % 11 = 0").select(F.col("id").alias("qid"), F.col("embedding").alias("dense"))
+    centroids, codebooks = ann.train_cells(index, leaf_size=60), quantise.train_codebooks(index)
+    coded = quantise.with_codes(ann.assign_cells(index, centroids), codebooks).cache()
+    found = quantise.quantised_topk(coded, centroids, codebooks, queries, 10, metric)
+    exact = search.dense_topk(index, queries, 10, metric)
+    share = recall(found, exact)
+    print(f"recall@10, {metric}, 10 percent of {centroids.count()} cells, shortlist of 150: {share:.3f}")
+    assert share >= 0.9
+    same = found.join(exact.withColumnRenamed("score", "exact"), ["qid", "id"]).where("abs(score - exact) > 2e-6")
+    assert same.count() == 0
+
+
+@pytest.mark.parametrize("probe_pct, least", [(10, 0.3), (75, 0.9)])
+def test_recall_on_vectors_without_clusters(spark, probe_pct, least):
+    rows = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    index = rows.select(F.col("vec_id").alias("id"), "embedding")
+    queries = rows.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("dense"))
+    centroids, codebooks = ann.train_cells(index, leaf_size=50), quantise.train_codebooks(index)
+    coded = quantise.with_codes(ann.assign_cells(index, centroids), codebooks).cache()
+    exact = search.dense_topk(index, queries, 10).cache()
+    plain = recall(ann.ann_topk(coded, centroids, queries, 10, probe_pct=probe_pct), exact)
+    short = recall(quantise.quantised_topk(coded, centroids, codebooks, queries, 10, probe_pct=probe_pct), exact)
+    print(f"recall@10 at {probe_pct} percent of {centroids.count()} cells: {plain:.3f}, with a shortlist of 150: {short:.3f}")
+    assert plain > least and short > plain - 0.03
+
+
+def test_codes_name_the_nearest_entries(spark):
+    index = clustered(spark, 5, 30, 10)  # ten dimensions: parts of four, four and two
+    books = quantise.load_codebooks(codebooks := quantise.train_codebooks(index))
+    assert [b.shape[1] for b in books] == [4, 4, 2] and all(len(b) <= 256 for b in books)
+    rows = index.unionByName(spark.createDataFrame([(-1, None), (-2, []), (-3, [float("nan")] * 10), (-4, [1.0])], index.schema))
+    for r in quantise.with_codes(rows, codebooks).collect():
+        if r["id"] < 0:
+            assert r["codes"] is None and r["length"] is None
+            continue
+        v, at = np.array(r["embedding"]), 0
+        assert r["length"] == pytest.approx(np.linalg.norm(v))
+        for code, book in zip(r["codes"], books):
+            gaps = ((book - v[at : at + book.shape[1]]) ** 2).sum(axis=1)
+            assert gaps[code] == pytest.approx(gaps.min())
+            at += book.shape[1]
+
+
+def test_copies_are_one_entry_and_one_cell(spark):
+    """A third of all rows is one vector; a part with few different values has as many entries."""
+    rows = [(i, [1.0, 2.0, 0.0, 1.0]) for i in range(300)] + [(i, [float(i % 7), 0.0, float(i % 3), 5.0]) for i in range(300, 900)]
+    index = spark.createDataFrame(rows, "id int, embedding array<double>")
+    centroids, codebooks = ann.train_cells(index, leaf_size=20), quantise.train_codebooks(index)
+    assert len(quantise.load_codebooks(codebooks)[0]) == 22 and centroids.count() <= 22
+    coded = quantise.with_codes(ann.assign_cells(index, centroids), codebooks)
+    assert coded.where("id < 300").select("cell", "codes").distinct().count() == 1
+
+
+def test_training_takes_as_many_jobs_for_many_parents(spark):
+    index, jobs = clustered(spark, 40, 30, 8), []
+    for leaf, name in ((60, "few"), (5, "many")):
+        spark.sparkContext.setJobGroup(name, name)
+        centroids = ann.train_cells(index, leaf_size=leaf, iterations=3, limit=960)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)))
+        parents = centroids.select("parent").distinct().count()
+        print(name, parents, "parents", centroids.count(), "cells", jobs[-1], "jobs")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert parents > 10 and jobs[1] <= jobs[0] * 1.2
+
+
 @pytest.mark.parametrize("limit", [search.BROADCAST_BYTES, 1000])
 def test_recall_on_clusters_with_one_and_two_levels(spark, limit):
     index = clustered(spark)
@@ -88,7 +149,7 @@ def test_recall_on_clusters_with_one_and_two_levels(spark, limit):
     queries = index.select(F.col("id").alias("qid"), F.col("embedding").alias("dense"))
     found = ann.ann_topk(assigned, centroids, queries, 10, "l2", 20)
     exact = search.dense_topk(index, queries, 10, "l2")
-    assert found.join(exact, ["qid", "id"], "left_semi").count() / exact.count() >= 0.8
+    assert recall(found, exact) >= 0.9
 
 
 def test_bad_vectors_hide_nothing(spark):
