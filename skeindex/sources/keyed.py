@@ -202,4 +202,5 @@ class KeyedTable:
         kept = [self.manifest(spark, v) for v in range(max(1, newest - keep_versions + 1), newest + 1)]
         used = {t for m in kept for tokens in m.layers.values() for t in tokens}
         tokens = [n.split("=")[1] for n in names(spark, f"{self.root}/data") if n.startswith("token=")] if newest else []
-        return sorted(f"{self.root}/data/token={t}" for t in tokens if t not in used)
+        spare = sorted(f"{self.root}/data/token={t}" for t in tokens if t not in used)
+        return [folder for folder in spare if any(n.startswith("bucket=") for n in names(spark, folder))]
