@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# How a link looks in a page, and the parts of an absolute URL.
-HIDDEN_PATTERN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-LINK_PATTERN = r"""(?is)<(?:a|area)\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&"))
+from skeindex.functions.html import decoded, hrefs, visible
+
+# The parts of an absolute URL.
 SCHEME_PATTERN = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 SITE_PATTERN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 HOST_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
@@ -16,23 +15,15 @@ PATH_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
 
 
 def page_links(html: Column) -> Column:
-    """Targets of the links of a page, in order: hrefs of ``a`` and ``area``, in any case and quotes, entities decoded.
+    """Targets of the links of a page, in order: hrefs of ``a`` and ``area``, in any case and quotes, references decoded.
 
     Scripts, styles and comments hold no links. Fragments alone and schemes other than http(s) are left out.
     """
-    visible = F.regexp_replace(html, HIDDEN_PATTERN, "")
-    links = F.transform(F.regexp_extract_all(visible, F.lit(LINK_PATTERN), F.lit(1)), _plain_link)
+    links = F.transform(hrefs(visible(html)), lambda x: F.trim(decoded(x)))
     other = lambda x: x.rlike(SCHEME_PATTERN) & ~x.rlike("(?i)^https?:")
     return F.filter(links, lambda x: (x != "") & ~x.startswith("#") & ~other(x))
 
 
-def _plain_link(link: Column) -> Column:
-    link = F.regexp_replace(link, "^[\"']|[\"']$", "")
-    for name, char in ENTITIES:
-        link = F.replace(link, F.lit(name), F.lit(char))
-    return F.trim(link)
-
-
 def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, HOST_PATTERN, 1))
 
