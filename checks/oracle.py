@@ -158,10 +158,10 @@ HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:
 ATTRIBUTE = r"""([^\s>/=][^\s=>/]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)?)?"""
 LINK_TAG = rf"(?i)<(?:a|area)((?:[\s/](?:[\s/]+|=|{ATTRIBUTE})*))"
 LINKS = f"""
-    at AS (SELECT url AS src_url, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS site,
+    anchors AS (SELECT url AS src_url, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) AS site,
         unnest(regexp_extract_all(regexp_replace(html, {quoted(HIDDEN)}, '', 'g'), {quoted(LINK_TAG)}, 1)) AS tag FROM pages),
     l AS (SELECT src_url, site, list_filter(list_zip(regexp_extract_all(tag, {quoted(ATTRIBUTE)}, 1), regexp_extract_all(tag, {quoted(ATTRIBUTE)}, 2)),
-        lambda x: lower(x[1]) = 'href' AND x[2] <> '')[1][2] AS href FROM at),
+        lambda x: lower(x[1]) = 'href' AND x[2] <> '')[1][2] AS href FROM anchors),
     links AS (SELECT src_url, site || regexp_replace(replace(trim(href, chr(34) || chr(39)), '&amp;', '&'), '#.*$', '') AS dst_url
       FROM l WHERE NOT starts_with(trim(href, chr(34) || chr(39)), '#'))"""
 ORACLE["extract_links"] = f"WITH {LINKS} SELECT src_url, dst_url FROM links"
