@@ -22,15 +22,22 @@ def _uuid(sql: str) -> str:
     return f"('<urn:uuid:' || {parts} || '>')"
 
 
+# The patterns of pages as DuckDB takes them, which knows no possessive groups and needs none.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+ATTRIBUTE = r"""([^\s>/=][^\s=>/]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)?)?"""
+LINK_TAG = rf"(?i)<(?:a|area)((?:[\s/](?:[\s/]+|=|{ATTRIBUTE})*))"
+TARGETS = f"""[regexp_replace(y, '^["''](.*)["'']$', '\\1', 's') FOR y IN [
+  list_filter(list_zip(regexp_extract_all(tag, '{_text(ATTRIBUTE)}', 1), regexp_extract_all(tag, '{_text(ATTRIBUTE)}', 2)), lambda x: lower(x[1]) = 'href' AND x[2] <> '')[1][2]
+  FOR tag IN regexp_extract_all(visible, '{_text(LINK_TAG)}', 1)] IF y IS NOT NULL]"""
 CRLF = "chr(13) || chr(10)"
 DERIVED = rf"""
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS body, coalesce(url, '') AS target_uri,
-         regexp_replace(coalesce(html, ''), '{_text(warc.HIDDEN)}', '', 'g') AS visible FROM pages
+         regexp_replace(coalesce(html, ''), '{_text(HIDDEN)}', '', 'g') AS visible FROM pages
 ), r AS (
   SELECT *, {_uuid("'response|' || coalesce(page_id::VARCHAR, '') || '|' || target_uri")} AS refers_to,
-         regexp_extract_all(visible, '{_text(warc.LINK)}', 1) AS links,
-         regexp_replace(regexp_replace(regexp_replace(visible, '[ \t\r\n\f]+', ' ', 'g'), '{_text(warc.LINE_TAG)}', chr(10), 'g'), '<[^>]*>', '', 'g') AS t
+         {TARGETS} AS links,
+         regexp_replace(regexp_replace(regexp_replace(visible, '[ \t\r\n\f]+', ' ', 'g'), '{_text(warc.LINE_TAG)}', chr(10), 'g'), '{_text(warc.TAG)}', '', 'g') AS t
   FROM p
 ), b AS (
   SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,

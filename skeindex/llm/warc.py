@@ -7,57 +7,29 @@ the scan. Records are written as WARC/1.1 files by Spark's text writer.
 
 from __future__ import annotations
 
-import json
-from html.entities import html5
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skeindex.functions.html import decoded as decoded_as_html
+from skeindex.functions.html import hrefs
+from skeindex.functions.html import visible as visible_part
+
 CRLF = "\r\n"
 # Elements that start a new line, and named characters: fixed values.
 BLOCKS = "address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h1|h2|h3|h4|h5|h6|header|hr|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul"
 ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
 )
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-LINE_TAG = rf"(?i)</?(?:{BLOCKS})\b[^>]*>"
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"']"  # of the SQL, which knows plain pages only, as it does ENTITIES
-# The first href of an a or area tag, with its quotes; attributes before it are passed over whole.
-_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
-TARGET = rf"(?i)<(?:a|area)[\s/]++(?:[^\s>/][^\s=>/]*+(?:\s*+=\s*+{_VALUE})?+[\s/]*+)*?(?<=[\s/\"'])href\s*=\s*({_VALUE})"
-REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)"
-# Characters of the numbers 128 to 159, which pages mean as windows-1252; all names, those of ENTITIES as given there.
-C1 = "€\u0081‚ƒ„…†‡ˆ‰Š‹Œ\u008dŽ\u008f\u0090‘’“”•–—˜™š›œ\u009džŸ"
-_FIRST = {n[1:]: c for n, c in ENTITIES if n[1] != "#"}
-NAMES = _FIRST | {n: c for n, c in html5.items() if n.endswith(";") and n not in _FIRST}
-
-
-def _character(digits: Column, base: int) -> Column:
-    """The character of a number; what is no character becomes U+FFFD."""
-    digits = F.regexp_replace(digits, "^0+", "")
-    n = F.when(F.length(digits).between(1, 7), F.conv(digits, base, 10).cast("int"))
-    n = F.when((n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF), n).otherwise(F.lit(0xFFFD))
-    wide = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-    return F.when(n.between(128, 159), F.substring(F.lit(C1), n - 127, F.lit(1))).otherwise(wide)
-
-
-def _replaced(part: Column) -> Column:
-    """What stood behind an ampersand, with the reference that it begins with replaced."""
-    ref = F.regexp_extract(part, REFERENCE, 1)
-    number = F.regexp_extract(ref, "([0-9a-fA-F]+);?$", 1)
-    named = F.from_json(F.lit(json.dumps(NAMES)), "map<string,string>")
-    char = (
-        F.when(ref.rlike("^#[xX]"), _character(number, 16)).when(ref.startswith("#"), _character(number, 10))
-        .when(ref != "", F.try_element_at(named, ref))
-    )
-    return F.coalesce(F.concat(char, F.substring(part, F.length(ref) + 1, F.length(part))), F.concat(F.lit("&"), part))
+# Tags, which may be cut off by the end of the page; those that start a new line; the title.
+TAG = r"<[A-Za-z/!?][^>]*(?:>|\z)"
+LINE_TAG = rf"(?i)</?(?:{BLOCKS})\b[^>]*(?:>|\z)"
+TITLE = r"(?is)<title\b[^>]*(?:>|\z)(.*?)(?:</title\s*>|\z)"
+OWN_NAMES = {n[1:]: c for n, c in ENTITIES if n[1] != "#"}
 
 
 def decoded(text: Column) -> Column:
-    """Character references replaced, each once: names as HTML has them, numbers in decimal and hexadecimal."""
-    parts = F.transform(F.split(text, "&"), lambda x, i: F.when(i == 0, x).otherwise(_replaced(x)))
-    return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
+    """Character references replaced, each once; names of ENTITIES as given there."""
+    return decoded_as_html(text, OWN_NAMES)
 
 
 def one_line(text: Column) -> Column:
@@ -67,7 +39,7 @@ def one_line(text: Column) -> Column:
 def plain_text(visible: Column) -> Column:
     """The text of HTML without hidden parts: one line per block element, single spaces, no blank lines."""
     text = F.regexp_replace(visible, r"[ \t\r\n\f]+", " ")
-    text = F.regexp_replace(F.regexp_replace(text, LINE_TAG, "\n"), r"<[^>]*>", "")
+    text = F.regexp_replace(F.regexp_replace(text, LINE_TAG, "\n"), TAG, "")
     text = decoded(text)
     return F.regexp_replace(F.regexp_replace(text, r" *\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
 
@@ -102,10 +74,10 @@ def derive(found: DataFrame) -> DataFrame:
     links in order; the conversion block is the plain text, empty for an empty body. ``content_length`` counts bytes.
     Repeated responses give repeated records with the same ids; an empty table gives an empty result.
     """
-    rows = found.withColumn("visible", F.regexp_replace("body", HIDDEN, ""))
-    rows = rows.withColumns({"text": plain_text(F.col("visible")), "links": F.regexp_extract_all("visible", F.lit(TARGET), F.lit(1))})
+    rows = found.withColumn("visible", visible_part(F.col("body")))
+    rows = rows.withColumns({"text": plain_text(F.col("visible")), "links": hrefs(F.col("visible"))})
     title = one_line(decoded(F.regexp_extract("visible", TITLE, 1)))
-    links = F.transform("links", lambda x: F.concat(F.lit("outlink: "), one_line(decoded(F.regexp_replace(x, r"(?s)^([\"'])(.*)\1$", "$2")))))
+    links = F.transform("links", lambda x: F.concat(F.lit("outlink: "), one_line(decoded(x))))
     meta = F.concat_ws(CRLF, F.concat(F.lit("title: "), title), F.concat(F.lit("outlinks: "), F.size("links").cast("string")), links)
 
     def record(kind: str, content_type: str, block: Column) -> Column:
