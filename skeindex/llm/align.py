@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skeindex.llm.common import staged
-from skeindex.llm.packing import MARKS, words_of
+from skeindex.llm.packing import MARKS, WordIds, words_of
 from skeindex.llm.remember import Remembered
 
 # Characters of text in a block, A tokens in a lane, lanes in the state vector, tokens written out at a time.
@@ -43,13 +43,6 @@ REMEMBERED = 150_000
 # --- tokenizers ---------------------------------------------------------------------------------
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves, others from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
-
-
 class ByteLevel:
     """Tokenizer A: a byte-level BPE file of ``tokenizers``; special tokens in a text are plain text."""
 
@@ -59,12 +52,8 @@ class ByteLevel:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        letters = byte_alphabet()
-        entries = {i: entry for entry, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
-        self.bytes_of = [bytes(letters.get(c, 0) for c in entries.get(i, "")) for i in range(max(entries) + 1)]
-
-    def ids_of(self, segments: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
+        self.ids_of = WordIds(self.tokenizer)
+        self.bytes_of = self.ids_of.bytes_of
 
 
 class Pieces:
@@ -111,7 +100,7 @@ class Tokenizers:
     def _ids(self, segments: list[str]) -> Iterator[tuple[bytes | None, bytes | None]]:
         for segment, a, b in zip(segments, self.a.ids_of(segments), self.b.ids_of(segments)):
             raw = segment.encode()
-            yield _checked(a, self.a.bytes_of, raw), _checked(b, self.b.bytes_of, raw)
+            yield a if b"".join(map(self.a.bytes_of.__getitem__, array("I", a))) == raw else None, _checked(b, self.b.bytes_of, raw)
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and of B; none of either for texts whose bytes one of them does not give back, nor for empty ones."""
