@@ -3,11 +3,13 @@
 Candidates are read in blocks of bounded size. A block holds one list of its rows for each dimension, sorted by value.
 A query walks all lists from the side that its component favours, scores the rows it meets, and stops as soon as the
 sum of what the lists can still offer cannot beat its kth score. A task carries the k best of each query from block to
-block, so later blocks stop sooner. Queries are sent to the tasks in pieces of bounded size.
+block, so later blocks stop sooner. Queries are written first and sent to the tasks in pieces of bounded size, one
+after the other: the results of a piece are written before the next one is read, so the driver never holds more than one.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skeindex.llm.common import staged
+from skeindex.session import shared_dir
 
 # Numbers in a block of candidates, and bytes of queries sent at a time.
 BLOCK_NUMBERS, QUERY_BYTES = 1 << 20, 32 << 20
@@ -115,23 +118,28 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     vectors of another length do not meet it. A query with fewer candidates gets all of them. Repeated rows of a query
     are one query; repeated candidate rows are separate candidates.
     """
-    queries = staged(queries.select("id", "v").distinct().withColumn("bytes", 8 * (F.size("v") + 2)), "queries")
+    spark = queries.sparkSession
+    queries = queries.select("id", "v").distinct().withColumn("bytes", 8 * (F.size("v") + 2))
     size = queries.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"]
-    pieces = -(-size // QUERY_BYTES)
-    found = None
-    for piece in range(max(1, pieces)):
-        rows = queries.where(F.pmod(F.xxhash64("id", "v"), F.lit(max(1, pieces))) == piece).orderBy("id", "v").collect()
-        part = _search_piece(vectors, [(r["id"], np.array(r["v"], dtype=np.int64)) for r in rows], k, piece)
-        found = part if found is None else found.unionByName(part)
+    pieces = max(1, -(-size // QUERY_BYTES))
+    queries = staged(queries.select("id", "v", F.pmod(F.xxhash64("id", "v"), F.lit(pieces)).cast("int").alias("piece")), "queries")
+    path = f"{shared_dir(spark)}/llm/found-{uuid.uuid4().hex}"
+    for piece in range(pieces):
+        rows = queries.where(F.col("piece") == piece).orderBy("id", "v").select("id", "v").toArrow()
+        found = _search_piece(vectors, rows, k, piece)
+        found.write.mode("append").parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
     best = Window.partitionBy("piece", "query").orderBy(F.desc("score"), "vec_id", "copy")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _search_piece(vectors: DataFrame, queries: list[tuple[int, np.ndarray]], k: int, piece: int) -> DataFrame:
-    """The k best candidates of each task for every query of a piece."""
+def _search_piece(vectors: DataFrame, asked: pa.Table, k: int, piece: int) -> DataFrame:
+    """The k best candidates of each task for every query ``(id, v)`` of a piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors = asked["v"].combine_chunks() if asked.num_rows else []
+        queries = [(q, vectors[i].values.to_numpy(zero_copy_only=False).astype(np.int64)) for i, q in enumerate(asked["id"].to_pylist())]
         best: list[list[tuple[int, int]]] = [[] for _ in queries]
         waiting: dict[int, list] = {}
 
