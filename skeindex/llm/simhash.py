@@ -6,10 +6,11 @@ bits agree up to ``k // 2`` bits in their first or in their last half, so two tr
 fingerprints with their halves exchanged, and each has the smaller budget for the first half.
 
 The top of the trie is spread out by Spark: a fingerprint goes to the node of its first bits and to the nodes within
-the budget, each pair of nodes meeting in one of the two. The depth of the cut follows the number of fingerprints, so
-nodes stay small. Below a node only a spanning set of links is written, never all pairs of a dense group, and pairs of
-subtrees that are already one component are skipped. At most 679,121 fingerprints lie within four bits of another one,
-which bounds what one group of near copies can bring into a node.
+the budget, each pair of nodes meeting in one of the two. The depth of the cut follows the number of fingerprints.
+Where one node is crowded, as with the variants of one template, its pairs are cut six bits deeper, and again, up to the
+first half of the bits; only what agrees in all of these can still share a crowded node, whose other half the other trie
+takes first. Below a node only a spanning set of links is written, never all pairs of a dense group, and pairs of
+subtrees that are already one component are skipped.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from skeindex.llm.common import staged
+from skeindex.llm.common import small, staged
 from skeindex.llm.components import components
 
 SEED = 42
@@ -168,17 +169,65 @@ def _compare(values: np.ndarray, pairs: np.ndarray, budget: int, first: int, for
 # --- the join as a Spark job --------------------------------------------------------------------
 
 
-def near_links(fps: DataFrame, k: int = 4, per_node: int = 1024) -> DataFrame:
-    """Links ``a, b`` that connect exactly the fingerprints ``fp`` of ``fps`` (distinct) within ``k`` bits of each other."""
+def near_links(fps: DataFrame, k: int = 4, per_node: int = 1024, crowd: int = 32_768) -> DataFrame:
+    """Links ``a, b`` that connect exactly the fingerprints ``fp`` of ``fps`` (distinct) within ``k`` bits of each other.
+
+    A node with more than ``crowd`` fingerprints is cut deeper.
+    """
     fps = staged(fps.select("fp"), "fps")
     lead = k // 2
     depth = min(HALF, max(6, int(np.ceil(np.log2(max(2, fps.count()) / per_node)))))
-    masks = [sum(1 << b for b in bits) for n in range(lead + 1) for bits in itertools.combinations(range(depth), n)]
     swapped = F.shiftleft("fp", HALF).bitwiseOR(F.shiftrightunsigned("fp", HALF))
     both = fps.select(F.explode(F.array(F.struct(F.lit(0).alias("turn"), "fp"), F.struct(F.lit(1).alias("turn"), swapped.alias("fp")))).alias("x"))
-    rows = both.select("x.turn", "x.fp", F.shiftrightunsigned("x.fp", 64 - depth).alias("own"))
+    both = both.select("x.turn", "x.fp")
+    within, found = None, []
+    while True:
+        crowded = _crowded(both, depth, crowd) if depth < HALF else None
+        found.append(_links_at(both, depth, k, lead, within, crowded))
+        if crowded is None:
+            break
+        within, depth = (crowded, depth), min(HALF, depth + 6)
+    links = found[0]
+    for more in found[1:]:
+        links = links.unionByName(more)
+    return links
+
+
+def _crowded(both: DataFrame, depth: int, crowd: int) -> DataFrame | None:
+    """``turn, prefix`` of the nodes at ``depth`` that hold more than ``crowd`` fingerprints; None without any."""
+    prefix = F.shiftrightunsigned("fp", 64 - depth).alias("prefix")
+    found = both.groupBy("turn", prefix).count().where(F.col("count") > crowd).select("turn", "prefix")
+    found = staged(found, "crowded")  # as many rows as crowds fit into all fingerprints
+    return found if found.limit(1).count() else None
+
+
+def _touching(rows: DataFrame, crowded: DataFrame, shift: int, name: str) -> DataFrame:
+    """Mark the rows one of whose nodes ``own`` and ``other``, cut by ``shift`` bits, is crowded."""
+    for side in ("own", "other"):
+        marks = crowded.select("turn", F.col("prefix").alias("__p"), F.lit(True).alias(f"__{side}"))
+        rows = rows.withColumn("__p", F.shiftrightunsigned(side, shift)).join(F.broadcast(marks), ["turn", "__p"], "left").drop("__p")
+    return rows.withColumn(name, F.col("__own").isNotNull() | F.col("__other").isNotNull()).drop("__own", "__other")
+
+
+def _links_at(both: DataFrame, depth: int, k: int, lead: int, within: tuple[DataFrame, int] | None, crowded: DataFrame | None) -> DataFrame:
+    """Links of the pairs of nodes at ``depth``, without those that are cut deeper.
+
+    ``within``: crowded nodes of a smaller depth, of which one takes part in each of these pairs.
+    """
+    masks = [sum(1 << b for b in bits) for n in range(lead + 1) for bits in itertools.combinations(range(depth), n)]
+    if within is not None:  # first what is near a crowded node at all, by the few masks of its depth
+        near = [sum(1 << b for b in bits) for n in range(lead + 1) for bits in itertools.combinations(range(within[1]), n)]
+        around = within[0].select("turn", F.explode(F.array(*[F.lit(m).cast("long") for m in near])).alias("m"), "prefix")
+        around = staged(around.select("turn", F.col("prefix").bitwiseXOR(F.col("m")).alias("__p")).distinct(), "around")
+        both = both.withColumn("__p", F.shiftrightunsigned("fp", 64 - within[1])).join(small(around, 16), ["turn", "__p"], "left_semi").drop("__p")
+    rows = both.select("turn", "fp", F.shiftrightunsigned("fp", 64 - depth).alias("own"))
     rows = rows.withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
     rows = rows.withColumn("other", F.col("own").bitwiseXOR(F.col("mask")))
+    if within is not None:
+        # Fingerprints stay in their own node, which may be host to a crowded one.
+        rows = _touching(rows, within[0], depth - within[1], "__in").where("__in or mask = 0").drop("__in")
+    if crowded is not None:
+        rows = _touching(rows, crowded, 0, "__deep").where("not __deep").drop("__deep")
     # Of two nodes that meet, a hash of both says which one is host, so that hosts get equal loads.
     low = F.xxhash64(F.least("own", "other"), F.greatest("own", "other")) % 2 == 0
     host = F.when(low, F.least("own", "other")).otherwise(F.greatest("own", "other"))
