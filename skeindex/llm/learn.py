@@ -6,26 +6,31 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from skeindex.llm.common import crc32_fold
-
-SLICES = 1_000_000
-
+from skeindex.llm.common import crc32_fold, staged
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, folds: int = 5) -> DataFrame:
     """``text, label`` of at most about ``max_rows`` labelled rows outside the held-out fold, chosen by a hash of the id.
 
-    The bound is on what a model is fitted to; the chosen ids are few enough to broadcast, so texts are not moved. Rows
-    without id or label are not used.
+    The bound is on what a model is fitted to. An id's text counts once, however often it was delivered; should ids have
+    so many different texts that the rows exceed the bound, these are chosen by their hash as well. The chosen ids are
+    few enough to broadcast, so texts are not moved. Rows without id or label are not used.
     """
     rows = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (crc32_fold(F.col("doc_id"), folds) != 0))
     rows = rows.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
-    share = min(1.0, max_rows / max(1, rows.count()))
-    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)) < int(share * SLICES))
-    return docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").select("text", "label")
+    rows = _share(rows, F.xxhash64("doc_id"), max_rows / max(1, rows.count()))
+    found = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).join(F.broadcast(rows), "doc_id")
+    keys = found.groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"), F.first("label").alias("label"))
+    keys = staged(keys, "labelled")
+    return _share(keys, F.xxhash64("text_hash", F.lit(1)), max_rows / max(1, keys.count() / 2)).select("text", "label")
+
+
+def _share(rows: DataFrame, hashed: Column, share: float) -> DataFrame:
+    """The rows whose 64-bit hash is in the lowest ``share`` of all values; all if the share is 1 or more."""
+    return rows if share >= 1 else rows.where(hashed < int(share * (1 << 64)) - (1 << 63))
 
 
 def scored(docs: DataFrame, score: Callable[[list[str]], np.ndarray], at_least: float, folds: int = 5) -> DataFrame:

@@ -140,15 +140,18 @@ def train(bags: list[np.ndarray], y: np.ndarray, hidden: int = 16, epochs: int =
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 4_000, max_passages: int = 64, **options) -> AttentionModel:
-    """Train on at most about ``max_rows`` labelled documents of at most ``max_passages`` passages each.
+    """Train on at most about ``max_rows`` labelled documents, by at most ``max_passages`` passages of each.
 
-    Longer documents are not part of the sample; they are scored whole like all others.
+    Of a longer document these are spread evenly from its first to its last; scoring reads all passages.
     """
 
+    def spread(bag: np.ndarray) -> np.ndarray:
+        return bag if len(bag) <= max_passages else bag[np.linspace(0, len(bag) - 1, max_passages).round().astype(int)]
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bags = [(passages(t), y) for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            bags = [(b.ravel().tolist(), float(y > 0)) for b, y in bags if len(b) <= max_passages]
+            bags = [(spread(passages(t)), y) for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            bags = [(b.ravel().tolist(), float(y > 0)) for b, y in bags]
             yield pa.record_batch([pa.array([b for b, _ in bags], pa.list_(pa.float64())), pa.array([y for _, y in bags], pa.float64())], names=["bag", "label"])
 
     found = labelled(docs, labels, "quality", max_rows).mapInArrow(encode, "bag array<double>, label double")

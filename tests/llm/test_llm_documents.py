@@ -312,6 +312,35 @@ def test_trie_join_of_dense_and_sparse_prints(spark, k):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+def test_crowded_nodes_are_cut_deeper(spark, monkeypatch):
+    """Variants of one template: they share their first bits, and each is near a few others only."""
+    rng = np.random.default_rng(9)
+    template = int(rng.integers(0, 1 << 62))
+    prints = {template ^ sum(1 << int(b) for b in rng.choice(56, rng.integers(3, 9), replace=False)) for _ in range(900)}
+    prints |= {int(x) for x in rng.integers(0, 1 << 62, 200)}
+    prints |= {p ^ 1 << int(b) for p, b in zip(sorted(prints)[:80], rng.integers(0, 64, 80))}
+    prints = sorted(prints)
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    sizes = []
+    rows = spark.createDataFrame([(p,) for p in signed], "fp long")
+    want = defaultdict(set)
+    for p, root in zip(signed, slow_classes(prints)):
+        want[root].add(p)
+    depths = []
+    real = simhash._links_at
+    monkeypatch.setattr(simhash, "_links_at", lambda both, depth, *args: depths.append(depth) or real(both, depth, *args))
+    for crowd in (40, 10_000):
+        links = simhash.near_links(rows, 4, per_node=64, crowd=crowd)
+        found = {r["node"]: r["root"] for r in components(links).collect()}
+        groups = defaultdict(set)
+        for p in signed:
+            groups[found.get(p, p)].add(p)
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+        sizes.append(list(depths))
+        depths.clear()
+    assert sizes[1] == [6] and len(sizes[0]) >= 3 and sizes[0] == sorted(set(sizes[0]))
+
+
 def test_components_of_a_long_chain_and_odd_links(spark):
     chain = [(i, i + 1) for i in range(200)] + [(5, 5), (None, 3), (1000, 999), (999, 1000), (7, 8)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}

@@ -12,7 +12,8 @@ from conftest_llm import ROWS
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skeindex.llm import fingerprint, lines, mixing, packing, quality, simhash, topk, toxicity, warc
+from skeindex.llm.common import crc32_fold
+from skeindex.llm import fingerprint, learn, lines, mixing, packing, quality, simhash, topk, toxicity, warc
 
 # --- WARC ---------------------------------------------------------------------------------------
 
@@ -87,6 +88,31 @@ def test_warc_files_become_responses(spark, scratch):
     assert found[0]["http_headers"] == "HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n"
 
 
+# --- samples ------------------------------------------------------------------------------------
+
+
+def test_a_sample_is_bounded_by_texts(spark):
+    """One id delivered thousands of times is one row; ids with many texts do not exceed the bound either."""
+    labels = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    hot = spark.range(20_000).select(F.lit(3).cast("long").alias("doc_id"), F.lit("the same text").alias("text"))
+    many = spark.range(20_000).select(F.lit(4).cast("long").alias("doc_id"), F.concat(F.lit("other "), F.col("id").cast("string")).alias("text"))
+    rows = learn.labelled(docs.unionByName(hot), labels, "quality", 1000).collect()
+    held = {r["doc_id"] for r in labels.where(crc32_fold(F.col("doc_id")) == 0).collect()}
+    assert Counter(r["text"] for r in rows if r["text"] == "the same text") in (Counter({"the same text": 1}), Counter())
+    assert {r["text"] for r in rows if r["text"].startswith("text")} == {f"text {i}" for i in range(200) if i not in held}
+    assert 0 < learn.labelled(docs.unionByName(many), labels, "quality", 300).count() < 1000
+
+
+def test_long_documents_train_the_model(spark):
+    """Long texts only: good and bad ones differ in all passages."""
+    words = lambda i, bad: " ".join(("!! ## %%" if bad else f"word{(i + k) % 50}") for k in range(12_000))
+    docs = spark.createDataFrame([(i, words(i, i % 2)) for i in range(24)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(24)], "doc_id long, quality int")
+    rows = quality.quality(docs, labels).collect()
+    assert all((r["score"] > 0.5) == (r["doc_id"] % 2 == 0) for r in rows)
+
+
 # --- learned scores -----------------------------------------------------------------------------
 
 
@@ -200,6 +226,19 @@ def test_search_stops_early():
     assert best == [(-(3000 + 1800 + 800 + 700), 7)] and sum(seen) < 2500
 
 
+def test_queries_are_taken_piece_by_piece(spark, monkeypatch):
+    """The results of a piece are written before the next one is read."""
+    events, real = [], topk._search_piece
+    monkeypatch.setattr(topk, "QUERY_BYTES", 400)
+    monkeypatch.setattr(topk, "_search_piece", lambda vectors, asked, k, piece: events.append((piece, asked.num_rows)) or real(vectors, asked, k, piece))
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.integers(-3, 4, 6) / 4]) for i in range(120)]
+    vectors = topk.scaled(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    found = sorted(map(tuple, topk.top_k(vectors, vectors.where("id % 4 = 0"), 3).collect()))
+    assert found == slow_top(rows, lambda i: i % 4 == 0, 3)
+    assert len(events) > 3 and sum(n for _, n in events) == 30
+
+
 # --- fingerprints -------------------------------------------------------------------------------
 
 
