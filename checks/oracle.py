@@ -327,6 +327,14 @@ ORACLE["index_overwrite"] = f"""WITH {UNITS}
     SELECT id, source_file, 'two' AS batch, first FROM u WHERE label < 7"""
 ORACLE["index_upsert"] = f"""WITH {UNITS}
     SELECT id, source_file, CASE WHEN label >= 5 THEN 'two' ELSE 'one' END AS batch, first FROM u"""
+ORACLE["rejected_rows"] = f"""WITH
+    x AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN 'The of and' ELSE text END AS text FROM documents),
+    kept AS (SELECT doc_id, text FROM x WHERE doc_id % 10 <> 0 AND text <> ''),
+    {tf_of("kept", "doc_id", "tf")}
+    SELECT 'broken line' AS reason, 'lines' AS source, '{{"id": "' || doc_id AS detail, 'r1' AS run FROM x WHERE doc_id % 10 = 0
+    UNION ALL SELECT 'no terms', doc_id::VARCHAR, NULL, 'r1' FROM kept WHERE doc_id NOT IN (SELECT id FROM tf)
+    UNION ALL SELECT 'failed text', doc_id::VARCHAR, 'length', 'r1' FROM kept WHERE length(text) % 7 = 0
+    UNION ALL SELECT 'failed page', page_id::VARCHAR, 'no content', 'r1' FROM pages WHERE page_id % 7 = 0"""
 ORACLE["index_compacted"] = ORACLE["index_upsert"]
 ORACLE["index_replace_files"] = f"""WITH {UNITS},
     part AS (SELECT * FROM u WHERE label >= 5 AND e1 > 0)

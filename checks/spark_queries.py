@@ -17,6 +17,7 @@ from skeindex.sources import artifacts, jsonl, models, objects
 from skeindex.sources.indexes import IndexCatalog, IndexSettings
 from skeindex.sources.keyed import KeyedTable
 from skeindex.sources.postings import PostingStore
+from skeindex.sources.rejects import RejectLog
 from skeindex.streaming import incremental
 
 # SQL has no stemmer, so the compared queries run without one.
@@ -798,6 +799,40 @@ def streaming_chunks(spark, sf):
     return _ids(catalog)
 
 
+def rejected_rows(spark, sf):
+    """What three flows leave out: broken lines, pages without content, chunks without terms, texts that a model fails on."""
+    root, catalog, embedder = _setting(spark)
+    log = RejectLog(root + "/rejects", "r1")
+    # Lines: every tenth is cut, every ninth has stop words only.
+    chunks = _saved_chunks(spark, sf).select("id", F.when(F.col("chunk_line_offset") % 9 == 0, "The of and").otherwise(F.col("chunk")).alias("chunk"), "source_file")
+    line = F.to_json(F.struct("id", "chunk", "source_file"))
+    broken = F.concat(F.lit('{"id": "'), F.col("id"))
+    chunks.select(F.when(F.col("id").cast("long") % 10 == 0, broken).otherwise(line).alias("value")).write.text(root + "/lines")
+    read = jsonl.read_reporting(spark, root + "/lines", log, CHUNK, "*.txt").drop("file_path")
+
+    def load(role):
+        def vowels(texts):
+            if any(len(t) % 7 == 0 for t in texts):
+                raise ValueError("length")
+            return [[float(t.count(v)) for v in "aeiou"] for t in texts]
+
+        return vowels
+
+    model = flows.fit_model(read, root + "/model", root + "/artifacts", analyzer=PLAIN)
+    registry = dense.ModelRegistry().register("vowels", load)
+    catalog.create("main", IndexSettings(dims=5))
+    flows.ingest_chunks(catalog, "main", read, root + "/artifacts", embedder=Embedder(registry.resolve("vowels"), 5), analyzer=PLAIN, rejects=log)
+    # Pages: every seventh has no content.
+    rows = table(spark, sf, "pages").select(
+        F.col("page_id").cast("string").alias("source_file"), F.when(F.col("page_id") % 7 != 0, F.col("html")).alias("html"),
+        F.col("url").alias("original_url"), F.lit(STAMP).alias("scrape_time"),
+    )
+    flows.chunk_dataset(spread(rows, "source_file"), root + "/chunks", rejects=log)
+    found = log.read(spark)
+    source = F.when(F.col("reason") == "broken line", F.lit("lines")).otherwise(F.col("source"))
+    return found.select("reason", source.alias("source"), "detail", "run")
+
+
 def index_compacted(spark, sf):
     """Updates as deltas, then compaction: as after one update with everything."""
     catalog, rows = _index(spark), vectors(spark, sf)
@@ -938,6 +973,7 @@ QUERIES = {
     "index_overwrite": index_overwrite,
     "index_upsert": index_upsert,
     "index_compacted": index_compacted,
+    "rejected_rows": rejected_rows,
     "index_replace_files": index_replace_files,
     "index_overwrite_empty": index_overwrite_empty,
     "datapoint_lines": datapoint_lines,

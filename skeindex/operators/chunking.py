@@ -51,11 +51,11 @@ def header_sections(df: DataFrame, text: str = "markdown") -> DataFrame:
 
 
 def chunk_text(
-    df: DataFrame, text: str = "markdown", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP
+    df: DataFrame, text: str = "markdown", size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, empty: bool = False
 ) -> DataFrame:
     """One row per chunk: ``(…, i, headers, chunk)``; ``i`` counts over the whole text.
 
-    Sections and windows come from one Arrow pass; a chunk never crosses a section.
+    With ``empty``, a text without chunks is a row without ``i``, ``headers`` and ``chunk``. Sections and windows come from one Arrow pass; a chunk never crosses a section.
     """
 
     def make(value):
@@ -67,16 +67,22 @@ def chunk_text(
 
     kept = [c for c in df.columns if c != text]
     listed = df.select(*kept, _per_text(make, _CHUNK)(F.col(text)).alias("__c"))
-    rows = listed.select(*kept, F.posexplode("__c").alias("i", "__x"))
+    spread = F.posexplode_outer if empty else F.posexplode
+    rows = listed.select(*kept, spread("__c").alias("i", "__x"))
     return rows.select(*kept, F.col("i").cast("long").alias("i"), F.col("__x.headers"), F.col("__x.chunk"))
 
 
-def chunk_records(cleaned: DataFrame, version: str = DEFAULT_VERSION, **split) -> DataFrame:
-    """Chunk records (without dataset pointer) of ``cleaned(source_file, original_url, scrape_time, markdown)``."""
+def chunk_records(cleaned: DataFrame, version: str = DEFAULT_VERSION, empty: bool = False, **split) -> DataFrame:
+    """Chunk records (without dataset pointer) of ``cleaned(source_file, original_url, scrape_time, markdown)``.
+
+    With ``empty``, a page without chunks is a row without ``chunk``, and all rows have the ``error`` of their page.
+    """
+    error = ["error"] if empty else []
     rows = chunk_text(
-        cleaned.select("source_file", "original_url", "scrape_time", "markdown"), **split
+        cleaned.select("source_file", "original_url", "scrape_time", "markdown", *error), empty=empty, **split
     )
     return rows.select(
+        *error,
         F.concat("source_file", F.lit("_chunk_"), F.col("i").cast("string")).alias("id"),
         "original_url",
         "scrape_time",
@@ -136,7 +142,7 @@ def reuse_chunks(previous: DataFrame, uri: str, file: str = "file_path") -> Data
     )
 
 
-def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """``df`` with a row counter that is read after the next action, at no extra pass."""
+def counted(df: DataFrame, name: str, column: str | None = None) -> tuple[DataFrame, Observation]:
+    """``df`` with a counter of rows, or of values of a column, that is read after the next action, at no extra pass."""
     observation = Observation(name)
-    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
+    return df.observe(observation, F.count(F.lit(1) if column is None else F.col(column)).alias("rows")), observation

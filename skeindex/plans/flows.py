@@ -16,6 +16,7 @@ from skeindex.session import spread, stage
 from skeindex.sources import artifacts, jsonl, models, objects
 from skeindex.sources.indexes import IndexCatalog, IndexSettings
 from skeindex.sources.keyed import KeyedTable
+from skeindex.sources.rejects import FAILED_PAGE, FAILED_TEXT, NO_TERMS, RejectLog
 
 log = logging.getLogger(__name__)
 
@@ -43,17 +44,20 @@ class Embedder:
 
 def chunk_dataset(
     pages: DataFrame, uri: str, version: str = chunking.DEFAULT_VERSION,
-    rules: CleaningRules = CleaningRules(),
+    rules: CleaningRules = CleaningRules(), rejects: RejectLog | None = None,
 ) -> DataFrame:
     """Clean and chunk ``pages``; write the chunk table at ``uri`` and return it.
 
-    Cleaning and splitting run once; numbering works on what they wrote.
+    Cleaning and splitting run once; numbering works on what they wrote, and so does the report of pages that failed.
     """
     spark = pages.sparkSession
     cleaned = cleaning.clean_pages(pages.drop("fingerprint"), rules)
-    records, seen = chunking.counted(chunking.chunk_records(cleaned, version), "chunks")
-    numbered = chunking.with_line_offsets(stage(records, "chunks"), uri)
+    counted, seen = chunking.counted(chunking.chunk_records(cleaned, version, empty=True), "chunks", "chunk")
+    whole = stage(counted, "chunks")
     log.info("%d chunks for %s", seen.get["rows"], uri)
+    if rejects is not None:
+        rejects.write(whole.where(F.col("error").isNotNull()), FAILED_PAGE, F.col("source_file"), F.col("error"))
+    numbered = chunking.with_line_offsets(whole.where(F.col("chunk").isNotNull()).drop("error"), uri)
     jsonl.write_chunk_store(numbered, uri)
     return jsonl.read_chunk_store(spark, uri, numbered.schema)
 
@@ -82,26 +86,33 @@ def fit_model(
 
 def encode_chunks(
     chunks: DataFrame, model: Model | None, embedder: Embedder = Embedder(),
-    analyzer: Analyzer = Analyzer(),
+    analyzer: Analyzer = Analyzer(), rejects: RejectLog | None = None,
 ) -> DataFrame:
     """Chunks with ``sparse_embedding`` and ``embedding``, both computed on the row itself.
 
-    The result is written once: the token work is not repeated by later filters.
+    The result is written once: the token work is not repeated by later filters, nor is a model run again for the report
+    of texts that it failed on.
     """
     light = spread(bm25.coalesce_text(chunks.drop("offset_block")))
     termed = stage(bm25.with_terms(light, "chunk", analyzer), "encoded")
     sparse = bm25.encode_documents(termed, model, drop_terms=False)
-    return embedder.apply(sparse, "chunk").drop("terms", "doc_len", "embedding_error")
+    found = embedder.apply(sparse, "chunk")
+    if rejects is not None:
+        rejects.write(termed.where(F.col("doc_len") == 0), NO_TERMS, F.col("id"), F.lit(None).cast("string"))
+        if "embedding_error" in found.columns:
+            found = stage(found, "vectors")
+            rejects.write(found.where(F.col("embedding_error").isNotNull()), FAILED_TEXT, F.col("id"), F.col("embedding_error"))
+    return found.drop("terms", "doc_len", "embedding_error")
 
 
 def build_datapoints(
     chunks: DataFrame, model: Model | None, embedder: Embedder = Embedder(),
-    analyzer: Analyzer = Analyzer(),
+    analyzer: Analyzer = Analyzer(), rejects: RejectLog | None = None,
 ) -> DataFrame:
     """Datapoints of chunks whose ids are distinct: no join, since both vectors sit on the row."""
     if model is None:
         log.warning("no model: no chunk gets a sparse vector, so none can enter an index")
-    encoded = encode_chunks(chunks, model, embedder, analyzer)
+    encoded = encode_chunks(chunks, model, embedder, analyzer, rejects)
     # The sparse vector has values exactly when the staged terms are not empty.
     return merge.as_datapoints(merge.has_sparse(merge.rename_dimensions(encoded)))
 
@@ -125,16 +136,16 @@ def full_rebuild(
     pages: DataFrame | None = None, previous: DataFrame | None = None,
     version: str = chunking.DEFAULT_VERSION, embedder: Embedder = Embedder(),
     analyzer: Analyzer = Analyzer(), registry: str | None = None,
-    model_name: str = artifacts.MODEL_NAME, when: datetime | None = None,
+    model_name: str = artifacts.MODEL_NAME, when: datetime | None = None, rejects: RejectLog | None = None,
 ) -> int:
     """Create the index if absent, chunk (or reuse chunks), fit, encode, overwrite the index."""
     catalog.create(index_name, IndexSettings(dims=embedder.dims))
     if previous is not None:
         chunks = reuse_dataset(previous, chunks_uri)
     else:
-        chunks = chunk_dataset(pages, chunks_uri, version)
+        chunks = chunk_dataset(pages, chunks_uri, version, rejects=rejects)
     model = fit_model(chunks, model_uri, registry, model_name, when, analyzer)
-    points = build_datapoints(chunks, model, embedder, analyzer)
+    points = build_datapoints(chunks, model, embedder, analyzer, rejects)
     return catalog.update(index_name, points, overwrite=True)
 
 
@@ -142,7 +153,7 @@ def incremental_update(
     catalog: IndexCatalog, index_name: str, pages: DataFrame, chunks_uri: str, registry: str,
     model_name: str = artifacts.MODEL_NAME, version: str = chunking.DEFAULT_VERSION,
     embedder: Embedder = Embedder(), analyzer: Analyzer = Analyzer(), replace_files: bool = False,
-    batch: tuple[str, int] | None = None,
+    batch: tuple[str, int] | None = None, rejects: RejectLog | None = None,
 ) -> int:
     """Chunk new pages, encode them with the newest stored model, upsert the index.
 
@@ -151,9 +162,9 @@ def incremental_update(
     catalog.find(index_name)
     if catalog.applied(index_name, batch):
         return catalog.table(index_name).manifest(catalog.spark).version
-    chunks = chunk_dataset(pages, chunks_uri, version)
+    chunks = chunk_dataset(pages, chunks_uri, version, rejects=rejects)
     return ingest_chunks(
-        catalog, index_name, chunks, registry, model_name, embedder, analyzer, replace_files, batch
+        catalog, index_name, chunks, registry, model_name, embedder, analyzer, replace_files, batch, rejects
     )
 
 
@@ -161,6 +172,7 @@ def ingest_chunks(
     catalog: IndexCatalog, index_name: str, chunks: DataFrame, registry: str,
     model_name: str = artifacts.MODEL_NAME, embedder: Embedder = Embedder(),
     analyzer: Analyzer = Analyzer(), replace_files: bool = False, batch: tuple[str, int] | None = None,
+    rejects: RejectLog | None = None,
 ) -> int:
     """Encode chunks that exist already with the newest stored model and upsert the index.
 
@@ -170,7 +182,7 @@ def ingest_chunks(
     if catalog.applied(index_name, batch):
         return catalog.table(index_name).manifest(spark).version
     uri = artifacts.latest_uri(artifacts.read_artifacts(spark, registry), model_name)
-    points = build_datapoints(chunks, models.load_model(spark, uri), embedder, analyzer)
+    points = build_datapoints(chunks, models.load_model(spark, uri), embedder, analyzer, rejects)
     return catalog.update(index_name, points, replace_files=replace_files, batch=batch)
 
 

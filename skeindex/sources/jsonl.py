@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from skeindex.operators.context import offset_block
 from skeindex.schemas import CHUNK
+from skeindex.session import stage
+from skeindex.sources.rejects import BROKEN_LINE, RejectLog
 
 CORRUPT = "_corrupt"
 JSONL_GLOB = "*.jsonl"
@@ -38,6 +40,19 @@ def read_tolerant(
     return good, bad.select(F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("line"))
 
 
+def read_reporting(
+    spark: SparkSession, path: str, rejects: RejectLog, schema: T.StructType = CHUNK, glob: str = JSONL_GLOB
+) -> DataFrame:
+    """Parsed records with their ``file_path``; lines that are not JSON become rejects. Files are read once."""
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    lines = _reader(spark, None, glob).text(path).where(F.trim("value") != "")
+    parsed = F.from_json("value", with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
+    rows = stage(lines.select(parsed.alias("r"), F.col("_metadata.file_path").alias("file_path")), "lines")
+    broken = F.col(f"r.{CORRUPT}")
+    rejects.write(rows.where(broken.isNotNull()), BROKEN_LINE, F.col("file_path"), broken)
+    return rows.where(broken.isNull()).select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields], "file_path")
+
+
 def read_strict(
     spark: SparkSession, path: str, schema: T.StructType | None = CHUNK, glob: str = JSONL_GLOB
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from skeindex.operators.bm25 import Analyzer
 from skeindex.schemas import CHUNK, PAGE
 from skeindex.sources import artifacts
 from skeindex.sources.indexes import IndexCatalog
+from skeindex.sources.rejects import RejectLog
 
 
 def run_available(stream: DataFrame, handle, checkpoint: str) -> None:
@@ -29,25 +30,25 @@ def run_available(stream: DataFrame, handle, checkpoint: str) -> None:
 def update_from_pages(
     catalog: IndexCatalog, index_name: str, pages_dir: str, chunks_root: str, registry: str,
     checkpoint: str, model_name: str = artifacts.MODEL_NAME, embedder: Embedder = Embedder(),
-    analyzer: Analyzer = Analyzer(), replace_files: bool = False,
+    analyzer: Analyzer = Analyzer(), replace_files: bool = False, rejects: RejectLog | None = None,
 ) -> None:
     """Index the page files (Parquet) that appeared in ``pages_dir``; ``checkpoint`` names the stream."""
     stream = catalog.spark.readStream.schema(PAGE).parquet(pages_dir)
-    handle = page_batches(catalog, index_name, chunks_root, registry, checkpoint, model_name, embedder, analyzer, replace_files)
+    handle = page_batches(catalog, index_name, chunks_root, registry, checkpoint, model_name, embedder, analyzer, replace_files, rejects)
     run_available(stream, handle, checkpoint)
 
 
 def page_batches(
     catalog: IndexCatalog, index_name: str, chunks_root: str, registry: str, stream: str,
     model_name: str = artifacts.MODEL_NAME, embedder: Embedder = Embedder(),
-    analyzer: Analyzer = Analyzer(), replace_files: bool = False,
+    analyzer: Analyzer = Analyzer(), replace_files: bool = False, rejects: RejectLog | None = None,
 ):
     """What is done with each batch of pages."""
 
     def handle(batch: DataFrame, number: int) -> None:
         incremental_update(
             catalog, index_name, batch, f"{chunks_root}/batch={number}", registry, model_name,
-            embedder=embedder, analyzer=analyzer, replace_files=replace_files, batch=(stream, number),
+            embedder=embedder, analyzer=analyzer, replace_files=replace_files, batch=(stream, number), rejects=rejects,
         )
 
     return handle
