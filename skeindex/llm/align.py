@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skeindex.llm.common import staged
-from skeindex.llm.packing import MARKS, WordIds, words_of
+from skeindex.llm.packing import MARKS, WordIds, parts_of, words_of
 from skeindex.llm.remember import Remembered
 
 # Characters of text in a block, A tokens in a lane, lanes in the state vector, tokens written out at a time.
 BLOCK_CHARS, LANE_TOKENS, LANES, WRITTEN = 1_500_000, 256, 8192, 1 << 19
 # Segments of text whose ids a worker remembers, in each of two generations.
-REMEMBERED = 150_000
+REMEMBERED = 200_000
 
 
 # --- tokenizers ---------------------------------------------------------------------------------
@@ -95,7 +95,7 @@ class Tokenizers:
 
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = ByteLevel(a_path), Pieces(b_path)
-        self.known = Remembered(self._ids, REMEMBERED, columns=2)
+        self.known = Remembered(self._ids, REMEMBERED, parts_of, columns=2)
 
     def _ids(self, segments: list[str]) -> Iterator[tuple[bytes | None, bytes | None]]:
         for segment, a, b in zip(segments, self.a.ids_of(segments), self.b.ids_of(segments)):

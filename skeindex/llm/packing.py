@@ -24,41 +24,30 @@ from skeindex.llm.common import offset_by, staged
 from skeindex.llm.remember import Remembered
 
 # Words whose ids a worker remembers in each of two generations, and characters of text it takes at a time.
-REMEMBERED, BLOCK_CHARS = 200_000, 1_000_000
+REMEMBERED, BLOCK_CHARS = 300_000, 1_000_000
 
 
-_OTHER_SPACE = re.compile(r"[^\S \n]")
-# Marks that words are cut before, at their ends.
+_OTHER_SPACE = re.compile(r"[^\S \n]|\0")
+# Marks at which words are cut further, at their ends.
 MARKS = ".,!?#$%&*|"
 
 
 def words_of(text: str) -> list[str]:
     """Cut a text where a byte-level tokenizer always starts a new token, so ids of the parts join to ids of the text.
 
-    That is before a single space and around a single line break between other characters, and between a letter or
-    digit and punctuation at the end of a word. Texts with other white space are cut at single spaces only.
+    That is before a single space and around a single line break between other characters. Texts with other white space
+    are cut at single spaces only.
     """
-    words: list[str] = []
-    if _OTHER_SPACE.search(text):
+    edges = text[:1] + text[-1:]
+    if " " in edges or "\n" in edges or "  " in text or "\n " in text or " \n" in text or "\n\n" in text or _OTHER_SPACE.search(text):
         return _spaced(text)
-    for i, line in enumerate(text.split("\n")):
-        if i:
-            words.append("\n")
-        space = ""
-        for part in line.split(" "):
-            if part[-1:].isalnum():
-                words.append(space + part)
-            elif not part:
-                return _spaced(text)
-            else:
-                core = part.rstrip(MARKS)
-                if core and core[-1].isalnum():
-                    words.append(space + core)
-                    words.append(part[len(core) :])
-                else:
-                    words.append(space + part)
-            space = " "
-    return words
+    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+
+
+def parts_of(word: str) -> tuple[str, str] | None:
+    """A word and the marks at its end, between which a new token always starts too; None for others."""
+    core = word.rstrip(MARKS)
+    return (core, word[len(core) :]) if len(core) < len(word) and core[-1:].isalnum() else None
 
 
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -133,7 +122,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known, self.ids_of = Remembered(self._ids, REMEMBERED), WordIds(self.tokenizer)
+        self.known, self.ids_of = Remembered(self._ids, REMEMBERED, parts_of), WordIds(self.tokenizer)
         added = self.tokenizer.get_added_tokens_decoder().values()
         strings = sorted((t.content for t in added), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, strings))) if strings else None
