@@ -450,3 +450,4 @@ ORACLE["merged_datapoints"] = f"""{PER_DOCUMENT},
       FROM documents WHERE text <> '')
     SELECT d.id::VARCHAR AS id, n_terms, 256 AS dims, line FROM d JOIN t ON t.id = last"""
 ORACLE["scan_pages"] = "SELECT page_id, md5(html || chr(10)) AS digest, '' AS original_url FROM pages"
+ORACLE["answer_by_postings"] = ORACLE["answer_queries"]

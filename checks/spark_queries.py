@@ -905,13 +905,15 @@ def merged_datapoints(spark, sf):
     )
 
 
-def answer_queries(spark, sf):
+def answer_queries(spark, sf, postings=False):
     """From pages to prompts: rebuild, then the whole query flow for the benchmark questions."""
     root, catalog, embedder = _setting(spark)
     flows.full_rebuild(
         catalog, "main", root + "/chunks", root + "/model", spread(_page_rows(spark, sf)),
         embedder=embedder, analyzer=PLAIN, registry=root + "/artifacts",
     )
+    if postings:
+        catalog.write_postings("main")
     prompts = flows.answer_queries(
         catalog, "main", benchmark(spark, sf), spark.read.parquet(root + "/chunks"),
         root + "/artifacts", embedder=embedder, analyzer=PLAIN,
@@ -919,6 +921,11 @@ def answer_queries(spark, sf):
     return prompts
 
 
+def answer_by_postings(spark, sf):
+    """The same with an inverted index for the search by terms."""
+    return answer_queries(spark, sf, postings=True)
+
+
 QUERIES = {
     "term_frequency": term_frequency,
     "bm25_doc_freq": bm25_doc_freq,
@@ -992,4 +999,5 @@ QUERIES = {
     "merged_datapoints": merged_datapoints,
     "scan_pages": scan_pages,
     "answer_queries": answer_queries,
+    "answer_by_postings": answer_by_postings,
 }

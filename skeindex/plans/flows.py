@@ -13,9 +13,10 @@ from skeindex.functions.markup import CleaningRules
 from skeindex.operators import bm25, chunking, cleaning, context, dense, intake, merge, search
 from skeindex.operators.bm25 import Analyzer, Model
 from skeindex.session import spread, stage
-from skeindex.sources import artifacts, jsonl, models, objects
+from skeindex.sources import artifacts, commits, jsonl, models, objects
 from skeindex.sources.indexes import IndexCatalog, IndexSettings
 from skeindex.sources.keyed import KeyedTable
+from skeindex.sources.postings import PostingStore
 from skeindex.sources.rejects import FAILED_PAGE, FAILED_TEXT, NO_TERMS, RejectLog
 
 log = logging.getLogger(__name__)
@@ -208,17 +209,25 @@ def scan_and_chunk(spark: SparkSession, uri: str, chunks_uri: str, metadata=None
 
 
 def chunk_tables(found: DataFrame) -> DataFrame:
-    """All chunk tables that the neighbours ``found`` point to, each one once; a table per run, so they are few."""
+    """The chunks of all tables that the neighbours ``found`` point to, read by one scan of the blocks that they name.
+
+    A table is listed once, to see which of its blocks are there; a table that is gone has no chunks.
+    """
     spark = found.sparkSession
-    uris = found.select(F.col("metadata.chunk_gcs_uri").alias("uri")).where("uri is not null").distinct()
-    columns = ("chunk_gcs_uri", "chunk_line_offset", "chunk", "offset_block")
-    schema = "chunk_gcs_uri string, chunk_line_offset bigint, chunk string, offset_block bigint"
-    whole = spark.createDataFrame([], schema)
-    for row in uris.orderBy("uri").collect():
-        table = objects.read_if_present(spark, row["uri"], schema)
-        if table is not None:
-            whole = whole.unionByName(table.select(*columns))
-    return whole
+    block = context.offset_block(F.col("metadata.chunk_line_offset").cast("long")).alias("block")
+    pairs = found.select(F.col("metadata.chunk_gcs_uri").alias("uri"), block).where("uri is not null and block is not null")
+    wanted: dict[str, list[str]] = {}
+    for row in pairs.distinct().orderBy("uri", "block").collect():  # blocks of a million chunks, of tables of whole runs
+        wanted.setdefault(row["uri"], []).append(f"offset_block={row['block']}")
+    paths = []
+    for uri, blocks in wanted.items():
+        there = set(commits.names(spark, uri))
+        paths += [f"{uri}/{b}" for b in blocks if b in there]
+    schema = "chunk_gcs_uri string, chunk_line_offset bigint, chunk string"
+    if not paths:
+        return spark.createDataFrame([], schema + ", offset_block bigint")
+    rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
+    return rows.withColumn("offset_block", context.offset_block(F.col("chunk_line_offset")))
 
 
 @dataclass(frozen=True)
@@ -233,17 +242,17 @@ class SearchOptions:
 def hybrid_topk(
     queries: DataFrame, index: DataFrame, model: Model,
     options: SearchOptions = SearchOptions(), analyzer: Analyzer = Analyzer(),
-    by_vector: DataFrame | None = None,
+    by_vector: DataFrame | None = None, postings: PostingStore | None = None,
 ) -> DataFrame:
     """Fused top-k of ``queries(qid, text, dense)`` over ``index(id, embedding, sparse_embedding)``.
 
-    ``by_vector``: the dense list, if it was searched elsewhere.
+    ``by_vector``: the dense list, if it was searched elsewhere; ``postings``: an inverted index of the same rows.
     """
     depth = options.depth or options.k
     # Query text bounds the number of query terms.
     small = bm25.queries_are_small(queries)
     terms = bm25.query_terms(queries, model, "text", analyzer, small)
-    by_terms = search.sparse_topk_rows(index, terms, depth)
+    by_terms = search.sparse_topk_rows(index, terms, depth) if postings is None else postings.search(terms, depth)
     if by_vector is None:
         by_vector = search.dense_topk(index, queries, depth, options.metric)
     return search.reciprocal_rank_fusion(by_vector, by_terms, options.k, options.alpha)
@@ -269,7 +278,7 @@ def answer_queries(
     ready = stage(ready, "queries")
     index = catalog.read(index_name)
     by_vector = catalog.search(index_name, ready, options.depth or options.k, options.approximate)
-    fused = hybrid_topk(ready, index, model, options, analyzer, by_vector)
+    fused = hybrid_topk(ready, index, model, options, analyzer, by_vector, catalog.postings(index_name))
     # The pointers are used several times: written once.
     found = stage(search.shape_results(stage(fused, "fused"), index), "found")
     if chunks is None:

@@ -17,8 +17,10 @@ from skeindex.operators import ann, quantise
 from skeindex.operators.intake import last_per_key
 from skeindex.operators.search import dense_topk
 from skeindex.schemas import INDEX
+from skeindex.sources.commits import names, put_if_absent, read_text
 from skeindex.sources.keyed import MOST_LAYERS, Conflict, KeyedTable, Manifest
 from skeindex.sources.objects import read_if_present
+from skeindex.sources.postings import PostingStore
 
 # What training adds to a datapoint.
 PLACED = ("cell", "codes", "length")
@@ -139,6 +141,24 @@ class IndexCatalog:
             rows, centroids, codebooks, queries, k, metric, settings["probe_pct"], settings["approximate_neighbors"]
         )
 
+    def write_postings(self, name: str) -> PostingStore:
+        """Build the inverted index of the newest version, for searches by terms until the next update."""
+        version = self.table(name).manifest(self.spark)
+        token = uuid.uuid4().hex
+        store = PostingStore(f"{self.root}/postings/{name}/{version.version}/{token}")
+        store.write(self.read_cells(name, version).select("id", "sparse_embedding"))
+        # Named once it is whole; of two builds of one version the first counts.
+        put_if_absent(self.spark, f"{self.root}/postings/{name}/{version.version}.txt", token)
+        return self.postings(name) or store
+
+    def postings(self, name: str) -> PostingStore | None:
+        """The inverted index of the newest version; None if there is none."""
+        version = self.table(name).manifest(self.spark).version
+        if f"{version}.txt" not in names(self.spark, f"{self.root}/postings/{name}"):
+            return None
+        token = read_text(self.spark, f"{self.root}/postings/{name}/{version}.txt")
+        return PostingStore(f"{self.root}/postings/{name}/{version}/{token}")
+
     def _prepared(self, settings: Row, datapoints: DataFrame) -> DataFrame:
         """Datapoints with checked dimensions and the index's norm, the last one of every id."""
         vector, size = F.col("embedding"), F.size("embedding")

@@ -1,7 +1,9 @@
 """Whole flows: rebuild, update, stream, reuse, query."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from skeindex.operators import context
 from skeindex.plans import flows
 from skeindex.plans.flows import Embedder, SearchOptions
 from skeindex.sources import jsonl, models
@@ -162,3 +164,25 @@ def test_questions_find_their_page(spark, base, alpha):
     found = {r["qid"]: r["prompt"] for r in prompts.collect()}
     assert "Context 1: boat harbor" in found[1] and found[1].endswith("Question:\nharbor boats\n\nAnswer:\n")
     assert "cloud mountain" in found[2].split("Context 2")[0]
+
+
+def test_chunks_of_a_thousand_tables_are_one_scan(spark, scratch):
+    """Neighbours in 1,000 tables, in one of two blocks each; one table is gone."""
+    rows = spark.range(4000).select(
+        (F.col("id") % 1000).alias("t"), F.concat(F.lit(f"{scratch}/all/t="), F.col("id") % 1000).alias("chunk_gcs_uri"),
+        F.when(F.col("id") < 2000, F.floor(F.col("id") / 1000)).otherwise(1_000_000 + F.floor(F.col("id") / 1000)).alias("chunk_line_offset"),
+        F.concat(F.lit("chunk "), F.col("id")).alias("chunk"),
+    )
+    blocked = rows.withColumn("offset_block", context.offset_block(F.col("chunk_line_offset")))
+    blocked.repartition(4, "t").write.partitionBy("t", "offset_block").parquet(f"{scratch}/all")
+    found = rows.where("chunk_line_offset = 1 and t % 2 = 0 or chunk_line_offset = 1000002 and t % 2 = 1").select(
+        F.lit(1).alias("qid"), F.col("t").alias("rank"), F.col("chunk").alias("id"), F.struct("chunk_gcs_uri", "chunk_line_offset").alias("metadata")
+    )
+    gone = spark.createDataFrame([(1, 5000, "x", (f"{scratch}/none", 3))], "qid int, rank long, id string, metadata struct<chunk_gcs_uri string, chunk_line_offset long>")
+    found = found.unionByName(gone)
+    tables = flows.chunk_tables(found)
+    fetched = context.fetch_chunks(found, tables)
+    assert sorted((r["id"], r["chunk"]) for r in fetched.collect()) == sorted((r["id"], r["id"]) for r in found.where("id <> 'x'").collect())
+    plan = tables._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and len(tables.inputFiles()) == 1000
+    assert flows.chunk_tables(found.where("id = 'x'")).count() == 0
