@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skeindex.llm.bytelevel import MARKS, WordIds, parts_of, words_of
 from skeindex.llm.common import staged
-from skeindex.llm.packing import MARKS, WordIds, parts_of, words_of
 from skeindex.llm.remember import Remembered
 
 # Characters of text in a block, A tokens in a lane, lanes in the state vector, tokens written out at a time.

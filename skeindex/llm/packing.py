@@ -7,6 +7,7 @@ sequence crosses documents and none is padded. A batch is read from one bucket.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -20,142 +21,77 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
+from skeindex.llm.bytelevel import BYTE_LEVEL_PATTERN, byte_alphabet
 from skeindex.llm.common import offset_by, staged
-from skeindex.llm.remember import Remembered
 
-# Words whose ids a worker remembers in each of two generations, and characters of text it takes at a time.
-REMEMBERED, BLOCK_CHARS = 300_000, 1_000_000
+# Characters of text that a worker takes at a time.
+BLOCK_CHARS = 1_000_000
 
 
-_OTHER_SPACE = re.compile(r"[^\S \n]|\0")
-# Marks at which words are cut further, at their ends.
-MARKS = ".,!?#$%&*|"
+# Characters that every version of Unicode classes alike, and runs too long for a search of pairs without a heap.
+_COMMON = re.compile(r"[\x00-\u024f\u2010-\u2027\u20ac]*")
+_LONG_RUN = re.compile(r"\S{400}|\s{400}")
 
 
-def words_of(text: str) -> list[str]:
-    """Cut a text where a byte-level tokenizer always starts a new token, so ids of the parts join to ids of the text.
+def ranked(path: str):
+    """The tokenizer of a file as merge ranks for ``tiktoken``; None if the file says more than ranks can.
 
-    That is before a single space and around a single line break between other characters. Texts with other white space
-    are cut at single spaces only.
+    They give the same ids if the file's merges are numbered in their order after the 256 bytes and it cuts texts by the
+    usual pattern of byte-level tokenizers.
     """
-    edges = text[:1] + text[-1:]
-    if " " in edges or "\n" in edges or "  " in text or "\n " in text or " \n" in text or "\n\n" in text or _OTHER_SPACE.search(text):
-        return _spaced(text)
-    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-
-
-def parts_of(word: str) -> tuple[str, str] | None:
-    """A word and the marks at its end, between which a new token always starts too; None for others."""
-    core = word.rstrip(MARKS)
-    return (core, word[len(core) :]) if len(core) < len(word) and core[-1:].isalnum() else None
-
-
-_SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-
-
-def _spaced(text: str) -> list[str]:
-    """Cut before every single space between two characters that are not white space."""
-    cuts = [0, *(m.start() for m in _SINGLE_SPACE.finditer(text)), len(text)]
-    return [text[i:j] for i, j in zip(cuts, cuts[1:])]
-
-
-def byte_alphabet() -> dict[str, int]:
-    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves, others from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
-
-
-def token_bytes(tokenizer) -> list[bytes]:
-    """The bytes of each id of a byte-level vocabulary; none for ids without an entry."""
-    letters = byte_alphabet()
-    entries = {i: entry for entry, i in tokenizer.get_vocab(with_added_tokens=False).items()}
-    return [bytes(letters.get(c, 0) for c in entries.get(i, "")) for i in range(max(entries) + 1)]
-
-
-class WordIds:
-    """Ids of words, many of which are tokenised in one text: a call costs more than the words in it.
-
-    Words that start with a single space and have no white space at their ends stay apart in a text of such words, and
-    the bytes of the tokens say which token belongs to which. All others are texts of their own.
-    """
-
-    def __init__(self, tokenizer, together: int = 64):
-        self.tokenizer, self.together = tokenizer, together
-        self.bytes_of = token_bytes(tokenizer)
-        self.sizes = np.array([len(x) for x in self.bytes_of], dtype=np.int64)
-
-    def __call__(self, words: list[str]) -> list[bytes]:
-        """Ids of each word as little-endian unsigned 32-bit bytes."""
-        joined = [i for i, w in enumerate(words) if len(w) > 1 and w[0] == " " and not w[1].isspace() and not w[-1].isspace()]
-        groups = [joined[i : i + self.together] for i in range(0, len(joined), self.together)]
-        found: list[bytes | None] = [None] * len(words)
-        for group, ids in zip(groups, self._encoded(["".join(words[i] for i in g) for g in groups])):
-            if not ids or max(ids) >= len(self.sizes):
-                continue
-            ends = np.cumsum(self.sizes[ids])
-            edges = np.cumsum([len(words[i].encode()) for i in group])
-            cuts = np.searchsorted(ends, edges)
-            if cuts[-1] < len(ends) and np.array_equal(ends[cuts], edges):
-                raw, start = array("I", ids).tobytes(), 0
-                for i, cut in zip(group, (4 * (cuts + 1)).tolist()):
-                    found[i] = raw[start:cut]
-                    start = cut
-        alone = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(alone, self._encoded([words[i] for i in alone])):
-            found[i] = array("I", ids).tobytes()
-        return found
-
-    def _encoded(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-
-class WordTokenizer:
-    """Token ids of texts as little-endian unsigned 32-bit bytes, as the tokenizer's file has them; remembers the ids of words.
-
-    The strings of added tokens are found first, as the tokenizer finds them, and what lies between is cut into words.
-    Where an added token takes more than its own string, texts that hold one are not cut.
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)
+    cut, model = found.get("pre_tokenizer") or {}, found["model"]
+    plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True) and found.get("normalizer") is None
+    options = [model.get(o) for o in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")]
+    if not plain or model.get("type") != "BPE" or any(options):
+        return None
+    letters, vocabulary = byte_alphabet(), model["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    added = {t["content"] for t in found.get("added_tokens", [])}
+    ranks = {bytes(letters[c] for c in entry): i for entry, i in vocabulary.items() if entry not in added}
+    if sorted(i for x, i in ranks.items() if len(x) == 1) != list(range(256)) or any(vocabulary.get("".join(m)) != 256 + i for i, m in enumerate(merges)):
+        return None
+    if len(ranks) != 256 + len(merges):
+        return None
+    return tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+class TextTokenizer:
+    """Token ids of texts as little-endian unsigned 32-bit bytes, as the tokenizer's file has them.
+
+    Texts of common characters without added tokens go through the file's ranks, which is faster; all others through
+    the tokenizer itself. A property test holds both to the same ids.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known, self.ids_of = Remembered(self._ids, REMEMBERED, parts_of), WordIds(self.tokenizer)
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        strings = sorted((t.content for t in added), key=len, reverse=True)
-        self.added = re.compile("|".join(map(re.escape, strings))) if strings else None
-        self.alone = not any(t.lstrip or t.rstrip or t.single_word or t.normalized and not t.special for t in added)
-
-    def words(self, text: str) -> list[str]:
-        if self.added is None or not self.added.search(text):
-            return words_of(text)
-        if not self.alone:
-            return [text]
-        words, at = [], 0
-        for token in self.added.finditer(text):
-            words += words_of(text[at : token.start()])
-            words.append(token.group())
-            at = token.end()
-        return words + words_of(text[at:])
+        self.tokenizer, self.ranks = Tokenizer.from_file(path), ranked(path)
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)) if added else None
 
-    def _ids(self, words: list[str]) -> Iterator[tuple[bytes]]:
-        return zip(self.ids_of(words))
+    def by_ranks(self, text: str) -> bool:
+        """Whether the ranks give the ids of this text."""
+        common = self.ranks is not None and (text.isascii() or _COMMON.fullmatch(text) is not None)
+        return common and not _LONG_RUN.search(text) and not (self.added and self.added.search(text))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        numbers = self.known.numbers_of([self.words(text) for text in texts])
-        ids = self.known.found[0].__getitem__
-        return [b"".join(map(ids, of)) for of in numbers]
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        for text in texts:
+            ids = self.ranks.encode_ordinary(text) if self.by_ranks(text) else self.tokenizer.encode(text, add_special_tokens=False).ids
+            yield array("I", ids).tobytes()
 
 
-_tokenizers: dict[str, WordTokenizer] = {}
+_tokenizers: dict[str, TextTokenizer] = {}
 
 
-def tokenizer(path: str) -> WordTokenizer:
+def tokenizer(path: str) -> TextTokenizer:
     """One tokenizer per worker and file."""
     if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
+        _tokenizers[path] = TextTokenizer(path)
     return _tokenizers[path]
 
 

@@ -12,13 +12,13 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from skeindex.llm import align, packing
+from skeindex.llm import align, bytelevel
 
 A_PATH, B_PATH = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 A = Tokenizer.from_file(A_PATH)
 A.encode_special_tokens = True
 B = sentencepiece.SentencePieceProcessor(model_file=B_PATH)
-LETTERS = packing.byte_alphabet()
+LETTERS = bytelevel.byte_alphabet()
 VOCABULARY = {i: entry for entry, i in A.get_vocab().items()}
 
 

@@ -4,15 +4,19 @@ import re
 import time
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
 from conftest_llm import ROWS, words
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from skeindex.llm import lines, mixing, packing, simhash
+from skeindex.llm import bytelevel, lines, mixing, packing, simhash
 from skeindex.llm.components import components
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -243,17 +247,40 @@ def test_words_join_to_the_text():
     whole = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
     want = [np.array(e.ids, dtype="<u4").tobytes() for e in whole]
     assert sum(b"\x50\xc4\x00\x00" in x for x in want) > 500  # the added token, 50256
-    encoder = packing.WordTokenizer(PATH)
-    assert encoder.encode(texts) == want
-    encoder.known.most = 50  # generations come and go
-    for i in range(0, len(texts), 40):
-        assert encoder.encode(texts[i : i + 40]) == want[i : i + 40]
+    encoder = packing.TextTokenizer(PATH)
+    assert list(encoder.encode(texts)) == want
+    assert 200 < sum(map(encoder.by_ranks, texts)) < 2800
+    assert list(encoder.encode(["x" * 50_000, " " * 50_000])) == [np.array(Tokenizer.from_file(PATH).encode(t).ids, dtype="<u4").tobytes() for t in ("x" * 50_000, " " * 50_000)]
+
+
+@pytest.mark.parametrize("lang", ["en", "de", "es", "fr"])
+def test_ranks_give_the_ids_of_documents(spark, lang):
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(F.col("lang") == lang).collect()]
+    encoder, plain = packing.TextTokenizer(PATH), Tokenizer.from_file(PATH)
+    assert sum(map(encoder.by_ranks, texts)) > 0.9 * len(texts)
+    assert list(encoder.encode(texts)) == [np.array(e.ids, dtype="<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+
+
+COMMON = st.text(alphabet=st.one_of(st.characters(max_codepoint=0x24F), st.sampled_from(" \t\n.,'\"$%0123456789aestx\u2019\u201c\u2014\u20ac")), max_size=60)
+
+
+@settings(max_examples=500, deadline=None)
+@given(COMMON)
+def test_ranks_give_the_ids_of_common_characters(text):
+    encoder = tokenizer_of_tests()
+    assert encoder.by_ranks(text)
+    assert list(encoder.encode([text])) == [np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()]
+
+
+@lru_cache
+def tokenizer_of_tests():
+    return packing.TextTokenizer(PATH)
 
 
 def test_runs_of_white_space_are_linear():
     text = " a\t  " * 400_000
     start = time.time()
-    assert "".join(packing.words_of(text)) == text
+    assert "".join(bytelevel.words_of(text)) == text
     assert time.time() - start < 5
 
 
