@@ -272,7 +272,7 @@ CHUNKS = f"""{sections("src")},
           WHERE t < len(gp.ps))),
     cx AS (SELECT st.id, st.section, st.grp, c, trim(array_to_string(ps[s + 1:t], ''), ' ' || chr(10)) AS chunk
       FROM st JOIN gp ON st.id = gp.id AND st.section = gp.section AND st.grp = gp.grp),
-    ck AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY section, grp, c) - 1 AS i, chunk
+    ck AS (SELECT id, section, row_number() OVER (PARTITION BY id ORDER BY section, grp, c) - 1 AS i, chunk
       FROM cx WHERE chunk <> '')"""
 DOCUMENT_CHUNKS = f"src AS (SELECT doc_id AS id, text AS md FROM documents), {CHUNKS}"
 ORACLE["chunk_text"] = f"""WITH RECURSIVE {DOCUMENT_CHUNKS}
@@ -281,6 +281,9 @@ ORACLE["chunk_records"] = f"""WITH RECURSIVE {DOCUMENT_CHUNKS}
     SELECT 'docs/' || id || '.html_chunk_' || i AS id, '' AS original_url, '' AS scrape_time,
       0 AS headers, md5(chunk) AS chunk, 'docs/' || id || '.html' AS source_file,
       'v1' AS chunking_strategy_version FROM ck"""
+ORACLE["chunk_headers"] = f"""WITH RECURSIVE src AS (SELECT doc_id AS id, {MARKDOWN} AS md FROM documents), {CHUNKS}
+    SELECT 'docs/' || ck.id || '.html_chunk_' || i AS id, concat_ws(' > ', h1, h2, h3) AS headers, md5(chunk) AS digest
+    FROM ck JOIN sec ON sec.id = ck.id AND sec.section = ck.section"""
 ORACLE["line_offsets"] = f"""WITH RECURSIVE {DOCUMENT_CHUNKS}
     SELECT 'docs/' || id || '.html_chunk_' || i AS id, 'chunks/v1' AS chunk_gcs_uri,
       row_number() OVER (ORDER BY 'docs/' || id || '.html', i) - 1 AS chunk_line_offset FROM ck"""
@@ -306,7 +309,8 @@ ORACLE["versioned_name"] = """
     SELECT p_partkey, p_type || '/' || p_brand AS path, 'bm25_index_' || p_brand AS model_name,
       p_type || '_index_' || p_brand || '_' || translate(p_name || '/' || p_retailprice, './', '--')
         AS index_name FROM part"""
-ORACLE["list_objects"] = "SELECT DISTINCT lang FROM documents"
+ORACLE["list_objects"] = """
+    SELECT lang, doc_id % 3 AS part, 1 AS objects, sum(strlen(coalesce(text, '')) + 1)::BIGINT AS length FROM documents GROUP BY ALL"""
 
 ORACLE["dedupe_last"] = """
     SELECT vec_id AS id, CASE WHEN label = 0 THEN 0 ELSE len(embedding) END AS dims,
@@ -342,7 +346,8 @@ ORACLE["index_replace_files"] = f"""WITH {UNITS},
     SELECT id, source_file, 'one' AS batch, first FROM u
     WHERE source_file NOT IN (SELECT source_file FROM part)"""
 ORACLE["datapoint_lines"] = f"""
-    SELECT vec_id::VARCHAR AS id, 'f' || label AS source_file, len(embedding) AS dims FROM embeddings"""
+    SELECT vec_id::VARCHAR AS id, 'f' || label AS source_file, 'one' AS batch, len(embedding) AS dims, round(list_sum(embedding::DOUBLE[]), 4) AS total,
+      round(embedding[-1]::DOUBLE, 5) AS last, 0 AS restricts, vec_id AS term, 1.0::DOUBLE AS weight FROM embeddings"""
 
 ORACLE["index_overwrite_empty"] = f"""WITH {UNITS}
     SELECT id, source_file, 'two' AS batch, first FROM u WHERE label >= 5"""

@@ -410,6 +410,15 @@ def chunk_records(spark, sf):
     return rows.withColumn("headers", F.size("headers")).withColumn("chunk", F.md5("chunk"))
 
 
+def chunk_headers(spark, sf):
+    """Records of texts with headers: each chunk has the headers that it stands under."""
+    cleaned = _markdown(spark, sf).select(
+        F.concat(F.lit("docs/"), F.col("id").cast("string"), F.lit(".html")).alias("source_file"),
+        F.lit("").alias("original_url"), F.lit("").alias("scrape_time"), "markdown",
+    )
+    return chunking.chunk_records(cleaned).select("id", F.array_join("headers", " > ").alias("headers"), F.md5("chunk").alias("digest"))
+
+
 def line_offsets(spark, sf):
     numbered = chunking.with_line_offsets(stage(_records(spark, sf), "records"), DATASET)
     return numbered.select("id", "chunk_gcs_uri", "chunk_line_offset")
@@ -485,13 +494,14 @@ def versioned_name(spark, sf):
 
 
 def list_objects(spark, sf):
-    """Objects under a folder of written tables, counted per folder."""
+    """Objects under a folder: three text files for each language, with their sizes, and how many there are."""
     root = scratch(spark, "objects")
-    rows = table(spark, sf, "documents")
-    rows.repartition(3).write.partitionBy("lang").parquet(root)
-    found = objects.list_objects(spark, root)
-    folder = F.regexp_extract("path", r"lang=(\w+)/", 1)
-    return found.where(folder != "").select(folder.alias("lang")).distinct()
+    rows = table(spark, sf, "documents").select("lang", (F.col("doc_id") % 3).alias("part"), F.coalesce("text", F.lit("")).alias("value"))
+    rows.repartition("lang", "part").write.partitionBy("lang", "part").text(root)
+    found = objects.list_objects(spark, root).where(F.col("path").endswith(".txt"))
+    folder = lambda name: F.regexp_extract("path", rf"/{name}=(\w+)/", 1)
+    own = found.select(folder("lang").alias("lang"), folder("part").cast("long").alias("part"), "length")
+    return own.groupBy("lang", "part").agg(F.count("*").alias("objects"), F.sum("length").alias("length"))
 
 
 def scan_pages(spark, sf):
@@ -636,7 +646,12 @@ def datapoint_lines(spark, sf):
     """Datapoints written as JSONL and read back without a schema."""
     target = jsonl.write_datapoints(_points(vectors(spark, sf), "one"), scratch(spark, "points"))
     rows = jsonl.read_strict(spark, target, None, "*.json")
-    return rows.select("id", "embedding_metadata.source_file", F.size("embedding").alias("dims"))
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    return rows.select(
+        "id", "embedding_metadata.source_file", "embedding_metadata.batch", F.size("embedding").alias("dims"), F.round(total, 4).alias("total"),
+        F.round(F.element_at("embedding", -1), 5).alias("last"), F.size("restricts").alias("restricts"),
+        F.element_at("sparse_embedding.dimensions", 1).alias("term"), F.element_at("sparse_embedding.values", 1).alias("weight"),
+    )
 
 
 # --- replies, chunk lookup, context -------------------------------------------------------------
@@ -965,6 +980,7 @@ QUERIES = {
     "header_sections": header_sections,
     "chunk_text": chunk_text,
     "chunk_records": chunk_records,
+    "chunk_headers": chunk_headers,
     "line_offsets": line_offsets,
     "read_jsonl_tolerant": read_jsonl_tolerant,
     "quarantined_lines": quarantined_lines,
