@@ -1,7 +1,7 @@
 """Toxicity: a weighted lexicon, matched by Aho-Corasick after folding look-alikes, normalised by length.
 
-Texts are folded first: letters of other scripts that look like Latin ones and digits or signs that stand for letters
-become those letters, invisible characters go. The lexicon holds beginnings of words with weights; it is learned from
+Texts are folded first: letters of other scripts and shapes that look like Latin ones and digits or signs that stand for
+letters become those letters, accents and other marks on letters and invisible characters go. The lexicon holds beginnings of words with weights; it is learned from
 labelled rows as the log-odds of a beginning in toxic and other documents, counted by a Spark aggregate. A hit inside
 an exception phrase does not count. The summed weight for a fixed number of words goes through a logistic curve.
 """
@@ -9,8 +9,10 @@ an exception phrase does not count. The summed weight for a fixed number of word
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -23,15 +25,20 @@ from skeindex.llm.common import staged
 from skeindex.llm.components import components
 from skeindex.llm.learn import labelled, logistic, scored, sigmoid
 
-# Letters that look alike, digits and signs that stand for letters, characters without width.
+# Letters that look alike, digits and signs that stand for letters, characters without width, marks on letters.
 LOOK_ALIKE = (
     "аa вb еe ёe іi їi јj кk мm нh оo рp сc тt уy хx ѕs ԁd ԛq ԝw һh "  # Cyrillic
     "αa βb εe ηn ιi κk νv οo ρp τt υu χx "  # Greek
-    "ɑa ɡg ıi ոn"
+    "ϲc ϳj ωw "
+    "ոn օo սu հh ցg "  # Armenian
+    "ᴀa ʙb ᴄc ᴅd ᴇe ɢg ʜh ɪi ᴊj ᴋk ʟl ᴍm ɴn ᴏo ᴘp ʀr ᴛt ᴜu ᴠv ᴡw ʏy ᴢz "  # small capitals
+    "ɑa ɡg ıi øo đd łl ħh ŧt ƒf"
 )
 DIGITS = "0o 1i 3e 4a 5s 7t 8b 9g @a $s"
 NO_WIDTH = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
-_FOLD = {ord(pair[0]): pair[1] for pair in (LOOK_ALIKE + " " + DIGITS).split()} | {ord(c): None for c in NO_WIDTH}
+MARKS = ((0x300, 0x36F), (0x483, 0x489), (0x1AB0, 0x1AFF), (0x1DC0, 0x1DFF), (0x20D0, 0x20FF), (0xFE00, 0xFE0F), (0xFE20, 0xFE2F))
+_FOLD = {c: None for first, last in MARKS for c in range(first, last + 1)}
+_FOLD |= {ord(pair[0]): pair[1] for pair in (LOOK_ALIKE + " " + DIGITS).split()} | {ord(c): None for c in NO_WIDTH}
 
 # Phrases whose words are meant otherwise.
 EXCEPTIONS = ("trash can", "trash cans", "trash bin", "clown fish", "pond scum", "pathetic fallacy")
@@ -42,9 +49,9 @@ CONFIDENCE = 1.645
 
 
 def fold(text: str) -> str:
-    """Lower case, compatibility forms and look-alikes replaced, characters without width removed."""
+    """Lower case, compatibility forms and look-alikes replaced, marks and characters without width removed."""
     if not text.isascii():
-        text = unicodedata.normalize("NFKC", text)
+        text = unicodedata.normalize("NFKD", text)
     return text.lower().translate(_FOLD)
 
 
@@ -86,8 +93,10 @@ class Matcher:
                     spared.append((start, end))
             else:
                 hits.append((start, end, weight))
-        if spared:
-            hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b in spared)]
+        if spared:  # a hit is spared if the phrases that start no later than it reach its end
+            spared.sort()
+            starts, reach = [a for a, _ in spared], list(accumulate((b for _, b in spared), max))
+            hits = [h for h in hits if not (k := bisect_right(starts, h[0])) or reach[k - 1] < h[1]]
         if not hits:
             return 0.0
         return float(np.log1p(100.0 * sum(w for _, _, w in hits) / (len(folded.split()) + 100.0)))
@@ -139,12 +148,13 @@ def one_of_near_copies(rows: DataFrame) -> DataFrame:
     return found.agg(F.min("text").alias("text")).select("text", "label")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: int = 20_000, least_odds: float = 3.0, least_bound: float = 1.5) -> tuple[dict[str, float], float, float]:
+def fit(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, max_rows: int = 20_000, max_terms: int = 20_000, least_odds: float = 3.0, least_bound: float = 1.5) -> tuple[dict[str, float], float, float]:
     """Lexicon, slope and intercept, learned from at most about ``max_rows`` labelled rows.
 
     A term is in at least three toxic texts, its log-odds are at least ``least_odds`` and with 95 % confidence at least
     ``least_bound``, however few of the toxic texts have it. Near copies (SimHash) of one label are counted once, so that
-    a group of them does not make its own words terms. ``max_terms`` bounds the model: the beginnings with the greatest evidence
+    a group of them does not make its own words terms. Texts are measured with the ``exceptions`` that they will be scored
+    with. ``max_terms`` bounds the model: the beginnings with the greatest evidence
     (log-odds times documents) are kept.
     """
     rows = labelled(docs, labels, "toxic", max_rows)
@@ -161,7 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: i
         lexicon = choose([(r["term"], r["toxic"], r["weight"]) for r in terms])
 
         def densities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(lexicon)
+            matcher = Matcher(lexicon, exceptions)
             for batch in batches:
                 x = [matcher.density(t or "") for t in batch.column(0).to_pylist()]
                 yield pa.record_batch([pa.array(x, pa.float64()), batch.column(1).cast(pa.int32())], names=["x", "label"])
@@ -180,7 +190,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = E
     Null and empty texts get the score of a text without hits. Without labels, or with one class only, all scores are
     the share of that class. Repeated rows are scored alike; an empty table gives an empty result.
     """
-    lexicon, slope, intercept = fit(docs, labels, **options)
+    lexicon, slope, intercept = fit(docs, labels, exceptions, **options)
     matcher: list[Matcher] = []
 
     def score(texts: list[str]) -> np.ndarray:

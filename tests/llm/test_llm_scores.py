@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -116,19 +117,20 @@ def test_long_documents_train_the_model(spark):
 # --- learned scores -----------------------------------------------------------------------------
 
 
-def rates(scores, labels, label):
-    rows = scores.join(labels, "doc_id").where("held_out").select(F.col("predicted"), F.col(label).alias("y")).collect()
-    return np.mean([r["predicted"] == r["y"] for r in rows]), len(rows)
-
-
-@pytest.mark.parametrize("name", ["toxicity", "quality"])
-def test_held_out_labels_are_met(spark, name):
+@pytest.mark.parametrize("name, least_recall, least_precision", [("toxicity", 0.93, 0.93), ("quality", 0.97, 0.97)])
+def test_held_out_labels_are_met(spark, name, least_recall, least_precision):
+    """Of toxic documents, and of documents of quality, outside the rows that the models have learned from."""
     run, label = {"toxicity": (toxicity.toxicity, "toxic"), "quality": (quality.quality, "quality")}[name]
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     found = run(docs, labels)
     assert found.count() == docs.count()
-    accuracy, n = rates(found, labels, label)
-    assert n > 500 and accuracy > 0.97
+    rows = Counter(map(tuple, found.join(labels, "doc_id").where("held_out").select("predicted", F.col(label).alias("y")).collect()))
+    recall = rows[1, 1] / (rows[1, 1] + rows[0, 1])
+    precision = rows[1, 1] / (rows[1, 1] + rows[1, 0])
+    accuracy = (rows[1, 1] + rows[0, 0]) / sum(rows.values())
+    print(f"{name}: {dict(rows)} recall {recall:.3f} precision {precision:.3f}")
+    assert sum(rows.values()) > 500 and accuracy > 0.97
+    assert recall >= least_recall and precision >= least_precision
 
 
 def test_scores_of_messy_rows(spark, messy, no_docs):
@@ -154,6 +156,37 @@ def test_folding_exceptions_and_length():
     assert toxicity.Matcher({}).density("idiot") == 0
 
 
+def test_marks_and_shapes_fold():
+    for other in ("ídìöt", "i\u0338d\u0489i\u20d2ot", "ɪᴅɪᴏᴛ", "іԁіοт", "ⓘⓓⓘⓞⓣ", "iḋiøt"):
+        assert toxicity.fold(other) == "idiot", other
+
+
+def test_spared_spans_against_all_pairs():
+    rng = np.random.default_rng(4)
+    lexicon, phrases = {"aaaa": 1.0, "bbbb": 2.0, "cccc": 4.0}, ("aaaa bbbb", "bbbb cccc aaaa", "x cccc")
+    matcher, plain = toxicity.Matcher(lexicon, phrases), toxicity.Matcher(lexicon, ())
+    for _ in range(200):
+        words = rng.choice(["aaaa", "bbbb", "cccc", "x", "y"], int(rng.integers(1, 15))).tolist()
+        text, places = " ".join(words), np.cumsum([0, *(len(w) + 1 for w in words)])
+        spared = [(m.start(), m.start() + len(p)) for p in phrases for m in re.finditer(f"(?={p}( |$))", text) if m.start() in places]
+        left = sum(lexicon.get(w, 0) for w, at in zip(words, places) if not any(a <= at and at + len(w) <= b for a, b in spared))
+        assert matcher.density(text) == pytest.approx(np.log1p(100 * left / (len(words) + 100)))
+    start = time.time()
+    assert matcher.density("aaaa bbbb " * 100_000) == 0 and time.time() - start < 5
+    assert plain.density("aaaa bbbb") > 0
+
+
+def test_exceptions_are_learned_with(spark):
+    """With a phrase of its own spared, the word's other uses tell more."""
+    texts = [("the grubby word here", 1), ("grubby indeed", 1), ("so grubby", 1), ("grubby you", 1)] * 8 + [("a plain text", 0), ("grubby hands washed", 0)] * 16
+    docs = spark.createDataFrame([(i, f"{t} {'ab cd ef gh'[i % 4 :]} number{i}") for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(texts)], "doc_id long, toxic int")
+    options = {"least_odds": 0.1, "least_bound": 0.0}
+    with_own = toxicity.fit(docs, labels, ("grubby hands",), **options)
+    without = toxicity.fit(docs, labels, (), **options)
+    assert with_own[0] == without[0] and with_own[1] != without[1]
+
+
 def test_lexicon_keeps_one_of_implied_terms():
     terms = [("idio", 50, 3.0), ("idiot", 50, 5.0), ("idiots", 9, 5.0), ("lowe", 30, 4.0), ("lowei", 29, 4.0), ("loweia", 9, 4.0), ("scum", 7, 4.0)]
     assert set(toxicity.choose(terms)) == {"idiot", "lowei", "scum"}
