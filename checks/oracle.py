@@ -347,7 +347,7 @@ ORACLE["index_replace_files"] = f"""WITH {UNITS},
     WHERE source_file NOT IN (SELECT source_file FROM part)"""
 ORACLE["datapoint_lines"] = f"""
     SELECT vec_id::VARCHAR AS id, 'f' || label AS source_file, 'one' AS batch, len(embedding) AS dims, round(list_sum(embedding::DOUBLE[]), 4) AS total,
-      round(embedding[-1]::DOUBLE, 5) AS last, 0 AS restricts, vec_id AS term, 1.0::DOUBLE AS weight FROM embeddings"""
+      round(embedding[-1]::DOUBLE, 4) AS last, 0 AS restricts, vec_id AS term, 1.0::DOUBLE AS weight FROM embeddings"""
 
 ORACLE["index_overwrite_empty"] = f"""WITH {UNITS}
     SELECT id, source_file, 'two' AS batch, first FROM u WHERE label >= 5"""

@@ -649,7 +649,7 @@ def datapoint_lines(spark, sf):
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
     return rows.select(
         "id", "embedding_metadata.source_file", "embedding_metadata.batch", F.size("embedding").alias("dims"), F.round(total, 4).alias("total"),
-        F.round(F.element_at("embedding", -1), 5).alias("last"), F.size("restricts").alias("restricts"),
+        F.round(F.element_at("embedding", -1), 4).alias("last"), F.size("restricts").alias("restricts"),
         F.element_at("sparse_embedding.dimensions", 1).alias("term"), F.element_at("sparse_embedding.values", 1).alias("weight"),
     )
 
