@@ -1,7 +1,7 @@
 """Toxicity: a weighted lexicon, matched by Aho-Corasick after folding look-alikes, normalised by length.
 
 Texts are folded first: letters of other scripts and shapes that look like Latin ones and digits or signs that stand for
-letters become those letters, accents and other marks on letters and invisible characters go. The lexicon holds beginnings of words with weights; it is learned from
+letters become those letters; invisible characters go, and marks that make no letter of a language with what they stand on. The lexicon holds beginnings of words with weights; it is learned from
 labelled rows as the log-odds of a beginning in toxic and other documents, counted by a Spark aggregate. A hit inside
 an exception phrase does not count. The summed weight for a fixed number of words goes through a logistic curve.
 """
@@ -49,9 +49,12 @@ CONFIDENCE = 1.645
 
 
 def fold(text: str) -> str:
-    """Lower case, compatibility forms and look-alikes replaced, marks and characters without width removed."""
+    """Lower case, compatibility forms and look-alikes replaced, characters without width and marks that do not compose removed.
+
+    Accented letters stay: in languages that have them they tell words apart.
+    """
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text)
+        text = unicodedata.normalize("NFKC", text)
     return text.lower().translate(_FOLD)
 
 

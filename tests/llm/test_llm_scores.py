@@ -157,7 +157,8 @@ def test_folding_exceptions_and_length():
 
 
 def test_marks_and_shapes_fold():
-    for other in ("ídìöt", "i\u0338d\u0489i\u20d2ot", "ɪᴅɪᴏᴛ", "іԁіοт", "ⓘⓓⓘⓞⓣ", "iḋiøt"):
+    assert toxicity.fold("i\u0301d") == "íd"
+    for other in ("i\u0338d\u0489i\u20d2o\u0336t", "ɪᴅɪᴏᴛ", "іԁіοт", "ⓘⓓⓘⓞⓣ", "iḋiøt"):
         assert toxicity.fold(other) == "idiot", other
 
 
