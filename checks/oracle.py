@@ -456,3 +456,14 @@ ORACLE["merged_datapoints"] = f"""{PER_DOCUMENT},
     SELECT d.id::VARCHAR AS id, n_terms, 256 AS dims, line FROM d JOIN t ON t.id = last"""
 ORACLE["scan_pages"] = "SELECT page_id, md5(html || chr(10)) AS digest, '' AS original_url FROM pages"
 ORACLE["answer_by_postings"] = ORACLE["answer_queries"]
+
+
+def _letters(letters: str) -> str:
+    return " || ',' || ".join(f"(length(text) - length(replace(text, '{x}', '')))" for x in letters)
+
+
+ORACLE["role_embed"] = f"""SELECT 'document' AS role, doc_id AS id, {_letters("aeiou")} AS counts FROM documents
+    UNION ALL SELECT 'query', item_id, {_letters("nrst")} FROM benchmark"""
+ORACLE["chunk_scanned"] = f"""WITH RECURSIVE pg AS (SELECT page_id AS key, html FROM pages), {markdown("pg")},
+    src AS (SELECT key AS id, md FROM md), {CHUNKS}
+    SELECT id AS page_id, i, md5(chunk) AS digest, '' AS original_url FROM ck"""

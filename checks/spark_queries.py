@@ -213,6 +213,25 @@ def model_embed(spark, sf):
     )
 
 
+def role_embed(spark, sf):
+    """A model that reads documents and queries differently: its loader is given the role."""
+
+    def load(role):
+        letters = "aeiou" if role == dense.DOCUMENT else "nrst"
+
+        def counted(texts):
+            return [[float(t.count(v)) for v in letters] for t in texts]
+
+        return counted
+
+    loader = dense.ModelRegistry().register("letters", load).resolve("letters")
+    docs = dense.embed(documents(spark, sf), loader, "chunk").select(F.lit("document").alias("role"), "id", "embedding")
+    asked = benchmark(spark, sf).select(F.col("qid").alias("id"), F.col("text").alias("chunk"))
+    queries = dense.embed(asked, loader, "chunk", dense.QUERY).select(F.lit("query").alias("role"), "id", "embedding")
+    listed = F.array_join(F.transform("embedding", lambda x: x.cast("long").cast("string")), ",")
+    return docs.unionByName(queries).select("role", "id", listed.alias("counts"))
+
+
 def ann_topk(spark, sf):
     """Every vector as a query in a tenth of the cells, whose centroids are the means of the labels."""
     rows = vectors(spark, sf)
@@ -514,6 +533,18 @@ def scan_pages(spark, sf):
     return found.select(number.alias("page_id"), F.md5("html").alias("digest"), "original_url")
 
 
+def chunk_scanned(spark, sf):
+    """Chunk only: pages written as objects, scanned and chunked into a table."""
+    root = scratch(spark, "scan")
+    rows = pages(spark, sf).select("page_id", F.col("html").alias("value"))
+    rows.repartition("page_id").write.partitionBy("page_id").text(root + "/html")
+    metadata = spark.createDataFrame([], "source_file string, original_url string, scrape_time string")
+    found = objects.scan_pages(spark, root + "/html", metadata, glob="*.txt")
+    chunks = flows.chunk_dataset(found, root + "/chunks")
+    number = lambda pattern: F.regexp_extract("id", pattern, 1).cast("long")
+    return chunks.select(number(r"page_id=(\d+)/").alias("page_id"), number(r"_chunk_(\d+)$").alias("i"), F.md5("chunk").alias("digest"), "original_url")
+
+
 # --- merge and index ----------------------------------------------------------------------------
 
 
@@ -960,6 +991,7 @@ QUERIES = {
     "l2_normalize": l2_normalize,
     "hash_embed": hash_embed,
     "model_embed": model_embed,
+    "role_embed": role_embed,
     "ann_topk": ann_topk,
     "ann_trained": ann_trained,
     "ann_quantised": ann_quantised,
@@ -1014,6 +1046,7 @@ QUERIES = {
     "intake_pages": intake_pages,
     "merged_datapoints": merged_datapoints,
     "scan_pages": scan_pages,
+    "chunk_scanned": chunk_scanned,
     "answer_queries": answer_queries,
     "answer_by_postings": answer_by_postings,
 }
