@@ -48,6 +48,7 @@ ORACLE["bm25_doc_freq"] = f"WITH {DOC_TF}, {STATS} SELECT term_id, df FROM df"
 ORACLE["stored_model"] = ORACLE["bm25_doc_freq"]
 ORACLE["bm25_stats"] = f"""WITH {DOC_TF}, {STATS}
     SELECT n_docs, round(avgdl, 6) AS avgdl, 1.2::DOUBLE AS k1, 0.75::DOUBLE AS b FROM stats"""
+ORACLE["bm25_stats_stemmed"] = ORACLE["bm25_stats"]
 ORACLE["bm25_encode_docs"] = f"""WITH {DOC_TF}, {STATS}, {WEIGHTS}
     SELECT id, term_id, round(weight, 6) AS weight FROM dw"""
 ORACLE["bm25_encode_queries"] = f"""WITH {DOC_TF}, {QUERY_TF}, {STATS}, {QUERY_WEIGHTS}

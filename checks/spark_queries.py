@@ -84,6 +84,12 @@ def bm25_stats(spark, sf):
     return stats.withColumn("avgdl", F.round("avgdl", 6))
 
 
+def bm25_stats_stemmed(spark, sf):
+    """With the default analyzer: stems replace words, so lengths stay as they are."""
+    stats = bm25.fit(documents(spark, sf), Analyzer()).stats
+    return stats.withColumn("avgdl", F.round("avgdl", 6))
+
+
 def bm25_encode_docs(spark, sf):
     terms = terms_of(spark, sf)
     rows = bm25.postings(bm25.encode_documents(terms, model_of(terms)))
@@ -976,6 +982,7 @@ QUERIES = {
     "term_frequency": term_frequency,
     "bm25_doc_freq": bm25_doc_freq,
     "bm25_stats": bm25_stats,
+    "bm25_stats_stemmed": bm25_stats_stemmed,
     "bm25_encode_docs": bm25_encode_docs,
     "bm25_encode_queries": bm25_encode_queries,
     "stored_model": stored_model,

@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,9 +109,48 @@ def stem(word: str) -> str:
     return word.lower()
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _stem_all(tokens: pd.Series) -> pd.Series:
-    return tokens.map(lambda row: None if row is None else [stem(w) for w in row])
+# Words whose stems a worker remembers, in each of two generations.
+REMEMBERED = 500_000
+
+
+class Stems:
+    """Stems of words, each computed once while it is remembered; words that come again are kept longest."""
+
+    def __init__(self, most: int = REMEMBERED) -> None:
+        self.most = most
+        self.younger: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+
+    def __call__(self, words: list[str | None]) -> list[str | None]:
+        if len(self.younger) > self.most:
+            self.older, self.younger = self.younger, {}
+        out = []
+        for word in words:
+            found = self.younger.get(word)
+            if found is None and word is not None:
+                found = self.older.get(word)
+                self.younger[word] = found = stem(word) if found is None else found
+            out.append(found)
+        return out
+
+
+_stems = Stems()
+
+
+def stems_of_lists(tokens: pa.ListArray) -> pa.ListArray:
+    """Lists with each word replaced by its stem: only the different words of a batch are looked at in Python."""
+    tokens = tokens.cast(pa.list_(pa.string()))
+    coded = tokens.flatten().dictionary_encode()
+    words = pa.array(_stems(coded.dictionary.to_pylist()), pa.string())
+    sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype("int32"))
+    lists = pa.ListArray.from_arrays(offsets, words.take(coded.indices))
+    return pc.if_else(pc.is_valid(tokens), lists, pa.scalar(None, lists.type)) if tokens.null_count else lists
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _stem_all(tokens: pa.Array) -> pa.Array:
+    return stems_of_lists(tokens)
 
 
 def stems(tokens: Column) -> Column:

@@ -72,12 +72,14 @@ def reuse_dataset(previous: DataFrame, uri: str) -> DataFrame:
 
 def fit_model(
     chunks: DataFrame, uri: str, registry: str | None = None, name: str = artifacts.MODEL_NAME,
-    when: datetime | None = None, analyzer: Analyzer = Analyzer(),
+    when: datetime | None = None, analyzer: Analyzer = Analyzer(), termed: DataFrame | None = None,
 ) -> Model:
-    """Corpus statistics only: fit, persist, register."""
+    """Corpus statistics only: fit, persist, register. ``termed``: the chunks with their terms, if they were made before."""
     spark = chunks.sparkSession
-    records = bm25.coalesce_text(chunks.select([c for c in ("id", "chunk", "text") if c in chunks.columns]))
-    terms = stage(bm25.with_terms(spread(records), "chunk", analyzer).drop("chunk"), "terms")
+    if termed is None:
+        records = bm25.coalesce_text(chunks.select([c for c in ("id", "chunk", "text") if c in chunks.columns]))
+        termed = stage(bm25.with_terms(spread(records), "chunk", analyzer).drop("chunk"), "terms")
+    terms = termed.select("id", "terms", "doc_len")
     fitted = Model(bm25.document_frequency(terms), bm25.corpus_stats(terms))
     models.write_model(fitted, terms.select("id"), uri)
     if registry is not None:
@@ -85,17 +87,22 @@ def fit_model(
     return models.load_model(spark, uri)
 
 
+def termed_chunks(chunks: DataFrame, analyzer: Analyzer = Analyzer()) -> DataFrame:
+    """The chunks that have text with their terms, written once for the model and for the vectors."""
+    light = spread(bm25.coalesce_text(chunks.drop("offset_block")))
+    return stage(bm25.with_terms(light, "chunk", analyzer), "encoded")
+
+
 def encode_chunks(
     chunks: DataFrame, model: Model | None, embedder: Embedder = Embedder(),
-    analyzer: Analyzer = Analyzer(), rejects: RejectLog | None = None,
+    analyzer: Analyzer = Analyzer(), rejects: RejectLog | None = None, termed: DataFrame | None = None,
 ) -> DataFrame:
     """Chunks with ``sparse_embedding`` and ``embedding``, both computed on the row itself.
 
     The result is written once: the token work is not repeated by later filters, nor is a model run again for the report
     of texts that it failed on.
     """
-    light = spread(bm25.coalesce_text(chunks.drop("offset_block")))
-    termed = stage(bm25.with_terms(light, "chunk", analyzer), "encoded")
+    termed = termed_chunks(chunks, analyzer) if termed is None else termed
     sparse = bm25.encode_documents(termed, model, drop_terms=False)
     found = embedder.apply(sparse, "chunk")
     if rejects is not None:
@@ -108,12 +115,12 @@ def encode_chunks(
 
 def build_datapoints(
     chunks: DataFrame, model: Model | None, embedder: Embedder = Embedder(),
-    analyzer: Analyzer = Analyzer(), rejects: RejectLog | None = None,
+    analyzer: Analyzer = Analyzer(), rejects: RejectLog | None = None, termed: DataFrame | None = None,
 ) -> DataFrame:
     """Datapoints of chunks whose ids are distinct: no join, since both vectors sit on the row."""
     if model is None:
         log.warning("no model: no chunk gets a sparse vector, so none can enter an index")
-    encoded = encode_chunks(chunks, model, embedder, analyzer, rejects)
+    encoded = encode_chunks(chunks, model, embedder, analyzer, rejects, termed)
     # The sparse vector has values exactly when the staged terms are not empty.
     return merge.as_datapoints(merge.has_sparse(merge.rename_dimensions(encoded)))
 
@@ -145,8 +152,9 @@ def full_rebuild(
         chunks = reuse_dataset(previous, chunks_uri)
     else:
         chunks = chunk_dataset(pages, chunks_uri, version, rejects=rejects)
-    model = fit_model(chunks, model_uri, registry, model_name, when, analyzer)
-    points = build_datapoints(chunks, model, embedder, analyzer, rejects)
+    termed = termed_chunks(chunks, analyzer)
+    model = fit_model(chunks, model_uri, registry, model_name, when, analyzer, termed)
+    points = build_datapoints(chunks, model, embedder, analyzer, rejects, termed)
     return catalog.update(index_name, points, overwrite=True)
 
 

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from skeindex.functions.stem import stem
+from skeindex.functions.stem import Stems, stem, stems, stems_of_lists
 from skeindex.operators import bm25, search
 from skeindex.operators.bm25 import Analyzer
 from skeindex.sources import models
@@ -114,3 +114,40 @@ def test_filter_on_terms_does_not_repeat_the_counting(spark):
     plan = bm25.with_terms(docs(spark), "chunk", PLAIN).where(F.size("terms") > 1)
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("regexp_extract_all") == 1
+
+
+def test_stems_of_lists_equal_stems_of_words(spark):
+    import pyarrow as pa
+
+    words = "running runs ran easily fairly cats ponies generalization the a Ünïted nationalities".split()
+    rows = [words, [], None, words[3:] * 3, ["running"] * 50, ["x"]]
+    want = [None if r is None else [stem(w) for w in r] for r in rows]
+    lists = pa.array(rows, pa.list_(pa.string()))
+    assert stems_of_lists(lists).to_pylist() == want
+    assert stems_of_lists(lists.slice(3, 2)).to_pylist() == want[3:5]
+    assert stems_of_lists(lists.slice(0, 0)).to_pylist() == []
+    frame = spark.createDataFrame(list(enumerate(rows)), "i int, w array<string>").repartition(3)
+    assert {r["i"]: r["s"] for r in frame.select("i", stems(F.col("w")).alias("s")).collect()} == dict(enumerate(want))
+
+
+def test_each_word_is_stemmed_once_while_remembered(monkeypatch):
+    from skeindex.functions import stem as module
+
+    seen, plain = [], module.stem
+    monkeypatch.setattr(module, "stem", lambda w: seen.append(w) or plain(w))
+    memory = Stems(most=3)
+    for _ in range(5):
+        assert memory(["cats", "dogs", "cats", None]) == ["cat", "dog", "cat", None]
+    assert seen == ["cats", "dogs"]
+    memory([f"word{i}s" for i in range(5)])
+    assert memory(["cats"]) == ["cat"] and seen.count("cats") == 1  # taken over from the older generation
+
+
+def test_stemmed_terms_are_those_of_the_stems(spark):
+    texts = [(1, "The cats were running and the cat runs"), (2, "ponies"), (3, "")]
+    docs = spark.createDataFrame(texts, "id int, chunk string")
+    found = bm25.term_frequency(docs, "chunk", Analyzer()).collect()
+    plain = Analyzer(stem=False)
+    stemmed = [(i, " ".join(stem(w) for w in t.lower().split() if w not in plain.stop_words)) for i, t in texts]
+    same = bm25.term_frequency(spark.createDataFrame(stemmed, "id int, chunk string"), "chunk", Analyzer(stem=False, stop_words=())).collect()
+    assert sorted(found) == sorted(same) and len(found) == 3
