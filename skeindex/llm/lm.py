@@ -1,7 +1,7 @@
 """A hashed maximum-entropy language model with a class-factored softmax.
 
-A word falls by its hash into a class and a group within it. What came before a word (the word before, the two before
-as a pair, and the word two before as a skip feature) is hashed to rows of two weight tables: one gives a softmax over
+A word falls by its hash into a class and a group within it. What came before a word (the word before, which makes a
+bigram, and the word two before as a skip feature) is hashed to rows of two weight tables: one gives a softmax over
 classes, the other, its rows hashed with the class, a softmax over the groups of that class. Within a group words have
 their smoothed share of the training tokens, so the model starts as the smoothed unigram model, sums to one over any
 vocabulary, and its size does not grow with the corpus:
@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,13 +41,13 @@ from skeindex.session import shared_dir
 CLASSES, GROUPS, ROWS = 32, 32, 1 << 15
 # Rounds of training, tokens of one gradient step, first step size, parts in which weights travel, bound on a sum of weights.
 ROUNDS, STEP_TOKENS, RATE, PARTS, MOST = 4, 8192, 0.35, 32, 40.0
-# Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 8_000_000
+# Bytes of text in a block; a longer text is a block of its own. Dictionary entries that meet in one partition.
+BLOCK_BYTES, PART_ENTRIES = 8_000_000, 500_000
 # The end of a text; no word is empty.
 END = b""
 SEED = 42
 _START = np.uint64(0x9E3779B97F4A7C15)
-_ODD = np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
+_ODD = np.array([0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], dtype=np.uint64)
 _CLASS, _SPREAD = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _SHIFT = np.uint64(64 - (ROWS.bit_length() - 1))
 
@@ -63,22 +63,14 @@ def class_and_group(hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (hashed & np.uint64(CLASSES - 1)).astype(np.int64), (hashed >> np.uint64(32) & np.uint64(GROUPS - 1)).astype(np.int64)
 
 
-def cell_column(word: Column) -> Column:
-    """``class * GROUPS + group`` as Spark computes it: its hash has the seed 42 and gives signed longs."""
-    hashed = F.xxhash64(word)
-    return hashed.bitwiseAND(CLASSES - 1) * GROUPS + F.shiftrightunsigned(hashed, 32).bitwiseAND(GROUPS - 1)
-
-
 def before(hashed: np.ndarray, place: np.ndarray, first: int = 0, last: int | None = None) -> list[np.ndarray]:
-    """Hashes of what precedes the tokens from ``first`` to ``last``: the word before, the pair before, the word two before.
+    """Hashes of what precedes the tokens from ``first`` to ``last``: the word before, and the word two before.
 
     ``place``: the token's position in its text; beyond the start of a text stands one start word.
     """
     at = np.arange(first, len(hashed) if last is None else min(last, len(hashed)))
     own = place[at]
-    back = [np.where(own < k, _START, hashed.take(at - k, mode="clip")) for k in (1, 2)]
-    pair = back[0] * _ODD[0] ^ back[1]
-    return [x * odd for x, odd in zip((back[0], pair, back[1]), _ODD)]
+    return [np.where(own < k, _START, hashed.take(at - k, mode="clip")) * odd for k, odd in zip((1, 2), _ODD)]
 
 
 def class_rows(found: list[np.ndarray]) -> list[np.ndarray]:
@@ -86,9 +78,9 @@ def class_rows(found: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def group_rows(found: list[np.ndarray], classes: np.ndarray) -> list[np.ndarray]:
-    """Rows of the word before and the word two before, each with the class."""
+    """Rows of what precedes a token, with its class."""
     own = (classes.astype(np.uint64) + np.uint64(1)) * _CLASS
-    return class_rows([found[0] + own, found[2] + own])
+    return class_rows([x + own for x in found])
 
 
 @dataclass
@@ -305,16 +297,53 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     """``block, counts``: of every word of a block's dictionary, in its order, the training tokens of all blocks.
 
     Each is coded as ``(count * CLASSES * GROUPS + cell) * 2 + first``; ``first`` marks one entry of each word. A word
-    has at most one entry in a block.
+    has at most one entry in a block, so no word has more entries than there are blocks. Entries meet by word and go back
+    by block, in partitions of a bounded number of entries.
     """
-    entries = blocks.select("block", F.posexplode(F.arrays_zip("words", "trained")).alias("at", "x"))
-    entries = entries.select(F.col("x.words").alias("word"), "block", "at", F.col("x.trained").alias("trained"))
-    own = Window.partitionBy("word").orderBy("block")
-    total = F.sum("trained").over(own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    coded = (total * (CLASSES * GROUPS) + cell_column(F.col("word"))) * 2 + (F.row_number().over(own) == 1).cast("long")
-    found = entries.select("block", "at", coded.alias("coded"))
-    lists = found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "coded"))).alias("x"))
-    return lists.select("block", F.col("x.coded").alias("counts"))
+    entries = blocks.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n")).first()["n"]
+    parts = max(1, -(-entries // PART_ENTRIES))
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, block in enumerate(batch.column(0).to_pylist()):
+                words, trained = (batch.column(c).slice(i, 1).flatten() for c in (1, 2))
+                for at in range(0, len(words), 50_000):
+                    own = words.slice(at, 50_000)
+                    places = np.arange(at, at + len(own), dtype=np.int32)
+                    yield pa.record_batch([own, pa.array(np.full(len(own), block)), pa.array(places), trained.slice(at, 50_000)], names=["word", "block", "at", "trained"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [b for b in batches if b.num_rows]
+        if not found:
+            return
+        rows = pa.Table.from_batches(found).combine_chunks()
+        words = rows["word"].combine_chunks().dictionary_encode()
+        if isinstance(words, pa.ChunkedArray):
+            words = words.combine_chunks()
+        number = words.indices.to_numpy(zero_copy_only=False)
+        total = np.bincount(number, rows["trained"].to_numpy(), len(words.dictionary)).astype(np.int64)
+        classes, groups = class_and_group(hashes(words.dictionary.to_pylist()))
+        coded = ((total * (CLASSES * GROUPS) + classes * GROUPS + groups) * 2)[number]
+        # Of the entries of a word the one in the smallest block is its first.
+        order = np.lexsort((rows["block"].to_numpy(), number))
+        first = np.r_[True, number[order][1:] != number[order][:-1]]
+        coded[order[first]] += 1
+        yield from pa.table({"block": rows["block"], "at": rows["at"], "coded": pa.array(coded)}).to_batches(100_000)
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [b for b in batches if b.num_rows]
+        if not found:
+            return
+        block, at, coded = (pa.Table.from_batches(found)[c].to_numpy() for c in ("block", "at", "coded"))
+        order = np.lexsort((at, block))
+        ends = np.flatnonzero(np.r_[block[order][1:] != block[order][:-1], True]) + 1
+        for start, end in zip(np.r_[0, ends[:-1]], ends):
+            own = order[start:end]
+            yield pa.record_batch([pa.array([block[own[0]]], pa.int64()), _listed(pa.array(coded[own]))], names=["block", "counts"])
+
+    rows = blocks.select("block", "words", "trained").mapInArrow(listed, "word binary, block long, at int, trained int")
+    rows = rows.repartition(parts, "word").mapInArrow(counted, "block long, at int, coded long")
+    return rows.repartition(parts, "block").mapInArrow(gathered, "block long, counts array<long>")
 
 
 def corpus_counts(counts: DataFrame) -> tuple[np.ndarray, int, int]:

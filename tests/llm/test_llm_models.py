@@ -42,12 +42,25 @@ def test_nothing_to_score_or_to_learn(spark, no_docs):
     assert row["score"] == pytest.approx(3 * math.log10(1 / (lm.CLASSES * lm.GROUPS)), rel=1e-4)
 
 
-def test_classes_are_the_same_in_spark(spark):
-    texts = ["", "a", "ünï", "日本語", "w" * 100]
-    rows = spark.createDataFrame([(t.encode(),) for t in texts], "word binary")
-    found = rows.select("word", lm.cell_column(F.col("word"))).collect()
-    classes, groups = lm.class_and_group(lm.hashes([bytes(r[0]) for r in found]))
-    assert [r[1] for r in found] == (classes * lm.GROUPS + groups).tolist()
+def test_counts_meet_by_word_and_go_back_by_block(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PART_ENTRIES", 20)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 200)
+    rng = np.random.default_rng(2)
+    texts = [(i, " ".join(f"w{x}" for x in rng.zipf(1.4, 20) if x < 60)) for i in range(60)]
+    blocks = lm.text_blocks(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).cache()
+    counts = Counter(w for i, t in texts if fold(i) != 2 for w in words(t))
+    got = {r["block"]: r["counts"] for r in lm.word_counts(blocks).collect()}
+    own = {r["block"]: [bytes(w) for w in r["words"]] for r in blocks.collect()}
+    assert set(got) == set(own) and len(own) > 5
+    firsts = Counter()
+    for block, coded in got.items():
+        n, cell = lm._decoded(np.array(coded))
+        classes, groups = lm.class_and_group(lm.hashes(own[block]))
+        assert n.tolist() == [counts[w] for w in own[block]] and cell.tolist() == (classes * lm.GROUPS + groups).tolist()
+        firsts.update(w for w, c in zip(own[block], coded) if c & 1)
+    assert set(firsts.values()) == {1} and set(firsts) == {w for of in own.values() for w in of}
+    shares, n, v = lm.corpus_counts(lm.word_counts(blocks))
+    assert (n, v) == (sum(counts.values()), len(counts)) and shares.sum() == n + v + lm.CLASSES * lm.GROUPS
 
 
 def trained(seed=5, size=400, tokens=30_000):
