@@ -286,8 +286,13 @@ class SparseTop(RunningTop):
         entry = first + np.arange(len(first))
         width = int(rows[-1]) + 1
         cell = self.owner[entry] * width + np.repeat(rows, repeats)
-        hit, place = np.unique(cell, return_inverse=True)
-        sums = np.bincount(place, np.repeat(weights, repeats) * self.weight[entry], len(hit))
+        products, cells = np.repeat(weights, repeats) * self.weight[entry], len(self.qids) * width
+        if cells <= 4 * len(cell):  # many pairs for the room: counted in place, without a sort
+            hit = np.flatnonzero(np.bincount(cell, minlength=cells))
+            sums = np.bincount(cell, products, cells)[hit]
+        else:
+            hit, place = np.unique(cell, return_inverse=True)
+            sums = np.bincount(place, products, len(hit))
         scores, query, row = np.round(sums, SCORE_PLACES), hit // width, hit % width
         near = np.isfinite(scores) & (scores >= self.floors[query])
         scores, query, row = scores[near], query[near], row[near]
