@@ -154,3 +154,9 @@ def test_long_text_is_linear(spark):
     text = " ".join("".join(random.choices("abcdefgh", k=5)) for _ in range(300_000))
     row = align.align(spark.createDataFrame([(1, text)], "doc_id long, text string"), A_PATH, B_PATH).first()
     assert row["n_links"] == row["n_a"] + row["n_b"] - row["n_groups"] > 500_000
+
+
+def test_texts_without_tokens_only(spark):
+    docs = spark.createDataFrame([(1, ""), (2, None), (None, "a▁b")], "doc_id long, text string")
+    got = sorted(map(tuple, align.align(docs, A_PATH, B_PATH).collect()), key=str)
+    assert got == sorted([(1, *[0] * 6, ""), (2, *[0] * 6, ""), (None, *[0] * 6, "")], key=str)
