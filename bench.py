@@ -20,7 +20,7 @@ from skeindex.session import build_session  # noqa: E402
 HEADLINE = (
     "bm25_doc_freq", "bm25_encode_docs", "sparse_topk", "dense_topk_dot", "hash_embed",
     "hybrid_rrf", "extract_links", "clean_pages", "chunk_text", "line_offsets",
-    "merge_datapoints", "index_upsert", "full_rebuild", "bm25_stats_stemmed", "sparse_topk_blocks",
+    "merge_datapoints", "index_upsert", "full_rebuild", "bm25_stats_stemmed",
 )
 
 
