@@ -32,16 +32,19 @@ def decoded(text: Column) -> Column:
     return decoded_as_html(text, OWN_NAMES)
 
 
+# Runs of white space other than one space: what is one space already stays, so few places are rewritten.
+_RUNS = r"[\t\r\n\f][ \t\r\n\f]*+| [ \t\r\n\f]++"
+
+
 def one_line(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"[ \t\r\n\f]+", " "))
+    return F.trim(F.regexp_replace(text, _RUNS, " "))
 
 
 def plain_text(visible: Column) -> Column:
     """The text of HTML without hidden parts: one line per block element, single spaces, no blank lines."""
-    text = F.regexp_replace(visible, r"[ \t\r\n\f]+", " ")
+    text = F.regexp_replace(visible, _RUNS, " ")
     text = F.regexp_replace(F.regexp_replace(text, LINE_TAG, "\n"), TAG, "")
-    text = decoded(text)
-    return F.regexp_replace(F.regexp_replace(text, r" *\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
+    return F.btrim(F.regexp_replace(decoded(text), r" *+\n[ \n]*+", "\n"), F.lit(" \n"))
 
 
 def labelled_digest(content: Column) -> Column:
