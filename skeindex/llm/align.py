@@ -18,7 +18,6 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from array import array
 from collections.abc import Iterator, Sequence
@@ -30,8 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skeindex.llm.bytelevel import MARKS, WordIds, parts_of, words_of
+from skeindex.llm.bytelevel import MARKS, parts_of, token_bytes, words_of
 from skeindex.llm.common import staged
+from skeindex.llm.packing import TextTokenizer
 from skeindex.llm.remember import Remembered
 
 # Characters of text in a block, A tokens in a lane, lanes in the state vector, tokens written out at a time.
@@ -43,17 +43,19 @@ REMEMBERED = 200_000
 # --- tokenizers ---------------------------------------------------------------------------------
 
 
-class ByteLevel:
-    """Tokenizer A: a byte-level BPE file of ``tokenizers``; special tokens in a text are plain text."""
+class ByteLevel(TextTokenizer):
+    """Tokenizer A: a byte-level BPE file; special tokens in a text are plain text."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        super().__init__(path)
         self.tokenizer.encode_special_tokens = True
-        self.ids_of = WordIds(self.tokenizer)
-        self.bytes_of = self.ids_of.bytes_of
+        self.bytes_of = token_bytes(self.tokenizer)
+
+    def ids(self, text: str) -> bytes | None:
+        """Ids of a text; None if their bytes are other ones, which ranks cannot give."""
+        if self.by_ranks(text):
+            return array("i", self.ranks.encode_ordinary(text)).tobytes()
+        return _checked(self.tokenizer.encode(text, add_special_tokens=False).ids, self.bytes_of, text.encode())
 
 
 class Pieces:
@@ -91,37 +93,31 @@ class Pieces:
 
 
 class Tokenizers:
-    """Ids by both tokenizers of a text with a space before it, by words at whose edges a token of either starts."""
+    """Ids by both tokenizers of a text with a space before it; those of B by words, which are remembered."""
 
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = ByteLevel(a_path), Pieces(b_path)
-        self.known = Remembered(self._ids, REMEMBERED, parts_of, columns=2)
+        self.known = Remembered(self._pieces, REMEMBERED, parts_of)
 
-    def _ids(self, segments: list[str]) -> Iterator[tuple[bytes | None, bytes | None]]:
-        for segment, a, b in zip(segments, self.a.ids_of(segments), self.b.ids_of(segments)):
-            raw = segment.encode()
-            yield a if b"".join(map(self.a.bytes_of.__getitem__, array("I", a))) == raw else None, _checked(b, self.b.bytes_of, raw)
+    def _pieces(self, segments: list[str]) -> Iterator[tuple[bytes | None]]:
+        for segment, ids in zip(segments, self.b.ids_of(segments)):
+            yield (_checked(ids, self.b.bytes_of, segment.encode()),)
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and of B; none of either for texts whose bytes one of them does not give back, nor for empty ones."""
-        numbers = self.known.numbers_of([_segments(text) for text in texts])
-        a_ids, b_ids = (found.__getitem__ for found in self.known.found)
-        out = []
+        numbers = self.known.numbers_of([_segments(text) if text and self.b.cuts(text) else [] for text in texts])
+        known, out = self.known.found[0].__getitem__, []
         for text, of in zip(texts, numbers):
-            a, b = list(map(a_ids, of)), list(map(b_ids, of))
-            if text and not self.b.cuts(text):
+            a, b = self.a.ids(" " + text) if text else None, list(map(known, of))
+            if text and not of:
                 b = [_checked(self.b.model.encode(text, num_threads=1), self.b.bytes_of, b" " + text.encode())]
-            out.append((_NONE, _NONE) if not text or None in a or None in b else (_array(a), _array(b)))
+            out.append((_NONE, _NONE) if a is None or None in b else (np.frombuffer(a, dtype="<i4"), np.frombuffer(b"".join(b), dtype="<i4")))
         return out
 
 
 _NONE = np.zeros(0, dtype="<i4")
 
 
-def _array(parts: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(parts), dtype="<i4")
-
-
 def _checked(ids: list[int], bytes_of: list[bytes], raw: bytes) -> bytes | None:
     """Ids as bytes; None where their tokens' bytes are other ones."""
     return array("i", ids).tobytes() if b"".join(map(bytes_of.__getitem__, ids)) == raw else None

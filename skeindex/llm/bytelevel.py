@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import re
-from array import array
-
-import numpy as np
 
 # Fixed value: how byte-level tokenizers cut a text before they merge bytes.
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -53,40 +50,3 @@ def token_bytes(tokenizer) -> list[bytes]:
     letters = byte_alphabet()
     entries = {i: entry for entry, i in tokenizer.get_vocab(with_added_tokens=False).items()}
     return [bytes(letters.get(c, 0) for c in entries.get(i, "")) for i in range(max(entries) + 1)]
-
-
-class WordIds:
-    """Ids of words, many of which are tokenised in one text: a call costs more than the words in it.
-
-    Words that start with a single space and have no white space at their ends stay apart in a text of such words, and
-    the bytes of the tokens say which token belongs to which. All others are texts of their own.
-    """
-
-    def __init__(self, tokenizer, together: int = 64):
-        self.tokenizer, self.together = tokenizer, together
-        self.bytes_of = token_bytes(tokenizer)
-        self.sizes = np.array([len(x) for x in self.bytes_of], dtype=np.int64)
-
-    def __call__(self, words: list[str]) -> list[bytes]:
-        """Ids of each word as little-endian unsigned 32-bit bytes."""
-        joined = [i for i, w in enumerate(words) if len(w) > 1 and w[0] == " " and not w[1].isspace() and not w[-1].isspace()]
-        groups = [joined[i : i + self.together] for i in range(0, len(joined), self.together)]
-        found: list[bytes | None] = [None] * len(words)
-        for group, ids in zip(groups, self._encoded(["".join(words[i] for i in g) for g in groups])):
-            if not ids or max(ids) >= len(self.sizes):
-                continue
-            ends = np.cumsum(self.sizes[ids])
-            edges = np.cumsum([len(words[i].encode()) for i in group])
-            cuts = np.searchsorted(ends, edges)
-            if cuts[-1] < len(ends) and np.array_equal(ends[cuts], edges):
-                raw, start = array("I", ids).tobytes(), 0
-                for i, cut in zip(group, (4 * (cuts + 1)).tolist()):
-                    found[i] = raw[start:cut]
-                    start = cut
-        alone = [i for i, ids in enumerate(found) if ids is None]
-        for i, ids in zip(alone, self._encoded([words[i] for i in alone])):
-            found[i] = array("I", ids).tobytes()
-        return found
-
-    def _encoded(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

@@ -30,7 +30,8 @@ BLOCK_CHARS = 1_000_000
 
 # Characters that every version of Unicode classes alike, and runs too long for a search of pairs without a heap.
 _COMMON = re.compile(r"[\x00-\u024f\u2010-\u2027\u20ac]*")
-_LONG_RUN = re.compile(r"\S{400}|\s{400}")
+LONG_RUN = 400
+_LONG_SPACE = re.compile(rf"\s{{{LONG_RUN}}}")
 
 
 def ranked(path: str):
@@ -76,8 +77,9 @@ class TextTokenizer:
 
     def by_ranks(self, text: str) -> bool:
         """Whether the ranks give the ids of this text."""
-        common = self.ranks is not None and (text.isascii() or _COMMON.fullmatch(text) is not None)
-        return common and not _LONG_RUN.search(text) and not (self.added and self.added.search(text))
+        if self.ranks is None or not (text.isascii() or _COMMON.fullmatch(text)) or (self.added and self.added.search(text)):
+            return False
+        return max(map(len, text.split()), default=0) < LONG_RUN and not _LONG_SPACE.search(text)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
