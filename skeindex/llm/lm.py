@@ -102,15 +102,19 @@ class Model:
         rows = shares.sum(axis=1)
         return cls(np.log(rows / rows.sum()).astype(np.float32), np.log(shares / rows[:, None]).astype(np.float32), empty(CLASSES), empty(GROUPS), hits(), hits())
 
-    def log_shares(self, table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
-        """Natural logarithms of the softmax of every token, from the sum of its rows of ``table``."""
+    def sums(self, table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray) -> np.ndarray:
+        """The bias and rows of ``table`` of every token added up, within bounds that no exponential overflows."""
         x = table.take(rows[0], axis=0)
         for r in rows[1:]:
             x += table.take(r, axis=0)
         x += bias
-        np.clip(x, -MOST, MOST, out=x)
-        x -= np.log(np.exp(x) @ np.ones(x.shape[1], dtype=np.float32))[:, None]
-        return x
+        return np.clip(x, -MOST, MOST, out=x)
+
+    def log_shares(self, table: np.ndarray, rows: list[np.ndarray], bias: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Natural logarithm of each token's own share in the softmax of its sums."""
+        x = self.sums(table, rows, bias)
+        own = x[np.arange(len(right)), right]
+        return own - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], dtype=np.float32))
 
     def score(self, hashed: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Natural logarithm of P(class, group | before) of every token."""
@@ -118,9 +122,8 @@ class Model:
         for i in range(0, len(hashed), STEP_TOKENS):
             found = before(hashed, place, i, i + STEP_TOKENS)
             classes, groups = class_and_group(hashed[i : i + STEP_TOKENS])
-            each = np.arange(len(classes))
-            first = self.log_shares(self.classes, class_rows(found), self.class_bias)[each, classes]
-            second = self.log_shares(self.groups, group_rows(found, classes), self.group_bias[classes])[each, groups]
+            first = self.log_shares(self.classes, class_rows(found), self.class_bias, classes)
+            second = self.log_shares(self.groups, group_rows(found, classes), self.group_bias[classes], groups)
             out[i : i + STEP_TOKENS] = first.astype(np.float64) + second
         return out
 
@@ -134,7 +137,9 @@ class Model:
 
     def _step(self, table: np.ndarray, hits: np.ndarray, rows: list[np.ndarray], bias: np.ndarray, right: np.ndarray) -> None:
         """One step: a row moves by its gradient over the root of how often it was met."""
-        slope = np.exp(self.log_shares(table, rows, bias))
+        slope = self.sums(table, rows, bias)
+        np.exp(slope, out=slope)
+        slope /= (slope @ np.ones(slope.shape[1], dtype=np.float32))[:, None]
         slope[np.arange(len(right)), right] -= 1
         for r in rows:
             order = np.argsort(r, kind="stable")
