@@ -9,8 +9,6 @@ stripe is tried with larger and larger tables. All of this happens within the ro
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
