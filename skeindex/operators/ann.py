@@ -131,13 +131,15 @@ def train_cells(
     if not facts["n"]:
         raise ValueError("no vectors to train cells on")
     cells, most = -(-facts["n"] // leaf_size), max(1, limit // (8 * facts["d"]))
-    first = spark.createDataFrame([(0, min(cells, most) if cells <= most else min(most, max(math.isqrt(cells - 1) + 1, -(-8 * cells // most))), facts["n"])], "node int, k int, n long")
+    # With two levels: about the square root of the cells, and so many that a parent has an eighth of what fits a task.
+    parents = cells if cells <= most else min(most, max(math.isqrt(cells - 1) + 1, -(-8 * cells // most)))
+    first = spark.createDataFrame([(0, parents, facts["n"])], "node int, k int, n long")
     top = grouped_centroids(usable, first, seed, iterations)
     if cells <= most:
         none = F.array_repeat(F.lit(0.0), facts["d"])
         return stage(top.select(F.lit(0).alias("parent"), none.alias("parent_centroid"), "cell", "centroid"), "cells")
-    parents = top.select(F.lit(0).alias("parent"), F.array().cast("array<double>").alias("parent_centroid"), "cell", "centroid")
-    split = stage(assign_cells(usable.drop("node"), parents, limit).withColumnRenamed("cell", "node"), "split")
+    nodes = top.select(F.lit(0).alias("parent"), F.array().cast("array<double>").alias("parent_centroid"), "cell", "centroid")
+    split = stage(assign_cells(usable.drop("node"), nodes, limit).withColumnRenamed("cell", "node"), "split")
     sizes = split.groupBy("node").agg(F.count("*").alias("n"))
     wanted = sizes.select("node", F.least(F.ceil(F.col("n") / leaf_size), F.lit(most)).cast("int").alias("k"), "n")
     below = grouped_centroids(split, wanted, seed, iterations)
