@@ -1,9 +1,10 @@
 """Toxicity: a weighted lexicon, matched by Aho-Corasick after folding look-alikes, normalised by length.
 
 Texts are folded first: letters of other scripts and shapes that look like Latin ones and digits or signs that stand for
-letters become those letters; invisible characters go, and marks that make no letter of a language with what they stand on. The lexicon holds beginnings of words with weights; it is learned from
-labelled rows as the log-odds of a beginning in toxic and other documents, counted by a Spark aggregate. A hit inside
-an exception phrase does not count. The summed weight for a fixed number of words goes through a logistic curve.
+letters become those letters; invisible characters go, and marks that make no letter of a language with what they stand
+on. The lexicon holds beginnings of words with weights; it is learned from labelled rows as the log-odds of a beginning
+in toxic and other documents, counted by a Spark aggregate. A hit inside an exception phrase does not count. The summed
+weight for a fixed number of words goes through a logistic curve.
 """
 
 from __future__ import annotations
@@ -157,8 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = EXCEPT
     A term is in at least three toxic texts, its log-odds are at least ``least_odds`` and with 95 % confidence at least
     ``least_bound``, however few of the toxic texts have it. Near copies (SimHash) of one label are counted once, so that
     a group of them does not make its own words terms. Texts are measured with the ``exceptions`` that they will be scored
-    with. ``max_terms`` bounds the model: the beginnings with the greatest evidence
-    (log-odds times documents) are kept.
+    with. ``max_terms`` bounds the model: the beginnings with the greatest evidence (log-odds times documents) are kept.
     """
     rows = labelled(docs, labels, "toxic", max_rows)
     rows = rows.withColumn("h", F.xxhash64("text")).dropDuplicates(["h", "label"]).select("text", "label")
