@@ -247,3 +247,24 @@ def test_unit_norm_leaves_zero_vectors(spark):
     df = spark.createDataFrame([("a", [3.0, 4.0]), ("z", [0.0, 0.0])], "id string, embedding array<double>")
     found = {r["id"]: r["embedding"] for r in dense.l2_normalize(df).collect()}
     assert found == {"a": [0.6, 0.8], "z": [0.0, 0.0]}
+
+
+def test_many_blocks_of_queries_read_the_index_once(spark):
+    """Blocks read what the index holds of the terms asked for; a bitmap that is crowded only keeps more."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, ([i % 50, 1000 + i % 7, -5], [1.0 + i % 3, 0.5, float("nan") if i % 11 == 0 else 0.25])) for i in range(600)] + [(601, None), (602, ([], []))]
+    plain = spark.createDataFrame(rows, "id long, sparse_embedding struct<indices array<bigint>, values array<double>>").repartition(3)
+    index = plain.mapInArrow(read, plain.schema)
+    asked = [(q, t, 1.0 + q) for q in range(40) for t in (q, 1000 + q % 9, 77, -5 if q % 2 else 5000)]
+    terms = spark.createDataFrame(asked, "qid int, term_id long, weight double")
+    whole = sorted(search.sparse_topk_rows(plain, terms, 5).collect())
+    for limit in (1500,):
+        seen.value = 0
+        assert sorted(search.sparse_topk_rows(index, terms, 5, limit).collect()) == whole
+        assert seen.value == 602
