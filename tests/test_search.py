@@ -268,3 +268,18 @@ def test_many_blocks_of_queries_read_the_index_once(spark):
         seen.value = 0
         assert sorted(search.sparse_topk_rows(index, terms, 5, limit).collect()) == whole
         assert seen.value == 602
+
+
+def test_crowded_cells_are_dealt_to_many_tasks(spark, monkeypatch):
+    """Tasks grow with the pairs to score; slices of few queries give the same lists."""
+    index, queries, rows, asked = random_vectors(spark)
+    centroids = spark.createDataFrame([(0, [1.0] * 16, 0, [1.0] * 16)], ann.CELLS)
+    assigned = ann.assign_cells(index, centroids)
+    monkeypatch.setattr(ann, "TASK_PAIRS", 100)
+    monkeypatch.setattr(search, "QUERY_ROWS", 2)
+    pairs = queries.select("qid", F.lit(0).alias("cell"))
+    schema = search.found_schema(queries, assigned)
+    found = ann._search_cells(assigned, queries, pairs, 7, "dot", 16, schema)
+    assert found.rdd.getNumPartitions() >= 400 * len(asked) // 100
+    found = ann.ann_topk(assigned, centroids, queries, 7).collect()
+    assert sorted((r["qid"], r["rank"], r["id"]) for r in found) == brute(rows, asked, 7, "dot")
