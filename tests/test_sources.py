@@ -1,5 +1,6 @@
 """Objects, JSONL, artifacts, merge, keyed tables and indexes."""
 
+import os
 import random
 from datetime import datetime
 
@@ -363,3 +364,22 @@ def test_of_two_models_the_greatest_name_counts(spark, scratch):
     model = models.load_model(spark, scratch)
     assert model.stats.count() == 1 and model.stats.first()["n_docs"] == 2
     assert model.df.count() == 3
+
+
+def test_saved_lines_are_dealt_by_their_number(spark, tmp_path):
+    """The files of lines grow with the rows; lines stay in the order of their ids over the files."""
+    from checks import spark_queries
+
+    rows = [(i, f"text {i}", "en", "src1" if i % 9 == 0 else "src2", 8) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = spark_queries._saved_lines(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)
+    names = sorted(n for n in os.listdir(path.removeprefix("file:")) if n.startswith("part-"))
+    assert len(names) > 4
+    lines = [line for n in names for line in open(f"{path.removeprefix('file:')}/{n}")]
+    assert [int(line.split('"id":"')[1].split('"')[0]) for line in lines if line.rstrip().endswith("}")] == [i for i in range(400) if i % 9]
