@@ -186,3 +186,25 @@ def test_chunks_of_a_thousand_tables_are_one_scan(spark, scratch):
     plan = tables._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1 and len(tables.inputFiles()) == 1000
     assert flows.chunk_tables(found.where("id = 'x'")).count() == 0
+
+
+def test_chunks_with_their_terms_are_not_tokenised_again(spark, scratch, monkeypatch):
+    """Fit and encoding take the terms that were made once; the index is that of tokenising for each."""
+    from skeindex.operators import bm25
+    from skeindex.operators.bm25 import Analyzer
+    from skeindex.sources.indexes import IndexSettings
+
+    rows = [(f"c{i}", f"word{i % 5} common text", "f", i) for i in range(20)] + [("empty", "", "f", 20)]
+    chunks = spark.createDataFrame(rows, "id string, chunk string, source_file string, chunk_line_offset long")
+    plain, found = Analyzer(stem=False), []
+    termed = flows.termed_chunks(chunks, plain)
+    for given in (None, termed):
+        if given is not None:
+            monkeypatch.setattr(bm25, "with_terms", None)
+        root = f"{scratch}/{given is None}"
+        catalog = IndexCatalog(spark, root + "/index", buckets=2)
+        flows.fit_model(chunks, root + "/model", root + "/artifacts", analyzer=plain, termed=given)
+        catalog.create("main", IndexSettings(dims=8))
+        flows.ingest_chunks(catalog, "main", chunks, root + "/artifacts", embedder=Embedder(dims=8), analyzer=plain, termed=given)
+        found.append(sorted(map(str, catalog.read("main").select("id", "sparse_embedding", "embedding").collect())))
+    assert found[0] == found[1] and len(found[0]) == 20
