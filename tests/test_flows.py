@@ -208,3 +208,21 @@ def test_chunks_with_their_terms_are_not_tokenised_again(spark, scratch, monkeyp
         flows.ingest_chunks(catalog, "main", chunks, root + "/artifacts", embedder=Embedder(dims=8), analyzer=plain, termed=given)
         found.append(sorted(map(str, catalog.read("main").select("id", "sparse_embedding", "embedding").collect())))
     assert found[0] == found[1] and len(found[0]) == 20
+
+
+def test_a_search_is_run_once_for_its_result_rows(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    fused = spark.createDataFrame([(1, 1, "a", 0.5, 0.4), (1, 2, "b", 0.4, None)], "qid int, rank int, id string, distance double, sparse_distance double")
+    counted = fused.mapInArrow(read, fused.schema)
+    index = spark.createDataFrame([("a", ("m",)), ("z", ("n",))], "id string, embedding_metadata struct<x string>")
+    from skeindex.operators import search
+
+    rows = search.shape_results(counted, index).orderBy("rank").collect()
+    assert [(r["id"], r["metadata"]) for r in rows] == [("a", ("m",)), ("b", None)]
+    assert seen.value == 2
