@@ -35,9 +35,9 @@ from skeindex.llm.packing import TextTokenizer
 from skeindex.llm.remember import Remembered
 
 # Characters of text in a block, A tokens in a lane, lanes in the state vector, tokens written out at a time.
-BLOCK_CHARS, LANE_TOKENS, LANES, WRITTEN = 1_500_000, 256, 8192, 1 << 19
+BLOCK_CHARS, LANE_TOKENS, LANES, WRITTEN = 750_000, 256, 8192, 1 << 19
 # Segments of text whose ids a worker remembers, in each of two generations.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 # --- tokenizers ---------------------------------------------------------------------------------

@@ -160,3 +160,10 @@ def test_texts_without_tokens_only(spark):
     docs = spark.createDataFrame([(1, ""), (2, None), (None, "a▁b")], "doc_id long, text string")
     got = sorted(map(tuple, align.align(docs, A_PATH, B_PATH).collect()), key=str)
     assert got == sorted([(1, *[0] * 6, ""), (2, *[0] * 6, ""), (None, *[0] * 6, "")], key=str)
+
+
+def test_blocks_of_a_task_are_small(spark):
+    """A block of 1.2 million characters made the arrays of a worker twice as large."""
+    docs = spark.createDataFrame([(i, "plain words " * 25_000) for i in range(4)], "doc_id long, text string").coalesce(1)
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    assert align.aligned_blocks(docs, *paths).count() == 2
