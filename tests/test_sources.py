@@ -7,9 +7,11 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks.spark_queries import QUERIES
 from skeindex.operators import ann, bm25, context, merge
 from skeindex.plans import flows
 from skeindex.schemas import CHUNK
+from skeindex.session import shared_dir
 from skeindex.sources import artifacts, commits, jsonl, models, objects
 from skeindex.sources.commits import names, put_if_absent, read_text
 from skeindex.sources.indexes import IndexCatalog, IndexSettings
@@ -42,6 +44,38 @@ def test_listing_and_page_scan(spark, tmp_path):
         objects.list_objects(spark, root, scheme="gs")
 
 
+@pytest.mark.parametrize("local", [True, False])
+def test_written_objects_are_scanned_whole(spark, scratch, monkeypatch, local):
+    """Rows of one key share an object; on a local disk it is put without Spark's writer."""
+    if not local:
+        monkeypatch.setattr(objects, "local_path", lambda spark, path: None)
+    rows = [("a", "<p>\nä"), ("b/ +%", None), ("a", "<p>"), ("c", "")] + [(f"n{i}", f"t{i}") for i in range(700)]
+    root = f"{scratch}/objects"
+    objects.write_objects(spark.createDataFrame(rows, "key string, html string").repartition(5), root, "key", "html")
+    found = {}
+    for row in objects.scan_pages(spark, root, glob="*.txt").collect():
+        name = row["source_file"].split("key=")[1].removesuffix(".txt") if local else row["source_file"].split("key=")[1].split("/")[0]
+        found[name] = row["html"]
+    odd = next(n for n in found if n.startswith("b"))
+    assert found.pop(odd) == "\n"
+    want = {"a": "<p>\n<p>\nä\n", "c": "\n"} | {f"n{i}": f"t{i}\n" for i in range(700)}
+    assert found == want
+
+
+@pytest.mark.parametrize("name", ["scan_pages"])
+def test_pages_are_written_to_few_folders(spark, scratch, name):
+    """One object a page, but not one folder: each of them has to be listed."""
+    rows = [(i, f"http://e.example/{i}", f"<p>page {i}</p>") for i in range(600)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{scratch}/pages.parquet")
+    root = f"{shared_dir(spark)}/scratch".removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    got = sorted(r["page_id"] for r in QUERIES[name](spark, scratch).collect())
+    (own,) = set(os.listdir(root)) - before
+    held = [(folder, sum(f.endswith(".txt") for f in files)) for folder, _, files in os.walk(f"{root}/{own}")]
+    held = [n for _, n in held if n]
+    assert got == list(range(600)) and sum(held) == 600 and len(held) <= 3
+
+
 def test_tolerant_and_strict_lines(spark, tmp_path):
     lines = '{"id":"1","chunk":"one"}\n\n   \n{"id":"2","chu\n{"id":"3","chunk":"","text":"three"}\n{"id":"4"}\n'
     write(tmp_path / "d/x.jsonl", lines)
