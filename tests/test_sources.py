@@ -62,7 +62,7 @@ def test_written_objects_are_scanned_whole(spark, scratch, monkeypatch, local):
     assert found == want
 
 
-@pytest.mark.parametrize("name", ["scan_pages"])
+@pytest.mark.parametrize("name", ["scan_pages", "chunk_scanned"])
 def test_pages_are_written_to_few_folders(spark, scratch, name):
     """One object a page, but not one folder: each of them has to be listed."""
     rows = [(i, f"http://e.example/{i}", f"<p>page {i}</p>") for i in range(600)]
