@@ -3,8 +3,11 @@
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from skeindex.sources import postings
 from skeindex.sources.postings import PostingStore
 
 VECTOR = "struct<indices array<bigint>, values array<double>>"
@@ -95,3 +98,44 @@ def test_an_empty_index_finds_nothing(spark, scratch):
     asked = spark.createDataFrame([(1, 1, 1.0)], "qid int, term_id long, weight double")
     assert store.search(asked, 4).count() == 0
     assert store.search(asked.limit(0), 4).count() == 0
+
+
+@pytest.mark.parametrize("entries", [7, 4_000_000])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_a_slice_meets_all_its_queries_at_once(monkeypatch, seed, entries):
+    """Repeated ids, a missing one, terms that a query repeats or that the slice lacks, scores that are not finite."""
+    monkeypatch.setattr(postings, "SCORE_ENTRIES", entries)
+    rng = np.random.default_rng(seed)
+    ids = [None if i == 3 else f"d{rng.integers(0, 12)}" for i in range(20)]
+    lists = {int(t): sorted(rng.choice(20, rng.integers(1, 15), replace=False).tolist()) for t in rng.permutation(9)}
+    weights = {t: np.round(rng.normal(1, 1, len(at)), 1) for t, at in lists.items()}
+    weights[4][0] = np.inf
+    asked = [(f"q{rng.integers(0, 8)}", int(rng.integers(0, 12)), float(np.round(rng.normal(1, 1), 1))) for _ in range(60)]
+    asked += [("none", 11, 1.0), ("other", 1, 1.0)]
+    blocks = pa.table({"term_id": pa.array(list(lists)), "at": pa.array(list(lists.values()), pa.list_(pa.int32())), "weights": pa.array(list(weights.values()))})
+    terms = pa.table({"qid": [q for q, _, _ in asked], "term_id": [t for _, t, _ in asked], "weight": [w for _, _, w in asked]})
+    qids = sorted({q for q, _, _ in asked} - {"other"}, reverse=True)
+    got = postings._slice_top(blocks, pa.array(ids), pa.array(qids), postings._by_query(terms), 4).to_pylist()
+    for qid in qids:
+        scores = {}
+        for q, term, factor in asked:
+            for place, weight in zip(lists.get(term, []), weights.get(term, [])):
+                if q == qid:
+                    scores[place] = scores.get(place, 0.0) + factor * weight
+        best = {}
+        for place, score in scores.items():
+            if np.isfinite(score):
+                best[ids[place]] = max(round(score, 6), best.get(ids[place], -np.inf))
+        want = sorted(((-s, i is not None, i or "", i) for i, s in best.items()))[:4]
+        assert [r["id"] for r in got if r["qid"] == qid] == [x[-1] for x in want]
+        assert [r["score"] for r in got if r["qid"] == qid] == pytest.approx([-x[0] for x in want], abs=2e-6)
+
+
+def test_weights_are_computed_once_for_the_slices(spark):
+    rows = spark.createDataFrame([(1, [1, 2]), (2, None)], "id long, terms array<bigint>")
+    vector = F.struct(F.col("terms").alias("indices"), F.transform("terms", lambda t: t / 2.0).alias("values"))
+    made = postings.slice_blocks(rows.select("id", vector.alias("sparse_embedding")), 16)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("transform(") == 1
+    (ids,) = made.where("term_id is null").collect()
+    assert ids["ids"] == [1]
+    assert {(r["term_id"], *r["weights"]) for r in made.where("term_id is not null").collect()} == {(1, 0.5), (2, 1.0)}
